@@ -62,3 +62,46 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out, per_class: dict[int, int]) -> tuple[dict[int, list[str]], dict[int, int]]:
+    """A bounded sample of labelled texts for fitting, and the number of labelled rows of each class.
+
+    ``labels`` has ``doc_id`` and ``label`` (0 or 1); rows where ``held_out`` (a column of doc_id) holds are
+    not used, nor null labels; of contradicting labels the larger counts. At most ``per_class[c]`` texts of
+    class c, those of smallest hash of doc_id, reach the driver: the ids are chosen from the labels alone, so
+    the texts of no other document move.
+    """
+    from pyspark.sql import functions as F
+
+    known = labels.filter(F.col(label).isin(0, 1) & ~held_out & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    order = F.xxhash64("doc_id")
+    chosen = [r for c, n in per_class.items() for r in known.filter(F.col("label") == c).orderBy(order, "doc_id").limit(n).collect()]
+    texts: dict[int, list[str]] = {c: [] for c in per_class}
+    if chosen:
+        small = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label int")
+        got = docs.select("doc_id", "text").join(F.broadcast(small), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.max("text").alias("text")).collect()
+        for r in sorted(got, key=lambda r: r["doc_id"]):
+            texts[r["label"]].append(r["text"] or "")
+    return texts, {c: sizes.get(c, 0) for c in per_class}
+
+
+def logit_fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-2, steps: int = 60) -> np.ndarray:
+    """Logistic regression by Newton steps; the last weight is the intercept (not shrunk)."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], l2)
+    ridge[-1] = 1e-6
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        grad = x.T @ (p - y) + ridge * w
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(ridge), grad)
+        w -= np.clip(step, -3, 3)
+        if np.abs(step).max() < 1e-7:
+            break
+    return w
+
+
+def prior_shift(used: dict[int, int], sizes: dict[int, int]) -> float:
+    """What to add to log odds fitted on ``used`` rows a class so that they hold for classes of ``sizes`` rows."""
+    return float(np.log((sizes[1] + 0.5) / (sizes[0] + 0.5)) - np.log((used[1] + 0.5) / (used[0] + 0.5)))

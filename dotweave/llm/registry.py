@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, tokenize_bpe, warc
+from . import chat_format, quality_cnn, tokenize_bpe, toxicity, warc
 
-MODULES = (warc, chat_format, tokenize_bpe)
+MODULES = (toxicity, quality_cnn, tokenize_bpe, warc, chat_format)
 
 
 def queries() -> dict:
