@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, jaccard_join, quality_cnn, tokenize_bpe, toxicity, warc
+from . import chat_format, jaccard_join, media_gif, quality_cnn, tokenize_bpe, toxicity, warc
 
-MODULES = (jaccard_join, toxicity, quality_cnn, tokenize_bpe, warc, chat_format)
+MODULES = (jaccard_join, toxicity, quality_cnn, tokenize_bpe, media_gif, warc, chat_format)
 
 
 def queries() -> dict:
