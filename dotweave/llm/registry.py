@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, jaccard_join, media_gif, quality_cnn, scaled_sketch, tokenize_bpe, toxicity, warc
+from . import chat_format, jaccard_join, language_evidence, media_gif, pfair_mix, quality_cnn, scaled_sketch, tokenize_bpe, toxicity, warc
 
-MODULES = (jaccard_join, toxicity, quality_cnn, tokenize_bpe, media_gif, scaled_sketch, warc, chat_format)
+MODULES = (jaccard_join, toxicity, quality_cnn, pfair_mix, tokenize_bpe, language_evidence, media_gif, scaled_sketch, warc, chat_format)
 
 
 def queries() -> dict:
