@@ -1,4 +1,605 @@
-"""Every registered query of the point-analytics operators, with its SQL twin."""
+"""Every registered query of the point-analytics operators, with its SQL twin.
+
+The tables at hand stand in for microscopy: events are dots (gene: event_type, row: user_id, column: value cut
+to quarters, round and tile from event_id), suppliers are tiles on a grid, parts a codebook, line items images.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import codes
+from ..operators import alignment, barcodes, bayes, cells, dedup, geometry, quality, registration, selection, spatial
+
+RC = ("r", "c")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _dots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    return _table(spark, sf_dir, "events").select(
+        e.alias("dot_id"), F.col("event_type").alias("gene"), F.col("user_id").cast("double").alias("r"), (F.floor(F.col("value") * 4) / 4.0).alias("c"),
+        (e % 16 + 1).cast("int").alias("round_num"), (e % 6).cast("int").alias("fov_num"), F.concat(F.lit("ch"), (F.floor(e / 16) % 2).cast("string")).alias("channel"),
+    )
+
+
+_DOTS = """dots AS (SELECT event_id AS dot_id, event_type AS gene, CAST(user_id AS DOUBLE) AS r, floor(value * 4) / 4.0 AS c,
+  CAST(event_id % 16 + 1 AS INT) AS round_num, CAST(event_id % 6 AS INT) AS fov_num, 'ch' || CAST((event_id // 16) % 2 AS VARCHAR) AS channel FROM events)"""
+
+
+def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers on a grid of 10 columns with 92 pixels between tiles of 100."""
+    k = F.col("s_suppkey")
+    return _table(spark, sf_dir, "supplier").select(k.cast("int").alias("fov_num"), (F.floor(k / 10) * 92.0).alias("r"), (k % 10 * 92.0).alias("c"))
+
+
+_TILES = "tiles AS (SELECT CAST(s_suppkey AS INT) AS fov_num, (s_suppkey // 10) * CAST(92.0 AS DOUBLE) AS r, (s_suppkey % 10) * CAST(92.0 AS DOUBLE) AS c FROM supplier)"
+
+#: Overlaps of the six tiles that dots fall in: boxes in dot coordinates, in a chain.
+_RECT_ROWS = [(0, 1, 10.0, 60.0, 5.0, 60.0), (1, 2, 0.0, 100.0, 20.0, 50.0), (2, 3, 30.0, 120.0, 0.0, 30.0), (3, 4, 5.0, 90.0, 10.0, 100.0), (4, 5, 20.0, 149.0, 40.0, 80.0)]
+_RECTS = "rects(a, b, r_tl, r_br, c_tl, c_br) AS (VALUES " + ", ".join(f"({a}, {b}, {w}::DOUBLE, {x}::DOUBLE, {y}::DOUBLE, {z}::DOUBLE)" for a, b, w, x, y, z in _RECT_ROWS) + ")"
+
+
+def _rects(spark: SparkSession) -> DataFrame:
+    rows = [(*x, "top" if x[0] % 2 == 0 else "bottom", "left" if x[0] % 3 else "right") for x in _RECT_ROWS]
+    return spark.createDataFrame(rows, "a int, b int, r_tl double, r_br double, c_tl double, c_br double, a_row string, a_column string")
+
+
+def _codebook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen-bit words for the first 64 parts."""
+    p = F.col("p_partkey")
+    return _table(spark, sf_dir, "part").filter(p < 64).select(F.col("p_name").alias("name"), F.concat(F.lit("g"), p.cast("string")).alias("gene"), ((p * 40503 + 977) % 65536).alias("code_bits"), p.alias("code_idx"))
+
+
+_BOOK = "book AS (SELECT 'g' || CAST(p_partkey AS VARCHAR) AS gene, (p_partkey * 40503 + 977) % 65536 AS code_bits, p_partkey AS code_idx FROM part WHERE p_partkey < 64)"
+#: Dots of a user are one barcode: one bit a round.
+_BITS = "bits AS (SELECT CAST(r AS BIGINT) AS ref, bit_or(CAST(1 AS BIGINT) << (round_num - 1)) AS code_bits FROM dots WHERE c < 20 GROUP BY 1)"
+
+
+def _bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcodes.barcode_bits(_dots(spark, sf_dir).filter("c < 20").withColumn("ref", F.col("r").cast("bigint")), "ref")
+
+
+def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return barcodes.nearest_codeword(_bits(spark, sf_dir), _codebook(spark, sf_dir))
+
+
+_DECODED = """decoded AS (SELECT ref, b.code_bits, k.gene AS decoded_genes, k.code_bits AS codeword_bits, bit_count(xor(b.code_bits, k.code_bits)) / 16.0 AS hamming_distance,
+  CAST(bit_count(b.code_bits) AS BIGINT) AS number_positive_bits FROM bits b, book k
+  QUALIFY row_number() OVER (PARTITION BY ref ORDER BY bit_count(xor(b.code_bits, k.code_bits)), code_idx) = 1)"""
+
+
+def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels of cells: orders stand for pixels, each label an id of a customer."""
+    o = F.col("o_orderkey")
+    return _table(spark, sf_dir, "orders").groupBy((o % 150).alias("r"), (F.floor(o / 150) % 100).alias("c")).agg(F.min(F.col("o_custkey") % 50 + 1).alias("cell_id"))
+
+
+_MASK = "mask AS (SELECT o_orderkey % 150 AS r, (o_orderkey // 150) % 100 AS c, min(o_custkey % 50 + 1) AS cell_id FROM orders GROUP BY 1, 2)"
+
+
+def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of two neighbouring tiles that share pixels: line items."""
+    k = F.col("l_partkey")
+    return _table(spark, sf_dir, "lineitem").select(
+        (F.col("l_linenumber") % 2).alias("fov_num"), F.concat_ws("-", (F.col("l_linenumber") % 2).cast("string"), (F.col("l_suppkey") % 7).cast("string")).alias("obj_id"),
+        (k % 40).cast("int").alias("r"), F.col("l_quantity").cast("int").alias("c"),
+    ).distinct()
+
+
+_PIXELS = "pixels AS (SELECT DISTINCT l_linenumber % 2 AS fov_num, CAST(l_linenumber % 2 AS VARCHAR) || '-' || CAST(l_suppkey % 7 AS VARCHAR) AS obj_id, CAST(l_partkey % 40 AS INT) AS r, CAST(l_quantity AS INT) AS c FROM lineitem)"
 
 QUERIES: dict = {}
-SQL: dict = {}
+SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    """Register a function under its name, with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# selections
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey BETWEEN 100 AND 700")
+def select_range(spark, d):
+    return selection.fov_range(_table(spark, d, "orders"), 100, 700, "o_custkey").select("o_orderkey", "o_custkey")
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (3, 5, 8, 13, 21)")
+def select_in(spark, d):
+    return selection.fov_list(_table(spark, d, "orders"), [3, 5, 8, 13, 21], "o_custkey").select("o_orderkey", "o_custkey")
+
+
+@_query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount > 0.08)")
+def select_in_table(spark, d):
+    named = _table(spark, d, "lineitem").filter("l_discount > 0.08").select(F.col("l_partkey").alias("p_partkey"))
+    return selection.fov_list(_table(spark, d, "part"), named, "p_partkey").select("p_partkey", "p_name")
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id, gene, r, c FROM dots WHERE channel = 'ch1' AND round_num = 3 AND fov_num = 2")
+def select_point(spark, d):
+    return selection.one_image(_dots(spark, d), "ch1", 3, 2).select("dot_id", "gene", "r", "c")
+
+
+@_query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def resume_anti(spark, d):
+    done = _table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return selection.not_processed(_table(spark, d, "customer"), done, "c_custkey").select("c_custkey", "c_name")
+
+
+@_query(
+    f"WITH {_DOTS} SELECT CAST(count(DISTINCT channel) AS BIGINT) AS channels, CAST(count(DISTINCT fov_num) AS BIGINT) AS fovs, CAST(max(round_num) AS BIGINT) AS rounds, arg_min(gene, dot_id) AS first_gene FROM dots"
+)
+def metadata_collect(spark, d):
+    m = quality.metadata(_dots(spark, d), ["dot_id"], ["gene"])
+    return spark.createDataFrame([(len(m.channels), len(m.fovs), m.rounds, m.first["gene"])], "channels long, fovs long, rounds long, first_gene string")
+
+
+@_query(f"WITH {_DOTS} SELECT fov_num, dot_id, c FROM dots QUALIFY row_number() OVER (PARTITION BY fov_num ORDER BY c, round_num, dot_id) = 1")
+def qc_min_per_group(spark, d):
+    return quality.worst_registration(_dots(spark, d), "fov_num", "c", ["round_num", "dot_id"]).select("fov_num", "dot_id", "c")
+
+
+@_query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 1000 AND o_totalprice < 50000 AND o_custkey > 10 AND o_custkey < 500")
+def box_strict(spark, d):
+    box = tuple(map(F.lit, (1000, 50000, 10, 500)))
+    return _table(spark, d, "orders").filter(selection.in_box(F.col("o_totalprice"), F.col("o_custkey"), box, True)).select("o_orderkey", "o_totalprice")
+
+
+@_query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity BETWEEN 10 AND 20 AND l_linenumber BETWEEN 2 AND 4")
+def box_inclusive(spark, d):
+    box = tuple(map(F.lit, (10, 20, 2, 4)))
+    return _table(spark, d, "lineitem").filter(selection.in_box(F.col("l_quantity"), F.col("l_linenumber"), box, False)).select("l_orderkey", "l_linenumber")
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id, fov_num || '_' || round_num || '_' || channel || '_' || (row_number() OVER (PARTITION BY fov_num, round_num, channel ORDER BY dot_id) - 1) AS name FROM dots")
+def dot_names(spark, d):
+    named = selection.with_dot_id(_dots(spark, d).withColumnRenamed("dot_id", "n"), ["n"])
+    return named.select(F.col("n").alias("dot_id"), F.col("dot_id").alias("name"))
+
+
+@_query("SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+def union_outer(spark, d):
+    a = _table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    b = _table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"))
+    return selection.union_outer([a, b])
+
+
+@_query("SELECT o_orderkey, CAST(least(o_orderkey // 64, 1000 // 64 - 1) AS BIGINT) AS chunk FROM orders WHERE o_orderkey < 1000")
+def chunk_batches(spark, d):
+    rows = _table(spark, d, "orders").filter("o_orderkey < 1000").select("o_orderkey")
+    return selection.batches(rows, "o_orderkey", 64, 1000).select("o_orderkey", F.col("chunk").cast("bigint").alias("chunk"))
+
+
+@_query("SELECT gene, bool_or(c IS NULL) AS has_null FROM (SELECT event_type AS gene, CASE WHEN event_type = 'click' AND event_id % 1000 = 7 THEN NULL ELSE value END AS c FROM events) GROUP BY gene")
+def null_guard(spark, d):
+    rows = _table(spark, d, "events").select(F.col("event_type").alias("gene"), F.when(~((F.col("event_type") == "click") & (F.col("event_id") % 1000 == 7)), F.col("value")).alias("c"))
+    return selection.any_null(rows, "c", ["gene"])
+
+
+@_query(f"WITH {_DOTS}, {_BITS}, {_BOOK}, {_DECODED} SELECT ref, decoded_genes FROM decoded WHERE hamming_distance < 0.25 AND decoded_genes IS NOT NULL")
+def plotting_extract(spark, d):
+    return selection.plotting_extract(_decoded(spark, d), 0.25, ["ref", "decoded_genes"])
+
+
+@_query(f"WITH {_DOTS} SELECT d.dot_id, o.s_name AS target FROM dots d LEFT JOIN (SELECT CAST(s_suppkey % 6 AS INT) AS fov_num, 'ch' || (s_suppkey // 6) % 2 AS channel, CAST(s_suppkey // 12 + 1 AS INT) AS round_num, s_name FROM supplier WHERE s_suppkey < 96) o USING (fov_num, channel, round_num)")
+def metadata_join(spark, d):
+    k = F.col("s_suppkey")
+    images = _table(spark, d, "supplier").filter(k < 96).select((k % 6).cast("int").alias("fov_num"), F.concat(F.lit("ch"), (F.floor(k / 6) % 2).cast("string")).alias("channel"), (F.floor(k / 12) + 1).cast("int").alias("round_num"), F.col("s_name").alias("target"))
+    return selection.with_metadata(_dots(spark, d), images).select("dot_id", "target")
+
+
+# distance joins
+
+
+@_query(f"WITH {_DOTS} SELECT x.dot_id AS a, y.dot_id AS b FROM dots x JOIN dots y ON x.gene = y.gene AND x.dot_id < y.dot_id AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 1")
+def radius_pairs(spark, d):
+    p = _dots(spark, d).select("dot_id", "gene", "r", "c")
+    pairs = spatial.radius_join(p, p, 1.0, RC, RC, ["gene"])
+    return pairs.filter("dot_id < r_dot_id").select(F.col("dot_id").alias("a"), F.col("r_dot_id").alias("b"))
+
+
+@_query(
+    f"WITH {_DOTS} SELECT x.dot_id AS a, y.dot_id AS b FROM dots x JOIN dots y ON x.round_num <> 1 AND y.round_num = 1 AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 4 QUALIFY row_number() OVER (PARTITION BY x.dot_id ORDER BY (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c), y.dot_id) = 1"
+)
+def nn_bounded(spark, d):
+    p = _dots(spark, d)
+    near = spatial.nearest_within(p.filter("round_num <> 1").select("dot_id", "r", "c"), p.filter("round_num = 1").select("dot_id", "r", "c"), 2.0, RC, RC, "dot_id", "dot_id")
+    return near.select(F.col("dot_id").alias("a"), F.col("r_dot_id").alias("b"))
+
+
+@_query(f"WITH {_DOTS} SELECT gene, count(*) AS n_match FROM dots x WHERE round_num <> 1 AND EXISTS (SELECT 1 FROM dots y WHERE y.round_num = 1 AND y.gene = x.gene AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 4) GROUP BY gene")
+def radius_match_count(spark, d):
+    p = _dots(spark, d)
+    return spatial.match_count(p.filter("round_num <> 1").select("dot_id", "gene", "r", "c"), p.filter("round_num = 1").select("dot_id", "gene", "r", "c"), 2.0, RC, RC, "dot_id", ["gene"])
+
+
+@_query(f"WITH {_DOTS} SELECT x.dot_id, count(*) AS neighbours FROM dots x JOIN dots y ON (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 1 GROUP BY x.dot_id")
+def neighbour_density(spark, d):
+    return spatial.neighbour_count(_dots(spark, d), 1.0, RC, "dot_id")
+
+
+@_query(f"WITH {_DOTS} SELECT x.dot_id FROM dots x JOIN dots y ON (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 1 GROUP BY x.dot_id HAVING count(*) < 4")
+def drop_crowded(spark, d):
+    return spatial.drop_crowded(_dots(spark, d), 1.0, RC, "dot_id", 4).select("dot_id")
+
+
+@_query(
+    f"""WITH {_DOTS}, a AS (SELECT * FROM dots WHERE fov_num = 0), b AS (SELECT * FROM dots WHERE fov_num = 1),
+near AS (SELECT b.dot_id AS kb, a.dot_id AS ka, a.gene AS ga, b.gene AS gb, (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) AS d2 FROM a JOIN b ON (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 9
+  QUALIFY row_number() OVER (PARTITION BY b.dot_id ORDER BY (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c), a.dot_id) = 1),
+best AS (SELECT * FROM near QUALIFY rank() OVER (PARTITION BY ka ORDER BY d2) = 1)
+SELECT ka AS key_a, kb AS key_b, d2 FROM best WHERE ga = gb QUALIFY row_number() OVER (PARTITION BY ka ORDER BY kb) = 1"""
+)
+def mutual_match(spark, d):
+    p = _dots(spark, d)
+    return spatial.mutual_matches(p.filter("fov_num = 0"), p.filter("fov_num = 1"), 3.0, RC, "dot_id", "gene").select("key_a", "key_b", "d2")
+
+
+@_query(
+    f"WITH {_DOTS}, a AS (SELECT * FROM dots WHERE fov_num = 0), b AS (SELECT * FROM dots WHERE fov_num = 1) SELECT CAST(sum(n) AS BIGINT) AS pairs, sum(dr) AS sum_dr, sum(dc) AS sum_dc FROM (SELECT 1 AS n, b.r - a.r AS dr, b.c - a.c AS dc FROM a JOIN b ON (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 25)"
+)
+def neighbour_offsets(spark, d):
+    p = _dots(spark, d)
+    off = spatial.neighbour_offsets(p.filter("fov_num = 0"), p.filter("fov_num = 1"), 5.0, RC)
+    return off.agg(F.count("*").alias("pairs"), F.sum("dr").alias("sum_dr"), F.sum("dc").alias("sum_dc"))
+
+
+# tiles
+
+
+@_query(f"WITH {_TILES} SELECT x.fov_num AS a, y.fov_num AS b, (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) AS d2 FROM tiles x JOIN tiles y ON x.fov_num <> y.fov_num QUALIFY row_number() OVER (PARTITION BY x.fov_num ORDER BY (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c), y.fov_num) <= 4")
+def knn_adjacency(spark, d):
+    return spatial.k_nearest(_tiles(spark, d), 4, RC, "fov_num").select("a", "b", "d2")
+
+
+_ADJ = """near AS (SELECT x.fov_num AS a, y.fov_num AS b, (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) AS d2 FROM tiles x JOIN tiles y ON x.fov_num <> y.fov_num
+  QUALIFY row_number() OVER (PARTITION BY x.fov_num ORDER BY (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c), y.fov_num) <= 4),
+adj AS (SELECT a, b FROM near n WHERE d2 < 10000 AND NOT (a > b AND EXISTS (SELECT 1 FROM near m WHERE m.a = n.b AND m.b = n.a AND m.d2 < 10000)))"""
+
+
+@_query(f"WITH {_TILES}, {_ADJ} SELECT a, b FROM adj")
+def tile_pairs(spark, d):
+    return geometry.adjacent(_tiles(spark, d), 100)
+
+
+@_query(
+    f"""WITH {_TILES}, {_ADJ} SELECT a, b, greatest(x.r, y.r) AS r_tl, least(x.r, y.r) + 100 AS r_br, greatest(x.c, y.c) - 100 AS c_tl, least(x.c, y.c) AS c_br,
+CASE WHEN x.r > y.r THEN 'bottom' ELSE 'top' END AS a_row, CASE WHEN x.c > y.c THEN 'right' ELSE 'left' END AS a_column FROM adj JOIN tiles x ON x.fov_num = a JOIN tiles y ON y.fov_num = b"""
+)
+def tile_overlaps(spark, d):
+    tiles = _tiles(spark, d)
+    return geometry.overlaps(tiles, geometry.adjacent(tiles, 100), "top-right", 100, 100)
+
+
+@_query(
+    "WITH x AS (SELECT CAST(s_suppkey AS INT) AS fov_num, -CAST(s_suppkey % 10 AS DOUBLE) AS x, CAST(s_suppkey // 10 AS DOUBLE) AS y FROM supplier) SELECT fov_num, (y - (SELECT min(y) FROM x)) / 0.25 AS r, (x - (SELECT min(x) FROM x)) / 0.25 AS c FROM x"
+)
+def tile_axes(spark, d):
+    k = F.col("s_suppkey")
+    stage = _table(spark, d, "supplier").select(k.cast("int").alias("fov_num"), (k % 10).cast("double").alias("x"), F.floor(k / 10).cast("double").alias("y"))
+    return geometry.tile_corners(stage, "ROBOFISH2", 0.25)
+
+
+@_query(
+    f"""WITH {_DOTS}, {_TILES}, s AS (SELECT dot_id, d.fov_num, t.r AS tr, t.c AS tc, d.r, d.c FROM dots d JOIN tiles t ON t.fov_num = d.fov_num)
+SELECT dot_id, 'top-left' AS corner, tr + r AS row, tc + c AS col FROM s UNION ALL SELECT dot_id, 'top-right', tr + r, tc - (100 - c) FROM s
+UNION ALL SELECT dot_id, 'bottom-left', tr + (100 - r), tc + c FROM s UNION ALL SELECT dot_id, 'bottom-right', tr + (100 - r), tc - (100 - c) FROM s UNION ALL SELECT dot_id, 'mirrored', tr - r, tc - c FROM s"""
+)
+def corner_stitch(spark, d):
+    frames = []
+    for corner in ("top-left", "top-right", "bottom-left", "bottom-right", "mirrored"):
+        out = geometry.stitch(_dots(spark, d), _tiles(spark, d), corner, 100, 100, RC)
+        frames.append(out.select("dot_id", F.lit(corner).alias("corner"), F.col("r_px_microscope_stitched").alias("row"), F.col("c_px_microscope_stitched").alias("col")))
+    return selection.union_outer(frames)
+
+
+@_query(f"WITH {_DOTS}, {_RECTS} SELECT dot_id, a, b FROM dots JOIN rects ON fov_num IN (a, b) AND r > r_tl AND r < r_br AND c > c_tl AND c < c_br")
+def range_join_overlap(spark, d):
+    return geometry.in_overlaps(_dots(spark, d), _rects(spark), RC).select("dot_id", "a", "b")
+
+
+@_query("SELECT r.i * 300 AS r0, CASE WHEN r.i = 2 THEN 1000 ELSE (r.i + 1) * 300 END AS r1, c.i * 300 AS c0, CASE WHEN c.i = 1 THEN 700 ELSE (c.i + 1) * 300 END AS c1 FROM range(3) r(i), range(2) c(i)")
+def canvas_chunks(spark, d):
+    return geometry.chunks(1000, 700, 300, spark)
+
+
+_DUP = f"""{_DOTS}, {_RECTS}, inside AS (SELECT dot_id, gene, r, c, a, b, fov_num = a AS first FROM dots JOIN rects ON fov_num IN (a, b) AND r > r_tl AND r < r_br AND c > c_tl AND c < c_br),
+gone AS (SELECT DISTINCT y.dot_id FROM inside y JOIN inside x ON x.first AND NOT y.first AND x.a = y.a AND x.b = y.b AND x.gene = y.gene AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 4)"""
+
+
+@_query(f"WITH {_DUP} SELECT dot_id FROM gone")
+def dedup_removed(spark, d):
+    return dedup.duplicated(_dots(spark, d), _rects(spark), 2.0, RC, "gene")
+
+
+@_query(f"WITH {_DUP} SELECT fov_num, dot_id FROM dots WHERE dot_id NOT IN (SELECT dot_id FROM gone)")
+def dedup_cleaned(spark, d):
+    dots = _dots(spark, d)
+    return dedup.split_by(dots, dedup.duplicated(dots, _rects(spark), 2.0, RC, "gene"))[0].select("fov_num", "dot_id")
+
+
+@_query(f"WITH {_DUP.replace('<= 4)', '< 4)')} SELECT dot_id FROM gone")
+def dedup_removed_strict(spark, d):
+    return dedup.duplicated(_dots(spark, d), _rects(spark), 2.0, RC, "gene", strict=True)
+
+
+_CLIP = ", ".join(f"({a}, {b}, {w}::DOUBLE, {x}::DOUBLE, {y}::DOUBLE, {z}::DOUBLE, '{'top' if a % 2 == 0 else 'bottom'}', '{'left' if a % 3 else 'right'}')" for a, b, w, x, y, z in _RECT_ROWS)
+
+
+@_query(
+    f"""WITH {_DOTS}, rects(a, b, r0, r1, c0, c1, ar, ac) AS (VALUES {_CLIP}),
+cuts AS (SELECT a, b, c1 - c0 > r1 - r0 AS by_rows, CASE WHEN c1 - c0 > r1 - r0 THEN r0 + (r1 - r0) * 0.5 ELSE c0 + (c1 - c0) * 0.25 END AS cut, CASE WHEN c1 - c0 > r1 - r0 THEN ar = 'top' ELSE ac = 'left' END AS below FROM rects),
+v AS (SELECT dot_id FROM dots JOIN cuts ON fov_num IN (a, b) WHERE CASE WHEN below = (fov_num = a) THEN (CASE WHEN by_rows THEN r ELSE c END) >= cut ELSE (CASE WHEN by_rows THEN r ELSE c END) <= cut END)
+SELECT fov_num, dot_id FROM dots WHERE dot_id NOT IN (SELECT dot_id FROM v)"""
+)
+def clip_halfplane(spark, d):
+    return dedup.clip(_dots(spark, d), _rects(spark), RC, 0.5, 0.25).select("fov_num", "dot_id")
+
+
+# barcodes
+
+
+@_query(f"WITH {_DOTS}, {_BITS} SELECT ref, code_bits FROM bits")
+def barcode_bits(spark, d):
+    return _bits(spark, d)
+
+
+@_query(f"WITH {_DOTS}, {_BITS} SELECT ref, CAST(bit_count(code_bits) AS BIGINT) AS positive FROM bits")
+def positive_bits(spark, d):
+    return _bits(spark, d).select("ref", codes.positive_bits(F.col("code_bits")).alias("positive"))
+
+
+@_query(f"WITH {_DOTS}, {_BITS}, {_BOOK}, {_DECODED} SELECT ref, code_bits, decoded_genes, CAST(hamming_distance AS DOUBLE) AS hamming_distance, number_positive_bits FROM decoded")
+def hamming_nearest(spark, d):
+    return _decoded(spark, d).select("ref", "code_bits", "decoded_genes", "hamming_distance", "number_positive_bits")
+
+
+@_query(
+    f"""WITH {_DOTS}, {_BITS}, {_BOOK}, {_DECODED}, i AS (SELECT unnest(range(16)) AS i)
+SELECT CAST(i AS INT) AS position, CAST(((codeword_bits >> i) & 1) - ((code_bits >> i) & 1) AS INT) AS direction, count(*) AS n FROM decoded, i
+WHERE hamming_distance > 0 AND hamming_distance < 3 / 16.0 AND (xor(code_bits, codeword_bits) >> i) & 1 = 1 GROUP BY 1, 2"""
+)
+def flip_positions(spark, d):
+    return barcodes.flip_summary(_decoded(spark, d))
+
+
+@_query(f"WITH {_DOTS}, {_BITS}, {_BOOK}, {_DECODED} SELECT ref, CASE WHEN hamming_distance = 0 THEN decoded_genes END AS zero_genes, CASE WHEN hamming_distance < 2 / 16.0 THEN decoded_genes END AS below2_genes, CASE WHEN hamming_distance < 3 / 16.0 THEN decoded_genes END AS below3_genes FROM decoded")
+def barcode_tiers(spark, d):
+    return _decoded(spark, d).select("ref", *(c.alias(k) for k, c in codes.tiers(F.col("decoded_genes"), F.col("hamming_distance"), 16).items()))
+
+
+@_query("SELECT p_partkey, CAST((p_partkey * 40503 + 977) % 65536 AS BIGINT) AS code_bits FROM part")
+def codeword_parse(spark, d):
+    bits = (F.col("p_partkey") * 40503 + 977) % 65536
+    text = F.concat(F.lit("'["), F.reverse(F.lpad(F.bin(bits), 16, "0")), F.lit("]"))
+    return _table(spark, d, "part").select("p_partkey", codes.pack_bits(codes.parse_codeword(F.regexp_replace(text, "^'", ""))).alias("code_bits"))
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id, CAST(round_even(least(greatest(c / 200, 0), 1) * 65535, 0) AS INT) AS rounded, CAST(trunc(least(greatest(c / 200, 0), 1) * 65535) AS INT) AS cut FROM dots")
+def pixel_conversion(spark, d):
+    unit = F.col("c") / 200
+    return _dots(spark, d).select("dot_id", codes.to_uint16(unit).alias("rounded"), codes.to_uint16_truncated(unit).alias("cut"))
+
+
+@_query()
+def decode_sequential(spark, d):
+    """Rows only: the pool of each round depends on the rounds before."""
+    dots = _dots(spark, d).select("fov_num", "channel", "dot_id", "round_num", "r", "c")
+    return barcodes.nearest_codeword(barcodes.decode(dots, 2.0, rc=RC), _codebook(spark, d))
+
+
+@_query()
+def decode_recollecting(spark, d):
+    dots = _dots(spark, d).select("fov_num", "channel", "dot_id", "round_num", "r", "c")
+    return barcodes.decode_recollecting(dots, _codebook(spark, d), rc=RC)
+
+
+@_query(
+    f"""WITH {_DOTS}, px AS (SELECT fov_num, round_num, CAST(r AS INT) AS pr, CAST(floor(c) AS INT) AS pc, max(dot_id % 100 + 0.5) AS value FROM dots GROUP BY ALL)
+SELECT x.dot_id AS barcode_reference_dot_id, p.round_num, CAST(max(p.value) AS DOUBLE) AS intensity FROM dots x JOIN px p ON p.fov_num = x.fov_num AND p.pr BETWEEN greatest(CAST(trunc(x.r - 2) AS INT), 0) AND least(CAST(trunc(x.r + 2) AS INT), 120)
+AND p.pc BETWEEN greatest(CAST(trunc(x.c - 2) AS INT), 0) AND least(CAST(trunc(x.c + 2) AS INT), 120) WHERE x.round_num = 1 GROUP BY 1, 2"""
+)
+def bit_intensity(spark, d):
+    dots = _dots(spark, d)
+    px = dots.groupBy("fov_num", "round_num", F.col("r").cast("int").alias("pr"), F.floor("c").cast("int").alias("pc")).agg(F.max(F.col("dot_id") % 100 + F.lit(0.5).cast("double")).alias("value"))
+    refs = dots.filter("round_num = 1").select("fov_num", F.col("dot_id").alias("barcode_reference_dot_id"), "r", "c")
+    return barcodes.bit_intensities(refs, px, 2, 120)
+
+
+# cells
+
+
+@_query(f"WITH {_DOTS}, {_MASK} SELECT dot_id, CAST(coalesce(min(cell_id), -1) AS BIGINT) AS cell_id FROM dots d LEFT JOIN mask m ON m.r BETWEEN d.r - 0.5 AND d.r + 0.5 AND m.c BETWEEN d.c - 0.5 AND d.c + 0.5 GROUP BY dot_id")
+def point_in_cell(spark, d):
+    return cells.assign(_dots(spark, d), _mask(spark, d), RC).select("dot_id", "cell_id")
+
+
+_COUNTS = f"{_DOTS}, {_MASK}, hit AS (SELECT dot_id, gene, min(cell_id) AS cell_id FROM dots d JOIN mask m ON m.r BETWEEN d.r - 0.5 AND d.r + 0.5 AND m.c BETWEEN d.c - 0.5 AND d.c + 0.5 GROUP BY 1, 2), counts AS (SELECT cell_id, gene, count(*) AS n FROM hit GROUP BY 1, 2)"
+
+
+def _counts(spark, d):
+    return cells.gene_counts(cells.assign(_dots(spark, d), _mask(spark, d), RC), "gene")
+
+
+@_query(f"WITH {_COUNTS} SELECT cell_id, gene, n FROM counts")
+def cell_gene_counts(spark, d):
+    return _counts(spark, d)
+
+
+@_query(f"WITH {_COUNTS} SELECT cell_id, CAST(sum(n) AS BIGINT) AS molecules, count(DISTINCT gene) AS genes FROM counts GROUP BY 1")
+def cell_totals(spark, d):
+    return cells.molecules(_counts(spark, d))
+
+
+@_query(f"WITH {_COUNTS} SELECT gene, " + ", ".join(f"CAST(coalesce(sum(n) FILTER (WHERE cell_id = {i}), 0) AS BIGINT) AS \"{i}\"" for i in (1, 2, 3, 4)) + " FROM counts GROUP BY gene")
+def cell_gene_pivot(spark, d):
+    return cells.matrix(_counts(spark, d), [1, 2, 3, 4], "gene")
+
+
+@_query(f"WITH {_COUNTS} SELECT gene, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY gene ORDER BY total DESC, gene LIMIT 3")
+def summary_topk_genes(spark, d):
+    return cells.top_genes(_counts(spark, d), 3)
+
+
+@_query(f"WITH {_COUNTS}, m AS (SELECT sum(n) AS n, count(DISTINCT gene) AS g FROM counts GROUP BY cell_id) SELECT CAST(quantile_cont(n, 0.5) AS DOUBLE) AS median_molecules, CAST(quantile_cont(g, 0.5) AS DOUBLE) AS median_genes FROM m")
+def median_molecules(spark, d):
+    return cells.medians(_counts(spark, d))
+
+
+@_query(f"WITH {_DOTS}, {_BITS}, {_BOOK}, {_DECODED} SELECT CAST(hamming_distance AS DOUBLE) AS hamming_distance, count(*) AS n FROM decoded GROUP BY 1")
+def distance_histogram(spark, d):
+    return cells.distance_histogram(_decoded(spark, d))
+
+
+@_query(f"WITH {_PIXELS} SELECT x.obj_id AS obj_a, y.obj_id AS obj_b, count(*) AS shared FROM pixels x JOIN pixels y ON x.fov_num = 0 AND y.fov_num = 1 AND x.r = y.r AND x.c = y.c GROUP BY 1, 2 HAVING count(*) >= 20")
+def object_overlap(spark, d):
+    return cells.shared_pixels(_pixels(spark, d), spark.createDataFrame([(0, 1)], "a int, b int"), 20)
+
+
+@_query(f"WITH {_PIXELS} SELECT obj_id, count(*) AS area, round(avg(r), 6) AS centroid_r, round(avg(c), 6) AS centroid_c FROM pixels GROUP BY obj_id")
+def region_properties(spark, d):
+    return cells.regions(_pixels(spark, d)).withColumns({c: F.round(c, 6) for c in ("centroid_r", "centroid_c")})
+
+
+@_query(
+    f"""WITH {_PIXELS}, s AS (SELECT x.obj_id AS a, y.obj_id AS b, count(*) AS n FROM pixels x JOIN pixels y ON x.fov_num = 0 AND y.fov_num = 1 AND x.r = y.r AND x.c = y.c GROUP BY 1, 2 HAVING count(*) >= 20),
+best AS (SELECT a, b FROM s QUALIFY row_number() OVER (PARTITION BY a ORDER BY n DESC, b) = 1), into_ AS (SELECT b, min(a) AS a FROM best GROUP BY b)
+SELECT coalesce(i.a, obj_id) AS obj_id, count(DISTINCT (r, c)) AS area FROM pixels LEFT JOIN into_ i ON obj_id = i.b GROUP BY 1"""
+)
+def object_merge(spark, d):
+    px = _pixels(spark, d)
+    couples = cells.best_couples(cells.shared_pixels(px, spark.createDataFrame([(0, 1)], "a int, b int"), 20))
+    return cells.merged_regions(px, couples).groupBy("obj_id").agg(F.count("*").alias("area"))
+
+
+@_query(f"WITH {_PIXELS}, n AS (SELECT obj_id, row_number() OVER (ORDER BY obj_id) AS cell_id FROM (SELECT DISTINCT obj_id FROM pixels)) SELECT r, c, max(cell_id) AS cell_id FROM pixels JOIN n USING (obj_id) GROUP BY 1, 2")
+def label_canvas(spark, d):
+    return cells.label_canvas(_pixels(spark, d))
+
+
+@_query(
+    f"""WITH {_MASK}, seeds AS (SELECT * FROM mask WHERE r % 10 = 0 AND c % 10 = 0), o AS (SELECT i.i - 3 AS i, j.j - 3 AS j FROM range(7) i(i), range(7) j(j) WHERE (i.i - 3) * (i.i - 3) + (j.j - 3) * (j.j - 3) <= 9)
+SELECT r + i AS r, c + j AS c, cell_id FROM seeds, o WHERE r + i BETWEEN 0 AND 149 AND c + j BETWEEN 0 AND 99 QUALIFY row_number() OVER (PARTITION BY r + i, c + j ORDER BY i * i + j * j, cell_id) = 1"""
+)
+def label_expansion(spark, d):
+    seeds = _mask(spark, d).filter("r % 10 = 0 AND c % 10 = 0")
+    return cells.expand_labels(seeds, 3, 150, 100)
+
+
+# curves, checks, alignment
+
+
+@_query(f"WITH {_DOTS}, h AS (SELECT CAST(floor(c / 10) AS BIGINT) AS thr, count(*) AS n FROM dots GROUP BY 1) SELECT thr, n, CAST(coalesce((lead(n) OVER w - lag(n) OVER w) / 2, lead(n) OVER w - n, n - lag(n) OVER w) AS DOUBLE) AS gradient FROM h WINDOW w AS (ORDER BY thr)")
+def threshold_gradient(spark, d):
+    h = _dots(spark, d).groupBy(F.floor(F.col("c") / 10).cast("bigint").alias("thr")).agg(F.count("*").alias("n"))
+    return codes.gradient(h.withColumn("g", F.lit(0)), "n", "thr", ["g"]).drop("g")
+
+
+@_query(
+    f"""WITH {_DOTS}, h AS (SELECT gene, CAST(floor(c / 10) AS BIGINT) AS thr, count(*) AS n FROM dots GROUP BY 1, 2), s AS (SELECT *, arg_min(thr, (n, thr)) OVER (PARTITION BY gene) AS x0 FROM (SELECT gene, -thr AS thr, n FROM h)),
+e AS (SELECT gene, thr, n, x0, first_value(n) OVER w AS y0, last_value(thr) OVER w AS x1, last_value(n) OVER w AS y1 FROM s WHERE thr >= x0 WINDOW w AS (PARTITION BY gene ORDER BY thr ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+a AS (SELECT gene, thr, n, abs((x1 - x0) * (y0 - n) - (x0 - thr) * (y1 - y0)) / sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) AS away FROM e WHERE thr > x0 AND thr < x1)
+SELECT gene, thr, n, round(away, 6) AS distance FROM a QUALIFY row_number() OVER (PARTITION BY gene ORDER BY away DESC, thr) = 1"""
+)
+def elbow(spark, d):
+    h = _dots(spark, d).groupBy("gene", (-F.floor(F.col("c") / 10)).cast("bigint").alias("thr")).agg(F.count("*").alias("n"))
+    return codes.elbow(h, "thr", "n", ["gene"]).withColumn("distance", F.round("distance", 6))
+
+
+@_query(f"WITH {_DOTS} SELECT CAST(floor(r / 7) AS BIGINT) AS bin_r, CAST(floor(c / 7) AS BIGINT) AS bin_c, count(*) AS n FROM dots GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 1")
+def hist2d_peak(spark, d):
+    return alignment.histogram_peak(_dots(spark, d), "r", "c", 7)
+
+
+@_query(f"WITH {_DOTS} SELECT gene, round(avg(c), 6) AS mean, quantile_cont(c, 0.5) AS median, round(stddev_pop(c), 6) AS std, round(stddev_pop(c) / count(c), 6) AS std_by_n FROM dots GROUP BY gene")
+def error_statistics(spark, d):
+    return quality.error_statistics(_dots(spark, d), "c", ["gene"]).withColumns({c: F.round(c, 6) for c in ("mean", "std", "std_by_n")})
+
+
+_NAMES = "left_ AS (SELECT 'Count' || lpad(CAST(o_orderkey % 700 AS VARCHAR), 5, '0') || '_x' || o_orderkey AS path FROM orders WHERE o_orderkey < 2000), right_ AS (SELECT 'y_Count' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS path FROM customer WHERE c_custkey % 3 <> 0)"
+
+
+def _names(spark, d):
+    k = F.col("o_orderkey")
+    left = _table(spark, d, "orders").filter(k < 2000).select(F.concat(F.lit("Count"), F.lpad((k % 700).cast("string"), 5, "0"), F.lit("_x"), k.cast("string")).alias("path"))
+    right = _table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.concat(F.lit("y_Count"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("path"))
+    return left, right
+
+
+@_query(f"WITH {_NAMES} SELECT path, regexp_extract(path, 'Count[0-9]{{5}}') AS code FROM left_ WHERE regexp_extract(path, 'Count[0-9]{{5}}') NOT IN (SELECT regexp_extract(path, 'Count[0-9]{{5}}') FROM right_)")
+def regex_fk_check(spark, d):
+    return quality.unmatched_codes(*_names(spark, d), "path").select("path", "code")
+
+
+@_query(f"WITH {_NAMES} SELECT l.path AS left_name, r.path AS right_name FROM left_ l JOIN right_ r ON regexp_extract(l.path, 'Count[0-9]{{5}}') = regexp_extract(r.path, 'Count[0-9]{{5}}')")
+def regex_code_join(spark, d):
+    return quality.with_partners(*_names(spark, d), "path").select("left_name", "right_name")
+
+
+@_query(f"WITH {_NAMES} SELECT regexp_extract(path, 'Count[0-9]{{5}}') AS code, count(*) AS n FROM left_ GROUP BY 1 HAVING count(*) > 1")
+def duplicate_codes(spark, d):
+    return quality.duplicate_codes(_names(spark, d)[0], "path")
+
+
+_SHIFT = "shifts AS (SELECT f.i AS fov_num, r.i + 1 AS round_num, CAST(f.i - r.i AS DOUBLE) AS dr, CAST(r.i AS DOUBLE) / 2 AS dc, CASE WHEN r.i = 0 THEN 1000 ELSE r.i * 2 END AS n_match FROM range(6) f(i), range(15) r(i))"
+
+
+@_query(f"WITH {_DOTS}, {_SHIFT} SELECT dot_id, r + dr AS r_px_registered, c + dc AS c_px_registered, CAST(CASE WHEN n_match BETWEEN 0 AND 4 THEN -2 ELSE n_match END AS INT) AS matches FROM dots LEFT JOIN shifts USING (fov_num, round_num)")
+def shift_application(spark, d):
+    grid = spark.range(90).select((F.col("id") % 6).cast("int").alias("fov_num"), F.floor(F.col("id") / 6).cast("int").alias("k"))
+    shifts = grid.select("fov_num", (F.col("k") + 1).alias("round_num"), (F.col("fov_num") - F.col("k")).cast("double").alias("dr"), (F.col("k") / 2).alias("dc"), F.when(F.col("k") == 0, 1000).otherwise(F.col("k") * 2).alias("n_match"))
+    out = registration.register(_dots(spark, d), shifts, RC, least=5)
+    return out.select("dot_id", "r_px_registered", "c_px_registered", F.col("min_number_matching_dots_registration").cast("int").alias("matches"))
+
+
+@_query()
+def round_shifts(spark, d):
+    """Rows only: shifts of moved copies of the dots of a round, by phase correlation."""
+    first = _dots(spark, d).filter("round_num = 1 AND c < 110 AND r < 110")
+    moved = [first.withColumns({"round_num": F.lit(k), "r": F.col("r") + 2.0 * k, "c": F.col("c") - 1.0 * k}) for k in (2, 3)]
+    return registration.round_shifts(selection.union_outer([first, *moved]), 1, 4, (128, 128), 3.0, 5, RC)
+
+
+@_query()
+def tile_pair_shifts(spark, d):
+    """Rows only: shifts of overlapping tiles by phase correlation of their points."""
+    return registration.pair_shifts(_dots(spark, d), _rects(spark))
+
+
+@_query()
+def tile_offsets(spark, d):
+    """Rows only: the least-squares solution of planted pair shifts."""
+    tiles = _tiles(spark, d)
+    pairs = geometry.adjacent(tiles, 100).withColumns({"dr": (F.col("b") - F.col("a")).cast("double") / 10 * 2, "dc": F.lit(-1.0)})
+    return registration.global_offsets(spark, pairs, tiles)
+
+
+@_query()
+def pair_density_offset(spark, d):
+    """Rows only: the densest offset of the points of overlapping tiles."""
+    return alignment.pair_offsets(_dots(spark, d), _rects(spark), RC, 10)
+
+
+@_query()
+def bayes_calls(spark, d):
+    """Rows only: barcode calls by kernel densities of planted intensities."""
+    book = _codebook(spark, d)
+    planted = _table(spark, d, "events").join(F.broadcast(book), F.col("event_id") % 64 == F.col("code_idx"))
+    bright = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.call_function("shiftright", F.col("code_bits"), i).bitwiseAND(F.lit(1).cast("long")) * 0.8 + F.pmod(F.xxhash64("event_id", i), F.lit(100)) / 250.0)
+    rows = planted.select(F.col("event_id").alias("barcode_reference_dot_id"), "code_bits", F.lit(0.0).alias("hamming_distance"), "gene", bright.alias("bit_intensity"))
+    model = bayes.fit_bayes(rows, 16, 20_000)
+    called = bayes.call_bayes(rows, model, [(r["gene"], r["code_bits"]) for r in book.select("gene", "code_bits").collect()], 16)
+    return called.select("barcode_reference_dot_id", "gene", "bayes_gene", F.round("probability", 6).alias("probability"))
