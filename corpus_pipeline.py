@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dotweave.llm import jaccard_join, pfair_mix, quality_cnn, tokenize_bpe, toxicity
-from dotweave.llm.common import drop_path, shared_dir, table
+from dotweave.llm.common import drop_path, free, shared_dir, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,13 +27,15 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte-level network takes for good."""
     model = quality_cnn.fit_on(docs, table(spark, sf_dir, "labels"), quality_cnn.held_out())
-    return quality_cnn.with_score(docs, model, out="_score").filter(F.col("_score") >= quality_cnn.CUT).select(*docs.columns)
+    score = free(docs, "_score")
+    return quality_cnn.with_score(docs, model, out=score).filter(F.col(score) >= quality_cnn.CUT).select(*docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose compression evidence stays below the toxic threshold."""
     model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"), toxicity.held_out())
-    return toxicity.with_score(docs, model, out="_score").filter(F.col("_score") < toxicity.CUT).select(*docs.columns)
+    score = free(docs, "_score")
+    return toxicity.with_score(docs, model, out=score).filter(F.col(score) < toxicity.CUT).select(*docs.columns)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

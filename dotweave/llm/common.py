@@ -30,6 +30,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_, name__, ... that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that Spark itself uses for it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, table, utf8_parts
+from .common import cut, free, mix64, table, utf8_parts
 from .components import components
 from .shingles import shingle_sets
 
@@ -330,12 +330,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that resemble an earlier-numbered one: of each class the smallest doc_id stays, once."""
-    kept = near_duplicates(docs).filter(F.col("rid") == F.col("first")).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
-    hashed = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = hashed.join(kept, (F.col("_h") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
+    h, d, t = (free(docs, x) for x in ("_h", "_d", "_t"))
+    kept = near_duplicates(docs).filter(F.col("rid") == F.col("first")).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    hashed = docs.withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = hashed.join(kept, (F.col(h) == F.col(t)) & F.col("doc_id").eqNullSafe(F.col(d)), "left_semi")
     wordless = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\t\n\x0B\f\r]", " ")) == ""
-    once = found.filter(~wordless).dropDuplicates(["_h", "doc_id"])
-    return once.unionByName(found.filter(wordless)).drop("_h")
+    once = found.filter(~wordless).dropDuplicates([h, "doc_id"])
+    return once.unionByName(found.filter(wordless)).drop(h)
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import heapq
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,69 +99,73 @@ def phases(blocks: dict, q: dict) -> list[tuple]:
     return out
 
 
-def positions(docs: DataFrame, weights: dict | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
-    """``docs`` with ``block`` (number within the source), ``slot``, and ``position``, dense from 0 in the order of the mix.
+def placed(docs: DataFrame, weights: dict | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
+    """``row`` (the whole row of ``docs`` as a struct), ``block`` (number within the source), ``slot``, and ``position``, dense from 0.
 
     The rows of a source are dealt into hash buckets, ranked inside them, and shifted by the sizes of the buckets
     before, so a source of any size is spread over many tasks. Texts move once.
     """
     spark = docs.sparkSession
-    many = docs.groupBy(source).agg(F.count("*").alias("n")).limit(resolution + 1).collect()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source).cast("string").alias("source"), F.col(key).alias("key"))
+    many = rows.groupBy("source").agg(F.count("*").alias("n")).limit(resolution + 1).collect()
     if len(many) > resolution:
         raise ValueError(f"more than {resolution} sources; raise the resolution or group them")
-    rows = {r[source]: r["n"] for r in many}
-    if not rows:
-        return docs.withColumns({c: F.lit(None).cast("long") for c in ("block", "slot", "position")})
-    blocks = {s: -(-n // block) for s, n in rows.items()}
+    sizes = {r["source"]: r["n"] for r in many}
+    if not sizes:
+        return rows.select("row", *(F.lit(None).cast("long").alias(c) for c in ("block", "slot", "position")))
+    blocks = {s: -(-n // block) for s, n in sizes.items()}
     given = weights or {}
-    tempered = {s: n**TEMPER for s, n in rows.items()}
-    # sources without a target share what the targets leave, or weigh like the mean target
-    scale = sum(given.get(s, 0) for s in rows) / sum(tempered[s] for s in rows if s in given) if any(s in given for s in rows) else 1
-    q = quantise({s: given[s] if s in given else tempered[s] * scale for s in rows}, resolution)
+    tempered = {s: n**TEMPER for s, n in sizes.items()}
+    # sources without a target weigh, by size, like those with one
+    known = [s for s in sizes if s in given]
+    scale = sum(given[s] for s in known) / sum(tempered[s] for s in known) if known else 1
+    q = quantise({s: given[s] if s in given else tempered[s] * scale for s in sizes}, resolution)
     plan = phases(blocks, q)
 
     # what comes before a phase, in documents: only a source's last block may be short, and it ends a phase
-    short = {s: blocks[s] * block - n for s, n in rows.items()}
-    ends = {s: max(b + t for x, b, t, *_ in plan if x == s) for s in rows}
-    starts = sorted({p[3] for p in plan})
+    short = {s: blocks[s] * block - n for s, n in sizes.items()}
+    ends = {s: max(b + t for x, b, t, *_ in plan if x == s) for s in sizes}
     lost, gone = {}, 0
-    for at in starts:
+    for at in sorted({p[3] for p in plan}):
         lost[at] = gone
         gone += sum(short[s] for s, b, t, base, *_ in plan if base == at and b + t == ends[s])
 
-    named = spark.createDataFrame(
-        [(s, b, t, base, total, lost[base], q[s], where) for s, b, t, base, total, where in plan],
-        "_s string, _first long, _took long, _base long, _total long, _lost long, _q long, _where array<int>",
+    # both tables are bounded by the resolution: sources, and slot numbers of one cycle a phase
+    named = F.broadcast(
+        spark.createDataFrame(
+            [(s, b, t, base, total, lost[base], q[s], where) for s, b, t, base, total, where in plan],
+            "named string, first long, took long, base long, total long, lost long, q long, spots array<int>",
+        )
     )
-    buckets = spark.createDataFrame([(s, max(1, n // BUCKET)) for s, n in rows.items()], "_s string, _n long")
-    same = lambda df: F.col(source).cast("string").eqNullSafe(df["_s"])
-    # both tables have at most RESOLUTION sources, the plan at most sources * RESOLUTION slot numbers in all phases
-    dealt = docs.join(F.broadcast(buckets), same(buckets)).drop("_s")
-    dealt = dealt.withColumn("_b", F.pmod(F.xxhash64(key), F.col("_n"))).drop("_n")
-    inside = Window.partitionBy(source, "_b").orderBy(F.xxhash64(key, F.lit(1)), key)
-    counts = docs.select(source, key).join(F.broadcast(buckets), same(buckets)).withColumn("_b", F.pmod(F.xxhash64(key), F.col("_n"))).groupBy(source, "_b").agg(F.count("*").alias("_c"))
-    # one row per bucket: a few thousandths of the documents, summed in two steps so that no source's buckets meet in one task
-    GROUP = 1_000
-    grouped = counts.withColumn("_g", F.floor(F.col("_b") / GROUP))
-    near = Window.partitionBy(source, "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    far = Window.partitionBy(source).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    above = grouped.groupBy(source, "_g").agg(F.sum("_c").alias("_t")).withColumn("_far", F.coalesce(F.sum("_t").over(far), F.lit(0))).drop("_t")
-    shifts = grouped.withColumn("_near", F.coalesce(F.sum("_c").over(near), F.lit(0))).withColumnsRenamed({source: "_x", "_g": "_y", "_b": "_z"})
-    shifts = shifts.join(above, F.col("_x").eqNullSafe(F.col(source)) & (F.col("_y") == F.col("_g"))).select("_x", "_z", (F.col("_near") + F.col("_far")).alias("_shift"))
-    ranked = dealt.withColumn("_r", F.row_number().over(inside) - 1)
-    placed = ranked.join(shifts, F.col(source).eqNullSafe(F.col("_x")) & (F.col("_b") == F.col("_z"))).withColumn("_r", F.col("_r") + F.col("_shift")).drop("_x", "_z", "_shift", "_b")
-    placed = placed.withColumn("block", F.floor(F.col("_r") / block))
-    on = same(named) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_first") + F.col("_took"))
-    k = F.col("block") - F.col("_first")
-    slot = F.col("_base") + F.floor(k / F.col("_q")) * F.col("_total") + F.element_at("_where", (k % F.col("_q") + 1).cast("int"))
-    out = placed.join(F.broadcast(named), on).withColumn("slot", slot).withColumn("position", F.col("slot") * block - F.col("_lost") + F.col("_r") % block)
-    return out.drop("_s", "_first", "_took", "_base", "_total", "_lost", "_q", "_where", "_r")
+    dealing = F.broadcast(spark.createDataFrame([(s, max(1, n // BUCKET)) for s, n in sizes.items()], "dealing string, buckets long"))
+    bucketed = lambda df: df.join(dealing, F.col("source").eqNullSafe(F.col("dealing"))).withColumn("bucket", F.pmod(F.xxhash64("key"), F.col("buckets"))).drop("dealing", "buckets")
+    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("key", F.lit(1)), "key")
+    ranked = bucketed(rows).withColumn("rank", F.row_number().over(inside) - 1)
+    # one row per bucket, summed in two steps so that no source's buckets meet in one task
+    counts = bucketed(rows.select("source", "key")).groupBy("source", "bucket").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("bucket") / 1_000))
+    near = Window.partitionBy("source", "part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    far = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counts.groupBy("source", "part").agg(F.sum("n").alias("n")).select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(far), F.lit(0)).alias("far"))
+    shifts = counts.withColumn("near", F.coalesce(F.sum("n").over(near), F.lit(0))).join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+    shifts = shifts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.col("near") + F.col("far")).alias("shift"))
+    shifted = ranked.join(shifts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("rank", F.col("rank") + F.col("shift"))
+    numbered = shifted.withColumn("block", F.floor(F.col("rank") / block))
+    k = F.col("block") - F.col("first")
+    on = F.col("source").eqNullSafe(F.col("named")) & (k >= 0) & (k < F.col("took"))
+    slot = F.col("base") + F.floor(k / F.col("q")) * F.col("total") + F.element_at("spots", (k % F.col("q") + 1).cast("int"))
+    return numbered.join(named, on).select("row", "block", slot.alias("slot"), (slot * block - F.col("lost") + F.col("rank") % block).alias("position"))
+
+
+def positions(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
+    """``docs`` with block, slot and position; columns of these names are replaced."""
+    made = ("block", "slot", "position")
+    return placed(docs, weights, **how).select(*(F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in made), *made)
 
 
 def mixed(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
     """``docs``, the same columns, in the order of the mix: range-partitioned and sorted by position."""
-    ordered = positions(docs, weights, **how)
-    return ordered.repartitionByRange("position").sortWithinPartitions("position").select(*docs.columns)
+    ordered = placed(docs, weights, **how).repartitionByRange("position").sortWithinPartitions("position")
+    return ordered.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

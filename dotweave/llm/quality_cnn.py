@@ -37,7 +37,8 @@ LAGS, RUN = 40, 8
 PAD = LAGS + WIDTH
 #: Labelled texts of each class in the sample at most, and chunks of each text and epoch.
 SAMPLE, CHUNKS = 1_500, 10
-EPOCHS, BATCH, RATE = 10, 64, 4e-3
+#: Epochs, or as many more as small samples need for so many steps.
+EPOCHS, STEPS, BATCH, RATE = 10, 480, 64, 4e-3
 #: Bytes computed at once.
 BLOCK = 1 << 18
 #: Score from which a document counts as good.
@@ -222,9 +223,10 @@ def fit(bad: list[str], good: list[str], sizes: dict[int, int], seed: int = 7) -
     step = 0
     # equal numbers of both classes a batch, the smaller class repeated
     per_epoch = -(-max(len(bad), len(good)) // (BATCH // 2))
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // per_epoch))
+    for epoch in range(epochs):
         orders = [np.resize(rng.permutation(np.flatnonzero(y == c)), per_epoch * (BATCH // 2)).reshape(per_epoch, -1) for c in (0, 1)]
-        rate = RATE * (1 - epoch / EPOCHS) + 1e-4
+        rate = RATE * (1 - epoch / epochs) + 1e-4
         for some in np.concatenate(orders, axis=1):
             took = [np.sort(rng.choice(chunks[i], min(chunks[i], CHUNKS), replace=False)) for i in some]
             doc = np.repeat(np.arange(len(some)), [len(t) for t in took])
@@ -263,7 +265,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, held_out: Column | None = None) -
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    """Rows that nothing is learned from; null ids are not among them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:

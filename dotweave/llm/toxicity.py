@@ -198,7 +198,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, held_out: Column | None = None) -
 
 
 def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    """Rows that nothing is learned from; null ids are not among them."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
