@@ -6,8 +6,10 @@ a recursion: at a node, every position is chosen with probability ``RATE`` /
 (threshold * POSITIONS) by a hash of run, node and position, and the sets that
 share the token of a chosen position go into one child. Nodes of at most ``LIMIT``
 sets are brute-forced, and so are nodes that no longer shrink (more than half of
-their parent) or are ``DEPTH`` deep; large ones in pairs of blocks, so that no
-task gets an unbounded group. With f(0) = 1 and
+their parent) or are ``DEPTH`` deep. The recursion runs as Spark levels while nodes
+have more than ``NODE_BLOCK`` sets, and goes on inside one task below that, where
+no row of an inner level needs a shuffle. Nodes of more sets that no longer shrink
+are brute-forced in pairs of blocks, so no task gets an unbounded group. With f(0) = 1 and
 f(d) = 1 - (1 - RATE f(d - 1) / POSITIONS) ** POSITIONS a run finds a pair at the
 threshold with probability f(d) or more; as many runs are made as bring the
 target recall at any depth.
@@ -48,8 +50,8 @@ POSITIONS, RATE = 64, 2.0
 #: Positions of two signatures that must agree: 4.9 standard deviations below the mean at the threshold.
 AGREE = 35
 LIMIT, DEPTH = 64, 4
-#: Sets of one block of a large node, and of one block of a large candidate group.
-NODE_BLOCK, GROUP_BLOCK = 1_024, 256
+#: Sets of a node that one task takes (4 MB of signatures), and of one block of a large candidate group.
+NODE_BLOCK, GROUP_BLOCK = 16_384, 256
 _A = mix64(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.uint32) | np.uint32(1)
 
 
@@ -167,7 +169,23 @@ def link_signatures(sig: np.ndarray, n: np.ndarray, agree: int = AGREE, threshol
     return edges
 
 
+def descend(node: int, sig: np.ndarray, n: np.ndarray, depth: int, left: np.ndarray, parent: int, out: list[tuple[int, int]]) -> None:
+    """The recursion from a node of ``left`` (row numbers of ``sig``) at ``depth`` down to its brute-forced leaves."""
+    size = len(left)
+    if size <= LIMIT or depth >= DEPTH or 2 * size > parent:
+        out += [(left[a], left[b]) for a, b in link_signatures(sig[left], n[left])]
+        return
+    row, child = _children(np.full(size, node, np.uint64), sig[left])
+    order = np.argsort(child, kind="stable")
+    row, child = row[order], child[order]
+    edges = np.flatnonzero(np.concatenate([[True], child[1:] != child[:-1], [True]]))
+    for a, b in zip(edges[:-1], edges[1:]):
+        if b - a > 1:
+            descend(child[a], sig, n, depth + 1, left[row[a:b]], size, out)
+
+
 def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted nodes (node, bi, bj, rid, n, sig, depth, parent) -> a spanning forest of the links found in each."""
     u: list[int] = []
     v: list[int] = []
     out = lambda: pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
@@ -175,9 +193,13 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows.num_rows < 2:
             continue
         rid = np.asarray(rows["rid"])
-        for a, b in link_signatures(_matrix(rows["sig"]), np.asarray(rows["n"])):
-            u.append(int(rid[a]))
-            v.append(int(rid[b]))
+        found: list[tuple[int, int]] = []
+        node = np.asarray(rows["node"]).view(np.uint64)[0]
+        whole = rows["bi"][0].as_py() == rows["bj"][0].as_py() == 0
+        depth = rows["depth"][0].as_py() if whole else DEPTH
+        descend(node, _matrix(rows["sig"]), np.asarray(rows["n"]), depth, np.arange(len(rid)), rows["parent"][0].as_py(), found)
+        u += [int(rid[a]) for a, _ in found]
+        v += [int(rid[b]) for _, b in found]
         if len(u) > 50_000:
             yield out()
             u, v = [], []
@@ -185,7 +207,7 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of each set of ``left`` with each of ``right`` (row numbers)."""
+    """Sizes of the intersections of each set of ``left`` with each of ``right`` (row numbers); not those of a set with itself."""
     if len(left) * len(right) <= 16:
         return np.array([[len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for b in right] for a in left], np.int64).reshape(len(left), len(right))
     flat = np.concatenate(sets)
@@ -291,8 +313,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for depth in range(1, DEPTH + 1):
         sizes = members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
         live = cut(members.join(sizes, "node"))
-        done = F.lit(depth == DEPTH) | (F.col("size") <= LIMIT) | (F.col("size") > F.col("parent") / 2)
-        leaves.append(live.filter(done).select("node", "rid", "size"))
+        done = F.lit(depth == DEPTH) | (F.col("size") <= NODE_BLOCK) | (F.col("size") > F.col("parent") / 2)
+        leaves.append(live.filter(done).select("node", "rid", "size", F.lit(depth).alias("depth"), "parent"))
         large = live.filter(~done).select("node", "rid", "size")
         if large.isEmpty():
             break
@@ -300,7 +322,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     leaf = leaves[0]
     for more in leaves[1:]:
         leaf = leaf.union(more)
-    pairs = _block_pairs(leaf, "size", NODE_BLOCK).join(sets.select("rid", "n", "sig"), "rid").select("node", "bi", "bj", "rid", "n", "sig")
+    pairs = _block_pairs(leaf, "size", NODE_BLOCK).join(sets.select("rid", "n", "sig"), "rid").select("node", "bi", "bj", "rid", "n", "sig", "depth", "parent")
     edges = pairs.repartition("node", "bi", "bj").sortWithinPartitions("node", "bi", "bj").mapInArrow(_brute, "u long, v long")
     candidates = cut(components(edges))
 
