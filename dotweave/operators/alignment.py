@@ -161,20 +161,21 @@ def fit_affine(
     moved = lambda scale, angle: np.column_stack(transform_columns(source[:, 0], source[:, 1], scale, angle, tuple(centre), (0.0, 0.0)))
     # both sets are brought together by the middles of their boxes before offsets are measured
     middle = lambda x: (x.min(axis=0) + x.max(axis=0)) / 2
-    offset = np.zeros(2)
+    offset = rest = np.zeros(2)  # rest: the offset less what brings the middles together
     for turn in range(rounds):
         for name in ("scale", "degrees"):
 
-            def score(v: float, name=name, turn=turn):
-                now = best | {name: v}
+            def score(v: float, name=name, narrow=turn == rounds - 1, now=dict(best), rest=rest):
+                now = now | {name: v}
                 x = moved(now["scale"], now["degrees"])
-                shift = middle(target) - middle(x)
-                s, at = broad_score(target, x + shift, radius, bins) if turn < rounds - 1 else narrow_score(target, x + shift, bins * 2, near)
+                shift = middle(target) - middle(x) + (rest if narrow else 0)
+                s, at = narrow_score(target, x + shift, bins * 2, near) if narrow else broad_score(target, x + shift, radius, bins)
                 return s, at + shift
 
             scores, offsets = sweep(spark, ranges[name], score)
             k = int(scores.argmax())
             best[name], offset = float(ranges[name][k]), offsets[k]
+            rest = offset - (middle(target) - middle(moved(best["scale"], best["degrees"])))
             ranges[name], _ = next_range(ranges[name], scores)
     x = moved(best["scale"], best["degrees"])
     d = (target[:, None] - (x + offset)[None]).reshape(-1, 2)

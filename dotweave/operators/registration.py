@@ -145,7 +145,8 @@ def solve_offsets(pairs: list[tuple], tiles: dict[int, tuple[float, float]], anc
     for row, (a, b, *_) in enumerate(good):
         m[row, place[b]], m[row, place[a]] = 1, -1
     x = np.linalg.lstsq(m, np.array([p[2:4] for p in good], float).reshape(-1, 2), rcond=None)[0] if good else np.zeros((len(names), 2))
-    x = np.trunc(x - x[place[anchor] if anchor is not None else 0])
+    # whole solutions come out a little above or below: not cut a pixel short
+    x = np.trunc(np.round(x - x[place[anchor] if anchor is not None else 0], 6))
     off = (np.abs(x) > FAILED).any(axis=1)
     if off.any() and not off.all():
         at = np.column_stack([np.array([tiles[t] for t in names], float), np.ones(len(names))])
