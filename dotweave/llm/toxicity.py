@@ -15,8 +15,8 @@ sum over its windows, and a logistic curve turns it into a probability.
 Fitting uses a bounded sample of labelled rows (``ORDINARY`` and ``TOXIC`` texts
 at most); scoring reads every whole text in one pass without a shuffle.
 
-Defined cases: null or empty text has no evidence and gets the score of none; a
-class without labelled rows leaves every document at the smoothed share of toxic
+Defined cases: null, empty or blank text has no evidence and gets the share of
+toxic labels; a class without labelled rows leaves every document at the smoothed share of toxic
 labels; further columns pass through, a clashing ``score`` is replaced.
 """
 
@@ -172,6 +172,8 @@ def scorer(model: Model):
     saved = _saver(model.base, model.toxic)
 
     def score(text: str | None) -> float:
+        if not text or text.isspace():
+            return model.prior
         x = _evidence(_bins(saved(text or ""))[None], model.ratio)[0]
         return float(1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -30, 30))))
 
