@@ -63,6 +63,13 @@ def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def small(batches, rows: int = 1_000):
+    """The same rows in batches of at most ``rows``, so that what is made of a batch at once stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser (splitmix64) on uint64."""
     x = x ^ (x >> np.uint64(30))

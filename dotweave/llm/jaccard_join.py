@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, free, mix64, table, utf8_parts
+from .common import cut, free, mix64, small, table, utf8_parts
 from .components import components
 from .shingles import shingle_sets
 
@@ -91,7 +91,7 @@ def _matrix(column: pa.Array, kind=np.uint32) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         values, counts = shingle_sets(*utf8_parts(batch.column("text")))
         has = counts > 0
         some = counts[has]
@@ -237,7 +237,7 @@ def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 
 
 def _to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         values, counts = shingle_sets(*utf8_parts(batch.column("text")))
         offsets = np.concatenate([[0], np.cumsum(counts * 8)]).astype(np.int32)
         column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(values)])

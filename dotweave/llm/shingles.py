@@ -19,7 +19,7 @@ _POWERS: list[np.ndarray] = []
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes handled at once, where a text is no longer.
-SLAB = 1 << 22
+SLAB = 1 << 20
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -21,12 +21,13 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import small, table
 
 #: Characters above which a text is cut at safe boundaries.
 SEGMENT = 16_384
@@ -64,16 +65,22 @@ def encode(enc, text: str | None) -> list[int]:
     return ids
 
 
+def encode_array(enc, text: str | None) -> np.ndarray:
+    """As :func:`encode`, four bytes an id."""
+    return np.concatenate([np.asarray(enc.encode_to_numpy(part, disallowed_special=()), np.int32) for part in segments(text or "")])
+
+
 def with_tokens(df: DataFrame, rank_file: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with ``out``, the array of token ids of ``text``."""
     keep = [c for c in df.columns if c.lower() != out.lower()]
-    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, T.ArrayType(T.IntegerType(), False))])
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(rank_file, pattern)
-        for batch in batches:
-            texts = batch.column(text).to_pylist()
-            ids = pa.array([encode(enc, t) for t in texts], pa.list_(pa.int32()))
+        for batch in small(batches, 500):
+            made = [encode_array(enc, t.as_py()) for t in batch.column(text)]
+            offsets = np.cumsum([0, *map(len, made)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(made)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, out])
 
     return df.mapInArrow(run, schema)
