@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from .common import mix64, table
 
 WIDTH, SCALE = 16, 16
-#: Rows of one bucket of the document order, about.
-BUCKET_ROWS = 4_000
+#: Rows of one bucket of the document order, about; more where that would be more than MOST_BUCKETS, whose first ids
+#: every worker knows.
+BUCKET_ROWS, MOST_BUCKETS = 4_000, 100_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
 _POWERS: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
@@ -150,7 +151,7 @@ def next_likeness(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     count = ids.count()
     if not count:
         return docs.sparkSession.createDataFrame([], _RESULT)
-    cuts = max(1, count // bucket_rows)
+    cuts = min(max(1, count // bucket_rows), MOST_BUCKETS)
     marks = ids.agg(F.percentile_approx("k", [i / cuts for i in range(1, cuts)] or [0.5], max(10_000, 4 * cuts)).alias("q")).first()["q"]
     edges = np.unique(np.array(marks, np.int64))
 
