@@ -68,22 +68,54 @@ def lzw_encode(data: bytes, low: int = 8) -> bytes:
     out(clear + 1)
     span = FULL - clear  # codes from one clear code to the next, that included
     width = np.concatenate([[low + 1], np.resize(_widths(low, span), len(codes) - 1)]).astype(np.uint8)
-    each = np.arange(12, dtype=np.uint8)
-    bits = (np.array(codes, np.uint16)[:, None] >> each) & 1
-    return np.packbits(bits.astype(np.uint8)[each < width[:, None]], bitorder="little").tobytes()
+    ends = np.cumsum(width, dtype=np.int64)
+    start = ends - width
+    # a code of at most 12 bits at any bit reaches into three bytes; bits of different codes never meet, so sums are unions
+    word = np.array(codes, np.uint32) << (start & 7).astype(np.uint32)
+    size = int(ends[-1] + 7) // 8
+    parts = [np.bincount((start >> 3) + k, (word >> np.uint32(8 * k)) & np.uint32(255), size) for k in range(3)]
+    return (parts[0][:size] + parts[1][:size] + parts[2][:size]).astype(np.uint8).tobytes()
 
 
 def lzw_decode(stream: bytes, low: int, most: int) -> bytes:
-    """At most ``most`` indices of a code stream."""
+    """At most ``most`` indices of a code stream.
+
+    Entry e of a table is the string of code e and the first index of code e + 1, so every code above the literals
+    points at an earlier code. Chains of these pointers give all lengths and strings at once.
+    """
+    codes, first = _read_codes(stream, low)
+    if not len(codes):
+        return b""
+    clear = 1 << low
+    literal = codes < clear
+    place = np.arange(len(codes))
+    parent = np.where(literal, place, first + codes - (clear + 2))
+    if (parent[~literal] >= place[~literal]).any() or (codes[~literal] < clear + 2).any():
+        raise ValueError("a code that is not in the table yet")
+    root, depth = parent, (~literal).astype(np.int64)
+    while not literal[root].all():
+        depth, root = depth + depth[root], root[root]
+    head = codes[root]
+    tail = np.where(literal, codes, head[np.minimum(parent + 1, place)]).astype(np.uint8)
+    ends = np.cumsum(depth + 1)
+    out = np.empty(int(ends[-1]), np.uint8)
+    spot, at = ends - 1, place
+    while len(at):
+        out[spot] = tail[at]
+        more = ~literal[at]
+        spot, at = spot[more] - 1, parent[at[more]]
+    return out[:most].tobytes()
+
+
+def _read_codes(stream: bytes, low: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of a stream without clear and end codes, and for each the place of the first code of its table."""
     clear, end = 1 << low, (1 << low) + 1
     raw = np.frombuffer(stream + b"\0\0\0\0", np.uint8).astype(np.uint32)
-    total = len(stream) * 8
-    first = [bytes((i,)) for i in range(clear)] + [b"", b""]
-    parts: list[bytes] = []
-    made, at, read = 0, 0, 0  # read: codes since the last clear code
-    known, before = list(first), b""
-    plan = _widths(low, FULL + 8_192)
-    while made < most:
+    total, plan = len(stream) * 8, _widths(low, 2 * FULL)
+    found: list[np.ndarray] = []
+    firsts: list[np.ndarray] = []
+    at, read, begun, done = 0, 0, 0, 0  # bits passed; codes since the last clear code; where its table begins; codes found
+    while True:
         width = plan[min(read, FULL) : min(read, FULL) + FULL]
         ends = at + np.cumsum(width)
         some = int(np.searchsorted(ends, total, "right"))
@@ -95,30 +127,17 @@ def lzw_decode(stream: bytes, low: int, most: int) -> bytes:
         codes = (word >> (begin & 7).astype(np.uint32)) & ((np.uint32(1) << width[:some].astype(np.uint32)) - np.uint32(1))
         stop = np.flatnonzero((codes == clear) | (codes == end))
         n = int(stop[0]) if len(stop) else some
-        out = parts.append
-        size = len(known)
-        for c in codes[:n].tolist():
-            if c < size:
-                entry = known[c]
-            elif c == size and before:
-                entry = before + before[:1]
-            else:
-                raise ValueError("a code that is not in the table yet")
-            out(entry)
-            if before and size < FULL:
-                known.append(before + entry[:1])
-                size += 1
-            before = entry
-        made = sum(map(len, parts)) if not len(stop) or codes[n] == end else made
+        found.append(codes[:n].astype(np.int64))
+        firsts.append(np.full(n, begun))
+        done += n
         read += n
-        if len(stop):
-            at = int(ends[n])
-            if codes[n] == end:
-                break
-            known, before, read = list(first), b"", 0
-        else:
+        if not len(stop):
             at = int(ends[some - 1])
-    return b"".join(parts)[:most]
+            continue
+        if codes[n] == end:
+            break
+        at, read, begun = int(ends[n]), 0, done
+    return (np.concatenate(found), np.concatenate(firsts)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def _blocks(data: bytes) -> bytes:
