@@ -129,8 +129,9 @@ def fuse(pages: DataFrame, languages: list[str], key: str = "page_id") -> DataFr
     rows = cut(pages.withColumn("p", _softmax(F.col("evidence"))))
     zero = F.array(*[F.lit(0.0)] * n)
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    every = rows.agg(F.array(*(F.coalesce(F.sum(F.col("p")[i]), F.lit(0.0)) for i in range(n))).alias("p")).first()["p"]
-    total = F.array(*map(F.lit, every))
+    sums = F.array(*(F.coalesce(F.sum(F.col("p")[i]), F.lit(0.0)) for i in range(n))).alias("p")
+    every = rows.agg(sums, F.count_distinct("declared").alias("declared"), F.count_distinct("named").alias("named")).first()
+    total = F.array(*map(F.lit, every["p"]))
 
     # the hierarchy: each level's counts without the page's own vote, smoothed by the level above
     joined = rows
@@ -151,14 +152,10 @@ def fuse(pages: DataFrame, languages: list[str], key: str = "page_id") -> DataFr
     # how values of the markup and the address go with languages
     for value in ("declared", "named"):
         counts = _sums(rows, [value], n, f"c_{value}")
-        # the number of values comes by the same kind of aggregation
-        kinds = counts.agg(F.count("*").alias(f"k_{value}"))
-        joined = joined.join(counts, value, "left").crossJoin(F.broadcast(kinds))
-        smooth = F.zip_with(
-            F.zip_with(own(F.col(f"c_{value}")), own(total), lambda x, t: F.struct(x.alias("x"), t.alias("t"))),
-            F.array(*[F.lit(0)] * n),
-            lambda s, _: F.log((s["x"] + BLEND) / (s["t"] + BLEND * F.greatest(F.col(f"k_{value}"), F.lit(2)))),
-        )
+        kinds = max(every[value], 2)
+        joined = joined.join(counts, value, "left")
+        both = F.zip_with(own(F.col(f"c_{value}")), own(total), lambda x, t: F.struct(x.alias("x"), t.alias("t")))
+        smooth = F.transform(both, lambda s: F.log((s["x"] + BLEND) / (s["t"] + BLEND * kinds)))  # noqa: B023
         joined = joined.withColumn(f"e_{value}", F.when(F.col(value) == "", zero).otherwise(smooth))
 
     logs = reduce(add, [F.col("evidence"), F.col("e_declared"), F.col("e_named"), F.transform(F.col("prior_host"), lambda x: F.log(x))])

@@ -140,7 +140,11 @@ def test_intersections_against_python():
     assert all(got[i, j] == len(set(sets[a].tolist()) & set(sets[b].tolist())) for i, a in enumerate(left) for j, b in enumerate(right) if a != b)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [2_000, 10])
+def test_components(spark, monkeypatch, hub):
+    from dotweave.llm import components as module
+
+    monkeypatch.setattr(module, "HUB", hub)
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(120)]
     top = {}
