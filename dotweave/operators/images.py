@@ -64,14 +64,17 @@ def without_large_objects(img: np.ndarray, params: dict, dark=0.0) -> tuple[np.n
 
 
 def large_beads(img: np.ndarray, params: dict, dark=0.0) -> np.ndarray:
+    """Projection over its own flat field; of a kernel for stacks the part for planes counts."""
     img = _less_dark(img, dark).max(axis=0)
-    return img / A.gaussian(img, params["PreprocessingFishFlatFieldKernel"][-2:] if not np.isscalar(params["PreprocessingFishFlatFieldKernel"]) else params["PreprocessingFishFlatFieldKernel"])
+    kernel = params["PreprocessingFishFlatFieldKernel"]
+    return img / A.gaussian(img, kernel if np.isscalar(kernel) else tuple(kernel)[-2:])
 
 
 def nuclei(img: np.ndarray, params: dict, dark=0.0) -> np.ndarray:
-    """Smooth background subtracted, projected."""
+    """Smooth background subtracted, projected; the kernel is that of stainings or of fresh nuclei."""
     img = unit(img)
-    return np.maximum(img - A.gaussian(img, params["PreprocessingNucleiFlatFieldKernel"]), 0).max(axis=0)
+    kernel = params.get("PreprocessingStainingFlatFieldKernel") or params["PreprocessingFreshNucleiLargeKernelSize"]
+    return np.maximum(img - A.gaussian(img, kernel), 0).max(axis=0)
 
 
 #: The filters by the name that a parameter file gives.

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dotweave.functions import arrays, codes
-from dotweave.operators import alignment, barcodes, bayes, cells, dedup, geometry, images, quality, registration, selection, spatial
+from dotweave.operators import alignment, barcodes, bayes, cells, constellations, dedup, geometry, images, quality, registration, selection, spatial
 from dotweave.schema import DOTS, ERRORS, IMAGES, PIXELS
 from dotweave.sources import catalogs
 
@@ -320,7 +320,7 @@ def test_every_filter_runs(spark):
     stack = (rng.random((17, 40, 40)) * 5000 + 1000).astype("uint16")
     df = spark.createDataFrame([(1, "c", 1, list(stack.shape), "uint16", bytearray(stack.tobytes()))], PIXELS)
     params = {
-        "PreprocessingFishFlatFieldKernel": (1, 10, 10), "PreprocessingFishFilteringLaplacianKernel": (0.2, 0.5, 0.5), "PreprocessingNucleiFlatFieldKernel": (1, 8, 8),
+        "PreprocessingFishFlatFieldKernel": (1, 10, 10), "PreprocessingFishFilteringLaplacianKernel": (0.2, 0.5, 0.5), "PreprocessingStainingFlatFieldKernel": (1, 8, 8),
         "LargeObjRemovalPercentile": 95, "LargeObjRemovalMinObjSize": 10, "LargeObjRemovalSelem": 2,
     }
     for name in images.FILTERS:
@@ -494,3 +494,63 @@ def test_catalogs(spark, tmp_path):
     catalogs.write_stage(spark.createDataFrame([(1, "a"), (2, "b")], "fov_num int, x string"), stage)
     plan = catalogs.stage(spark, stage).filter("fov_num = 1")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fov_num" in plan
+
+
+def moved_points(seed=0, n=40):
+    rng = np.random.default_rng(seed)
+    a = rng.uniform(0, 100, (n, 2))
+    t = np.deg2rad(7)
+    m = 1.1 * np.array([[np.cos(t), -np.sin(t)], [np.sin(t), np.cos(t)]])
+    return a, m
+
+
+def test_constellations_find_a_rotation(spark):
+    a, _ = moved_points()
+    t = np.deg2rad(20)
+    b = a @ np.array([[np.cos(t), -np.sin(t)], [np.sin(t), np.cos(t)]]).T + (5, -9)
+    frame = lambda x: spark.createDataFrame([(1, i, float(r), float(c)) for i, (r, c) in enumerate(x)], "fov_num int, dot_id int, r double, c double")
+    sig = [constellations.signatures(frame(x), 4, 60, RC, "dot_id", ["fov_num"]) for x in (a, b)]
+    found = constellations.matches(*sig, 0.01, "dot_id", ["fov_num"], RC)
+    assert found.filter("dot_id = r_dot_id").count() == found.count() > 30
+    fit = constellations.group_similarities(found, ["fov_num"], RC, 0.5).first()
+    assert fit["scale"] == pytest.approx(1) and fit["degrees"] == pytest.approx(20) and fit["dr"] == pytest.approx(5, abs=1e-6) and fit["inliers"] == found.count()
+    none = constellations.group_similarities(found.limit(2), ["fov_num"], RC, 0.5).first()
+    assert none["inliers"] == 0 and none["scale"] is None
+
+
+def test_robust_similarity_ignores_wrong_matches():
+    a, m = moved_points()
+    b = a @ m.T + (3, 4)
+    b[:12] += np.random.default_rng(1).uniform(20, 50, (12, 2))
+    got, t, hit = constellations.robust_similarity(a, b, 0.5)
+    assert np.allclose(got, m) and np.allclose(t, (3, 4)) and hit.sum() == 28
+
+
+def test_triangles_equal_brute_force(spark):
+    import itertools
+
+    rng = np.random.default_rng(4)
+    a = rng.uniform(0, 30, (25, 2))
+    frame = lambda x: spark.createDataFrame([(1, i, float(r), float(c)) for i, (r, c) in enumerate(x)], "k int, dot_id int, r double, c double")
+    side = lambda p, q: float(np.hypot(*(a[p] - a[q])))
+    want = {t for t in itertools.combinations(range(25), 3) if max(side(t[0], t[1]), side(t[0], t[2]), side(t[1], t[2])) <= 10}
+    made = constellations.triangles(frame(a), 10, RC, "dot_id", ["k"])
+    assert {(r["p"], r["q"], r["s"]) for r in made.collect()} == want
+    other = constellations.triangles(frame(a + (40, 3)), 10, RC, "dot_id", ["k"])
+    found = constellations.triangle_matches(made, other, ["k"], 1.0)
+    assert found.count() == len(want) and found.filter("p = r_p and q = r_q and s = r_s").count() == len(want)
+
+
+def test_registration_groups(spark):
+    files = spark.createDataFrame([("a_channel_Eu_fov_1_dots",), ("a_channel_Cy5_fov_1_dots",), ("a_channel_Cy5_fov_12_dots",), ("noise",)], "path string")
+    got = {r["fov_num"]: (r["reference"], r["others"]) for r in constellations.registration_groups(files, "Eu").collect()}
+    assert got == {1: (["a_channel_Eu_fov_1_dots"], ["a_channel_Cy5_fov_1_dots"]), 12: ([], ["a_channel_Cy5_fov_12_dots"])}
+
+
+def test_parameters():
+    from dotweave.plans import parameters
+
+    assert parameters.selected("fish", {"fish": {"CountingFishMinObjSize": 9}, "RegistrationTollerancePxl": 4})["CountingFishMinObjSize"] == 9
+    assert parameters.selected("staining")["RegistrationTollerancePxl"] == 3
+    with pytest.raises(ValueError):
+        parameters.selected("nothing")
