@@ -43,22 +43,33 @@ def flip_summary(decoded: DataFrame, length: int = LENGTH, bits: str = "code_bit
     return each.groupBy(F.col("f.position").alias("position"), F.col("f.direction").alias("direction")).agg(F.count("*").alias("n"))
 
 
-def _nearest(ref: np.ndarray, other: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-    """For each row of ``other`` the nearest row of ``ref`` within ``radius`` (first of equals), or -1; by grid cells."""
+def _nearest(ref: np.ndarray, other: np.ndarray, radius: float) -> np.ndarray:
+    """For each row of ``other`` the nearest row of ``ref`` within ``radius`` (the first of equals), or -1; by grid cells."""
     side = radius if radius > 0 else 1.0
-    cells: dict[tuple[int, int], list[int]] = {}
-    for i, key in enumerate(map(tuple, np.floor(ref / side).astype(np.int64))):
-        cells.setdefault(key, []).append(i)
-    best, dist = np.full(len(other), -1), np.full(len(other), np.inf)
-    for j, (gr, gc) in enumerate(np.floor(other / side).astype(np.int64)):
-        near = [i for a in (-1, 0, 1) for b in (-1, 0, 1) for i in cells.get((gr + a, gc + b), ())]
-        if near:
-            near = np.sort(near)
-            d2 = ((ref[near] - other[j]) ** 2).sum(axis=1)
-            k = int(d2.argmin())
-            if d2[k] <= radius * radius:
-                best[j], dist[j] = near[k], d2[k]
-    return best, dist
+    cell, near = (np.floor(x / side).astype(np.int64) for x in (ref, other))
+    low = np.minimum(cell.min(axis=0), near.min(axis=0)) - 1
+    width = max(cell[:, 1].max(), near[:, 1].max()) - low[1] + 2
+    number = lambda x: (x[:, 0] - low[0]) * width + x[:, 1] - low[1]
+    order = np.argsort(number(cell), kind="stable")
+    sorted_cells = number(cell)[order]
+    rows, refs = [], []
+    for i in (-1, 0, 1):
+        # the three cells of a row of cells are neighbours in the order
+        first = number(near + (i, -1))
+        a, b = np.searchsorted(sorted_cells, first, "left"), np.searchsorted(sorted_cells, first + 2, "right")
+        n = b - a
+        rows.append(np.repeat(np.arange(len(other)), n))
+        refs.append(order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - a, n)])
+    row, at = np.concatenate(rows), np.concatenate(refs)
+    d2 = ((ref[at] - other[row]) ** 2).sum(axis=1)
+    close = d2 <= radius * radius
+    row, at, d2 = row[close], at[close], d2[close]
+    rank = np.lexsort((at, d2, row))
+    row, at = row[rank], at[rank]
+    head = np.concatenate([[True], row[1:] != row[:-1]]) if len(row) else np.zeros(0, bool)
+    best = np.full(len(other), -1)
+    best[row[head]] = at[head]
+    return best
 
 
 def decode_group(dots: pd.DataFrame, radius: float, length: int) -> tuple[pd.DataFrame, pd.Series]:
@@ -80,7 +91,7 @@ def decode_group(dots: pd.DataFrame, radius: float, length: int) -> tuple[pd.Dat
             continue
         bits = np.zeros(len(ref), np.int64)
         if len(other):
-            hit, _ = _nearest(rc[ref], rc[other], radius)
+            hit = _nearest(rc[ref], rc[other], radius)
             some = hit >= 0
             np.bitwise_or.at(bits, hit[some], np.int64(1) << (rounds[other[some]].astype(np.int64) - 1))
             emitted = bits > 0
