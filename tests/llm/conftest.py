@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import types as T
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that the operators use as names of their own.
@@ -59,5 +58,3 @@ def folder(tmp_path, spark):
 
     return write
 
-
-SCHEMA = T.StructType
