@@ -8,8 +8,8 @@ into overlapping windows of ``WINDOW`` bytes that cover it whole; each window is
 compressed twice, primed with the ordinary dictionary and with both. The bytes
 that the toxic dictionary saves are the window's evidence.
 
-Thresholds are calibrated on labelled documents that trained no dictionary: each
-number of saved bytes gets a log-likelihood ratio, a document's evidence is the
+Thresholds are calibrated on labelled documents by dictionaries that they did not
+train (two folds; the dictionaries in use are trained on both): each number of saved bytes gets a log-likelihood ratio, a document's evidence is the
 sum over its windows, and a logistic curve turns it into a probability.
 
 Fitting uses a bounded sample of labelled rows (``ORDINARY`` and ``TOXIC`` texts
@@ -35,7 +35,7 @@ from .common import labelled_sample, logit_fit, prior_shift, table
 
 WINDOW, HOP = 64, 48
 #: Bytes of the dictionaries.
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 2_048
+ORDINARY_BYTES, TOXIC_BYTES = 32_768, 4_096
 LEVEL = 6
 #: Labelled texts in the sample at most.
 ORDINARY, TOXIC = 2_800, 1_600
@@ -149,20 +149,28 @@ def fit(ordinary: list[str], toxic: list[str], sizes: dict[int, int]) -> Model:
     prior = (sizes[1] + 0.5) / (sizes[0] + sizes[1] + 1)
     if not ordinary or not toxic:
         return Model(b"", b"", np.zeros(1), np.zeros(1), prior)
-    low = [[t.lower().encode() for t in x] for x in (ordinary, toxic)]
-    train, held = [x[: (len(x) + 1) // 2] for x in low], [x[(len(x) + 1) // 2 :] or x for x in (ordinary, toxic)]
-    fresh = [_fresh(x) for x in train]
-    base = _dictionary(ORDINARY_BYTES, [t[i : i + 256] for t in fresh[0] for i in range(0, len(t), 256)], k=32, d=8)
-    marked = _dictionary(TOXIC_BYTES, _marked_passages(fresh[1], fresh[0]), k=12, d=6)
-    saved = _saver(base, marked)
-    counts = [np.array([_bins(saved(t)) for t in x]) for x in held]
+    classes = (ordinary, toxic)
+    halves = [[x[0::2] or x, x[1::2] or x] for x in classes]
+    counts: list[list[np.ndarray]] = [[], []]
+    for fold in (0, 1):
+        saved = _saver(*_train(*(h[fold] for h in halves)))
+        for c in (0, 1):
+            counts[c] += [_bins(saved(t)) for t in halves[c][1 - fold]]
+    rows = [np.array(c) for c in counts]
     # each document weighs by the square root of its windows
-    spread = [(c / np.sqrt(c.sum(axis=1, keepdims=True))).sum(axis=0) for c in counts]
+    spread = [(c / np.sqrt(c.sum(axis=1, keepdims=True))).sum(axis=0) for c in rows]
     ratio = np.log((spread[1] + 0.2) / spread[1].sum()) - np.log((spread[0] + 0.2) / spread[0].sum())
-    x = np.concatenate([_evidence(c, ratio) for c in counts])
-    weights = logit_fit(x, np.repeat([0.0, 1.0], [len(c) for c in counts]), l2=0.05)
-    weights[-1] += prior_shift({0: len(counts[0]), 1: len(counts[1])}, sizes)
-    return Model(base, marked, ratio, weights, prior)
+    x = np.concatenate([_evidence(c, ratio) for c in rows])
+    weights = logit_fit(x, np.repeat([0.0, 1.0], [len(c) for c in rows]), l2=0.05)
+    weights[-1] += prior_shift({c: len(rows[c]) for c in (0, 1)}, sizes)
+    return Model(*_train(ordinary, toxic), ratio, weights, prior)
+
+
+def _train(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary."""
+    plain, marked = (_fresh([t.lower().encode() for t in x]) for x in (ordinary, toxic))
+    base = _dictionary(ORDINARY_BYTES, [t[i : i + 256] for t in plain for i in range(0, len(t), 256)], k=32, d=8)
+    return base, _dictionary(TOXIC_BYTES, _marked_passages(marked, plain), k=12, d=6)
 
 
 def scorer(model: Model):
