@@ -1,21 +1,23 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 The documents of each source are cut into blocks of ``BLOCK`` documents (in the
-order of a hash of the id). One block is placed per slot. With integer weights q
-that sum to Q, block k of a source gets the window from release floor(k Q / q) to
-deadline ceil((k + 1) Q / q); among released blocks the one of earliest deadline
-goes first. The weights sum to the capacity, so every deadline is met, and at
-every slot each source is less than one block off its share.
+order of a hash of the id). One block is placed per slot. A source of share w of the
+weights (an exact fraction) gets for its block k the window from release floor(k / w)
+to deadline ceil((k + 1) / w); among released blocks the one of earliest deadline
+goes first. The shares sum to one, so every deadline is met, and at every slot each
+source is less than one block off its share.
 
-A schedule repeats after Q slots, so only one cycle per phase is computed on the
-driver: at most ``RESOLUTION`` slots, whatever the number of documents. A phase
-ends with the slot in which a source places its last block; the others go on with
-their weights, deviations starting afresh. Every document is placed exactly once.
+A phase ends with the slot in which a source places its last block; the others go on
+with their weights, deviations starting afresh. Every document is placed exactly once.
+
+Slots follow one another, so the driver deals them out: it holds one row a source
+and one number a block, a 64th of the documents, and hands both to the executors by
+broadcast (16 bytes a block). Documents never come to it.
 
 Target weights are a parameter. Sources without one, and all by default, weigh
-their number of documents to the power ``TEMPER``, the usual tempered mix. Weights
-are rounded to RESOLUTION-ths, at least one each, so there may be at most
-RESOLUTION sources; names of sources come to the driver, documents never do.
+their number of documents to the power ``TEMPER``, the usual tempered mix. Any number
+of sources can be mixed. Only where a ``resolution`` is asked for are weights rounded
+to that many parts, at least one each.
 
 Defined cases: a null source is a source of its own; null ids come first within
 their hash; repeated rows are placed separately, in no defined order among
@@ -26,7 +28,12 @@ rows; a target weight of zero or less is an error.
 from __future__ import annotations
 
 import heapq
+from array import array
+from bisect import bisect_left
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import count, islice
+from math import lcm
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +45,8 @@ from .common import table
 BLOCK = 64
 RESOLUTION = 1_000
 TEMPER = 0.7
+#: Blocks of one row of the schedule.
+RUN = 1_000
 #: Documents of one hash bucket of a source, about; ranks are counted inside and summed across.
 BUCKET = 2_000
 
@@ -58,48 +67,79 @@ def quantise(weights: dict, resolution: int = RESOLUTION) -> dict:
     return whole
 
 
-def cycle(q: dict) -> list:
-    """The source of each of the sum(q) slots of one cycle, by earliest deadline among released blocks."""
-    total = sum(q.values())
-    order = {s: i for i, s in enumerate(sorted(q, key=lambda s: (s is None, str(s))))}
+def exact(weights: dict) -> dict:
+    """Integers in the very proportions of ``weights``."""
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("weights must be above zero")
+    parts = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(w.denominator for w in parts.values()))
+    return {s: int(w * scale) for s, w in parts.items()}
+
+
+def _ordered(sources) -> list:
+    return sorted(sources, key=lambda s: (s is None, str(s)))
+
+
+def _classes(q: list[int]) -> list[tuple[int, list[int]]]:
+    """(weight, numbers of the sources that have it), largest weight first."""
+    found: dict = {}
+    for i, w in enumerate(q):
+        found.setdefault(w, []).append(i)
+    return sorted(found.items(), reverse=True)
+
+
+def _turns(classes: list[tuple[int, list[int]]], total: int) -> Iterator[int]:
+    """The source of each slot of a phase without end, by earliest deadline among released blocks.
+
+    First blocks are all released at the start, their deadlines in the order of the classes: a class enters when its
+    deadline is due, and is stood for by one source at a time. So a short phase costs little, however many sources there are.
+    """
     released: list[tuple] = []
-    waiting = [(0, order[s], s, 0) for s in q]
-    heapq.heapify(waiting)
-    slots = []
-    for t in range(total):
+    waiting: list[tuple] = []
+    fresh = 0
+    for t in count():
         while waiting and waiting[0][0] <= t:
-            _, i, s, k = heapq.heappop(waiting)
-            heapq.heappush(released, (-(-(k + 1) * total // q[s]), i, s, k))
-        _, i, s, k = heapq.heappop(released)
-        slots.append(s)
-        if k + 1 < q[s]:
-            heapq.heappush(waiting, ((k + 1) * total // q[s], i, s, k + 1))
-    return slots
-
-
-def phases(blocks: dict, q: dict) -> list[tuple]:
-    """(source, first block, blocks, first slot of the phase, slots of a cycle, slot numbers in the cycle) of every source and phase."""
-    left, done, base, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
-    while left := {s: n for s, n in left.items() if n}:
-        active = {s: q[s] for s in left}
-        total, slots = sum(active.values()), cycle(active)
-        where: dict = {s: [] for s in active}
-        for t, s in enumerate(slots):
-            where[s].append(t)
-        spot = lambda s, k: k // active[s] * total + where[s][k % active[s]]
-        length = min(spot(s, n - 1) for s, n in left.items()) + 1
-        for s in active:
-            full, rest = divmod(length, total)
-            took = full * active[s] + int(np.searchsorted(where[s], rest))
-            if took:
-                out.append((s, done[s], took, base, total, where[s]))
-            done[s] += took
-            left[s] -= took
-        base += length
-    return out
-
-
-def placed(docs: DataFrame, weights: dict | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
+            _, i, w, k = heapq.heappop(waiting)
+            heapq.heappush(released, (-(-(k + 1) * total // w), i, w, k, 0, ()))
+        while fresh < len(classes) and (not released or -(-total // classes[fresh][0]) <= released[0][0]):
+            w, members = classes[fresh]
+            heapq.heappush(released, (-(-total // w), members[0], w, 0, 0, members))
+            fresh += 1
+        due, i, w, k, at, members = heapq.heappop(released)
+        yield i
+        if at + 1 < len(members):
+            heapq.heappush(released, (due, members[at + 1], w, 0, at + 1, members))
+        heapq.heappush(waiting, ((k + 1) * total // w, i, w, k + 1))
+
+
+def cycle(q: dict) -> list:
+    """The source of each of the sum(q) slots of one cycle of integer weights."""
+    names = _ordered(q)
+    return [names[i] for i in islice(_turns(_classes([q[s] for s in names]), sum(q.values())), sum(q.values()))]
+
+
+def schedule(blocks: dict, q: dict) -> dict:
+    """The slots of the blocks of every source, phase by phase."""
+    names = _ordered(blocks)
+    left, weights = [blocks[s] for s in names], [q[s] for s in names]
+    classes, total, slots = _classes(weights), sum(weights), array("i")
+    while classes:
+        for i in _turns(classes, total):
+            slots.append(i)
+            left[i] -= 1
+            if not left[i]:
+                break
+        at = bisect_left(classes, -weights[i], key=lambda c: -c[0])
+        members = classes[at][1]
+        del members[bisect_left(members, i)]
+        if not members:
+            del classes[at]
+        total -= weights[i]
+    where = np.argsort(np.frombuffer(slots, np.int32), kind="stable")
+    return dict(zip(names, np.split(where, np.cumsum([blocks[s] for s in names])[:-1])))
+
+
+def placed(docs: DataFrame, weights: dict | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, resolution: int | None = None) -> DataFrame:
     """``row`` (the whole row of ``docs`` as a struct), ``block`` (number within the source), ``slot``, and ``position``, dense from 0.
 
     The rows of a source are dealt into hash buckets, ranked inside them, and shifted by the sizes of the buckets
@@ -107,34 +147,29 @@ def placed(docs: DataFrame, weights: dict | None = None, source: str = "source",
     """
     spark = docs.sparkSession
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source).cast("string").alias("source"), F.col(key).alias("key"))
-    many = rows.groupBy("source").agg(F.count("*").alias("n")).limit(resolution + 1).collect()
-    if len(many) > resolution:
-        raise ValueError(f"more than {resolution} sources; raise the resolution or group them")
-    sizes = {r["source"]: r["n"] for r in many}
+    sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return rows.select("row", *(F.lit(None).cast("long").alias(c) for c in ("block", "slot", "position")))
     blocks = {s: -(-n // block) for s, n in sizes.items()}
-    given = weights or {}
-    tempered = {s: n**TEMPER for s, n in sizes.items()}
+    given = {s: Fraction(w) for s, w in (weights or {}).items()}
+    tempered = {s: Fraction(n**TEMPER) for s, n in sizes.items()}
     # sources without a target weigh, by size, like those with one
     known = [s for s in sizes if s in given]
     scale = sum(given[s] for s in known) / sum(tempered[s] for s in known) if known else 1
-    q = quantise({s: given[s] if s in given else tempered[s] * scale for s in sizes}, resolution)
-    plan = phases(blocks, q)
-
-    # what comes before a phase, in documents: only a source's last block may be short, and it ends a phase
-    short = {s: blocks[s] * block - n for s, n in sizes.items()}
-    ends = {s: max(b + t for x, b, t, *_ in plan if x == s) for s in sizes}
-    lost, gone = {}, 0
-    for at in sorted({p[3] for p in plan}):
-        lost[at] = gone
-        gone += sum(short[s] for s, b, t, base, *_ in plan if base == at and b + t == ends[s])
-
-    # both tables are bounded by the resolution: sources, and slot numbers of one cycle a phase
+    targets = {s: given[s] if s in given else tempered[s] * scale for s in sizes}
+    where = schedule(blocks, quantise(targets, resolution) if resolution else exact(targets))
+
+    # documents before a slot: only the last block of a source may be short
+    held = np.full(sum(blocks.values()), block, np.int64)
+    for s, n in sizes.items():
+        held[where[s][-1]] = n - (blocks[s] - 1) * block
+    starts = np.cumsum(held) - held
+
+    # a row a run of blocks: what the driver has dealt out, executors can hold
     named = F.broadcast(
         spark.createDataFrame(
-            [(s, b, t, base, total, lost[base], q[s], where) for s, b, t, base, total, where in plan],
-            "named string, first long, took long, base long, total long, lost long, q long, spots array<int>",
+            [(s, at // RUN, spots[at : at + RUN].tolist(), starts[spots[at : at + RUN]].tolist()) for s, spots in where.items() for at in range(0, len(spots), RUN)],
+            "named string, run long, slots array<long>, starts array<long>",
         )
     )
     dealing = F.broadcast(spark.createDataFrame([(s, max(1, n // BUCKET)) for s, n in sizes.items()], "dealing string, buckets long"))
@@ -150,10 +185,9 @@ def placed(docs: DataFrame, weights: dict | None = None, source: str = "source",
     shifts = shifts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.col("near") + F.col("far")).alias("shift"))
     shifted = ranked.join(shifts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("rank", F.col("rank") + F.col("shift"))
     numbered = shifted.withColumn("block", F.floor(F.col("rank") / block))
-    k = F.col("block") - F.col("first")
-    on = F.col("source").eqNullSafe(F.col("named")) & (k >= 0) & (k < F.col("took"))
-    slot = F.col("base") + F.floor(k / F.col("q")) * F.col("total") + F.element_at("spots", (k % F.col("q") + 1).cast("int"))
-    return numbered.join(named, on).select("row", "block", slot.alias("slot"), (slot * block - F.col("lost") + F.col("rank") % block).alias("position"))
+    on = F.col("source").eqNullSafe(F.col("named")) & (F.floor(F.col("block") / RUN) == F.col("run"))
+    at = (F.col("block") % RUN + 1).cast("int")
+    return numbered.join(named, on).select("row", "block", F.element_at("slots", at).alias("slot"), (F.element_at("starts", at) + F.col("rank") % block).alias("position"))
 
 
 def positions(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:

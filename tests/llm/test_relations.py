@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -207,6 +208,41 @@ def test_positions_follow_the_simulation(spark, monkeypatch):
     assert [s for _, s in order] == simulated({s: -(-n // 4) for s, n in sizes.items()}, q)
 
 
+def off_target(where, weights):
+    """The largest deviation, in blocks, from the given weights until a source has ended; it peaks before and after a block."""
+    total, end, worst = sum(map(Fraction, weights.values())), min(at[-1] for at in where.values()) + 1, 0
+    for s, at in where.items():
+        w = Fraction(weights[s]) / total
+        at = [int(t) for t in at if t < end]
+        worst = max(worst, abs(end * w - len(at)), *(max(abs(t * w - k), abs((t + 1) * w - k - 1)) for k, t in enumerate(at)))
+    return worst
+
+
+def test_exact_weights_stay_within_a_block():
+    half = {"big": 5000} | {f"s{i}": 7 for i in range(900)}
+    third = {"big": 25_000} | {f"s{i}": 2500 for i in range(19)}
+    for blocks, weights in (
+        ({"a": 5400, "b": 1000}, {"a": Fraction(9, 10), "b": Fraction(1, 10)}),
+        (half, {s: Fraction(1, 2) if s == "big" else Fraction(1, 1800) for s in half}),
+        (third, {s: n**0.7 for s, n in third.items()}),
+    ):
+        where = pfair_mix.schedule(blocks, pfair_mix.exact(weights))
+        assert {s: len(at) for s, at in where.items()} == blocks
+        assert sorted(t for at in where.values() for t in at.tolist()) == list(range(sum(blocks.values())))
+        assert off_target(where, weights) < 1
+
+
+def test_positions_hold_targets_and_many_sources(spark):
+    weights, where = {"a": Fraction(9, 10), "b": Fraction(1, 10)}, defaultdict(list)
+    docs = spark.range(3600).selectExpr("id as doc_id", "if(id < 3200, 'a', 'b') as source")
+    for r in pfair_mix.positions(docs, weights, block=1).orderBy("position").collect():
+        where[r["source"]].append(r["slot"])
+    assert off_target(where, weights) < 1
+    docs = spark.range(3300).selectExpr("id as doc_id", "concat('s', id % 1100) as source")
+    got = pfair_mix.positions(docs, block=2).collect()
+    assert sorted(r["position"] for r in got) == list(range(3300)) and len({r["slot"] for r in got}) == 2200
+
+
 def test_mix_of_awkward_rows(spark, docs, none):
     mixed = pfair_mix.mixed(docs)
     assert mixed.columns == docs.columns and sorted(map(str, mixed.collect())) == sorted(map(str, docs.collect()))
