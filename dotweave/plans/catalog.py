@@ -567,8 +567,12 @@ def shift_application(spark, d):
 
 @_query()
 def round_shifts(spark, d):
-    """Rows only: shifts of moved copies of the dots of a round, by phase correlation."""
-    first = _dots(spark, d).filter("round_num = 1 AND c < 110 AND r < 110")
+    """Rows only: shifts of moved copies of the dots of a round, by phase correlation in image-sized tiles that hold them all."""
+    dots = _dots(spark, d).filter("round_num = 1")
+    across = F.broadcast(dots.agg((F.max(F.floor(F.col("c") / 110)) + 1).alias("across")))
+    tile = F.floor(F.col("r") / 110) * F.col("across") + F.floor(F.col("c") / 110)
+    # a margin of 9 pixels keeps the moved copies in the frame
+    first = dots.crossJoin(across).withColumns({"fov_num": (tile * 6 + F.col("fov_num")).cast("int"), "r": F.col("r") % 110 + 9, "c": F.col("c") % 110 + 9}).drop("across")
     moved = [first.withColumns({"round_num": F.lit(k), "r": F.col("r") + 2.0 * k, "c": F.col("c") - 1.0 * k}) for k in (2, 3)]
     return registration.round_shifts(selection.union_outer([first, *moved]), 1, 4, (128, 128), 3.0, 5, RC)
 

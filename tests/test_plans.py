@@ -55,6 +55,18 @@ def test_planted_offsets_come_back(spark):
     assert rows
 
 
+def test_all_dots_of_a_round_are_shifted(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(catalog.registration, "round_shifts", lambda beads, *a: taken.append((beads, a)))
+    catalog.QUERIES["round_shifts"](spark, SF)
+    (beads, (_, _, shape, *_)), = taken
+    want = spark.read.parquet(f"{SF}/events.parquet").filter("event_id % 16 = 0")
+    for k in (1, 2, 3):
+        got = beads.filter(f"round_num = {k}").collect()
+        assert sorted(r["dot_id"] for r in got) == sorted(r["event_id"] for r in want.collect())
+        assert all(0 <= r["r"] <= shape[0] - 1 and 0 <= r["c"] <= shape[1] - 1 for r in got)
+
+
 def scene(spark):
     """Two tiles beside each other with 3 rounds: fish dots of two genes, beads in all rounds, one duplicate in the overlap."""
     rng = np.random.default_rng(0)
