@@ -7,6 +7,11 @@ import tempfile
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+#: Bytes of the sampled texts of a class that reach the driver, but for the last text.
+SAMPLE_BYTES = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,13 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a session with a local master, whose executors are this machine, gets a temporary folder; any
+    other is an error, since no folder of one machine would be shared.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        known = spark.sparkContext.getCheckpointDir()
-        folder = known or tempfile.mkdtemp(prefix="dotweave-checkpoint-")
-        if not known:
-            spark.sparkContext.setCheckpointDir(folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="dotweave-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
@@ -84,20 +93,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out, pe
 
     ``labels`` has ``doc_id`` and ``label`` (0 or 1); rows where ``held_out`` (a column of doc_id) holds are
     not used, nor null labels; of contradicting labels the larger counts. At most ``per_class[c]`` texts of
-    class c, those of smallest hash of doc_id, reach the driver: the ids are chosen from the labels alone, so
-    the texts of no other document move.
+    class c, those of smallest hash of doc_id, reach the driver, and none after the one that brings the class to
+    SAMPLE_BYTES: the ids are chosen from the labels alone, so the texts of no other document move.
     """
-    from pyspark.sql import functions as F
-
     known = labels.filter(F.col(label).isin(0, 1) & ~held_out & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("doc_id")
     chosen = [r for c, n in per_class.items() for r in known.filter(F.col("label") == c).orderBy(order, "doc_id").limit(n).collect()]
     texts: dict[int, list[str]] = {c: [] for c in per_class}
     if chosen:
-        small = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label int")
-        got = docs.select("doc_id", "text").join(F.broadcast(small), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.max("text").alias("text")).collect()
-        for r in sorted(got, key=lambda r: r["doc_id"]):
+        few = docs.sparkSession.createDataFrame([(r["doc_id"], r["label"]) for r in chosen], "doc_id long, label int")
+        got = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.max("label").alias("label"), F.max("text").alias("text"))
+        # a window over the sample alone
+        before = Window.partitionBy("label").orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+        held = F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))
+        for r in sorted(got.withColumn("held", held).filter(F.col("held") < SAMPLE_BYTES).collect(), key=lambda r: r["doc_id"]):
             texts[r["label"]].append(r["text"] or "")
     return texts, {c: sizes.get(c, 0) for c in per_class}
 

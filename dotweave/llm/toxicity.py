@@ -1,23 +1,37 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained. The ordinary one holds the commonest
-passages of ordinary text; the toxic one is trained on the passages of toxic
-documents that occur in far more of those than ordinary documents explain
-(document frequencies of byte 5-grams, near copies counted once). A text is cut
-into overlapping windows of ``WINDOW`` bytes that cover it whole; each window is
-compressed twice, primed with the ordinary dictionary and with both. The bytes
-that the toxic dictionary saves are the window's evidence.
-
-Thresholds are calibrated on labelled documents by dictionaries that they did not
-train (two folds; the dictionaries in use are trained on both): each number of saved bytes gets a log-likelihood ratio, a document's evidence is the
-sum over its windows, and a logistic curve turns it into a probability.
-
-Fitting uses a bounded sample of labelled rows (``ORDINARY`` and ``TOXIC`` texts
-at most); scoring reads every whole text in one pass without a shuffle.
-
-Defined cases: null, empty or blank text has no evidence and gets the share of
-toxic labels; a class without labelled rows leaves every document at the smoothed share of toxic
-labels; further columns pass through, a clashing ``score`` is replaced.
+Zstandard dictionaries are trained apart on ordinary and on toxic text, in ``PAIRS``
+of two sizes: a small pair knows little but what is most typical, a larger one more.
+A text is cut into windows that cover it whole: each word with the space before it,
+long words in overlapping pieces, padded with spaces to ``WINDOW`` bytes so that
+even a short word is above the size under which zstandard does not compress. The
+difference of a window's length under the ordinary and under the toxic dictionary
+is its evidence.
+
+The toxic dictionary's training samples are passages of toxic texts: those whose byte
+n-grams occur in far more toxic documents than ordinary ones explain (document
+frequencies, near copies counted once). A dictionary of whole toxic texts spends its
+room on what both classes share; the README has the figures.
+
+Thresholds are calibrated on labelled documents by toxic dictionaries that they did
+not train: each half of the sample trains dictionaries that measure the other half. A
+document is described by how many of its windows save 1, 2, 3, ... bytes or more,
+absolutely and by the square root of its windows, and by the summed log-likelihood
+ratio of its windows; a logistic curve puts that into one score, placed so that the
+share ``FALSE`` of the ordinary documents of the sample reaches ``CUT``. A new text is
+measured by the dictionaries of both halves, and the mean of their log odds counts,
+so that its evidence is spread as it was in calibration.
+
+Fitting uses a bounded sample of labelled rows (``ORDINARY`` and ``TOXIC`` texts at
+most, ``common.SAMPLE_BYTES`` of each class); scoring reads every whole text in one
+pass without a shuffle. Windows of words met before are looked up (``KNOWN`` words at
+most in a worker).
+
+Defined cases: null, empty or blank text has no evidence and gets the share of toxic
+labels; a class without labelled rows, as in an empty table, leaves every document at
+the smoothed share of toxic labels; equal texts have equal scores, so repeated rows
+and ties stay ties; very long texts are scored whole, window by window; further
+columns pass through, a clashing ``score`` is replaced.
 """
 
 from __future__ import annotations
@@ -31,73 +45,106 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import labelled_sample, logit_fit, prior_shift, table
+from .common import labelled_sample, logit_fit, table
 
-WINDOW, HOP = 64, 48
-#: Bytes of the dictionaries.
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 4_096
-LEVEL = 6
+
+@dataclass(frozen=True)
+class Pair:
+    """Bytes of the two dictionaries, and lengths of the n-grams that mark toxic passages."""
+
+    ordinary: int
+    toxic: int
+    grams: tuple[int, ...]
+
+
+PAIRS = (Pair(2_048, 1_024, (5, 7, 9)), Pair(32_768, 2_048, (7,)))
+#: Bytes of a padded window; of a piece of a long word, and the step between pieces.
+WINDOW, PIECE, HOP = 48, 40, 30
+LEVEL = 4
+#: Bytes of a text that are cut into windows at once, about.
+SLAB = 1 << 20
 #: Labelled texts in the sample at most.
 ORDINARY, TOXIC = 2_800, 1_600
-GRAM = 5
 #: Standard deviations above expectation at which a gram marks toxic text.
-OVER = 6.0
-#: Saved bytes are counted in bins from -LOW to HIGH.
-LOW, HIGH = 3, 9
-#: Score from which a document counts as toxic.
-CUT = 0.7
+OVER = 7.0
+#: Saved bytes are counted in bins from -LOW to HIGH; documents are described by how many windows reach STEPS.
+LOW, HIGH = 12, 16
+STEPS = (1, 2, 3, 4, 5, 7)
+#: Words whose savings a worker remembers.
+KNOWN = 200_000
+#: Score from which a document counts as toxic, and the share of ordinary documents that may reach it.
+CUT, FALSE = 0.7, 0.005
+BINS = LOW + HIGH + 1
+_M = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
 class Model:
-    base: bytes
-    toxic: bytes
-    ratio: np.ndarray
+    ordinary: list[bytes]
+    folds: list[list[bytes]]
+    ratios: list[np.ndarray]
+    mean: np.ndarray
+    spread: np.ndarray
     weights: np.ndarray
     prior: float
 
 
-def _grams(raw: bytes) -> np.ndarray:
+def _grams(raw: bytes, width: int) -> np.ndarray:
+    """A hash of each ``width`` consecutive bytes."""
     a = np.frombuffer(raw, np.uint8).astype(np.uint64)
-    n = len(a) - GRAM + 1
+    n = len(a) - width + 1
     h = np.zeros(max(n, 0), np.uint64)
-    for i in range(GRAM if n > 0 else 0):
-        h = (h << np.uint64(8)) | a[i : i + n]
+    for i in range(width if n > 0 else 0):
+        h = h * _M + a[i : i + n] + np.uint64(1)
     return h
 
 
 def _fresh(texts: list[bytes]) -> list[bytes]:
     """``texts`` without those that share 4 of their 12 smallest passage hashes with earlier ones."""
-    m, seen, out = np.uint64(0x9E3779B97F4A7C15), set(), []
+    seen, out = set(), []
     for raw in texts:
-        g = _grams(raw)
-        g = g * m if len(g) < 40 else (((g[:-18] * m + g[6:-12]) * m + g[12:-6]) * m + g[18:]) * m
-        low = set(np.unique(g ^ (g >> np.uint64(29)))[:12].tolist())
+        g = _grams(raw, 24 if len(raw) > 60 else 5)
+        low = set(_distinct(g ^ (g >> np.uint64(29)))[:12].tolist())
         if len(low & seen) < 4:
             out.append(raw)
         seen |= low
     return out
 
 
-def _document_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate([np.unique(_grams(b" " + t + b" ")) for t in texts]), return_counts=True)
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
+
+
+def _document_counts(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    h = np.sort(np.concatenate([_distinct(_grams(t, width)) for t in texts]))
+    edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, np.int64)
+    return h[edges[:-1]], np.diff(edges)
 
 
-def _marked_passages(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """The passages of ``toxic`` covered by grams that ordinary documents do not explain."""
-    (gt, ct), (go, co) = _document_counts(toxic), _document_counts(ordinary)
-    at = np.minimum(np.searchsorted(go, gt), len(go) - 1)
-    expected = (np.where(go[at] == gt, co[at], 0) + 2) * len(toxic) / len(ordinary)
-    marking = gt[(ct - expected) / np.sqrt(expected) >= OVER]
+def _marking(toxic: list[bytes], ordinary: list[bytes], width: int) -> np.ndarray:
+    """The grams of toxic documents that ordinary documents do not explain, ascending."""
+    (gt, ct), (go, co) = _document_counts(toxic, width), _document_counts(ordinary, width)
+    at = np.minimum(np.searchsorted(go, gt), max(len(go) - 1, 0))
+    known = np.where(go[at] == gt, co[at], 0) if len(go) else np.zeros(len(gt))
+    expected = (known + 2) * len(toxic) / len(ordinary)
+    return gt[(ct - expected) / np.sqrt(expected) >= OVER]
+
+
+def _passages(toxic: list[bytes], marking: dict[int, np.ndarray]) -> list[bytes]:
+    """The passages of ``toxic`` covered by marking grams (by width)."""
     found = []
     for raw in toxic:
-        padded = b" " + raw + b" "
-        hit = np.flatnonzero(np.isin(_grams(padded), marking))
-        cover = np.zeros(len(padded) + 2, np.int32)
-        np.add.at(cover, hit + 1, 1)
-        np.add.at(cover, hit + 1 + GRAM, -1)
-        edges = np.flatnonzero(np.diff((np.cumsum(cover) > 0).astype(np.int8)))
-        found += [padded[a:b] for a, b in zip(edges[::2], edges[1::2])]
+        cover = np.zeros(len(raw) + 1, np.int32)
+        for width, marks in marking.items():
+            if not len(marks):
+                continue
+            h = _grams(raw, width)
+            hit = np.flatnonzero(marks[np.minimum(np.searchsorted(marks, h), len(marks) - 1)] == h)
+            np.add.at(cover, hit, 1)
+            np.add.at(cover, hit + width, -1)
+        edges = np.flatnonzero(np.diff((np.cumsum(cover) > 0).astype(np.int8), prepend=0))
+        found += [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
     return found
 
 
@@ -108,82 +155,137 @@ def _dictionary(size: int, samples: list[bytes], **how) -> bytes:
     try:
         return zstandard.train_dictionary(size, samples, **how).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(samples)[-size:] or b" "
+        return b"".join(samples)[-size:] or b" " * 8
 
 
-def windows(raw: bytes) -> list[bytes]:
-    """Overlapping windows that cover ``raw`` whole."""
-    return [raw[i : i + WINDOW] for i in range(0, max(1, len(raw) - (WINDOW - HOP)), HOP)]
+def _ordinary(texts: list[bytes]) -> list[bytes]:
+    """The ordinary dictionary of each pair."""
+    parts = [t[i : i + 256] for t in texts for i in range(0, len(t), 256)]
+    return [_dictionary(p.ordinary, parts, k=32, d=8) for p in PAIRS]
 
 
-def _saver(base: bytes, toxic: bytes):
-    """text -> bytes that the toxic dictionary saves in each window."""
-    import zstandard
+def _toxic(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The toxic dictionary of each pair."""
+    marking = {w: _marking(toxic, ordinary, w) for w in sorted({w for p in PAIRS for w in p.grams})}
+    return [_dictionary(p.toxic, _passages(toxic, {w: marking[w] for w in p.grams}), k=12, d=6) for p in PAIRS]
+
+
+def _bytes(text: str) -> bytes:
+    return b" " + text.lower().encode() + b" "
+
 
+def windows(raw: bytes) -> Iterator[list[bytes]]:
+    """The words of ``raw``, about SLAB bytes of them at once; long words in overlapping pieces that cover them whole."""
+    start = 0
+    while start < len(raw):
+        end = raw.find(b" ", start + SLAB)
+        end = len(raw) if end < 0 else end
+        words = raw[start:end].split()
+        if words and max(map(len, words)) > PIECE:
+            words = [w[i : i + PIECE] for w in words for i in range(0, max(len(w) - PIECE + HOP, 1), HOP)]
+        yield words
+        start = end
+
+
+class _Savings(dict):
+    """word -> a row of ``rows``: for each fold and pair the bin of the bytes that its toxic dictionary saves."""
+
+    def __init__(self, ordinary: list[bytes], folds: list[list[bytes]]):
+        self.plain, self.folds = [*map(self.primed, ordinary)], [[*map(self.primed, f)] for f in folds]
+        self.rows = np.empty((KNOWN + SLAB, len(folds) * len(PAIRS)), np.int16)
+
+    @staticmethod
     def primed(content: bytes):
-        words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        import zstandard
+
+        words = zstandard.ZstdCompressionDict(content)
         words.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=words, write_content_size=False, write_dict_id=False).compress
 
-    plain, both = primed(base), primed(toxic + base)
+    def __missing__(self, word: bytes) -> int:
+        padded = (b" " + word).ljust(WINDOW)
+        at = self[word] = len(self)
+        plain = [len(p(padded)) + LOW for p in self.plain]
+        self.rows[at] = [min(max(n - len(t(padded)), 0), BINS - 1) for fold in self.folds for n, t in zip(plain, fold)]
+        return at
+
 
-    def saved(text: str) -> np.ndarray:
-        parts = windows(b" " + text.lower().encode() + b" ")
-        return np.fromiter((len(plain(w)) - len(both(w)) for w in parts), np.int32, len(parts))
+def _counter(ordinary: list[bytes], folds: list[list[bytes]]):
+    """bytes of a text -> (folds, pairs, BINS): how many windows save how many bytes."""
+    savings = _Savings(ordinary, folds)
+    place = np.arange(savings.rows.shape[1]) * BINS
 
-    return saved
+    def count(raw: bytes) -> np.ndarray:
+        seen = np.zeros(len(place) * BINS, np.int64)
+        for words in windows(raw):
+            if len(savings) > KNOWN:
+                savings.clear()
+            at = np.fromiter(map(savings.__getitem__, words), np.int64, len(words))
+            seen += np.bincount((savings.rows[at] + place).ravel(), minlength=len(seen))
+        return seen.reshape(len(folds), len(PAIRS), BINS)
 
+    return count
 
-def _bins(saved: np.ndarray) -> np.ndarray:
-    return np.bincount(np.clip(saved + LOW, 0, LOW + HIGH), minlength=LOW + HIGH + 1)
 
+def _describe(bins: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """The features of each row of ``bins`` (documents, BINS)."""
+    total = np.maximum(bins.sum(axis=1), 1)
+    root = np.sqrt(total)
+    least = bins[:, ::-1].cumsum(axis=1)[:, ::-1]
+    reach = [least[:, LOW + s] for s in STEPS]
+    evidence = bins @ ratio
+    return np.column_stack([*(np.log1p(r) for r in reach), *(r / root for r in reach), np.log1p(total), evidence, evidence / root])
 
-def _evidence(bins: np.ndarray, ratio: np.ndarray) -> np.ndarray:
-    """Of each row: the summed ratio, and the same by the square root of its windows."""
-    total = bins @ ratio
-    return np.column_stack([total, total / np.sqrt(bins.sum(axis=1))])
+
+def _ratio(plain: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """The log-likelihood ratio of each bin; a document weighs by the square root of its windows."""
+    share = [(c / np.sqrt(np.maximum(c.sum(axis=1, keepdims=True), 1))).sum(axis=0) + 0.2 for c in (plain, toxic)]
+    return np.log(share[1] / share[1].sum()) - np.log(share[0] / share[0].sum())
+
+
+def _features(counts: np.ndarray, ratios: list[np.ndarray]) -> np.ndarray:
+    """counts: (documents, pairs, BINS)."""
+    return np.column_stack([_describe(counts[:, i], r) for i, r in enumerate(ratios)])
 
 
 def fit(ordinary: list[str], toxic: list[str], sizes: dict[int, int]) -> Model:
     """``sizes``: labelled rows of class 0 and 1, for the prior of the probabilities."""
     prior = (sizes[1] + 0.5) / (sizes[0] + sizes[1] + 1)
-    if not ordinary or not toxic:
-        return Model(b"", b"", np.zeros(1), np.zeros(1), prior)
-    classes = (ordinary, toxic)
-    halves = [[x[0::2] or x, x[1::2] or x] for x in classes]
-    counts: list[list[np.ndarray]] = [[], []]
+    none = np.zeros(0)
+    classes = [[_bytes(t) for t in x if t and not t.isspace()] for x in (ordinary, toxic)]
+    if not all(classes):
+        return Model([], [], [], none, none, none, prior)
+    plain = _fresh(classes[0])
+    ordinary, halves = _ordinary(plain), [[x[0::2], x[1::2] or x] for x in classes]
+    folds, rows = [], [[], []]
     for fold in (0, 1):
-        saved = _saver(*_train(*(h[fold] for h in halves)))
+        folds.append(_toxic(_fresh(halves[1][fold]), _fresh(halves[0][fold])))
+        count = _counter(ordinary, folds[-1:])
         for c in (0, 1):
-            counts[c] += [_bins(saved(t)) for t in halves[c][1 - fold]]
-    rows = [np.array(c) for c in counts]
-    # each document weighs by the square root of its windows
-    spread = [(c / np.sqrt(c.sum(axis=1, keepdims=True))).sum(axis=0) for c in rows]
-    ratio = np.log((spread[1] + 0.2) / spread[1].sum()) - np.log((spread[0] + 0.2) / spread[0].sum())
-    x = np.concatenate([_evidence(c, ratio) for c in rows])
-    weights = logit_fit(x, np.repeat([0.0, 1.0], [len(c) for c in rows]), l2=0.05)
-    weights[-1] += prior_shift({c: len(rows[c]) for c in (0, 1)}, sizes)
-    return Model(*_train(ordinary, toxic), ratio, weights, prior)
-
-
-def _train(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
-    """The ordinary and the toxic dictionary."""
-    plain, marked = (_fresh([t.lower().encode() for t in x]) for x in (ordinary, toxic))
-    base = _dictionary(ORDINARY_BYTES, [t[i : i + 256] for t in plain for i in range(0, len(t), 256)], k=32, d=8)
-    return base, _dictionary(TOXIC_BYTES, _marked_passages(marked, plain), k=12, d=6)
+            rows[c] += [count(t)[0] for t in halves[c][1 - fold]]
+    counts = [np.array(r) for r in rows]
+    ratios = [_ratio(counts[0][:, i], counts[1][:, i]) for i in range(len(PAIRS))]
+    x = np.concatenate([_features(c, ratios) for c in counts])
+    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    x = (x - mean) / spread
+    weights = logit_fit(x, np.repeat([0.0, 1.0], [len(r) for r in rows]), l2=1.0)
+    # the threshold: what the share FALSE of ordinary documents reaches, gets the score CUT
+    weights[-1] = np.log(CUT / (1 - CUT)) - np.quantile(x[: len(rows[0])] @ weights[:-1], 1 - FALSE, method="higher")
+    return Model(ordinary, folds, ratios, mean, spread, weights, prior)
 
 
 def scorer(model: Model):
     """text (None: empty) -> probability of being toxic."""
-    if not model.toxic:
+    if not model.folds:
         return lambda text: model.prior
-    saved = _saver(model.base, model.toxic)
+    count = _counter(model.ordinary, model.folds)
 
     def score(text: str | None) -> float:
         if not text or text.isspace():
             return model.prior
-        x = _evidence(_bins(saved(text or ""))[None], model.ratio)[0]
-        return float(1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -30, 30))))
+        x = (_features(count(_bytes(text)), model.ratios) - model.mean) / model.spread
+        z = (x @ model.weights[:-1]).mean() + model.weights[-1]
+        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     return score
 

@@ -87,13 +87,79 @@ def test_toxicity_tells_planted_words():
     assert 0 <= score("word " * 50_000) <= 1
 
 
-def test_windows_cover_whole_texts():
-    for n in (0, 1, 15, 16, 17, 63, 64, 65, 1000):
-        raw = bytes(i % 251 for i in range(n))
-        seen = np.zeros(n, bool)
-        for i, w in enumerate(toxicity.windows(raw)):
-            seen[i * toxicity.HOP : i * toxicity.HOP + len(w)] = True
-        assert seen.all()
+def test_windows_cover_whole_texts(monkeypatch):
+    monkeypatch.setattr(toxicity, "SLAB", 500)
+    rng = random.Random(3)
+    for n in (0, 1, 39, 40, 41, 70, 71, 1000, 5000):
+        words = [bytes(rng.randrange(97, 123) for _ in range(rng.choice([1, 5, 39, 40, 41, 69, 70, 71, 200]))) for _ in range(n // 30)] + [b"x" * n]
+        raw = b"  ".join(words)
+        at, whole = 0, [w for part in toxicity.windows(raw) for w in part]
+        for word in filter(None, words):
+            seen = np.zeros(len(word), bool)
+            start = 0
+            while not seen.all():
+                piece = whole[at]
+                assert len(piece) <= toxicity.PIECE and word[start : start + len(piece)] == piece
+                seen[start : start + len(piece)] = True
+                start, at = start + toxicity.HOP, at + 1
+        assert at == len(whole)
+
+
+def test_toxicity_against_plain_python():
+    """The score by the letter of the docstring: no lookup of known words, no numpy."""
+    import math
+
+    import zstandard
+
+    plain, toxic = toxic_corpus()
+    model = toxicity.fit(plain[:160], toxic[:100], {0: 160, 1: 100})
+    score = toxicity.scorer(model)
+    length = lambda d, w: len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False).compress(w))
+    assert all(d[:4] == bytes.fromhex("37a430ec") for d in [*model.ordinary, *sum(model.folds, [])])
+    for text in [*plain[160:163], *toxic[100:104], "q" * 90 + " w"]:
+        words = [w[i : i + 40] for w in text.lower().encode().split() for i in range(0, max(len(w) - 10, 1), 30)]
+        odds = []
+        for fold in model.folds:
+            x = []
+            for ordinary, marked, ratio in zip(model.ordinary, fold, model.ratios):
+                saved = [max(-12, min(16, length(ordinary, p) - length(marked, p))) for p in ((b" " + w).ljust(48) for w in words)]
+                reach = [sum(s >= k for s in saved) for k in (1, 2, 3, 4, 5, 7)]
+                root, evidence = math.sqrt(len(saved)), sum(ratio[s + 12] for s in saved)
+                x += [*(math.log1p(r) for r in reach), *(r / root for r in reach), math.log1p(len(saved)), evidence, evidence / root]
+            odds.append(sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.spread)) + model.weights[-1])
+        assert score(text) == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, sum(odds) / 2)))), abs=1e-9)
+
+
+def area_under_curve(score, label):
+    rank = np.argsort(np.argsort(score, kind="stable"), kind="stable") + 1.0
+    _, same = np.unique(score, return_inverse=True)
+    rank = (np.bincount(same, rank) / np.bincount(same))[same]
+    n = label.sum()
+    return (rank[label == 1].sum() - n * (n + 1) / 2) / (n * (len(label) - n))
+
+
+def test_op2_finds_toxic_documents_of_every_language(spark):
+    tables = "/root/testdata/sf0.1"
+    known = spark.read.parquet(f"{tables}/labels.parquet").filter("toxic is not null").join(spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    got = toxicity.op2_toxicity(spark, tables).filter("held_out").join(known, "doc_id").select("lang", "toxic", "score", "predicted").toPandas()
+    bad = got.toxic == 1
+    found = {lang: (part.predicted[part.toxic == 1].mean(), area_under_curve(part.score.to_numpy(), part.toxic.to_numpy())) for lang, part in got.groupby("lang")}
+    print(found, got.predicted[bad].mean(), got.predicted[~bad].mean())
+    # a share of the toxic labels is of texts without any toxic word
+    assert got.predicted[bad].mean() > 0.68 and got.predicted[~bad].mean() < 0.01
+    assert all(area > 0.8 for _, area in found.values()) and got.predicted[bad & (got.lang != "en")].mean() > 0.5
+
+
+def test_samples_are_bounded_in_bytes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from dotweave.llm import common
+
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 100).alias("text"))
+    labels = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    monkeypatch.setattr(common, "SAMPLE_BYTES", 450)
+    texts, sizes = common.labelled_sample(docs, labels, "toxic", F.lit(False), {0: 10, 1: 3})
+    assert (len(texts[0]), len(texts[1])) == (5, 3) and sizes == {0: 20, 1: 20}
 
 
 def test_toxicity_without_a_class():
