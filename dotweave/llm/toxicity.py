@@ -36,6 +36,8 @@ columns pass through, a clashing ``score`` is replaced.
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,7 +47,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import labelled_sample, logit_fit, table
+from .common import labelled_sample, logit_fit, small, table
 
 
 @dataclass(frozen=True)
@@ -71,7 +73,7 @@ OVER = 7.0
 LOW, HIGH = 12, 16
 STEPS = (1, 2, 3, 4, 5, 7)
 #: Words whose savings a worker remembers.
-KNOWN = 200_000
+KNOWN = 300_000
 #: Score from which a document counts as toxic, and the share of ordinary documents that may reach it.
 CUT, FALSE = 0.7, 0.005
 BINS = LOW + HIGH + 1
@@ -200,29 +202,48 @@ class _Savings(dict):
 
         words = zstandard.ZstdCompressionDict(content)
         words.precompute_compress(level=LEVEL)
-        return zstandard.ZstdCompressor(level=LEVEL, dict_data=words, write_content_size=False, write_dict_id=False).compress
-
-    def __missing__(self, word: bytes) -> int:
-        padded = (b" " + word).ljust(WINDOW)
-        at = self[word] = len(self)
-        plain = [len(p(padded)) + LOW for p in self.plain]
-        self.rows[at] = [min(max(n - len(t(padded)), 0), BINS - 1) for fold in self.folds for n, t in zip(plain, fold)]
-        return at
+        packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=words, write_content_size=False, write_dict_id=False)
+        return lambda padded: np.fromiter(map(len, packer.multi_compress_to_buffer(padded, threads=1)), np.int64, len(padded))
+
+    def learn(self, words: list[bytes]) -> None:
+        fresh = list(set(words).difference(self))
+        if len(self) + len(fresh) > KNOWN:
+            self.clear()
+            fresh = list(set(words))
+        if fresh:
+            padded = [(b" " + w).ljust(WINDOW) for w in fresh]
+            plain = [p(padded) for p in self.plain]
+            saved = np.column_stack([n - t(padded) for fold in self.folds for n, t in zip(plain, fold)])
+            at = len(self)
+            self.rows[at : at + len(fresh)] = np.clip(saved + LOW, 0, BINS - 1)
+            self.update(zip(fresh, range(at, at + len(fresh))))
 
 
 def _counter(ordinary: list[bytes], folds: list[list[bytes]]):
-    """bytes of a text -> (folds, pairs, BINS): how many windows save how many bytes."""
+    """bytes of texts -> (texts, folds, pairs, BINS): how many windows save how many bytes."""
     savings = _Savings(ordinary, folds)
     place = np.arange(savings.rows.shape[1]) * BINS
 
-    def count(raw: bytes) -> np.ndarray:
-        seen = np.zeros(len(place) * BINS, np.int64)
-        for words in windows(raw):
-            if len(savings) > KNOWN:
-                savings.clear()
-            at = np.fromiter(map(savings.__getitem__, words), np.int64, len(words))
-            seen += np.bincount((savings.rows[at] + place).ravel(), minlength=len(seen))
-        return seen.reshape(len(folds), len(PAIRS), BINS)
+    def count(texts: list[bytes]) -> np.ndarray:
+        seen = np.zeros((len(texts), len(place) * BINS), np.int64)
+        held: list[tuple[int, list[bytes]]] = []
+        size = 0
+
+        def flush() -> None:
+            savings.learn([w for _, words in held for w in words])
+            for i, words in held:
+                at = np.fromiter(map(savings.__getitem__, words), np.int64, len(words))
+                seen[i] += np.bincount((savings.rows[at] + place).ravel(), minlength=seen.shape[1])
+
+        for i, raw in enumerate(texts):
+            for words in windows(raw):
+                held.append((i, words))
+                size += len(words)
+                if size > SLAB // 8:
+                    flush()
+                    held, size = [], 0
+        flush()
+        return seen.reshape(len(texts), len(folds), len(PAIRS), BINS)
 
     return count
 
@@ -262,43 +283,55 @@ def fit(ordinary: list[str], toxic: list[str], sizes: dict[int, int]) -> Model:
         folds.append(_toxic(_fresh(halves[1][fold]), _fresh(halves[0][fold])))
         count = _counter(ordinary, folds[-1:])
         for c in (0, 1):
-            rows[c] += [count(t)[0] for t in halves[c][1 - fold]]
-    counts = [np.array(r) for r in rows]
+            rows[c].append(count(halves[c][1 - fold])[:, 0])
+    counts = [np.concatenate(r) for r in rows]
     ratios = [_ratio(counts[0][:, i], counts[1][:, i]) for i in range(len(PAIRS))]
     x = np.concatenate([_features(c, ratios) for c in counts])
     mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     x = (x - mean) / spread
-    weights = logit_fit(x, np.repeat([0.0, 1.0], [len(r) for r in rows]), l2=1.0)
+    weights = logit_fit(x, np.repeat([0.0, 1.0], [len(c) for c in counts]), l2=1.0)
     # the threshold: what the share FALSE of ordinary documents reaches, gets the score CUT
-    weights[-1] = np.log(CUT / (1 - CUT)) - np.quantile(x[: len(rows[0])] @ weights[:-1], 1 - FALSE, method="higher")
+    weights[-1] = np.log(CUT / (1 - CUT)) - np.quantile(x[: len(counts[0])] @ weights[:-1], 1 - FALSE, method="higher")
     return Model(ordinary, folds, ratios, mean, spread, weights, prior)
 
 
 def scorer(model: Model):
-    """text (None: empty) -> probability of being toxic."""
-    if not model.folds:
-        return lambda text: model.prior
-    count = _counter(model.ordinary, model.folds)
-
-    def score(text: str | None) -> float:
-        if not text or text.isspace():
-            return model.prior
-        x = (_features(count(_bytes(text)), model.ratios) - model.mean) / model.spread
-        z = (x @ model.weights[:-1]).mean() + model.weights[-1]
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    """texts (None: empty) -> probabilities of being toxic."""
+    count = _counter(model.ordinary, model.folds) if model.folds else None
+
+    def score(texts: list[str | None]) -> np.ndarray:
+        out = np.full(len(texts), model.prior)
+        some = [i for i, t in enumerate(texts) if t and not t.isspace()]
+        if count and some:
+            seen = count([_bytes(texts[i]) for i in some])
+            odds = [((_features(seen[:, f], model.ratios) - model.mean) / model.spread) @ model.weights[:-1] for f in range(len(model.folds))]
+            out[some] = 1 / (1 + np.exp(-np.clip(np.mean(odds, axis=0) + model.weights[-1], -30, 30)))
+        return out
 
     return score
 
 
+#: The scorer of the last model that this worker process met, so that the tasks of a worker share what it has looked up.
+_LAST: dict[bytes, object] = {}
+
+
+def _kept_scorer(model: Model):
+    key = hashlib.sha256(pickle.dumps(model)).digest()
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = scorer(model)
+    return _LAST[key]
+
+
 def with_score(df: DataFrame, model: Model, text: str = "text", out: str = "score", drop_text: bool = False) -> DataFrame:
     """``df`` with ``out``, the probability that the whole ``text`` is toxic."""
     keep = [c for c in df.columns if c.lower() != out.lower() and not (drop_text and c == text)]
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = scorer(model)
-        for batch in batches:
-            values = pa.array([score(t.as_py()) for t in batch.column(text)], pa.float64())
+        score = _kept_scorer(model)
+        for batch in small(batches, 500):
+            values = pa.array(score(batch.column(text).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), values], [*keep, out])
 
     return df.mapInArrow(run, schema)
