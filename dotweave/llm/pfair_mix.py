@@ -20,8 +20,8 @@ of sources can be mixed. Only where a ``resolution`` is asked for are weights ro
 to that many parts, at least one each.
 
 Defined cases: a null source is a source of its own; null ids come first within
-their hash; repeated rows are placed separately, in no defined order among
-themselves; text and further columns are carried unread; an empty table gives no
+their hash, rows of one id in the order of the hash of the row; repeated rows are
+placed separately; text and further columns are carried unread; an empty table gives no
 rows; a target weight of zero or less is an error.
 """
 
@@ -36,11 +36,13 @@ from itertools import count, islice
 from math import lcm
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import table
+from .common import free, table
 
 BLOCK = 64
 RESOLUTION = 1_000
@@ -49,6 +51,8 @@ TEMPER = 0.7
 RUN = 1_000
 #: Documents of one hash bucket of a source, about; ranks are counted inside and summed across.
 BUCKET = 2_000
+#: Documents of one partition of the mix at most.
+PART = 100_000
 
 
 def quantise(weights: dict, resolution: int = RESOLUTION) -> dict:
@@ -139,17 +143,33 @@ def schedule(blocks: dict, q: dict) -> dict:
     return dict(zip(names, np.split(where, np.cumsum([blocks[s] for s in names])[:-1])))
 
 
+def _hashable(docs: DataFrame, numbers: bool = False) -> list[Column]:
+    """The columns of ``docs`` that have a hash, or the numbers among them."""
+    kinds = T.NumericType if numbers else T.AtomicType
+    return [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, kinds) and not isinstance(f.dataType, T.VariantType)]
+
+
 def placed(docs: DataFrame, weights: dict | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, resolution: int | None = None) -> DataFrame:
     """``row`` (the whole row of ``docs`` as a struct), ``block`` (number within the source), ``slot``, and ``position``, dense from 0.
 
-    The rows of a source are dealt into hash buckets, ranked inside them, and shifted by the sizes of the buckets
-    before, so a source of any size is spread over many tasks. Texts move once.
+    The rows of a source are dealt into hash buckets (of the id; of all numbers of the row where that is null), ranked
+    inside them, and shifted by the sizes of the buckets before, so a source of any size is spread over many tasks.
+    Texts move once. Ties end with the hash of the whole row, so a repeated task ranks alike.
     """
+    return _placed(docs, weights, source, key, block, resolution)[0]
+
+
+def _placed(docs: DataFrame, weights: dict | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, resolution: int | None = None) -> tuple[DataFrame, int]:
+    """The rows of :func:`placed`, and their number."""
     spark = docs.sparkSession
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source).cast("string").alias("source"), F.col(key).alias("key"))
+    spread = F.coalesce(F.when(F.col(key).isNotNull(), F.xxhash64(key)), F.xxhash64(*_hashable(docs, numbers=True), F.lit(0)))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(source).cast("string").alias("source"), F.col(key).alias("key"), spread.alias("spread"),
+        F.xxhash64(*_hashable(docs), F.lit(0)).alias("tie"),
+    )
     sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return rows.select("row", *(F.lit(None).cast("long").alias(c) for c in ("block", "slot", "position")))
+        return rows.select("row", *(F.lit(None).cast("long").alias(c) for c in ("block", "slot", "position"))), 0
     blocks = {s: -(-n // block) for s, n in sizes.items()}
     given = {s: Fraction(w) for s, w in (weights or {}).items()}
     tempered = {s: Fraction(n**TEMPER) for s, n in sizes.items()}
@@ -173,11 +193,11 @@ def placed(docs: DataFrame, weights: dict | None = None, source: str = "source",
         )
     )
     dealing = F.broadcast(spark.createDataFrame([(s, max(1, n // BUCKET)) for s, n in sizes.items()], "dealing string, buckets long"))
-    bucketed = lambda df: df.join(dealing, F.col("source").eqNullSafe(F.col("dealing"))).withColumn("bucket", F.pmod(F.xxhash64("key"), F.col("buckets"))).drop("dealing", "buckets")
-    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("key", F.lit(1)), "key")
+    bucketed = lambda df: df.join(dealing, F.col("source").eqNullSafe(F.col("dealing"))).withColumn("bucket", F.pmod("spread", F.col("buckets"))).drop("dealing", "buckets")
+    inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("key", F.lit(1)), "key", "tie")
     ranked = bucketed(rows).withColumn("rank", F.row_number().over(inside) - 1)
     # one row per bucket, summed in two steps so that no source's buckets meet in one task
-    counts = bucketed(rows.select("source", "key")).groupBy("source", "bucket").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("bucket") / 1_000))
+    counts = bucketed(rows.select("source", "spread")).groupBy("source", "bucket").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("bucket") / 1_000))
     near = Window.partitionBy("source", "part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     far = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = counts.groupBy("source", "part").agg(F.sum("n").alias("n")).select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(far), F.lit(0)).alias("far"))
@@ -187,7 +207,8 @@ def placed(docs: DataFrame, weights: dict | None = None, source: str = "source",
     numbered = shifted.withColumn("block", F.floor(F.col("rank") / block))
     on = F.col("source").eqNullSafe(F.col("named")) & (F.floor(F.col("block") / RUN) == F.col("run"))
     at = (F.col("block") % RUN + 1).cast("int")
-    return numbered.join(named, on).select("row", "block", F.element_at("slots", at).alias("slot"), (F.element_at("starts", at) + F.col("rank") % block).alias("position"))
+    out = numbered.join(named, on).select("row", "block", F.element_at("slots", at).alias("slot"), (F.element_at("starts", at) + F.col("rank") % block).alias("position"))
+    return out, sum(sizes.values())
 
 
 def positions(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
@@ -197,13 +218,37 @@ def positions(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
-    """``docs``, the same columns, in the order of the mix: range-partitioned and sorted by position."""
-    ordered = placed(docs, weights, **how).repartitionByRange("position").sortWithinPartitions("position")
+    """``docs``, the same columns, in the order of the mix: dealt by runs of positions to partitions and sorted.
+
+    Positions are dense, so the runs are known beforehand and nothing is sampled. Written as files, partition by
+    partition, the rows keep the order; :func:`file_positions` reads it back.
+    """
+    rows, n = _placed(docs, weights, **how)
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART))
+    per = max(1, -(-n // parts))
+    ordered = rows.repartitionById(parts, F.floor(F.col("position") / per).cast("int")).sortWithinPartitions("position")
     return ordered.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
+def file_positions(written: DataFrame, out: str = "position") -> DataFrame:
+    """``written`` with ``out``: the place of each row, dense from 0, in the order of its files by name and rows inside.
+
+    ``written`` is read from Parquet. Readers order files by size, so only their names tell the order that they were
+    written in. Rows that come from no file get a null.
+    """
+    name, row, before = (free(written, c) for c in ("_file", "_row", "_before"))
+    try:
+        rows = written.select("*", F.col("_metadata.file_name").alias(name), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:
+        return written.withColumn(out, F.lit(None).cast("long"))
+    files = written.select(F.col("_metadata.file_name").alias(name)).groupBy(name).agg(F.count("*").alias(before))
+    # a row a file
+    sizes = files.withColumn(before, F.coalesce(F.sum(before).over(Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return rows.join(sizes, name).withColumn(out, F.col(before) + F.col(row)).drop(name, row, before)
+
+
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return positions(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return positions(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op4_pfair_mix": op4_pfair_mix}

@@ -251,6 +251,43 @@ def test_mix_of_awkward_rows(spark, docs, none):
     assert pfair_mix.mixed(none).count() == 0 and pfair_mix.positions(none).count() == 0
 
 
+def test_op4_places_whole_documents(spark):
+    docs = {r["doc_id"]: tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = pfair_mix.op4_pfair_mix(spark, SF).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(len(docs))) and {r["doc_id"]: tuple(r)[:5] for r in got} == docs
+    sizes = Counter(r["source"] for r in got)
+    blocks = {s: -(-n // pfair_mix.BLOCK) for s, n in sizes.items()}
+    where = pfair_mix.schedule(blocks, pfair_mix.exact({s: n**pfair_mix.TEMPER for s, n in sizes.items()}))
+    assert all(where[r["source"]][r["block"]] == r["slot"] for r in got)
+
+
+def test_null_ids_are_dealt_apart(spark, monkeypatch):
+    monkeypatch.setattr(pfair_mix, "BUCKET", 10)
+    docs = spark.range(1000).selectExpr("cast(null as long) as doc_id", "'s' as source", "id as n_chars", "map('a', id) as extra")
+    rows = pfair_mix.placed(docs)
+    assert sorted(r["position"] for r in rows.collect()) == list(range(1000))
+
+
+def test_files_keep_the_mix(spark, tmp_path):
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('s', floor(sqrt(id)) % 5) as source", "repeat('x', id % 900) as text")
+    want = [r["doc_id"] for r in pfair_mix.positions(docs, block=3).orderBy("position").collect()]
+    pfair_mix.mixed(docs, block=3).write.parquet(str(tmp_path / "mix"))
+    written = spark.read.parquet(str(tmp_path / "mix"))
+    assert written.select("_metadata.file_name").distinct().count() > 2
+    got = pfair_mix.file_positions(written).collect()
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["position"])] == want
+    assert pfair_mix.file_positions(docs).filter("position is not null").count() == 0
+
+
+def test_the_pipeline_keeps_the_mix(spark):
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(r["position"] for r in got) == list(range(len(got)))
+    source = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = source.join(spark.createDataFrame([(r["doc_id"],) for r in got], "doc_id long"), "doc_id", "left_semi")
+    want = [r["doc_id"] for r in pfair_mix.positions(kept).orderBy("position").collect()]
+    assert [r["doc_id"] for r in sorted(got, key=lambda r: r["position"])] == want
+
+
 # languages
 
 
