@@ -3,7 +3,15 @@
 quality -> toxicity -> near duplicates -> source mix -> tokens. Every stage reads what
 its predecessor wrote as Parquet into the shared folder. The first three drop rows,
 the fourth orders them (files and rows follow the mix), the last turns texts into
-token ids; all but the last return the columns of ``documents``.
+token ids and gives each its position in the mix; all but the last return the columns
+of ``documents``, further columns included.
+
+Defined cases: null, empty and blank texts are scored like any other by the classifiers
+and have no near copies, so the join keeps each row of them; of equal rows the join
+keeps one; a null doc_id is an id like any other; a null source is a source of its own;
+very long texts are read whole by every stage; columns that bear the name of an
+operator's own are carried unchanged; empty tables, or labels of one class only, leave
+each stage an empty or unfiltered table.
 
 ORACLE_SQL is None: SQL can express neither classifier nor the join; the tests hold
 the stages against brute force instead.
@@ -49,9 +57,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, in the order of the mix."""
-    made = tokenize_bpe.with_tokens(docs.select("doc_id", "lang", "source", "text"), *tokenize_bpe.public_ranks())
-    return made.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of each document and its ``position`` in the mix, which the files of the stage before hold in their order.
+
+    Rows of no file have a null position.
+    """
+    placed = pfair_mix.file_positions(docs.select("doc_id", "lang", "source", "text"))
+    made = tokenize_bpe.with_tokens(placed, *tokenize_bpe.public_ranks())
+    return made.select("position", "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [
