@@ -10,9 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Points handled at once where each meets many others.
+BLOCK = 4_096
+
+
 def _density(points: np.ndarray, at: np.ndarray, bandwidth: float) -> np.ndarray:
-    d2 = ((at[:, None] - points[None]) ** 2).sum(axis=2)
-    return np.exp(-0.5 * d2 / bandwidth**2).sum(axis=1)
+    total = np.zeros(len(at))
+    for i in range(0, len(points), BLOCK):
+        d2 = ((at[:, None] - points[None, i : i + BLOCK]) ** 2).sum(axis=2)
+        total += np.exp(-0.5 * d2 / bandwidth**2).sum(axis=1)
+    return total
+
+
+def near_offsets(a: np.ndarray, b: np.ndarray, radius: float) -> np.ndarray:
+    """a - b of all pairs within ``radius``; points meet in cells of that side, BLOCK points of b at once."""
+    cell, other = (np.floor(x / radius).astype(np.int64) for x in (a, b))
+    low = np.minimum(cell.min(axis=0), other.min(axis=0)) - 1
+    width = max(cell[:, 1].max(), other[:, 1].max()) - low[1] + 3
+    number = lambda x: (x[:, 0] - low[0]) * width + x[:, 1] - low[1]
+    order = np.argsort(number(cell), kind="stable")
+    places, found = number(cell)[order], []
+    for at in range(0, len(b), BLOCK):
+        for i in (-1, 0, 1):
+            # the three cells of a row of cells are neighbours in the order
+            first = number(other[at : at + BLOCK] + (i, -1))
+            start, end = np.searchsorted(places, first, "left"), np.searchsorted(places, first + 2, "right")
+            n = end - start
+            row = np.repeat(np.arange(len(n)), n)
+            d = a[order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - start, n)]] - b[at + row]
+            found.append(d[(d**2).sum(axis=1) <= radius * radius])
+    return np.concatenate(found)
 
 
 def density_mode(points: np.ndarray, radius: float, bandwidth: float = 5, step: float = 0.05, most: int = 500) -> np.ndarray:
@@ -33,8 +60,7 @@ def density_mode(points: np.ndarray, radius: float, bandwidth: float = 5, step:
 
 def offset_of(a: np.ndarray, b: np.ndarray, radius: float = 20, **how) -> np.ndarray | None:
     """What b must move by to lie on a, from the offsets of all pairs within ``radius``; none if there is no pair."""
-    d = a[:, None] - b[None]
-    near = d[(d**2).sum(axis=2) <= radius * radius]
+    near = near_offsets(a, b, radius) if len(a) and len(b) else np.zeros((0, 2))
     return density_mode(near, radius, **how) if len(near) else None
 
 

@@ -14,6 +14,8 @@ from ..functions.codes import flips, positive_bits
 from .spatial import nearest_within
 
 LENGTH = 16
+#: Bits of a code at most: what bounds the number of different codes that meet the codebook.
+MOST_BITS = 16
 
 
 def barcode_bits(matches: DataFrame, reference: str, round_num: str = "round_num") -> DataFrame:
@@ -26,8 +28,10 @@ def nearest_codeword(codes: DataFrame, codebook: DataFrame, length: int = LENGTH
     """Gene, distance (a share of bits) and positive bits for each row; ties go to the codebook's order.
 
     Only distinct codes meet the codebook, at most 2 ** length of them; the codebook is a table of a few
-    hundred genes. The result joins back on the code.
+    hundred genes. The result joins back on the code. Codes of more than MOST_BITS bits are an error.
     """
+    if length > MOST_BITS:
+        raise ValueError(f"codes of more than {MOST_BITS} bits")
     book = codebook.select(F.col("gene").alias("decoded_genes"), F.col("code_bits").alias("_book"), F.col("code_idx").alias("_idx"))
     crossed = codes.select(bits).distinct().crossJoin(book).withColumn("_d", F.bit_count(F.col(bits).bitwiseXOR(F.col("_book"))))
     best = Window.partitionBy(bits).orderBy("_d", "_idx")

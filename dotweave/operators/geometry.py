@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .selection import first_of, in_box
-from .spatial import k_nearest
+from .spatial import nearest_k_within
 
 #: The anchor corner of the tiles of each machine, and the axes that its stage inverts.
 CORNERS = {"ROBOFISH1": "top-left", "ROBOFISH2": "top-right", "ROBOFISH3": "bottom-left"}
@@ -46,8 +46,8 @@ def stitched(r: Column, c: Column, tile_r: Column, tile_c: Column, corner: str,
 
 
 def stitch(df: DataFrame, tiles: DataFrame, corner: str, width: float, height: float, rc: tuple[str, str] = ("r_px_registered", "c_px_registered"), tag: str = "microscope_stitched") -> DataFrame:
-    """Adds r_px_<tag>, c_px_<tag>; ``tiles`` (fov_num, r, c) is a few thousand rows at most."""
-    joined = df.join(F.broadcast(tiles.select("fov_num", F.col("r").alias("_tr"), F.col("c").alias("_tc"))), "fov_num", "left")
+    """Adds r_px_<tag>, c_px_<tag>; ``tiles``: fov_num, r, c."""
+    joined = df.join(tiles.select("fov_num", F.col("r").alias("_tr"), F.col("c").alias("_tc")), "fov_num", "left")
     row, col = stitched(F.col(rc[0]), F.col(rc[1]), F.col("_tr"), F.col("_tc"), corner, width, height)
     return joined.withColumns({f"r_px_{tag}": row, f"c_px_{tag}": col}).drop("_tr", "_tc")
 
@@ -58,7 +58,7 @@ def adjacent(tiles: DataFrame, image_size: float, key: str = "fov_num") -> DataF
     b is one of a's four nearest tiles and nearer than ``image_size``. Where both name each other the smaller
     number comes first, where only one does, that one.
     """
-    near = k_nearest(tiles, 4, ("r", "c"), key).filter(F.col("d2") < float(image_size) * float(image_size)).select("a", "b")
+    near = nearest_k_within(tiles, 4, image_size, ("r", "c"), key).select("a", "b")
     back = near.select(F.col("b").alias("a"), F.col("a").alias("b"))
     again = near.join(back, ["a", "b"], "left_semi").filter(F.col("a") > F.col("b"))
     return near.join(again, ["a", "b"], "left_anti")
@@ -67,7 +67,7 @@ def adjacent(tiles: DataFrame, image_size: float, key: str = "fov_num") -> DataF
 def overlaps(tiles: DataFrame, pairs: DataFrame, corner: str, width: float, height: float, key: str = "fov_num") -> DataFrame:
     """The rectangle that two tiles share, and which of them is above and left."""
     side = lambda name: tiles.select(F.col(key).alias(name), F.col("r").alias(f"{name}r"), F.col("c").alias(f"{name}c"))
-    both = pairs.join(F.broadcast(side("a")), "a").join(F.broadcast(side("b")), "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def span(one: Column, two: Column, size: float, far: bool) -> tuple[Column, Column]:
         back = float(size) if far else 0.0

@@ -62,7 +62,7 @@ def nearest_within(
     """Each left row with its nearest right row within ``radius``; ties go to the smaller right id."""
     pairs = radius_join(left, right, radius, left_rc, right_rc, on)
     other = f"r_{right_id}" if right_id in left.columns and right_id not in (on or []) else right_id
-    best = Window.partitionBy(left_id).orderBy("d2", other)
+    best = Window.partitionBy(*(on or []), left_id).orderBy("d2", other)
     return pairs.withColumn("_k", F.row_number().over(best)).filter("_k = 1").drop("_k")
 
 
@@ -84,35 +84,55 @@ def drop_crowded(points: DataFrame, radius: float, rc: tuple[str, str], key: str
     return points.join(neighbour_count(points, radius, rc, key).filter(F.col("neighbours") < most), key, "left_semi")
 
 
+#: Points of which all pairs are looked at, at most.
+TILES = 20_000
+
+
+def nearest_k_within(points: DataFrame, k: int, radius: float, rc: tuple[str, str], key: str) -> DataFrame:
+    """The ``k`` nearest other points of each, of those nearer than ``radius``: a, b, d2, rank; on grid cells."""
+    slim = points.select(key, *rc)
+    pairs = radius_join(slim, slim, radius, rc, rc, strict=True).filter(F.col(key) != F.col(f"r_{key}")).select(F.col(key).alias("a"), F.col(f"r_{key}").alias("b"), "d2")
+    near = Window.partitionBy("a").orderBy("d2", "b")
+    return pairs.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k)
+
+
 def k_nearest(points: DataFrame, k: int, rc: tuple[str, str], key: str) -> DataFrame:
-    """The ``k`` nearest other points of each of a few thousand points (tile corners): a, b, d2, rank."""
+    """The ``k`` nearest other points of each, however far: a, b, d2, rank.
+
+    No radius bounds the search, so all pairs are looked at: for tiles of an experiment, TILES at most. With a radius
+    use :func:`nearest_k_within`.
+    """
+    if points.count() > TILES:
+        raise ValueError(f"more than {TILES} points: use nearest_k_within")
     r, c = rc
     a = points.select(F.col(key).alias("a"), F.col(r).alias("ar"), F.col(c).alias("ac"))
     b = points.select(F.col(key).alias("b"), F.col(r).alias("br"), F.col(c).alias("bc"))
-    # tiles of one experiment are at most a few thousand, so the product of their corners is small
     pairs = a.join(b, F.col("a") != F.col("b")).withColumn("d2", squared(F.col("ar"), F.col("ac"), F.col("br"), F.col("bc")))
     near = Window.partitionBy("a").orderBy("d2", "b")
     return pairs.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k).select("a", "b", "d2", "rank")
 
 
 def mutual_matches(
-    a: DataFrame, b: DataFrame, radius: float, rc: tuple[str, str], key: str, identity: str | None = None, offset: tuple[float, float] = (0.0, 0.0)
+    a: DataFrame, b: DataFrame, radius: float, rc: tuple[str, str], key: str, identity: str | None = None, offset: tuple[float, float] = (0.0, 0.0), on: list[str] | None = None
 ) -> DataFrame:
-    """One-to-one matches of ``a`` with ``b`` shifted by ``offset``: key_a, key_b, d2, r, c (the mean of a and shifted b).
+    """One-to-one matches of ``a`` with ``b`` shifted by ``offset``: ``on``, key_a, key_b, d2, r, c (the mean of a and shifted b).
+
+    Only rows of equal ``on`` columns (a pair of tiles, say) match, so all pairs of tiles are matched at once.
 
     Every b goes to its nearest a within the radius; of those that share an a the nearest stay (ties too), an
     ``identity`` column must agree, and of what is left the smallest b wins.
     """
     r, c = rc
-    cols = [key, r, c] + ([identity] if identity else [])
+    on = on or []
+    cols = [*on, key, r, c] + ([identity] if identity else [])
     moved = b.select(*cols).withColumns({r: F.col(r) + offset[0], c: F.col(c) + offset[1]})
-    near = nearest_within(moved, a.select(*cols), radius, rc, rc, key, key)
-    ranked = near.withColumn("_k", F.rank().over(Window.partitionBy(f"r_{key}").orderBy("d2"))).filter("_k = 1")
+    near = nearest_within(moved, a.select(*cols), radius, rc, rc, key, key, on)
+    ranked = near.withColumn("_k", F.rank().over(Window.partitionBy(*on, f"r_{key}").orderBy("d2"))).filter("_k = 1")
     if identity:
         ranked = ranked.filter(F.col(identity) == F.col(f"r_{identity}"))
-    first = ranked.withColumn("_k", F.row_number().over(Window.partitionBy(f"r_{key}").orderBy(key))).filter("_k = 1")
+    first = ranked.withColumn("_k", F.row_number().over(Window.partitionBy(*on, f"r_{key}").orderBy(key))).filter("_k = 1")
     return first.select(
-        F.col(f"r_{key}").alias("key_a"), F.col(key).alias("key_b"), "d2", ((F.col(r) + F.col(f"r_{r}")) / 2).alias("r"), ((F.col(c) + F.col(f"r_{c}")) / 2).alias("c")
+        *on, F.col(f"r_{key}").alias("key_a"), F.col(key).alias("key_b"), "d2", ((F.col(r) + F.col(f"r_{r}")) / 2).alias("r"), ((F.col(c) + F.col(f"r_{c}")) / 2).alias("c")
     )
 
 
@@ -125,9 +145,10 @@ def merge_matched(a: DataFrame, b: DataFrame, radius: float, rc: tuple[str, str]
     return kept.unionByName(b.join(pairs.select(F.col("key_b").alias(key)), key, "left_anti"), allowMissingColumns=True)
 
 
-def neighbour_offsets(a: DataFrame, b: DataFrame, radius: float, rc: tuple[str, str]) -> DataFrame:
-    """Every pair within ``radius`` with its offset b - a and angle."""
+def neighbour_offsets(a: DataFrame, b: DataFrame, radius: float, rc: tuple[str, str], on: list[str] | None = None) -> DataFrame:
+    """Every pair within ``radius`` (of equal ``on``) with its offset b - a and angle."""
     r, c = rc
-    pairs = radius_join(a.select(r, c), b.select(r, c), radius, rc, rc)
+    on = on or []
+    pairs = radius_join(a.select(*on, r, c), b.select(*on, r, c), radius, rc, rc, on)
     dr, dc = F.col(f"r_{r}") - F.col(r), F.col(f"r_{c}") - F.col(c)
-    return pairs.select(dr.alias("dr"), dc.alias("dc"), F.sqrt("d2").alias("distance"), F.atan2(dr, dc).alias("angle"))
+    return pairs.select(*on, dr.alias("dr"), dc.alias("dc"), F.sqrt("d2").alias("distance"), F.atan2(dr, dc).alias("angle"))

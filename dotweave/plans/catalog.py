@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import codes
-from ..operators import alignment, barcodes, bayes, cells, dedup, geometry, quality, registration, selection, spatial
+from ..operators import alignment, barcodes, bayes, cells, constellations, dedup, geometry, quality, registration, selection, spatial
 
 RC = ("r", "c")
 
@@ -50,18 +51,18 @@ def _rects(spark: SparkSession) -> DataFrame:
 
 
 def _codebook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixteen-bit words for the first 64 parts."""
-    p = F.col("p_partkey")
-    return _table(spark, sf_dir, "part").filter(p < 64).select(F.col("p_name").alias("name"), F.concat(F.lit("g"), p.cast("string")).alias("gene"), ((p * 40503 + 977) % 65536).alias("code_bits"), p.alias("code_idx"))
+    """Sixteen-bit words for every kind of part (brand and type), from its first part."""
+    kinds = _table(spark, sf_dir, "part").groupBy(F.concat_ws(" ", "p_brand", "p_type").alias("gene")).agg(F.min("p_partkey").alias("code_idx"))
+    return kinds.select("gene", ((F.col("code_idx") * 40503 + 977) % 65536).alias("code_bits"), "code_idx")
 
 
-_BOOK = "book AS (SELECT 'g' || CAST(p_partkey AS VARCHAR) AS gene, (p_partkey * 40503 + 977) % 65536 AS code_bits, p_partkey AS code_idx FROM part WHERE p_partkey < 64)"
-#: Dots of a user are one barcode: one bit a round.
-_BITS = "bits AS (SELECT CAST(r AS BIGINT) AS ref, bit_or(CAST(1 AS BIGINT) << (round_num - 1)) AS code_bits FROM dots WHERE c < 20 GROUP BY 1)"
+_BOOK = "book AS (SELECT p_brand || ' ' || p_type AS gene, (min(p_partkey) * 40503 + 977) % 65536 AS code_bits, min(p_partkey) AS code_idx FROM part GROUP BY 1)"
+#: Dots of a user in a strip of eight columns are one barcode: one bit a round.
+_BITS = "bits AS (SELECT CAST(r AS BIGINT) * 1000 + CAST(floor(c / 8) AS BIGINT) AS ref, bit_or(CAST(1 AS BIGINT) << (round_num - 1)) AS code_bits FROM dots GROUP BY 1)"
 
 
 def _bits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return barcodes.barcode_bits(_dots(spark, sf_dir).filter("c < 20").withColumn("ref", F.col("r").cast("bigint")), "ref")
+    return barcodes.barcode_bits(_dots(spark, sf_dir).withColumn("ref", F.col("r").cast("bigint") * 1000 + F.floor(F.col("c") / 8)), "ref")
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +178,10 @@ def union_outer(spark, d):
     return selection.union_outer([a, b])
 
 
-@_query("SELECT o_orderkey, CAST(least(o_orderkey // 64, 1000 // 64 - 1) AS BIGINT) AS chunk FROM orders WHERE o_orderkey < 1000")
+@_query("SELECT o_orderkey, CAST(least(o_orderkey // 64, (SELECT count(*) FROM orders) // 64 - 1) AS BIGINT) AS chunk FROM orders")
 def chunk_batches(spark, d):
-    rows = _table(spark, d, "orders").filter("o_orderkey < 1000").select("o_orderkey")
-    return selection.batches(rows, "o_orderkey", 64, 1000).select("o_orderkey", F.col("chunk").cast("bigint").alias("chunk"))
+    rows = _table(spark, d, "orders").select("o_orderkey")
+    return selection.batches(rows, "o_orderkey", 64, rows.count()).select("o_orderkey", F.col("chunk").cast("bigint").alias("chunk"))
 
 
 @_query("SELECT gene, bool_or(c IS NULL) AS has_null FROM (SELECT event_type AS gene, CASE WHEN event_type = 'click' AND event_id % 1000 = 7 THEN NULL ELSE value END AS c FROM events) GROUP BY gene")
@@ -194,13 +195,55 @@ def plotting_extract(spark, d):
     return selection.plotting_extract(_decoded(spark, d), 0.25, ["ref", "decoded_genes"])
 
 
-@_query(f"WITH {_DOTS} SELECT d.dot_id, o.s_name AS target FROM dots d LEFT JOIN (SELECT CAST(s_suppkey % 6 AS INT) AS fov_num, 'ch' || (s_suppkey // 6) % 2 AS channel, CAST(s_suppkey // 12 + 1 AS INT) AS round_num, s_name FROM supplier WHERE s_suppkey < 96) o USING (fov_num, channel, round_num)")
+@_query(f"WITH {_DOTS} SELECT d.dot_id, o.s_name AS target FROM dots d LEFT JOIN (SELECT CAST(s_suppkey % 6 AS INT) AS fov_num, 'ch' || (s_suppkey // 6) % 2 AS channel, CAST(s_suppkey // 12 + 1 AS INT) AS round_num, s_name FROM supplier) o USING (fov_num, channel, round_num)")
 def metadata_join(spark, d):
     k = F.col("s_suppkey")
-    images = _table(spark, d, "supplier").filter(k < 96).select((k % 6).cast("int").alias("fov_num"), F.concat(F.lit("ch"), (F.floor(k / 6) % 2).cast("string")).alias("channel"), (F.floor(k / 12) + 1).cast("int").alias("round_num"), F.col("s_name").alias("target"))
+    images = _table(spark, d, "supplier").select((k % 6).cast("int").alias("fov_num"), F.concat(F.lit("ch"), (F.floor(k / 6) % 2).cast("string")).alias("channel"), (F.floor(k / 12) + 1).cast("int").alias("round_num"), F.col("s_name").alias("target"))
     return selection.with_metadata(_dots(spark, d), images).select("dot_id", "target")
 
 
+@_query(f"WITH {_DOTS} SELECT dot_id FROM dots WHERE r > 20 AND r < 80 AND c > 20 AND c < 80 AND dot_id % 5 <= 2")
+def interior_dots(spark, d):
+    rows = _dots(spark, d).withColumn("hamming_distance", F.col("dot_id") % 5 / 16)
+    return selection.interior(rows, "r", "c", 20, 100).select("dot_id")
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id FROM dots WHERE channel <> 'ch0' AND dot_id % 5 < 3")
+def valid_rna(spark, d):
+    rows = _dots(spark, d).withColumn("hamming_distance", F.col("dot_id") % 5 / 16)
+    return selection.valid_rna(rows, "ch0", 3 / 16).select("dot_id")
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id FROM dots WHERE channel = 'ch0' AND dot_id % 3 = 0 AND round_num = 1 AND dot_id % 7 <> 0")
+def large_beads(spark, d):
+    k = F.col("dot_id")
+    rows = _dots(spark, d).withColumns({"mapped_beads_type": F.when(k % 3 == 0, "large").otherwise("small"), "c": F.when(k % 7 != 0, F.col("c"))})
+    return selection.large_beads(rows, "ch0", ["r", "c"]).select("dot_id")
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id FROM dots WHERE channel = 'ch1' AND dot_id % 2 = 0 AND dot_id % 5 IN (1, 2)")
+def flip_candidates(spark, d):
+    k = F.col("dot_id")
+    rows = _dots(spark, d).withColumns({"hamming_distance": k % 5 / 16, "barcode_reference_dot_id": k + k % 2})
+    return selection.flip_candidates(rows, "ch1", 16).select("dot_id")
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id, CASE WHEN channel = 'ch0' THEN 'beads' ELSE gene END AS gene FROM dots")
+def literal_overwrite(spark, d):
+    return selection.overwrite(_dots(spark, d), {"gene": "beads"}, F.col("channel") == "ch0").select("dot_id", "gene")
+
+
+@_query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) = 1")
+def first_of_each(spark, d):
+    return selection.first_of(_table(spark, d, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@_query("SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 45)")
+def singletons(spark, d):
+    matched = _table(spark, d, "lineitem").filter("l_quantity >= 45").select(F.col("l_partkey").alias("p_partkey"))
+    return selection.singletons(_table(spark, d, "part"), matched, "p_partkey").select("p_partkey")
+
+
 # distance joins
 
 
@@ -236,25 +279,33 @@ def drop_crowded(spark, d):
     return spatial.drop_crowded(_dots(spark, d), 1.0, RC, "dot_id", 4).select("dot_id")
 
 
+#: Each tile of the chain with the next: dots of the first side and of the second, by the number of the pair.
+_PAIRED = "a AS (SELECT *, fov_num AS pair FROM dots WHERE fov_num < 5), b AS (SELECT *, fov_num - 1 AS pair FROM dots WHERE fov_num > 0)"
+
+
+def _paired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    p, fov = _dots(spark, sf_dir), F.col("fov_num")
+    return p.filter(fov < 5).withColumn("pair", fov), p.filter(fov > 0).withColumn("pair", fov - 1)
+
+
 @_query(
-    f"""WITH {_DOTS}, a AS (SELECT * FROM dots WHERE fov_num = 0), b AS (SELECT * FROM dots WHERE fov_num = 1),
-near AS (SELECT b.dot_id AS kb, a.dot_id AS ka, a.gene AS ga, b.gene AS gb, (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) AS d2 FROM a JOIN b ON (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 9
+    f"""WITH {_DOTS}, {_PAIRED},
+near AS (SELECT a.pair, b.dot_id AS kb, a.dot_id AS ka, a.gene AS ga, b.gene AS gb, (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) AS d2 FROM a JOIN b ON a.pair = b.pair AND (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 9
   QUALIFY row_number() OVER (PARTITION BY b.dot_id ORDER BY (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c), a.dot_id) = 1),
 best AS (SELECT * FROM near QUALIFY rank() OVER (PARTITION BY ka ORDER BY d2) = 1)
-SELECT ka AS key_a, kb AS key_b, d2 FROM best WHERE ga = gb QUALIFY row_number() OVER (PARTITION BY ka ORDER BY kb) = 1"""
+SELECT pair, ka AS key_a, kb AS key_b, d2 FROM best WHERE ga = gb QUALIFY row_number() OVER (PARTITION BY ka ORDER BY kb) = 1"""
 )
 def mutual_match(spark, d):
-    p = _dots(spark, d)
-    return spatial.mutual_matches(p.filter("fov_num = 0"), p.filter("fov_num = 1"), 3.0, RC, "dot_id", "gene").select("key_a", "key_b", "d2")
+    a, b = _paired(spark, d)
+    return spatial.mutual_matches(a, b, 3.0, RC, "dot_id", "gene", on=["pair"]).select("pair", "key_a", "key_b", "d2")
 
 
 @_query(
-    f"WITH {_DOTS}, a AS (SELECT * FROM dots WHERE fov_num = 0), b AS (SELECT * FROM dots WHERE fov_num = 1) SELECT CAST(sum(n) AS BIGINT) AS pairs, sum(dr) AS sum_dr, sum(dc) AS sum_dc FROM (SELECT 1 AS n, b.r - a.r AS dr, b.c - a.c AS dc FROM a JOIN b ON (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 25)"
+    f"WITH {_DOTS}, {_PAIRED} SELECT pair, count(*) AS pairs, sum(b.r - a.r) AS sum_dr, sum(b.c - a.c) AS sum_dc FROM a JOIN b USING (pair) WHERE (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c) <= 25 GROUP BY pair"
 )
 def neighbour_offsets(spark, d):
-    p = _dots(spark, d)
-    off = spatial.neighbour_offsets(p.filter("fov_num = 0"), p.filter("fov_num = 1"), 5.0, RC)
-    return off.agg(F.count("*").alias("pairs"), F.sum("dr").alias("sum_dr"), F.sum("dc").alias("sum_dc"))
+    off = spatial.neighbour_offsets(*_paired(spark, d), 5.0, RC, ["pair"])
+    return off.groupBy("pair").agg(F.count("*").alias("pairs"), F.sum("dr").alias("sum_dr"), F.sum("dc").alias("sum_dc"))
 
 
 # tiles
@@ -293,6 +344,15 @@ def tile_axes(spark, d):
     return geometry.tile_corners(stage, "ROBOFISH2", 0.25)
 
 
+@_query(
+    "WITH x AS (SELECT CAST(s_suppkey AS INT) AS fov_num, -CAST(s_suppkey % 10 AS DOUBLE) AS x, CAST(s_suppkey // 10 AS DOUBLE) AS y FROM supplier) SELECT fov_num, ((SELECT max(y) FROM x) - y) / 0.25 AS r, ((SELECT max(x) FROM x) - x) / 0.25 AS c FROM x"
+)
+def tile_axes_mirrored(spark, d):
+    k = F.col("s_suppkey")
+    stage = _table(spark, d, "supplier").select(k.cast("int").alias("fov_num"), (-(k % 10)).cast("double").alias("x"), F.floor(k / 10).cast("double").alias("y"))
+    return geometry.tile_corners_mirrored(stage, 0.25)
+
+
 @_query(
     f"""WITH {_DOTS}, {_TILES}, s AS (SELECT dot_id, d.fov_num, t.r AS tr, t.c AS tc, d.r, d.c FROM dots d JOIN tiles t ON t.fov_num = d.fov_num)
 SELECT dot_id, 'top-left' AS corner, tr + r AS row, tc + c AS col FROM s UNION ALL SELECT dot_id, 'top-right', tr + r, tc - (100 - c) FROM s
@@ -394,14 +454,40 @@ def pixel_conversion(spark, d):
     return _dots(spark, d).select("dot_id", codes.to_uint16(unit).alias("rounded"), codes.to_uint16_truncated(unit).alias("cut"))
 
 
-@_query()
+def _unrolled(name: str, source: str, squared: float) -> str:
+    """The rounds of sequential decoding as tables: {name}_codes, and {name}_owner: each dot with the reference that took it."""
+    made = [f"{name}0 AS MATERIALIZED (SELECT fov_num, channel, CAST(dot_id AS VARCHAR) AS dot_id, round_num, r, c FROM {source})"]
+    for k in range(1, 17):
+        pool = f"{name}{k - 1}"
+        made.append(f"""{name}{k}_near AS MATERIALIZED (SELECT o.dot_id, o.round_num, x.dot_id AS ref FROM {pool} o JOIN {pool} x ON o.fov_num = x.fov_num AND o.channel = x.channel AND o.round_num <> {k} AND x.round_num = {k}
+  AND (o.r - x.r) * (o.r - x.r) + (o.c - x.c) * (o.c - x.c) <= {squared} QUALIFY row_number() OVER (PARTITION BY o.dot_id ORDER BY (o.r - x.r) * (o.r - x.r) + (o.c - x.c) * (o.c - x.c), x.dot_id) = 1)""")
+        made.append(f"""{name}{k}_codes AS (SELECT x.*, coalesce(b.bits, 0) | (CAST(1 AS BIGINT) << {k - 1}) AS code_bits FROM {pool} x LEFT JOIN (SELECT ref, bit_or(CAST(1 AS BIGINT) << (round_num - 1)) AS bits FROM {name}{k}_near GROUP BY 1) b ON b.ref = x.dot_id
+  WHERE x.round_num = {k} AND (b.ref IS NOT NULL OR (x.fov_num, x.channel) NOT IN (SELECT (fov_num, channel) FROM {pool} WHERE round_num <> {k})))""")
+        made.append(f"{name}{k} AS MATERIALIZED (SELECT * FROM {pool} WHERE round_num <> {k} AND dot_id NOT IN (SELECT dot_id FROM {name}{k}_near))")
+    rounds = range(1, 17)
+    made.append(f"{name}_codes AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM {name}{k}_codes" for k in rounds) + ")")
+    owners = [f"SELECT dot_id, ref FROM {name}{k}_near UNION ALL SELECT dot_id, dot_id FROM {name}{k - 1} WHERE round_num = {k}" for k in rounds]
+    return ",\n".join([*made, f"{name}_owner AS (" + " UNION ALL ".join(owners) + ")"])
+
+
+def _called(name: str) -> str:
+    """{name}_called: the codes with their nearest codeword."""
+    return f"""{name}_called AS MATERIALIZED (SELECT x.fov_num, x.channel, x.dot_id AS barcode_reference_dot_id, x.round_num, x.r, x.c, x.code_bits, k.gene AS decoded_genes,
+  bit_count(xor(x.code_bits, k.code_bits)) / CAST(16 AS DOUBLE) AS hamming_distance, k.code_bits AS codeword_bits, CAST(bit_count(x.code_bits) AS BIGINT) AS number_positive_bits FROM {name}_codes x, book k
+  QUALIFY row_number() OVER (PARTITION BY x.dot_id ORDER BY bit_count(xor(x.code_bits, k.code_bits)), k.code_idx) = 1)"""
+
+
+@_query(f"WITH {_DOTS}, {_BOOK}, {_unrolled('p', 'dots', 4)}, {_called('p')} SELECT * FROM p_called")
 def decode_sequential(spark, d):
-    """Rows only: the pool of each round depends on the rounds before."""
     dots = _dots(spark, d).select("fov_num", "channel", "dot_id", "round_num", "r", "c")
     return barcodes.nearest_codeword(barcodes.decode(dots, 2.0, rc=RC), _codebook(spark, d))
 
 
-@_query()
+@_query(
+    f"""WITH {_DOTS}, {_BOOK}, {_unrolled('p', 'dots', 4)}, {_called('p')},
+rest AS MATERIALIZED (SELECT * FROM dots WHERE CAST(dot_id AS VARCHAR) NOT IN (SELECT o.dot_id FROM p_owner o JOIN p_called g ON o.ref = g.barcode_reference_dot_id WHERE g.hamming_distance <= 2 / 16.0)),
+{_unrolled('q', 'rest', 9)}, {_called('q')} SELECT *, 1 AS pass FROM p_called UNION ALL SELECT *, 2 AS pass FROM q_called"""
+)
 def decode_recollecting(spark, d):
     dots = _dots(spark, d).select("fov_num", "channel", "dot_id", "round_num", "r", "c")
     return barcodes.decode_recollecting(dots, _codebook(spark, d), rc=RC)
@@ -444,9 +530,9 @@ def cell_totals(spark, d):
     return cells.molecules(_counts(spark, d))
 
 
-@_query(f"WITH {_COUNTS} SELECT gene, " + ", ".join(f"CAST(coalesce(sum(n) FILTER (WHERE cell_id = {i}), 0) AS BIGINT) AS \"{i}\"" for i in (1, 2, 3, 4)) + " FROM counts GROUP BY gene")
+@_query(f"WITH {_COUNTS} SELECT gene, " + ", ".join(f"CAST(coalesce(sum(n) FILTER (WHERE cell_id = {i}), 0) AS BIGINT) AS \"{i}\"" for i in range(1, 51)) + " FROM counts GROUP BY gene")
 def cell_gene_pivot(spark, d):
-    return cells.matrix(_counts(spark, d), [1, 2, 3, 4], "gene")
+    return cells.matrix(_counts(spark, d), list(range(1, 51)), "gene")
 
 
 @_query(f"WITH {_COUNTS} SELECT gene, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY gene ORDER BY total DESC, gene LIMIT 3")
@@ -454,6 +540,16 @@ def summary_topk_genes(spark, d):
     return cells.top_genes(_counts(spark, d), 3)
 
 
+@_query(f"WITH {_COUNTS} SELECT gene, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY gene ORDER BY total, gene LIMIT 3")
+def summary_rarest_genes(spark, d):
+    return cells.top_genes(_counts(spark, d), 3, most=False)
+
+
+@_query(f"WITH {_DOTS} SELECT min(r) AS r_min, max(r) AS r_max, min(c) AS c_min, max(c) AS c_max FROM dots")
+def extent(spark, d):
+    return cells.extent(_dots(spark, d))
+
+
 @_query(f"WITH {_COUNTS}, m AS (SELECT sum(n) AS n, count(DISTINCT gene) AS g FROM counts GROUP BY cell_id) SELECT CAST(quantile_cont(n, 0.5) AS DOUBLE) AS median_molecules, CAST(quantile_cont(g, 0.5) AS DOUBLE) AS median_genes FROM m")
 def median_molecules(spark, d):
     return cells.medians(_counts(spark, d))
@@ -490,13 +586,18 @@ def label_canvas(spark, d):
     return cells.label_canvas(_pixels(spark, d))
 
 
+#: The same labels strewn over a canvas that is larger than the table, so that there is background to grow into.
+_SPARSE = "mask AS (SELECT o_orderkey * 37 % 1201 AS r, o_orderkey * 101 % 1301 AS c, min(o_custkey % 50 + 1) AS cell_id FROM orders GROUP BY 1, 2)"
+
+
 @_query(
-    f"""WITH {_MASK}, seeds AS (SELECT * FROM mask WHERE r % 10 = 0 AND c % 10 = 0), o AS (SELECT i.i - 3 AS i, j.j - 3 AS j FROM range(7) i(i), range(7) j(j) WHERE (i.i - 3) * (i.i - 3) + (j.j - 3) * (j.j - 3) <= 9)
-SELECT r + i AS r, c + j AS c, cell_id FROM seeds, o WHERE r + i BETWEEN 0 AND 149 AND c + j BETWEEN 0 AND 99 QUALIFY row_number() OVER (PARTITION BY r + i, c + j ORDER BY i * i + j * j, cell_id) = 1"""
+    f"""WITH {_SPARSE}, o AS (SELECT i.i - 3 AS i, j.j - 3 AS j FROM range(7) i(i), range(7) j(j) WHERE (i.i - 3) * (i.i - 3) + (j.j - 3) * (j.j - 3) <= 9)
+SELECT r + i AS r, c + j AS c, cell_id FROM mask, o WHERE r + i BETWEEN 0 AND 1200 AND c + j BETWEEN 0 AND 1300 QUALIFY row_number() OVER (PARTITION BY r + i, c + j ORDER BY i * i + j * j, cell_id) = 1"""
 )
 def label_expansion(spark, d):
-    seeds = _mask(spark, d).filter("r % 10 = 0 AND c % 10 = 0")
-    return cells.expand_labels(seeds, 3, 150, 100)
+    o = F.col("o_orderkey")
+    mask = _table(spark, d, "orders").groupBy((o * 37 % 1201).alias("r"), (o * 101 % 1301).alias("c")).agg(F.min(F.col("o_custkey") % 50 + 1).alias("cell_id"))
+    return cells.expand_labels(mask, 3, 1201, 1301)
 
 
 # curves, checks, alignment
@@ -524,18 +625,71 @@ def hist2d_peak(spark, d):
     return alignment.histogram_peak(_dots(spark, d), "r", "c", 7)
 
 
+@_query(f"WITH {_DOTS} SELECT 'box' AS kind, (min(r) + max(r)) / 2 AS r, (min(c) + max(c)) / 2 AS c FROM dots UNION ALL SELECT 'mean', round(avg(r), 6), round(avg(c), 6) FROM dots")
+def centres(spark, d):
+    dots = _dots(spark, d)
+    mean = alignment.mean_centre(dots).select(F.round("r", 6).alias("r"), F.round("c", 6).alias("c"))
+    return alignment.box_centre(dots).withColumn("kind", F.lit("box")).unionByName(mean.withColumn("kind", F.lit("mean")))
+
+
+_SIGNED = f"""{_DOTS}, near AS (SELECT x.fov_num, x.round_num, x.dot_id, x.r, x.c, sqrt((x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c)) AS d, row_number() OVER (PARTITION BY x.dot_id ORDER BY (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c), y.dot_id) AS k
+  FROM dots x JOIN dots y ON x.fov_num = y.fov_num AND x.round_num = y.round_num AND x.dot_id <> y.dot_id AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 64),
+signed AS (SELECT fov_num, round_num, dot_id, max(d) FILTER (WHERE k = 1) AS s1, max(d) FILTER (WHERE k = 2) AS s2, max(d) FILTER (WHERE k = 3) AS s3 FROM near WHERE k <= 3 GROUP BY 1, 2, 3 HAVING count(*) = 3)"""
+
+
+def _signed(spark, d):
+    return constellations.signatures(_dots(spark, d), 3, 8.0, RC, "dot_id", ["fov_num", "round_num"])
+
+
+@_query(f"WITH {_SIGNED} SELECT dot_id, round(s1, 6) AS s1, round(s2, 6) AS s2, round(s3, 6) AS s3 FROM signed")
+def constellation_signatures(spark, d):
+    return _signed(spark, d).select("dot_id", *(F.round(F.col("signature")[i], 6).alias(f"s{i + 1}") for i in range(3)))
+
+
+@_query(
+    f"""WITH {_SIGNED}, coupled AS (SELECT x.dot_id AS a, y.dot_id AS b, 0.0 + abs(x.s1 - y.s1) + abs(x.s2 - y.s2) + abs(x.s3 - y.s3) AS total FROM signed x JOIN signed y ON x.round_num = 1 AND y.round_num = 3 AND x.fov_num = y.fov_num
+  AND abs(x.s1 - y.s1) <= 0.5 AND abs(x.s2 - y.s2) <= 0.5 AND abs(x.s3 - y.s3) <= 0.5)
+SELECT a, b, round(total, 6) AS total FROM coupled QUALIFY row_number() OVER (PARTITION BY a ORDER BY total, b) = 1"""
+)
+def constellation_matches(spark, d):
+    rows = _signed(spark, d)
+    found = constellations.matches(rows.filter("round_num = 1"), rows.filter("round_num = 3"), 0.5, "dot_id", ["fov_num"], RC)
+    return found.select(F.col("dot_id").alias("a"), F.col("r_dot_id").alias("b"), F.round("total", 6).alias("total"))
+
+
+@_query(
+    f"""WITH {_DOTS}, e AS (SELECT x.fov_num, x.round_num, x.dot_id AS p, y.dot_id AS q, sqrt((x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c)) AS d FROM dots x JOIN dots y ON x.fov_num = y.fov_num AND x.round_num = y.round_num AND x.dot_id < y.dot_id
+  AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 16)
+SELECT a.p, a.q, b.q AS s, round(least(a.d, b.d, c.d), 6) AS shortest, round(greatest(a.d, b.d, c.d), 6) AS longest FROM e a JOIN e b ON a.p = b.p AND a.q < b.q JOIN e c ON c.p = a.q AND c.q = b.q"""
+)
+def triangles(spark, d):
+    found = constellations.triangles(_dots(spark, d), 4.0, RC, "dot_id", ["fov_num", "round_num"])
+    return found.select("p", "q", "s", F.round(F.col("sides")[0], 6).alias("shortest"), F.round(F.col("sides")[2], 6).alias("longest"))
+
+
+@_query("SELECT CAST(event_id % 6 AS INT) AS fov_num, count(*) FILTER (WHERE event_type = 'click') AS reference, count(*) FILTER (WHERE event_type <> 'click') AS others, min('r' || event_id || '_channel_click_fov_' || event_id % 6) FILTER (WHERE event_type = 'click') AS first_reference FROM events GROUP BY 1")
+def registration_groups(spark, d):
+    e = F.col("event_id")
+    path = F.concat(F.lit("r"), e.cast("string"), F.lit("_channel_"), "event_type", F.lit("_fov_"), (e % 6).cast("string"))
+    found = constellations.registration_groups(_table(spark, d, "events").select(path.alias("path")), "click")
+    return found.select("fov_num", F.size("reference").cast("bigint").alias("reference"), F.size("others").cast("bigint").alias("others"), F.get("reference", F.lit(0)).alias("first_reference"))
+
+
 @_query(f"WITH {_DOTS} SELECT gene, round(avg(c), 6) AS mean, quantile_cont(c, 0.5) AS median, round(stddev_pop(c), 6) AS std, round(stddev_pop(c) / count(c), 6) AS std_by_n FROM dots GROUP BY gene")
 def error_statistics(spark, d):
     return quality.error_statistics(_dots(spark, d), "c", ["gene"]).withColumns({c: F.round(c, 6) for c in ("mean", "std", "std_by_n")})
 
 
-_NAMES = "left_ AS (SELECT 'Count' || lpad(CAST(o_orderkey % 700 AS VARCHAR), 5, '0') || '_x' || o_orderkey AS path FROM orders WHERE o_orderkey < 2000), right_ AS (SELECT 'y_Count' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS path FROM customer WHERE c_custkey % 3 <> 0)"
+#: A file an order, with the code of its customer, or of nobody for each third order; a file a customer.
+_NAMES = """left_ AS (SELECT 'Count' || lpad(CAST(o_custkey + CASE WHEN o_orderkey % 3 = 0 THEN 50000 ELSE 0 END AS VARCHAR), 5, '0') || '_x' || o_orderkey AS path FROM orders),
+right_ AS (SELECT 'y_Count' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS path FROM customer)"""
 
 
 def _names(spark, d):
     k = F.col("o_orderkey")
-    left = _table(spark, d, "orders").filter(k < 2000).select(F.concat(F.lit("Count"), F.lpad((k % 700).cast("string"), 5, "0"), F.lit("_x"), k.cast("string")).alias("path"))
-    right = _table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.concat(F.lit("y_Count"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("path"))
+    code = F.lpad((F.col("o_custkey") + F.when(k % 3 == 0, 50000).otherwise(0)).cast("string"), 5, "0")
+    left = _table(spark, d, "orders").select(F.concat(F.lit("Count"), code, F.lit("_x"), k.cast("string")).alias("path"))
+    right = _table(spark, d, "customer").select(F.concat(F.lit("y_Count"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("path"))
     return left, right
 
 
@@ -583,25 +737,32 @@ def tile_pair_shifts(spark, d):
     return registration.pair_shifts(_dots(spark, d), _rects(spark))
 
 
-@_query()
+@_query(f"WITH {_TILES} SELECT fov_num, r + trunc(round(fov_num * CAST(0.2 AS DOUBLE), 6)) AS r, c + trunc(round(fov_num * CAST(-0.1 AS DOUBLE), 6)) AS c FROM tiles")
 def tile_offsets(spark, d):
-    """Rows only: the least-squares solution of planted pair shifts."""
+    """The least-squares solution of planted pair shifts, which one offset a tile explains."""
     tiles = _tiles(spark, d)
-    pairs = geometry.adjacent(tiles, 100).withColumns({"dr": (F.col("b") - F.col("a")).cast("double") / 10 * 2, "dc": F.lit(-1.0)})
-    return registration.global_offsets(spark, pairs, tiles)
+    far = (F.col("b") - F.col("a")).cast("double")
+    return registration.global_offsets(spark, geometry.adjacent(tiles, 100).withColumns({"dr": far * 0.2, "dc": far * -0.1}), tiles)
 
 
-@_query()
+@_query(f"WITH {_DOTS} SELECT CAST(fov_num * 2 AS INT) AS a, CAST(fov_num * 2 + 1 AS INT) AS b, -3 AS dr, 2 AS dc, count(*) AS n_a, count(*) AS n_b FROM dots GROUP BY fov_num")
 def pair_density_offset(spark, d):
-    """Rows only: the densest offset of the points of overlapping tiles."""
-    return alignment.pair_offsets(_dots(spark, d), _rects(spark), RC, 10)
+    """The densest offset of each tile and a copy of it that is moved by (3, -2), to whole pixels."""
+    # spread out, so that a dot is nearer to its copy than to most others
+    dots = _dots(spark, d).select("fov_num", (F.col("r") * 40).alias("r"), (F.col("c") * 40).alias("c"))
+    copy = dots.select((F.col("fov_num") * 2 + 1).alias("fov_num"), (F.col("r") + 3).alias("r"), (F.col("c") - 2).alias("c"))
+    rects = spark.createDataFrame([(2 * k, 2 * k + 1, -1e3, 1e9, -1e3, 1e9) for k in range(6)], "a int, b int, r_tl double, r_br double, c_tl double, c_br double")
+    found = alignment.pair_offsets(dots.withColumn("fov_num", F.col("fov_num") * 2).unionByName(copy), rects, RC, 10)
+    return found.withColumns({x: F.round(x).cast("int") for x in ("dr", "dc")})
 
 
-@_query()
+@_query(f"WITH {_BOOK}, n AS (SELECT gene, row_number() OVER (ORDER BY code_idx) - 1 AS place FROM book) SELECT event_id AS barcode_reference_dot_id, gene, gene AS bayes_gene, CAST(1 AS DOUBLE) AS probability FROM events JOIN n ON event_id % (SELECT count(*) FROM book) = place")
 def bayes_calls(spark, d):
-    """Rows only: barcode calls by kernel densities of planted intensities."""
+    """Barcode calls by kernel densities of planted intensities, which tell every code for sure."""
     book = _codebook(spark, d)
-    planted = _table(spark, d, "events").join(F.broadcast(book), F.col("event_id") % 64 == F.col("code_idx"))
+    # a row a kind of part
+    numbered = book.withColumn("place", F.row_number().over(Window.orderBy("code_idx")) - 1)
+    planted = _table(spark, d, "events").withColumn("place", F.col("event_id") % book.count()).join(numbered, "place")
     bright = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.call_function("shiftright", F.col("code_bits"), i).bitwiseAND(F.lit(1).cast("long")) * 0.8 + F.pmod(F.xxhash64("event_id", i), F.lit(100)) / 250.0)
     rows = planted.select(F.col("event_id").alias("barcode_reference_dot_id"), "code_bits", F.lit(0.0).alias("hamming_distance"), "gene", bright.alias("bit_intensity"))
     model = bayes.fit_bayes(rows, 16, 20_000)

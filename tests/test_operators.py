@@ -554,3 +554,27 @@ def test_parameters():
     assert parameters.selected("staining")["RegistrationTollerancePxl"] == 3
     with pytest.raises(ValueError):
         parameters.selected("nothing")
+
+
+def test_near_offsets_against_all_pairs():
+    rng = np.random.default_rng(4)
+    a, b = rng.uniform(-50, 90, (300, 2)), rng.uniform(-50, 90, (9000, 2))
+    d = a[:, None] - b[None]
+    want = d[(d**2).sum(axis=2) <= 49]
+    got = alignment.near_offsets(a, b, 7.0)
+    assert np.allclose(got[np.lexsort(got.T)], want[np.lexsort(want.T)])
+    assert alignment.offset_of(a[:0], b, 7.0) is None
+
+
+def test_nearest_k_within_is_k_nearest_cut(spark):
+    points = spark.createDataFrame([(i, float(i * 37 % 101), float(i * 53 % 97)) for i in range(60)], "id int, r double, c double")
+    want = {tuple(x) for x in spatial.k_nearest(points, 4, ("r", "c"), "id").filter("d2 < 400").collect()}
+    assert {tuple(x) for x in spatial.nearest_k_within(points, 4, 20.0, ("r", "c"), "id").collect()} == want and want
+
+
+def test_long_codes_are_an_error(spark):
+    from dotweave.operators import barcodes
+
+    codes = spark.createDataFrame([(1, 3)], "ref int, code_bits long")
+    with pytest.raises(ValueError):
+        barcodes.nearest_codeword(codes, spark.createDataFrame([("g", 3, 0)], "gene string, code_bits long, code_idx int"), 20)
