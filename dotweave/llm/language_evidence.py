@@ -2,8 +2,9 @@
 
 The evidence on a web page, in log space:
 
-* its text: a byte 4-gram model per language, fitted on a bounded sample of
-  documents of known language (``SAMPLE`` texts a language), as a mean over the
+* its text: a byte 4-gram model per language (SLOTS numbers each, for any number of
+  languages), fitted on a bounded sample of documents of known language (``SAMPLE``
+  texts a language), as a mean over the
   page's grams times at most ``GRAMS``, since neighbouring grams are no
   independent witnesses;
 * the language declared in the markup, and a language in the address (the suffix of
@@ -22,7 +23,9 @@ Defined cases: null or empty html has no text evidence and relies on address and
 prior; a null or unparsable url has host, domain and suffix ''; unknown declared
 values count as a value like any other; ties go to the first language by name;
 repeated rows each give a row; an empty table gives no rows; without labelled
-documents there are no languages and the result is empty.
+documents there are no languages and the result is empty; the operators read the
+columns they name, so further columns of any name play no part; very long pages are
+read whole, in pieces.
 """
 
 from __future__ import annotations
@@ -34,12 +37,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import cut, mix64, table, utf8_parts
 
 SAMPLE = 400
-#: Most languages; they come to the driver by name.
-LANGUAGES = 200
 SLOTS, GRAMS = 1 << 16, 60.0
 #: Pseudo-counts that a level borrows from the one above.
 STRENGTH = 5.0
@@ -56,15 +58,27 @@ def gram_slots(data: np.ndarray) -> np.ndarray:
     return (mix64(g) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def fit_text(samples: dict[str, list[str]]) -> np.ndarray:
-    """(SLOTS, languages) float32 log probabilities."""
-    table_ = np.empty((SLOTS, len(samples)), np.float32)
-    for i, texts in enumerate(samples.values()):
-        counts = np.full(SLOTS, 0.1)
-        for t in texts:
-            counts += np.bincount(gram_slots(np.frombuffer(t.encode(), np.uint8)), minlength=SLOTS)
-        table_[:, i] = np.log(counts / counts.sum())
-    return table_
+def fit_text(samples: DataFrame, languages: list[str]) -> np.ndarray:
+    """(SLOTS, languages) float32 log probabilities from rows (lang, text); grams are counted where the texts are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = utf8_parts(batch.column("text"))
+            counts: dict[str, np.ndarray] = {}
+            for lang, a, b in zip(batch.column("lang").to_pylist(), offs[:-1], offs[1:]):
+                for at in range(a, b, 1 << 20):  # long texts in pieces that overlap by three bytes
+                    now = counts.setdefault(lang, np.zeros(SLOTS, np.int64))
+                    now += np.bincount(gram_slots(data[at : min(b, at + (1 << 20) + 3)]), minlength=SLOTS)
+            for lang, n in counts.items():
+                slot = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slot), pa.string()), pa.array(slot, pa.int64()), pa.array(n[slot], pa.int64())], ["lang", "slot", "n"])
+
+    counted = samples.select("lang", "text").mapInArrow(run, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
+    made, place = np.full((len(languages), SLOTS), 0.1), {x: i for i, x in enumerate(languages)}
+    # SLOTS rows a language at most
+    for lang, part in counted.toPandas().groupby("lang"):
+        made[place[lang], part["slot"]] += part["n"]
+    return np.ascontiguousarray(np.log(made / made.sum(axis=1, keepdims=True)).T.astype(np.float32))
 
 
 def text_evidence(df: DataFrame, text: str, model: np.ndarray, out: str = "evidence") -> DataFrame:
@@ -90,8 +104,8 @@ def text_evidence(df: DataFrame, text: str, model: np.ndarray, out: str = "evide
 
 
 def visible(html: Column) -> Column:
-    """The text of a page without scripts, styles, comments and tags."""
-    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
+    """The text of a page without scripts, styles, comments and tags; one that is never closed reaches to the end, so each byte is looked at once."""
+    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[a-z/!?][^>]*(?:>|\z)", " ")
     return F.regexp_replace(bare, r"\s+|&[a-zA-Z0-9#]{1,8};", " ")
 
 
@@ -165,28 +179,27 @@ def fuse(pages: DataFrame, languages: list[str], key: str = "page_id") -> DataFr
     return done.select(key, F.get(names, (F.array_position("probabilities", best) - 1).cast("int")).alias("lang"), best.alias("probability"), "probabilities")
 
 
-def language_samples(docs: DataFrame, per_language: int = SAMPLE) -> dict[str, list[str]]:
-    """At most ``per_language`` texts of each language, those of smallest hash of doc_id."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    names = sorted(r["lang"] for r in known.select("lang").distinct().limit(LANGUAGES + 1).collect())
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    ids = [r for name in names for r in known.filter(F.col("lang") == name).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language).collect()]
-    if not ids:
-        return {}
-    small = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in ids], "doc_id long, lang string")
-    got = known.join(F.broadcast(small), ["doc_id", "lang"]).select("lang", "text").collect()
-    return {name: sorted(r["text"] for r in got if r["lang"] == name) for name in names}
+def language_samples(docs: DataFrame, per_language: int = SAMPLE) -> tuple[DataFrame, list[str]]:
+    """Rows (lang, text) of at most ``per_language`` texts of each language, those of smallest hash of doc_id; and the languages.
+
+    Ids are ranked first, for all languages in one pass: partitions keep their smallest before anything is shuffled.
+    """
+    known = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang")
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    ids = known.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language).select("doc_id", "lang").distinct().collect()
+    few = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in ids], "d long, l string")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("lang") == F.col("l"))
+    return docs.join(F.broadcast(few), same).select("lang", "text"), sorted({r["lang"] for r in ids})
 
 
 def op6_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    samples = language_samples(table(spark, sf_dir, "documents"))
+    samples, languages = language_samples(table(spark, sf_dir, "documents"))
     pages = table(spark, sf_dir, "pages")
-    if not samples:
+    if not languages:
         return spark.createDataFrame([], "page_id long, lang string, probability double")
     seen = pages.select("page_id", visible(F.col("html")).alias("text"), declared(F.col("html")).alias("declared"), *(c.alias(k) for k, c in address(F.col("url")).items()))
-    evidence = text_evidence(seen, "text", fit_text(samples))
-    return fuse(evidence, list(samples)).select("page_id", "lang", "probability")
+    evidence = text_evidence(seen, "text", fit_text(samples, languages))
+    return fuse(evidence, languages).select("page_id", "lang", "probability")
 
 
 QUERIES = {"op6_language_evidence": op6_language_evidence}

@@ -9,7 +9,12 @@ so any store that Spark can write to will do. Each archive is one gzip stream.
 
 Reading: archives are framed by Content-Length, never by searching payloads for
 separators; payload digests are computed anew. Revisits are joined to the
-responses of their digest, which gives their length and original.
+responses of their digest, which gives their length and original. Archives of other
+writers are read too: record ids that are no page ids are kept as ``record_id`` with a
+null page id, further record types are rows of their own, members a record or a file
+make no difference. An archive is read as one value, so it holds FILE_RECORDS records
+at most; since the text sink compresses a file as one stream, archives are read from
+their start, not from an offset.
 
 :func:`deduplicate_archives` reads archives, and writes them again with equal
 payloads resolved and fresh headers.
@@ -17,14 +22,16 @@ payloads resolved and fresh headers.
 Defined cases: null or empty html is an empty payload (a response); a null page id
 is always a response and is read back as null; repeated rows of the smallest page
 id are all responses, repeated revisits all revisits; a null url gives no target
-address, and line breaks or spaces in one are percent-encoded; an empty table
-gives an archive folder without records and no rows.
+address, and line breaks or spaces in one are percent-encoded; payload bytes that are
+no UTF-8 are kept as they are; very long payloads are whole; further columns are
+ignored; an empty table gives an archive folder without records and no rows.
 """
 
 from __future__ import annotations
 
 import atexit
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, shared_dir, table
+from .common import cut, drop_path, shared_dir, table
 
 #: Payload bytes from which equal payloads are stored once.
 LEAST = 100
@@ -41,7 +48,7 @@ LEAST = 100
 FILE_RECORDS = 4_000
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
+_RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, record_id string"
 
 
 def revisits(heads: DataFrame, least: int = LEAST) -> DataFrame:
@@ -78,32 +85,50 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, date: str =
 
 
 class _Stream:
-    """Reads a gzip stream of one or more members bit by bit."""
+    """Reads a gzip stream of one or more members, a bounded piece at a time."""
+
+    #: Bytes read and bytes unpacked at once.
+    PIECE, MOST = 1 << 16, 1 << 20
 
     def __init__(self, raw: bytes):
-        self.raw, self.at, self.buffer, self.z = raw, 0, b"", zlib.decompressobj(31)
+        self.raw, self.at, self.buffer, self.start, self.z = raw, 0, bytearray(), 0, zlib.decompressobj(31)
 
     def fill(self) -> bool:
-        if self.z.eof and self.z.unused_data:
-            rest, self.z = self.z.unused_data, zlib.decompressobj(31)
+        """More of the stream in the buffer, MOST bytes at most; whether there was any."""
+        if self.z.eof:
+            rest = self.z.unused_data or self.raw[self.at : self.at + self.PIECE]
+            self.at += 0 if self.z.unused_data else len(rest)
+            if not rest.strip(b"\0"):
+                return False
+            self.z = zlib.decompressobj(31)
         else:
-            rest = self.raw[self.at : self.at + (1 << 18)]
-            self.at += len(rest)
-        self.buffer += self.z.decompress(rest) if rest else b""
-        return bool(rest)
+            rest = self.z.unconsumed_tail
+            if not rest:
+                rest = self.raw[self.at : self.at + self.PIECE]
+                self.at += len(rest)
+        del self.buffer[: self.start]
+        self.start = 0
+        before = len(self.buffer)
+        self.buffer += self.z.decompress(rest, self.MOST)
+        return bool(rest) or len(self.buffer) > before
 
     def head(self) -> bytes | None:
-        while (end := self.buffer.find(b"\r\n\r\n")) < 0:
+        seen = self.start
+        while (end := self.buffer.find(b"\r\n\r\n", seen)) < 0:
+            held = len(self.buffer) - self.start
             if not self.fill():
+                if self.buffer[self.start :].strip() or (self.raw and not self.z.eof):
+                    raise ValueError("the archive ends inside a header")
                 return None
-        got, self.buffer = self.buffer[:end], self.buffer[end + 4 :]
+            seen = max(0, held - 3)
+        got, self.start = bytes(self.buffer[self.start : end]), end + 4
         return got
 
     def take(self, n: int) -> bytes:
-        while len(self.buffer) < n:
+        while len(self.buffer) - self.start < n:
             if not self.fill():
                 raise ValueError("the archive ends inside a record")
-        got, self.buffer = self.buffer[:n], self.buffer[n:]
+        got, self.start = bytes(self.buffer[self.start : self.start + n]), self.start + n
         return got
 
 
@@ -111,22 +136,38 @@ def _fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode("utf-8", "replace").split(CRLF)[1:])}
 
 
+_OWN = re.compile(r"<?urn:page:(-?\d+)>?")
+
+
+def _page(name: str | None) -> int | None:
+    """The page id of a record id that :func:`record` gave; null for any other."""
+    found = _OWN.fullmatch(name or "")
+    return int(found[1]) if found else None
+
+
 def parse_archive(raw: bytes) -> Iterator[dict]:
-    """The records of one archive. A revisit's digest and length come from its own headers; a response's from its payload."""
+    """The records of one archive, of any writer and type. A revisit's digest and length come from its own headers; others' from their payload.
+
+    The payload of an HTTP message is its body, of any other record (a warcinfo, say) the whole block.
+    """
     stream = _Stream(raw)
-    page = lambda name: None if (x := name.strip("<>").rpartition(":")[2]) == "null" else int(x)
     while (head := stream.head()) is not None:
         fields = _fields(head)
-        http, _, payload = stream.take(int(fields["content-length"])).partition(b"\r\n\r\n")
+        block = stream.take(int(fields["content-length"]))
         stream.take(4)
-        again = fields["warc-type"] == "revisit"
+        http, payload = b"", block
+        if fields.get("content-type", "").startswith("application/http"):
+            http, _, payload = block.partition(b"\r\n\r\n")
+        again, length = fields.get("warc-type") == "revisit", _fields(http).get("content-length", "")
+        digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
         yield {
-            "page_id": page(fields["warc-record-id"]),
+            "page_id": _page(fields.get("warc-record-id")),
             "url": fields.get("warc-target-uri"),
-            "record_type": fields["warc-type"],
-            "payload_bytes": int(_fields(http)["content-length"]) if again else len(payload),
-            "payload_digest": fields["warc-payload-digest"].removeprefix("sha256:") if again else hashlib.sha256(payload).hexdigest(),
-            "refers_to": page(fields["warc-refers-to"]) if again else None,
+            "record_type": fields.get("warc-type"),
+            "payload_bytes": (int(length) if length.isdigit() else None) if again else len(payload),
+            "payload_digest": digest if again else hashlib.sha256(payload).hexdigest(),
+            "refers_to": _page(fields.get("warc-refers-to")) if again else None,
+            "record_id": fields.get("warc-record-id"),
             "payload": None if again else payload,
         }
 
@@ -171,9 +212,10 @@ def deduplicate_archives(spark: SparkSession, source: str, target: str, least: i
     Revisits of the source get their payload back first, so that the smallest page id always becomes the response.
     """
     records = read_archives(spark, source, payloads=True)
-    full = records.filter("record_type = 'response'").select("page_id", "url", F.decode("payload", "utf-8").alias("html"))
+    # bytes become strings as they are: neither Spark's strings nor its text sink look inside
+    full = records.filter("record_type = 'response'").select("page_id", "url", F.col("payload").cast("string").alias("html"))
     bodies = records.filter("record_type = 'response'").groupBy("payload_digest").agg(F.first("payload").alias("body"))
-    again = records.filter("record_type = 'revisit'").select("page_id", "url", "payload_digest").join(bodies, "payload_digest").select("page_id", "url", F.decode("body", "utf-8").alias("html"))
+    again = records.filter("record_type = 'revisit'").select("page_id", "url", "payload_digest").join(bodies, "payload_digest").select("page_id", "url", F.col("body").cast("string").alias("html"))
     write_archives(full.unionByName(again), target, least)
 
 
@@ -181,7 +223,8 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
     atexit.register(_forget, spark, path)
-    return resolve(read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    # headers only: each archive is parsed once, however often its headers are used
+    return resolve(cut(read_archives(spark, path))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def _forget(spark: SparkSession, path: str) -> None:

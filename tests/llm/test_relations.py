@@ -1,5 +1,6 @@
 """Near duplicates, mixing, languages, archives, and the pipeline."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -322,6 +323,70 @@ def test_language_sums_to_one_and_empty(spark, folder):
     assert language_evidence.op6_language_evidence(spark, folder(documents=docs, pages=pages.limit(0))).count() == 0
 
 
+def plain_fusion(rows, languages):
+    """The fusion of one row at a time, by the letter of the module's text: rows of (id, evidence, declared, host, domain, suffix, named)."""
+    import math
+
+    n = len(languages)
+
+    def soft(x):
+        up = [math.exp(v - max(x)) for v in x]
+        return [v / sum(up) for v in up]
+
+    p = [soft(r[1]) for r in rows]
+    add = lambda some: [sum(x) for x in zip(*some)] if some else [0.0] * n
+    out = []
+    for i, (key, evidence, declared, host, domain, suffix, named) in enumerate(rows):
+        # the page's own vote is taken out of every count; what is left is never below zero
+        others = lambda at, value: [max(x - y, 0) for x, y in zip(add([q for q, r in zip(p, rows) if value is None or r[at] == value]), p[i])]  # noqa: B023, E731
+        total = others(0, None)
+        prior = [1 / n] * n
+        for counts in (total, others(5, suffix), others(4, domain), others(3, host)):
+            prior = [(x + language_evidence.STRENGTH * y) / (sum(counts) + language_evidence.STRENGTH) for x, y in zip(counts, prior)]
+        logs = [e + math.log(q) for e, q in zip(evidence, prior)]
+        for at, value in ((2, declared), (6, named)):
+            kinds = max(len({r[at] for r in rows}), 2)
+            if value != "":
+                logs = [z + math.log((x + language_evidence.BLEND) / (t + language_evidence.BLEND * kinds)) for z, x, t in zip(logs, others(at, value), total)]
+        out.append((key, soft(logs)))
+    return out
+
+
+def test_fusion_against_plain_python(spark):
+    rng = random.Random(9)
+    languages = ["de", "en", "fr"]
+    rows = [(i, [rng.uniform(-9, 0) for _ in languages], rng.choice(["", "de", "en", "xx"]), f"h{i % 7}", f"d{i % 3}", rng.choice(["de", "com"]), rng.choice(["", "fr", "de"])) for i in range(60)]
+    table = spark.createDataFrame(rows, "page_id long, evidence array<double>, declared string, host string, domain string, suffix string, named string")
+    got = {r["page_id"]: r for r in language_evidence.fuse(table, languages).collect()}
+    for key, want in plain_fusion(rows, languages):
+        assert got[key]["probabilities"] == pytest.approx(want, abs=1e-9)
+        assert got[key]["lang"] == languages[int(np.argmax(want))] and got[key]["probability"] == pytest.approx(max(want))
+
+
+def test_any_number_of_languages_by_plain_counts(spark, monkeypatch):
+    docs = [(i, " ".join([f"l{i % 230}x{j}" for j in range(5)]), f"t{i % 230:03}") for i in range(460)] + [(None, "no id", "t000"), (9999, None, "t001"), (1, "no language", None)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    samples, languages = language_evidence.language_samples(table)
+    assert languages == sorted({d[2] for d in docs if d[2]}) and samples.count() == 462
+    made = language_evidence.fit_text(samples, languages)
+    for k in (0, 1, 117):
+        counts = np.full(language_evidence.SLOTS, 0.1)
+        for _, text, lang in docs:
+            if lang == languages[k]:
+                counts += np.bincount(language_evidence.gram_slots(np.frombuffer((text or "").encode(), np.uint8)), minlength=language_evidence.SLOTS)
+        assert np.allclose(made[:, k], np.log(counts / counts.sum()), atol=1e-5)
+    few, _ = language_evidence.language_samples(table, 1)
+    assert few.count() == 230
+
+
+def test_visible_text_of_open_tags(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("a<script>x</script>b<style>y",), ("a<!-- c --> b <!-- d",), ("1 < 2 and <b>bold</b> 3 > 2",), ("x<p class='",), ("<script " * 60_000,)]
+    got = [r[0].strip() for r in spark.createDataFrame(rows, "h string").select(language_evidence.visible(F.col("h"))).collect()]
+    assert got == ["a b", "a b", "1 < 2 and bold 3 > 2", "x", ""]
+
+
 def test_addresses(spark):
     from pyspark.sql import functions as F
 
@@ -368,6 +433,51 @@ def test_archives_keep_payloads(spark, tmp_path):
     assert (3, "response") in kinds and (5, "revisit") in kinds and (9, "revisit") in kinds
 
 
+def test_archives_of_other_writers(spark, tmp_path):
+    import gzip
+
+    def record(kind, name, block, **more):
+        fields = {"WARC-Type": kind, "WARC-Record-ID": name, "WARC-Date": "2020-01-01T00:00:00Z", **more, "Content-Length": len(block)}
+        return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+    body = bytes(range(256)) * 3 + b"\r\n\r\nWARC/1.0\r\n"
+    http = {"Content-Type": "application/http; msgtype=response"}
+    records = [
+        record("warcinfo", "<urn:uuid:1-2>", b"software: x\r\n\r\nmore", **{"Content-Type": "application/warc-fields"}),
+        record("response", "<urn:page:7>", b"HTTP/1.1 200 OK\r\n\r\n" + body, **http),
+        record("response", "<urn:uuid:3>", b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + body, **http),
+        record("response", "<urn:page:9>", b"HTTP/1.1 200 OK\r\n\r\n" + body, **http),
+        record("revisit", "<urn:uuid:5>", b"", **{"WARC-Refers-To": "<urn:uuid:3>"}),
+        record("resource", "<urn:uuid:6>", b"\xff" * 3_000_000, **{"Content-Type": "image/gif"}),
+    ]
+    digest = hashlib.sha256(body).hexdigest()
+    for members in (b"".join(map(gzip.compress, records)), gzip.compress(b"".join(records))):
+        got = list(warc.parse_archive(members))
+        assert [r["record_type"] for r in got] == ["warcinfo", "response", "response", "response", "revisit", "resource"]
+        assert [r["page_id"] for r in got] == [None, 7, None, 9, None, None] and got[2]["record_id"] == "<urn:uuid:3>"
+        assert got[0]["payload"] == b"software: x\r\n\r\nmore" and got[1]["payload_digest"] == got[2]["payload_digest"] == digest
+        assert got[4]["refers_to"] is None and got[4]["payload_digest"] is None and got[5]["payload_bytes"] == 3_000_000
+        for cut in (40, len(members) // 2):
+            with pytest.raises(ValueError):
+                list(warc.parse_archive(members[:cut]))
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records[:2] + records[3:4])))
+    warc.deduplicate_archives(spark, str(source), target)
+    rows = {r["page_id"]: r for r in warc.read_archives(spark, target, payloads=True).collect()}
+    assert bytes(rows[7]["payload"]) == body and rows[9]["record_type"] == "revisit" and rows[9]["refers_to"] == 7
+
+
+def test_very_long_pages_and_clashing_columns(spark, folder):
+    long = "é<p>" * 400_000
+    pages = spark.createDataFrame([(1, "u", long), (2, "u", long), (3, None, None)], "page_id long, url string, html string").selectExpr("*", "1 as digest", "2 as bytes", "3 as original", "4 as value")
+    got = {r["page_id"]: r for r in warc.op9_warc_revisits(spark, folder(pages=pages)).collect()}
+    assert got[1]["payload_bytes"] == len(long.encode()) and got[2]["refers_to"] == 1 and got[3]["payload_bytes"] == 0
+    docs, _ = language_tables(spark)
+    clash = pages.selectExpr("*", "'q' as p", "'r' as host", "'s' as evidence", "'t' as lang")
+    assert language_evidence.op6_language_evidence(spark, folder(documents=docs.selectExpr("*", "1 as k", "2 as d", "3 as l"), pages=clash)).count() == 3
+
+
 # the pipeline
 
 
