@@ -189,7 +189,7 @@ def language_samples(docs: DataFrame, per_language: int = SAMPLE) -> tuple[DataF
     ids = known.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language).select("doc_id", "lang").distinct().collect()
     few = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in ids], "d long, l string")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("lang") == F.col("l"))
-    return docs.join(F.broadcast(few), same).select("lang", "text"), sorted({r["lang"] for r in ids})
+    return docs.select("doc_id", "lang", "text").join(F.broadcast(few), same).select("lang", "text"), sorted({r["lang"] for r in ids})
 
 
 def op6_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
