@@ -41,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import cut, free, mix64, small, table, utf8_parts
 from .components import components
 from .shingles import shingle_sets
@@ -236,13 +237,19 @@ def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return np.rint(total).astype(np.int64)
 
 
-def _to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small(batches):
-        values, counts = shingle_sets(*utf8_parts(batch.column("text")))
-        offsets = np.concatenate([[0], np.cumsum(counts * 8)]).astype(np.int32)
-        column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
-        keep = [c for c in batch.schema.names if c != "text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), column], [*keep, "shingles"])
+def _to_sets(among):
+    """Rows (doc_id, th, text) whose ``th`` is ``among`` the candidates' -> doc_id, th, shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            near = np.flatnonzero(among(np.asarray(whole.column("th"))))
+            for batch in small([whole.take(pa.array(near))]):
+                values, counts = shingle_sets(*utf8_parts(batch.column("text")))
+                offsets = np.concatenate([[0], np.cumsum(counts * 8)]).astype(np.int32)
+                column = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), column], ["doc_id", "th", "shingles"])
+
+    return run
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,8 +336,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # exact similarities inside the candidate groups
     sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
     picked = candidates.join(sizes, "component").withColumnRenamed("id", "rid").join(sets.select("rid", "copies"), "rid").join(ids.select("doc_id", "th", "rid"), "rid")
-    keyed = rows.join(picked.withColumnsRenamed({"doc_id": "d", "th": "t"}), (F.col("th") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d")))
-    made = keyed.select("rid", "component", "size", "copies", "text").mapInArrow(_to_sets, "rid long, component long, size long, copies long, shingles binary")
+    picked = cut(picked.withColumnsRenamed({"doc_id": "d", "th": "t"}))
+    # texts are read again, and the shingles of candidates alone are shuffled
+    made = rows.mapInArrow(_to_sets(bloom.build(picked, "t")), "doc_id long, th long, shingles binary")
+    made = made.join(picked, (F.col("th") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("rid", "component", "size", "copies", "shingles")
     dealt = _block_pairs(made, "size", GROUP_BLOCK).select("component", "bi", "bj", "block", "rid", "copies", "shingles")
     exact = dealt.repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj").mapInArrow(_verify, "u long, v long, links long")
     exact = cut(exact)
@@ -351,14 +360,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that resemble an earlier-numbered one: of each class the smallest doc_id stays, once."""
-    h, d, t = (free(docs, x) for x in ("_h", "_d", "_t"))
-    kept = near_duplicates(docs).filter(F.col("rid") == F.col("first")).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    """``docs`` without the documents that resemble an earlier-numbered one: of each class the smallest doc_id stays, once.
+
+    Rows that a filter of the rows to remove lets pass stay as they are, unshuffled; the rest, those rows and the few
+    that look like them, are joined.
+    """
+    h, d, t, m = (free(docs, x) for x in ("_h", "_d", "_t", "_m"))
+    key = [F.col("doc_id").alias(d), F.col("th").alias(t)]
+    near = cut(near_duplicates(docs).select("doc_id", "th", (F.col("rid") == F.col("first")).alias("stays")))
+    removed = cut(near.filter("not stays").select(*key).distinct())
+    # of repeated rows of the one that stays: those are removed, and it stays
+    twice = near.filter("stays").select(*key).join(removed.withColumnsRenamed({d: "d", t: "t"}), (F.col(t) == F.col("t")) & F.col(d).eqNullSafe(F.col("d")), "left_semi")
     hashed = docs.withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
-    found = hashed.join(kept, (F.col(h) == F.col(t)) & F.col("doc_id").eqNullSafe(F.col(d)), "left_semi")
-    wordless = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\t\n\x0B\f\r]", " ")) == ""
-    once = found.filter(~wordless).dropDuplicates([h, "doc_id"])
-    return once.unionByName(found.filter(wordless)).drop(h)
+    flagged = hashed.withColumn(m, bloom.may_be_among(bloom.build(removed, t), F.col(h)))
+    same = (F.col(h) == F.col(t)) & F.col("doc_id").eqNullSafe(F.col(d))
+    maybe = flagged.filter(F.col(m))
+    kept = [flagged.filter(~F.col(m)), maybe.join(removed, same, "left_anti"), maybe.join(twice, same, "left_semi").dropDuplicates([h, "doc_id"])]
+    return kept[0].unionByName(kept[1]).unionByName(kept[2]).drop(h, m)
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

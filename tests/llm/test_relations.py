@@ -99,6 +99,50 @@ def test_join_of_the_sample_table(spark):
     assert got == sorted(brute_links(rows))
 
 
+def test_join_recall_at_a_thousand_documents(spark):
+    tables = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{tables}/documents.parquet").collect()]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.op1_jaccard_join(spark, tables).collect()}
+    want = {k: (c, n) for k, c, n in brute_links(rows)}
+    assert sum(n for _, n in got.values()) >= 0.999 * sum(n for _, n in want.values()) > 0
+    assert all(got[k][1] <= n for k, (_, n) in want.items()) and sum(got[k] != want[k] for k in want) <= len(want) // 200
+
+
+def test_a_chain_of_boilerplate_is_no_class(spark, monkeypatch):
+    """Documents that share most, but too little, with their neighbours: one candidate group, no links; near copies inside are found."""
+    monkeypatch.setattr(jaccard_join, "GROUP_BLOCK", 16)
+    monkeypatch.setattr(jaccard_join, "LIMIT", 8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(words[i * 12 : i * 12 + 80])) for i in range(200)]
+    rows += [(1000 + i, " ".join([*words[i * 12 : i * 12 + 79], "other"])) for i in range(0, 200, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard_join.near_duplicates(docs).collect())
+    assert got == sorted(brute_links(rows)) and sum(n for *_, n in got) == 40
+    assert sorted(r["doc_id"] for r in jaccard_join.keep_one(docs).collect()) == list(range(200))
+
+
+def test_bloom_filter_keeps_every_key(spark):
+    from dotweave.llm import bloom
+
+    keys = spark.range(0, 90_000, 3).selectExpr("id * 7919 - 5 as k").union(spark.createDataFrame([(None,)], "k long"))
+    test = bloom.build(keys, "k")
+    all_ = np.arange(90_000, dtype=np.int64) * 7919 - 5
+    hit = test(all_)
+    assert hit[::3].all() and hit.mean() < 0.36
+    assert not bloom.build(keys.limit(0), "k")(all_).any()
+    table = spark.range(90_000).selectExpr("id", "id * 7919 - 5 as k")
+    from pyspark.sql import functions as F
+
+    assert table.filter(bloom.may_be_among(test, F.col("k"))).count() == int(hit.sum())
+
+
+def test_repeated_rows_stay_once(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "a"), (1, text, "a"), (2, text, "b"), (2, text, "b"), (3, text + " x", "c"), (4, "", "d"), (4, "", "d"), (5, None, "e"), (None, text, "f"), (None, text, "f")]
+    kept = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(4, "", "d"), (4, "", "d"), (5, None, "e"), (None, text, "f")], key=str)
+
+
 def test_join_of_awkward_rows(spark, docs, none):
     got = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard_join.near_duplicates(docs).collect()), key=str)
     assert got == sorted(brute_links([(r["doc_id"], r["text"]) for r in docs.collect()]), key=str)
