@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 
 from .common import cut, mix64, table, utf8_parts
 
-SAMPLE = 400
+SAMPLE, PARTS = 400, 16
 SLOTS, GRAMS = 1 << 16, 60.0
 #: Pseudo-counts that a level borrows from the one above.
 STRENGTH = 5.0
@@ -185,8 +185,12 @@ def language_samples(docs: DataFrame, per_language: int = SAMPLE) -> tuple[DataF
     Ids are ranked first, for all languages in one pass: partitions keep their smallest before anything is shuffled.
     """
     known = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language).select("doc_id", "lang").distinct().collect()
+    # a frequent language is dealt over PARTS tasks, which keep their smallest, before they meet
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))
+    for by in (["lang", part], ["lang"]):
+        first = Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id")
+        known = known.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language).select("doc_id", "lang")
+    ids = known.distinct().collect()
     few = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in ids], "d long, l string")
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("lang") == F.col("l"))
     return docs.select("doc_id", "lang", "text").join(F.broadcast(few), same).select("lang", "text"), sorted({r["lang"] for r in ids})
