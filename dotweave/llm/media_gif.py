@@ -9,8 +9,11 @@ GIF, in rows of 64 and frames of at most ``FRAME_ROWS`` rows.
 
 Defined cases: null media has no frames; bytes that are no GIF, or end early, give
 one row with null fields and the fault in ``error``, with the frames before it
-kept; null text counts as empty and is stored as 64 zero bytes; an empty table
-gives no rows.
+kept; a canvas or frame of more than ``MOST_PIXELS`` pixels, or a code size outside 2
+to 8, is such a fault before anything is allocated; null text counts as empty and is
+stored as 64 zero bytes; equal texts give equal media, repeated rows each a row; very
+long texts become many frames of one file; only the columns named are read, so further
+ones of any name play no part; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,12 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import small, table
 
 ROW, FRAME_ROWS = 64, 1_024
 BINS = 16
 #: Codes that fit into a code table.
 FULL = 4_096
+#: Pixels of a canvas or a frame at most: 200 MB as colours.
+MOST_PIXELS = 1 << 26
 
 
 @functools.cache
@@ -162,6 +167,8 @@ def decode_gif(media: bytes) -> Iterator[dict]:
     if media[:6] not in (b"GIF87a", b"GIF89a") or len(media) < 13:
         raise ValueError("not a GIF")
     width, height, flags, background, _ = struct.unpack("<HHBBB", media[6:13])
+    if width * height > MOST_PIXELS:
+        raise ValueError(f"a canvas of more than {MOST_PIXELS} pixels")
     at = 13
     shared = None
     if flags & 0x80:
@@ -208,8 +215,14 @@ def decode_gif(media: bytes) -> Iterator[dict]:
                 size = 3 << ((flags & 7) + 1)
                 palette = np.frombuffer(media[at : at + size].ljust(768, b"\0"), np.uint8).reshape(-1, 3)
                 at += size
+            if at >= len(media):
+                raise ValueError("the file ends inside an image")
             low = media[at]
             at += 1
+            if not 2 <= low <= 8:
+                raise ValueError("a code size that no GIF has")
+            if w * h > MOST_PIXELS:
+                raise ValueError(f"a frame of more than {MOST_PIXELS} pixels")
             pixels = np.frombuffer(lzw_decode(take(), low, w * h), np.uint8)
             if len(pixels) < w * h:
                 raise ValueError("the code stream ends early")
@@ -266,7 +279,7 @@ def frames(df: DataFrame, key: str, media: str) -> DataFrame:
                         hists = [histogram(canvas[..., c]).tolist() for c in range(3)]
                         row = [*f.values(), canvas.shape[1], canvas.shape[0], canvas.tobytes(), *hists, None]
                         over = False
-                    except (ValueError, struct.error, IndexError) as fault:
+                    except (ValueError, struct.error, IndexError, OverflowError) as fault:
                         row, over = [None] * (len(names) - 2) + [str(fault)], True
                     kinds = [batch.schema.field(key).type, *([pa.int32(), pa.int64()] + [pa.int32()] * 7), pa.binary(), *[pa.list_(pa.int64())] * 3, pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([k.as_py(), *row], kinds)], names)
@@ -297,27 +310,39 @@ def decode_samples(media: bytes) -> tuple[bytes, np.ndarray]:
     return b"".join(parts), total
 
 
-def stored_samples(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Store each text as a GIF, read it back, and describe both."""
+def with_media(df: DataFrame, key: str, text: str, out: str = "media") -> DataFrame:
+    """``key``, ``n_bytes`` and ``out``: each text, as UTF-8 filled up with zeros to whole rows, as a GIF."""
+    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, n_bytes long, `{out}` binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, 200):
+            raw = [(value.as_py() or "").encode() for value in batch.column(text)]
+            media = [encode_samples(r.ljust(max(ROW, -(-len(r) // ROW) * ROW), b"\0")) for r in raw]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())], [key, "n_bytes", out])
+
+    return df.select(key, text).mapInArrow(run, schema)
+
+
+def read_samples(df: DataFrame, key: str, media: str = "media") -> DataFrame:
+    """``key``, ``n_bytes`` and what the stored bytes of ``media`` say: the payload read back from them, digests, and a colour histogram."""
     schema = f"`{key}` {df.schema[key].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value in batch.column(text):
-                raw = (value.as_py() or "").encode()
-                media = encode_samples(raw.ljust(max(ROW, -(-len(raw) // ROW) * ROW), b"\0"))
-                payload, hist = decode_samples(media)
-                rows.append((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), ",".join(map(str, hist))))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([batch.column(key), *(pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, kinds))], names)
+            for value in batch.column(media):
+                stored = value.as_py()
+                payload, hist = decode_samples(stored)
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), ",".join(map(str, hist))))
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("n_bytes"), *(pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 6, kinds))], names)
 
-    return df.select(key, text).mapInArrow(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored_samples(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return read_samples(with_media(table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id")
 
 
 QUERIES = {"op7_gif_media": op7_gif_media}

@@ -364,15 +364,81 @@ def test_frames_table(spark):
     assert media_gif.frames(rows.limit(0), "id", "media").count() == 0
 
 
+def textbook_pixels(media):
+    """The pixel indices of all frames of a GIF without local palettes, code by code."""
+    at, out = 13 + (3 << ((media[10] & 7) + 1)), []
+    while media[at] != 0x3B:
+        if media[at] == 0x21:
+            at += 2
+            while media[at]:
+                at += media[at] + 1
+            at += 1
+            continue
+        low, at, data = media[at + 10], at + 11, b""
+        while media[at]:
+            data += media[at + 1 : at + 1 + media[at]]
+            at += media[at] + 1
+        at += 1
+        bits, held, place, width, table, before = 0, 0, 0, low + 1, [], None
+        while True:
+            while held < width:
+                bits |= data[place] << held
+                held, place = held + 8, place + 1
+            code, bits, held = bits & ((1 << width) - 1), bits >> width, held - width
+            if code == 1 << low:
+                table, width, before = [bytes([i]) for i in range(1 << low)] + [b"", b""], low + 1, None
+                continue
+            if code == (1 << low) + 1:
+                break
+            now = table[code] if code < len(table) else before + before[:1]
+            if before is not None and len(table) < 4096:
+                table.append(before + now[:1])
+            if len(table) == 1 << width and width < 12:
+                width += 1
+            out.append(now)
+            before = now
+    return b"".join(out)
+
+
+def test_op7_against_a_textbook_decoder(spark):
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    media = {r["doc_id"]: bytes(r["media"]) for r in media_gif.with_media(docs, "doc_id", "text").collect()}
+    got = {r["doc_id"]: r for r in media_gif.op7_gif_media(spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    for k, raw in texts.items():
+        payload = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
+        assert textbook_pixels(media[k]) == payload
+        r = got[k]
+        assert (r["n_bytes"], r["payload_bytes"], r["media_bytes"]) == (len(raw), len(payload), len(media[k]))
+        assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["media_sha256"] == hashlib.sha256(media[k]).hexdigest()
+        assert r["tail_crc32"] == zlib.crc32(payload[-64:]) and r["feature"] == ",".join(str(sum(16 * i <= x < 16 * i + 16 for x in payload)) for i in range(16))
+
+
+def test_hostile_media_are_faults(spark):
+    good = media_gif.encode_gif([{"indices": bytes(16), "width": 4, "height": 4}], 4, 4, bytes(3))
+    at = good.index(b",")
+    broken = {
+        1: good[:6] + b"\xff\xff\xff\xff" + good[10:],
+        2: good[: at + 10] + b"\x40" + good[at + 11 :],
+        3: good[: at + 10] + b"\x01" + good[at + 11 :],
+        4: good[: at + 5] + b"\xff\xff\xff\xff" + good[at + 9 :],
+        5: good[: at + 10],
+    }
+    rows = spark.createDataFrame([(k, bytearray(v)) for k, v in broken.items()], "id long, media binary").selectExpr("*", "1 as frame", "2 as error")
+    got = media_gif.frames(rows, "id", "media").collect()
+    assert sorted(r["id"] for r in got) == [1, 2, 3, 4, 5] and all(r["error"] and r["rgb"] is None for r in got)
+
+
 def test_stored_samples_of_awkward_rows(docs, none, spark):
     source = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
-    for r in media_gif.stored_samples(docs, "doc_id", "text").collect():
+    for r in media_gif.read_samples(media_gif.with_media(docs, "doc_id", "text"), "doc_id").collect():
         raw = source[r["doc_id"]]
         payload = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
         assert (r["n_bytes"], r["payload_bytes"]) == (len(raw), len(payload))
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-64:])
         assert sum(map(int, r["feature"].split(","))) == len(payload)
-    assert media_gif.stored_samples(none, "doc_id", "text").count() == 0
+    assert media_gif.read_samples(media_gif.with_media(none, "doc_id", "text"), "doc_id").count() == 0
 
 
 # chats
