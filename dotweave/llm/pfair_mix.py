@@ -51,6 +51,8 @@ TEMPER = 0.7
 RUN = 1_000
 #: Documents of one hash bucket of a source, about; ranks are counted inside and summed across.
 BUCKET = 2_000
+#: Files whose names are broadcast, at most (some 10 MB); those of more are joined.
+FILES = 100_000
 #: Documents of one partition of the mix at most.
 PART = 100_000
 
@@ -241,10 +243,13 @@ def file_positions(written: DataFrame, out: str = "position") -> DataFrame:
         rows = written.select("*", F.col("_metadata.file_name").alias(name), F.col("_metadata.row_index").alias(row))
     except AnalysisException:
         return written.withColumn(out, F.lit(None).cast("long"))
-    files = written.select(F.col("_metadata.file_name").alias(name)).groupBy(name).agg(F.count("*").alias(before))
-    # a row a file
-    sizes = files.withColumn(before, F.coalesce(F.sum(before).over(Window.orderBy(name).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return rows.join(sizes, name).withColumn(out, F.col(before) + F.col(row)).drop(name, row, before)
+    files = written.select(F.col("_metadata.file_name").alias(name)).groupBy(name).agg(F.count("*").alias("n")).collect()  # a row a file
+    start, starts = 0, []
+    for f in sorted(files, key=lambda f: f[name]):
+        starts.append((f[name], start))
+        start += f["n"]
+    sizes = written.sparkSession.createDataFrame(starts, f"`{name}` string, `{before}` long")
+    return rows.join(F.broadcast(sizes) if len(starts) <= FILES else sizes, name).withColumn(out, F.col(before) + F.col(row)).drop(name, row, before)
 
 
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
