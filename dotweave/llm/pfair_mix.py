@@ -165,11 +165,14 @@ def _placed(docs: DataFrame, weights: dict | None = None, source: str = "source"
     """The rows of :func:`placed`, and their number."""
     spark = docs.sparkSession
     spread = F.coalesce(F.when(F.col(key).isNotNull(), F.xxhash64(key)), F.xxhash64(*_hashable(docs, numbers=True), F.lit(0)))
+    # sources by a key that is never null: joins and windows on it ask for the same partitioning, so texts move once
+    coded = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("n"))
+    code = lambda s: "n" if s is None else f"s{s}"
     rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(source).cast("string").alias("source"), F.col(key).alias("key"), spread.alias("spread"),
+        F.struct(*docs.columns).alias("row"), coded.alias("source"), F.col(key).alias("key"), spread.alias("spread"),
         F.xxhash64(*_hashable(docs), F.lit(0)).alias("tie"),
     )
-    sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    sizes = {None if r["source"] == "n" else r["source"][1:]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return rows.select("row", *(F.lit(None).cast("long").alias(c) for c in ("block", "slot", "position"))), 0
     blocks = {s: -(-n // block) for s, n in sizes.items()}
@@ -190,26 +193,25 @@ def _placed(docs: DataFrame, weights: dict | None = None, source: str = "source"
     # a row a run of blocks: what the driver has dealt out, executors can hold
     named = F.broadcast(
         spark.createDataFrame(
-            [(s, at // RUN, spots[at : at + RUN].tolist(), starts[spots[at : at + RUN]].tolist()) for s, spots in where.items() for at in range(0, len(spots), RUN)],
-            "named string, run long, slots array<long>, starts array<long>",
+            [(code(s), at // RUN, spots[at : at + RUN].tolist(), starts[spots[at : at + RUN]].tolist()) for s, spots in where.items() for at in range(0, len(spots), RUN)],
+            "source string, run long, slots array<long>, starts array<long>",
         )
     )
-    dealing = F.broadcast(spark.createDataFrame([(s, max(1, n // BUCKET)) for s, n in sizes.items()], "dealing string, buckets long"))
-    bucketed = lambda df: df.join(dealing, F.col("source").eqNullSafe(F.col("dealing"))).withColumn("bucket", F.pmod("spread", F.col("buckets"))).drop("dealing", "buckets")
+    dealing = F.broadcast(spark.createDataFrame([(code(s), max(1, n // BUCKET)) for s, n in sizes.items()], "source string, buckets long"))
+    bucketed = lambda df: df.join(dealing, "source").withColumn("bucket", F.pmod("spread", F.col("buckets"))).drop("buckets")
     inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("key", F.lit(1)), "key", "tie")
     ranked = bucketed(rows).withColumn("rank", F.row_number().over(inside) - 1)
     # one row per bucket, summed in two steps so that no source's buckets meet in one task
     counts = bucketed(rows.select("source", "spread")).groupBy("source", "bucket").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("bucket") / 1_000))
     near = Window.partitionBy("source", "part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     far = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = counts.groupBy("source", "part").agg(F.sum("n").alias("n")).select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(far), F.lit(0)).alias("far"))
-    shifts = counts.withColumn("near", F.coalesce(F.sum("n").over(near), F.lit(0))).join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
-    shifts = shifts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.col("near") + F.col("far")).alias("shift"))
-    shifted = ranked.join(shifts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("rank", F.col("rank") + F.col("shift"))
+    parts = counts.groupBy("source", "part").agg(F.sum("n").alias("n")).select("source", "part", F.coalesce(F.sum("n").over(far), F.lit(0)).alias("far"))
+    shifts = counts.withColumn("near", F.coalesce(F.sum("n").over(near), F.lit(0))).join(parts, ["source", "part"]).select("source", "bucket", (F.col("near") + F.col("far")).alias("shift"))
+    shifted = ranked.join(shifts, ["source", "bucket"]).withColumn("rank", F.col("rank") + F.col("shift"))
     numbered = shifted.withColumn("block", F.floor(F.col("rank") / block))
-    on = F.col("source").eqNullSafe(F.col("named")) & (F.floor(F.col("block") / RUN) == F.col("run"))
+    numbered = numbered.withColumn("run", F.floor(F.col("block") / RUN))
     at = (F.col("block") % RUN + 1).cast("int")
-    out = numbered.join(named, on).select("row", "block", F.element_at("slots", at).alias("slot"), (F.element_at("starts", at) + F.col("rank") % block).alias("position"))
+    out = numbered.join(named, ["source", "run"]).select("row", "block", F.element_at("slots", at).alias("slot"), (F.element_at("starts", at) + F.col("rank") % block).alias("position"))
     return out, sum(sizes.values())
 
 
