@@ -54,7 +54,7 @@ BUCKET = 2_000
 #: Files whose names are broadcast, at most (some 10 MB); those of more are joined.
 FILES = 100_000
 #: Documents of one partition of the mix at most.
-PART = 100_000
+PART = 30_000
 
 
 def quantise(weights: dict, resolution: int = RESOLUTION) -> dict:
@@ -200,7 +200,9 @@ def _placed(docs: DataFrame, weights: dict | None = None, source: str = "source"
     dealing = F.broadcast(spark.createDataFrame([(code(s), max(1, n // BUCKET)) for s, n in sizes.items()], "source string, buckets long"))
     bucketed = lambda df: df.join(dealing, "source").withColumn("bucket", F.pmod("spread", F.col("buckets"))).drop("buckets")
     inside = Window.partitionBy("source", "bucket").orderBy(F.xxhash64("key", F.lit(1)), "key", "tie")
-    ranked = bucketed(rows).withColumn("rank", F.row_number().over(inside) - 1)
+    # as many partitions as keep each small, not joined into larger ones
+    dealt = bucketed(rows).repartition(_parts(spark, sum(sizes.values())), "source", "bucket")
+    ranked = dealt.withColumn("rank", F.row_number().over(inside) - 1)
     # one row per bucket, summed in two steps so that no source's buckets meet in one task
     counts = bucketed(rows.select("source", "spread")).groupBy("source", "bucket").agg(F.count("*").alias("n")).withColumn("part", F.floor(F.col("bucket") / 1_000))
     near = Window.partitionBy("source", "part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -221,6 +223,10 @@ def positions(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
     return placed(docs, weights, **how).select(*(F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in made), *made)
 
 
+def _parts(spark: SparkSession, n: int) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // PART))
+
+
 def mixed(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
     """``docs``, the same columns, in the order of the mix: dealt by runs of positions to partitions and sorted.
 
@@ -228,7 +234,7 @@ def mixed(docs: DataFrame, weights: dict | None = None, **how) -> DataFrame:
     partition, the rows keep the order; :func:`file_positions` reads it back.
     """
     rows, n = _placed(docs, weights, **how)
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART))
+    parts = _parts(docs.sparkSession, n)
     per = max(1, -(-n // parts))
     ordered = rows.repartitionById(parts, F.floor(F.col("position") / per).cast("int")).sortWithinPartitions("position")
     return ordered.select(*(F.col("row")[c].alias(c) for c in docs.columns))
