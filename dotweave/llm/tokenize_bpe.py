@@ -6,6 +6,12 @@ non-space characters. No match of the pattern runs across such a point and no
 look-ahead reaches it, so the ids equal those of the uncut text, while each call
 of the library stays small.
 
+A part that still holds a long run of one kind (white space, letters, digits, other)
+has no such place. Its matches are then found one by one with the ``regex`` module,
+whose backtracking needs no stack; a match of more than ``MATCH`` bytes is merged here
+(:func:`merge_pairs`), in time close to linear, since the library's own merge of one
+match is quadratic and its pattern overflows the stack on white space.
+
 Decoding works on raw bytes: a token may end inside a character, so only the
 joined bytes are a text again.
 
@@ -18,11 +24,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +39,12 @@ from .common import small, table
 
 #: Characters above which a text is cut at safe boundaries.
 SEGMENT = 16_384
+#: Characters of a run of one kind, and bytes of a match, above which the library does not see them.
+RUN, MATCH = 8_192, 8_192
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+_LONG = regex.compile(rf"\s{{{RUN}}}|\p{{L}}{{{RUN}}}|\p{{N}}{{{RUN}}}|[^\s\p{{L}}\p{{N}}]{{{RUN}}}")
 _ENCODERS: dict[tuple[str, str], object] = {}
+_PARTS: dict[int, tuple[dict[bytes, int], list[int], object]] = {}
 
 
 def encoder(rank_file: str, pattern: str):
@@ -43,10 +55,74 @@ def encoder(rank_file: str, pattern: str):
 
         with open(rank_file, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        _ENCODERS[key] = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[key] = enc = tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _PARTS[id(enc)] = ranks, [ranks[bytes([b])] for b in range(256)], regex.compile(pattern)
     return _ENCODERS[key]
 
 
+def merge_pairs(ranks: dict[bytes, int], single: list[int], match: bytes) -> list[int]:
+    """Ids of one match by pair merging: always the pair of lowest rank, the leftmost of equal ones.
+
+    While one pair makes up a good part of the match (runs of one character), all its places are merged at once:
+    left to right, and only if no merge can give a pair of a rank as low, which would have had to come first. What is
+    left goes through a heap of pairs over a linked list.
+    """
+    if match in ranks:
+        return [ranks[match]]
+    names = {rank: token for token, rank in ranks.items()}
+    ids = np.asarray(single, np.int64)[np.frombuffer(match, np.uint8)]
+    while len(ids) > 4_096:
+        pairs, of = np.unique(ids[:-1] << 32 | ids[1:], return_inverse=True)
+        rank = np.array([ranks.get(names[p >> 32] + names[p & 0xFFFFFFFF], 1 << 40) for p in pairs.tolist()])
+        best = int(rank.min())
+        at = np.flatnonzero(of == rank.argmin())
+        if best == 1 << 40 or (rank == best).sum() > 1 or len(at) * 64 < len(ids):
+            break
+        # of places in a row that overlap, every second one from the left is merged
+        head = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+        at = at[(at - at[head[np.cumsum(np.diff(at, prepend=-2) != 1) - 1]]) % 2 == 0]
+        gone = np.ones(len(ids), bool)
+        gone[at + 1] = False
+        merged = ids.copy()
+        merged[at] = best
+        merged = merged[gone]
+        new = np.unique(merged[:-1] << 32 | merged[1:])
+        new = [p for p in new.tolist() if best in (p >> 32, p & 0xFFFFFFFF)]
+        if any(ranks.get(names[p >> 32] + names[p & 0xFFFFFFFF], 1 << 40) <= best for p in new):
+            break
+        ids = merged
+    return _merge_by_heap(ranks, [names[i] for i in ids.tolist()])
+
+
+def _merge_by_heap(ranks: dict[bytes, int], tokens: list[bytes | None]) -> list[int]:
+    n = len(tokens)
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(tokens, tokens[1:])) if (r := ranks.get(a + b)) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        # a pair that an earlier merge has changed is no longer there
+        if j >= n or tokens[i] != a or tokens[j] != b:
+            continue
+        tokens[i], tokens[j], after[i] = a + b, None, after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        for k in (before[i], i):
+            if k >= 0 and after[k] < n and (r := ranks.get(tokens[k] + tokens[after[k]])) is not None:
+                heapq.heappush(heap, (r, k, tokens[k], tokens[after[k]]))
+    return [ranks[t] for t in tokens if t is not None]
+
+
+def _match_ids(enc, part: str) -> Iterator[list[int]]:
+    """Ids of a part match by match, for parts with long runs."""
+    ranks, single, pattern = _PARTS[id(enc)]
+    for found in pattern.finditer(part):
+        match = found.group()
+        raw = match.encode() if len(match) * 4 > MATCH else b""
+        yield merge_pairs(ranks, single, raw) if len(raw) > MATCH else enc.encode_ordinary(match)
+
+
 def segments(text: str, size: int = SEGMENT) -> list[str]:
     """Consecutive parts of ``text``, cut only at safe boundaries, of ``size`` or the least more that such a boundary allows."""
     if len(text) <= size:
@@ -61,13 +137,23 @@ def segments(text: str, size: int = SEGMENT) -> list[str]:
 def encode(enc, text: str | None) -> list[int]:
     ids: list[int] = []
     for part in segments(text or ""):
-        ids += enc.encode_ordinary(part)
+        if len(part) >= RUN and _LONG.search(part):
+            for some in _match_ids(enc, part):
+                ids += some
+        else:
+            ids += enc.encode_ordinary(part)
     return ids
 
 
 def encode_array(enc, text: str | None) -> np.ndarray:
     """As :func:`encode`, four bytes an id."""
-    return np.concatenate([np.asarray(enc.encode_to_numpy(part, disallowed_special=()), np.int32) for part in segments(text or "")])
+    made = []
+    for part in segments(text or ""):
+        if len(part) >= RUN and _LONG.search(part):
+            made += [np.asarray(some, np.int32) for some in _match_ids(enc, part)]
+        else:
+            made.append(np.asarray(enc.encode_to_numpy(part, disallowed_special=()), np.int32))
+    return np.concatenate(made)
 
 
 def with_tokens(df: DataFrame, rank_file: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
