@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, hard_negatives, jaccard_join, language_evidence, media_gif, pfair_mix, quality_cnn, scaled_sketch, secret_scan, tokenize_bpe, toxicity, warc
+from . import chat_format, collocations, hard_negatives, jaccard_join, language_evidence, media_gif, pfair_mix, quality_cnn, scaled_sketch, secret_scan, tokenize_bpe, toxicity, warc
 
-MODULES = (jaccard_join, toxicity, quality_cnn, pfair_mix, tokenize_bpe, language_evidence, media_gif, scaled_sketch, warc, chat_format, secret_scan, hard_negatives)
+MODULES = (jaccard_join, toxicity, quality_cnn, pfair_mix, tokenize_bpe, language_evidence, media_gif, scaled_sketch, warc, chat_format, secret_scan, collocations, hard_negatives)
 
 
 def queries() -> dict:
