@@ -66,8 +66,10 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
 
 def extremes(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Least and greatest value of each dimension over all rows: two numbers a dimension reach the driver."""
-    found = rows.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy("d").toPandas()
-    return found["lo"].to_numpy(np.int64), found["hi"].to_numpy(np.int64)
+    found = rows.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n")).orderBy("d").toPandas()
+    # where some vectors are shorter, they count as 0
+    zero = found["n"] < found["n"].max()
+    return found["lo"].where(~zero, found["lo"].clip(upper=0)).to_numpy(np.int64), found["hi"].where(~zero, found["hi"].clip(lower=0)).to_numpy(np.int64)
 
 
 class Cells:

@@ -6,9 +6,9 @@ Base kinds, each scanned from left to right without overlaps, matches that fail
 
 The method adds the kind ``random``. A byte-pair vocabulary has long tokens for what people write and almost none for what
 a generator draws, so a run of key characters whose number of characters a token falls below ``LIMIT`` is a random string.
-The runs are of ``LEAST`` or more characters with ``DISTINCT`` or more different ones; a run that passes as a whole is
-one span, else each of its parts between ``/._=-`` is looked at alone, so that a key inside an address is found. Left out
-are known digests (hexadecimal text of the length of a digest, integrity values, and the values given as ``known``) and
+The runs are of ``LEAST`` or more characters with ``DISTINCT`` or more different ones. Each part of a run between ``/._=-``
+is looked at alone, so that a key inside an address is its own span; a run none of whose parts is random (they may be too
+short) is looked at as a whole. Left out are known digests (hexadecimal text of the length of a digest, integrity values, and the values given as ``known``) and
 known identifiers (UUIDs, ULIDs, DOIs, numbers with separators), and what overlaps a base span, which is reported as such.
 
 Offsets count code points, ends are exclusive. A text is read whole, in its worker; nothing is shuffled.
@@ -75,10 +75,10 @@ def random_spans(enc, text: str, taken: list[tuple[int, int, int]], limit: float
         run = m.group()
         start = m.start() + len(run) - len(run.lstrip("/._=-"))
         run = run.strip("/._-").lstrip("=")
-        if is_random(enc, run, limit, known):
-            found.append((start, 3, start + len(run)))
-        elif not (_DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run) or run in known):
-            found += [(start + p.start(), 3, start + p.end()) for p in _PART.finditer(run) if is_random(enc, p.group(), limit, known)]
+        if _DIGEST.fullmatch(run) or _IDENTIFIER.fullmatch(run) or run in known:
+            continue
+        parts = [(start + p.start(), 3, start + p.end()) for p in _PART.finditer(run) if is_random(enc, p.group(), limit, known)]
+        found += parts or [(start, 3, start + len(run))] * is_random(enc, run, limit, known)
     if not taken:
         return found
     free_of, at, reach = [], 0, -1
