@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dotweave.functions import arrays, codes
-from dotweave.operators import alignment, barcodes, bayes, cells, constellations, dedup, geometry, images, quality, registration, selection, spatial
+from dotweave.operators import alignment, barcodes, bayes, cells, constellations, dedup, geometry, graphs, images, quality, registration, selection, spatial
 from dotweave.schema import DOTS, ERRORS, IMAGES, PIXELS
 from dotweave.sources import catalogs
 
@@ -147,10 +147,59 @@ def test_decoding_three_ways(spark):
     want = sorted(x for f in (1, 2) for x in naive_decode([(r[2], *r[3:]) for r in rows if r[0] == f], 1.5, 6))
     got = sorted((r["barcode_reference_dot_id"], r["code_bits"]) for r in barcodes.decode(dots, 1.5, 6, rc=RC).collect())
     assert got == want
-    joined = barcodes.decode_joined(dots, 1.5, 6, ["fov_num", "channel"], RC, lambda df: df.checkpoint())
+    joined = barcodes.decode_joined(dots, 1.5, 6, ["fov_num", "channel"], RC)
     assert sorted((r["dot_id"], r["code_bits"]) for r in joined.collect()) == want
 
 
+@pytest.mark.parametrize("tile, most", [(2, 50_000), (3, 40), (32, 100), (2, 5)])
+def test_clusters_over_tile_borders_and_oversized_ones(spark, monkeypatch, tile, most):
+    """Pieces meet over the borders of small tiles; clusters and tiles of more dots than a task may hold go through joins."""
+    monkeypatch.setattr(barcodes, "TILE", tile)
+    monkeypatch.setattr(barcodes, "MOST_DOTS", most)
+    rng = random.Random(tile * most)
+    rows = [(f, "c", f"{f}_{i:03d}", rng.randint(1, 6), rng.randrange(-40, 80) / 2, rng.randrange(70) / 2) for f in (1, 2) for i in range(220)]
+    rows += [(1, "c", f"x{i:02d}", 1 + i % 6, 5.0, -10.0 + i) for i in range(30)]  # one chain over many tiles
+    dots = spark.createDataFrame(rows, "fov_num int, channel string, dot_id string, round_num int, r double, c double")
+    want = sorted(x for f in (1, 2) for x in naive_decode([(r[2], *r[3:]) for r in rows if r[0] == f], 1.5, 6))
+    assert sorted((r["barcode_reference_dot_id"], r["code_bits"]) for r in barcodes.decode(dots, 1.5, 6, rc=RC).collect()) == want
+
+
+@pytest.mark.parametrize("length, words", [(16, 300), (32, 120), (64, 90), (64, 1), (33, 40), (1, 2)])
+def test_multi_index_finds_the_nearest_codeword_of_any_length(spark, length, words):
+    rng = random.Random(length + words)
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    book = [(f"g{i}", signed(rng.getrandbits(length)), i) for i in range(words)]
+    near = [(i, signed((book[i % words][1] ^ (1 << rng.randrange(length)) ^ (1 << rng.randrange(length))) % (1 << 64))) for i in range(60)]
+    rows = near + [(100 + i, signed(rng.getrandbits(length))) for i in range(60)] + [(999, None)]
+    got = barcodes.nearest_codeword(spark.createDataFrame(rows, "id int, code_bits long"), spark.createDataFrame(book, "gene string, code_bits long, code_idx int"), length)
+    found = {r["id"]: (r["decoded_genes"], round(r["hamming_distance"] * length)) for r in got.collect()}
+    distance = lambda a, b: bin((a ^ b) % (1 << 64)).count("1")
+    assert found == {i: min((distance(c, b), k, g) for g, b, k in book)[::-2] for i, c in rows if c is not None}
+    plan = got._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_components_and_edge_colours(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(200)] + [(1000 + rng.randrange(40), 1000 + rng.randrange(40)) for _ in range(25)] + [(5000, k) for k in range(5001, 5040)] + [(7, 7)]
+    df = spark.createDataFrame(edges, "a int, b int")
+    root = {}
+    for a, b in edges:
+        x, y = root.setdefault(a, {a}), root.setdefault(b, {b})
+        if x is not y:
+            x |= y
+            root.update(dict.fromkeys(y, x))
+    got = {r["node"]: r["root"] for r in graphs.components(df).collect()}
+    assert got == {n: min(s) for n, s in root.items() if len(s) > 1}
+    proper = [(a, b) for a, b in set(edges) if a != b and a < 5000]
+    classes = graphs.edge_colours(spark.createDataFrame(proper, "a int, b int"))
+    found = [[(r["a"], r["b"]) for r in c.collect()] for c in classes]
+    assert sorted(sum(found, [])) == sorted(proper)
+    for c in found:
+        ends = [n for e in c for n in e]
+        assert len(ends) == len(set(ends))
+
+
 def test_singletons_and_failed_registrations(spark):
     schema = "fov_num int, channel string, dot_id string, round_num int, r double, c double"
     dots = spark.createDataFrame([(1, "c", "a", 1, 0.0, 0.0), (1, "c", "b", 2, 9.0, 9.0), (2, "c", "x", 1, 0.0, 0.0), (2, "c", "y", 2, None, None)], schema)
@@ -573,8 +622,6 @@ def test_nearest_k_within_is_k_nearest_cut(spark):
 
 
 def test_long_codes_are_an_error(spark):
-    from dotweave.operators import barcodes
-
     codes = spark.createDataFrame([(1, 3)], "ref int, code_bits long")
     with pytest.raises(ValueError):
-        barcodes.nearest_codeword(codes, spark.createDataFrame([("g", 3, 0)], "gene string, code_bits long, code_idx int"), 20)
+        barcodes.nearest_codeword(codes, spark.createDataFrame([("g", 3, 0)], "gene string, code_bits long, code_idx int"), 65)
