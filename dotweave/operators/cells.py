@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -83,13 +85,59 @@ def extent(points: DataFrame, r: str = "r", c: str = "c") -> DataFrame:
     return points.agg(F.min(r).alias("r_min"), F.max(r).alias("r_max"), F.min(c).alias("c_min"), F.max(c).alias("c_max"))
 
 
+#: Side of a block of pixels, in pixels.
+BLOCK = 256
+_FAR = np.iinfo(np.int64).max // 4
+
+
+def nearest_labels(labels: np.ndarray, distance: int) -> np.ndarray:
+    """Of each pixel the nearest non-negative label within ``distance``, -1 if none; ties go to the smallest label.
+
+    Two passes. Along the rows each pixel gets its nearest label, left or right, from running maxima. Down the columns
+    the best of all rows within the distance wins: a pixel of row distance x in row dy away is x^2 + dy^2 away.
+    """
+    h, w = labels.shape
+    column, some = np.arange(w), labels >= 0
+    left = np.maximum.accumulate(np.where(some, column, -1), axis=1)
+    right = (w - 1 - np.maximum.accumulate(np.where(some[:, ::-1], column, -1), axis=1))[:, ::-1]
+    at = np.arange(h)[:, None]
+    dl, dr = np.where(left >= 0, column - left, _FAR >> 40), np.where(right < w, right - column, _FAR >> 40)
+    from_left, from_right = labels[at, left], labels[at, np.minimum(right, w - 1)]
+    pick = (dr < dl) | ((dr == dl) & (from_right < from_left))
+    along, label = np.minimum(dl, dr).astype(np.int64) ** 2, np.where(pick, from_right, from_left)
+    best, winner = np.full(labels.shape, _FAR), np.full(labels.shape, -1, np.int64)
+    for dy in range(-distance, distance + 1):
+        to, by = slice(max(0, -dy), min(h, h - dy)), slice(max(0, dy), min(h, h + dy))
+        far, name = along[by] + dy * dy, label[by]
+        better = (far < best[to]) | ((far == best[to]) & (name < winner[to]))
+        best[to] = np.where(better, far, best[to])
+        winner[to] = np.where(better, name, winner[to])
+    return np.where(best <= distance * distance, winner, -1)
+
+
 def expand_labels(mask: DataFrame, distance: int, rows: int, cols: int) -> DataFrame:
     """``mask`` (r, c, cell_id) grown by ``distance`` pixels: a background pixel takes the nearest label, ties the smallest.
 
-    Every labelled pixel offers itself to the pixels around it; offers are reduced per pixel before they are shuffled.
+    The canvas is cut into blocks of pixels with a halo of the distance, and each block is an exact distance transform in
+    two passes (:func:`nearest_labels`): work a pixel grows with the distance, not with its square, and what is shuffled
+    are the labelled pixels, those near a block's edge once more for each block they reach.
     """
-    around = [(i, j) for i in range(-distance, distance + 1) for j in range(-distance, distance + 1) if i * i + j * j <= distance * distance]
-    offers = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(i * i + j * j).alias("d2")) for i, j in around]))
-    spread = mask.withColumn("_o", offers).select((F.col("r") + F.col("_o.i")).alias("r"), (F.col("c") + F.col("_o.j")).alias("c"), F.col("_o.d2").alias("d2"), "cell_id")
-    inside = spread.filter(F.col("r").between(0, rows - 1) & F.col("c").between(0, cols - 1))
-    return inside.groupBy("r", "c").agg(F.min(F.struct("d2", "cell_id")).alias("m")).select("r", "c", F.col("m.cell_id").alias("cell_id"))
+    side = max(BLOCK, distance)
+    span = lambda x: F.explode(F.sequence(F.floor((F.col(x) - distance) / side), F.floor((F.col(x) + distance) / side)))
+    inside = mask.filter(F.col("cell_id").isNotNull() & F.col("r").between(-distance, rows - 1 + distance) & F.col("c").between(-distance, cols - 1 + distance))
+    tiled = inside.select(F.col("r").cast("bigint").alias("r"), F.col("c").cast("bigint").alias("c"), F.col("cell_id").cast("bigint").alias("cell_id")).withColumn("_i", span("r")).withColumn("_j", span("c"))
+
+    def run(group):
+        r, c, label = (np.asarray(group.column(x)) for x in ("r", "c", "cell_id"))
+        top, first = int(group.column("_i")[0].as_py()) * side, int(group.column("_j")[0].as_py()) * side
+        # labels by rank, so that -1 can stand for none
+        names, rank = np.unique(label, return_inverse=True)
+        labels = np.full((side + 2 * distance, side + 2 * distance), len(names), np.int64)
+        np.minimum.at(labels, (r - top + distance, c - first + distance), rank)
+        grown = nearest_labels(np.where(labels < len(names), labels, -1), distance)[distance : distance + side, distance : distance + side]
+        i, j = np.nonzero(grown >= 0)
+        keep = (i + top >= 0) & (i + top < rows) & (j + first >= 0) & (j + first < cols)
+        i, j = i[keep], j[keep]
+        return pa.table({"r": i + top, "c": j + first, "cell_id": names[grown[i, j]]})
+
+    return tiled.groupBy("_i", "_j").applyInArrow(run, "r bigint, c bigint, cell_id bigint")

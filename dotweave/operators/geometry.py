@@ -98,3 +98,18 @@ def chunks(rows: int, cols: int, size: int, spark) -> DataFrame:
         spark.range(max(n // size, 1)).select((F.col("id") * size).alias(a), F.when(F.col("id") == max(n // size, 1) - 1, F.lit(n)).otherwise((F.col("id") + 1) * size).cast("long").alias(b))
     )
     return axis(rows, "r0", "r1").crossJoin(axis(cols, "c0", "c1"))
+
+
+def count_in_chunks(points: DataFrame, size: int, rc: tuple[str, str] = ("r", "c")) -> DataFrame:
+    """r0, r1, c0, c1 and ``n``, the points in it, of each chunk of the points' canvas that has any; chunks as of :func:`chunks`."""
+    r, c = rc
+    canvas = points.agg((F.floor(F.max(r)) + 1).alias("_h"), (F.floor(F.max(c)) + 1).alias("_w"))  # one row
+
+    def axis(x: str, n: str) -> tuple[Column, Column]:
+        parts = F.greatest(F.floor(F.col(n) / size), F.lit(1))
+        at = F.least(F.floor(F.col(x) / size), parts - 1)
+        return at * size, F.when(at == parts - 1, F.col(n)).otherwise((at + 1) * size)
+
+    (r0, r1), (c0, c1) = axis(r, "_h"), axis(c, "_w")
+    placed = points.crossJoin(F.broadcast(canvas)).select(r0.alias("r0"), r1.alias("r1"), c0.alias("c0"), c1.alias("c1"))
+    return placed.groupBy("r0", "r1", "c0", "c1").agg(F.count("*").alias("n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
@@ -37,13 +37,14 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def edge_colours(edges: DataFrame) -> list[DataFrame]:
+def edge_colours(edges: DataFrame, order: Column | None = None) -> list[DataFrame]:
     """``edges`` (a, b, further columns) in classes, none with two edges at one node.
 
-    Each round takes the edges that come first (by hash, then by name) of all at both of their nodes, which no other such edge touches.
-    A grid of tiles takes some five rounds, whatever its size.
+    Each round takes the edges that come first (by ``order`` if given, then by hash and name) of all at both of their nodes,
+    which no other such edge touches. A grid of tiles takes some five rounds, whatever its size.
     """
-    left, classes = cut(edges.withColumn("_h", F.struct(F.xxhash64("a", "b").alias("h"), F.col("a").alias("a"), F.col("b").alias("b")))), []
+    first_by = F.struct((F.lit(0) if order is None else order).alias("o"), F.xxhash64("a", "b").alias("h"), F.col("a").alias("a"), F.col("b").alias("b"))
+    left, classes = cut(edges.withColumn("_h", first_by)), []
     while not left.isEmpty():
         ends = left.select(F.explode(F.array("a", "b")).alias("node"), "_h")
         first = ends.groupBy("node").agg(F.min("_h").alias("_h")).groupBy("_h").agg(F.count("*").alias("n")).filter("n = 2").select("_h")

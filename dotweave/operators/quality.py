@@ -50,13 +50,17 @@ class Metadata:
     first: dict
 
 
+def metadata_row(images: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """One row: the distinct ``channels`` and ``fovs``, the number of ``rounds``, and ``columns`` of the first row in ``order``."""
+    first = F.min(F.struct(*order, *(c for c in columns if c not in order))).alias("_first")
+    row = images.agg(F.sort_array(F.collect_set("channel")).alias("channels"), F.sort_array(F.collect_set("fov_num")).alias("fovs"), F.max("round_num").alias("rounds"), first)
+    return row.select("channels", "fovs", "rounds", *(F.col(f"_first.{c}").alias(c) for c in columns))
+
+
 def metadata(images: DataFrame, order: list[str], columns: list[str]) -> Metadata:
-    """Distinct channels and tiles, the number of rounds, and values of the first row in ``order``; one aggregate row comes to the driver."""
-    row = images.agg(
-        F.sort_array(F.collect_set("channel")).alias("channels"), F.sort_array(F.collect_set("fov_num")).alias("fovs"), F.max("round_num").alias("rounds"),
-        F.min(F.struct(*order, *(c for c in columns if c not in order))).alias("first"),
-    ).first()
-    return Metadata(tuple(row["channels"]), tuple(row["fovs"]), row["rounds"], {c: row["first"][c] for c in columns} if row["first"] else {})
+    """:func:`metadata_row` on the driver."""
+    row = metadata_row(images, order, columns).first()
+    return Metadata(tuple(row["channels"]), tuple(row["fovs"]), row["rounds"], {c: row[c] for c in columns} if row["rounds"] is not None else {})
 
 
 def worst_registration(dots: DataFrame, by: str, value: str, order: list[str]) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays as A
+from ..functions.lineage import cut
 from ..schema import ERRORS, REFERENCE_MATCHES, SHIFTS
 from .geometry import in_overlaps
+from .graphs import components
 
 #: Larger shifts of a pair of tiles are no measurement.
 USABLE, FAILED = 20.0, 1000.0
@@ -131,31 +133,127 @@ def pair_shifts(beads: DataFrame, rects: DataFrame, tolerance: float = 3, rc: tu
     return rows.unionByName(marks).groupBy("a", "b").applyInPandas(run, schema)
 
 
-def solve_offsets(pairs: list[tuple], tiles: dict[int, tuple[float, float]], anchor: int | None = None) -> dict[int, tuple[int, int]]:
-    """Whole-pixel offsets of the tiles from pair shifts (a, b, dr, dc): the least-squares solution of x_b - x_a = shift.
+#: Tiles along the side of a block of the first level, and how many blocks of a level make one of the next, along a side.
+BLOCK, GROWTH = 8, 4
+_PART = "kind int, i bigint, j bigint, w double, xr double, xc double"
 
-    Pairs of ``USABLE`` pixels or more are not used. The smallest solution is taken, the anchor's (the first
-    tile's) subtracted, and the rest cut to whole numbers. Offsets beyond FAILED are replaced by what a linear
-    fit of the good ones over the tiles' positions predicts.
+
+def eliminate(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """One block of the normal equations: its inner tiles are eliminated.
+
+    ``nodes``: node, gr, gc (right sides), outer (has an edge to another block); ``edges``: a, b, w inside the block. Rows:
+    0 an edge i, j, w between outer tiles that stands for the paths through inner ones; 1 an outer tile's new right side; 2 an
+    inner tile's own part of the solution; 3 how much of outer tile j's solution goes off inner tile i's.
+    """
+    names, outer = nodes["node"].to_numpy(np.int64), nodes["outer"].to_numpy(bool)
+    order = np.argsort(outer, kind="stable")
+    names, n, inner = names[order], len(names), int((~outer).sum())
+    g = nodes[["gr", "gc"]].to_numpy(float)[order]
+    place = pd.Series(np.arange(n), index=names)
+    m = np.zeros((n, n))
+    a, b, w = place[edges["a"]].to_numpy(int), place[edges["b"]].to_numpy(int), edges["w"].to_numpy(float)
+    np.add.at(m, (a, b), -w)
+    np.add.at(m, (b, a), -w)
+    m[np.arange(n), np.arange(n)] = -m.sum(axis=1)
+    ii, io, oi, oo = m[:inner, :inner], m[:inner, inner:], m[inner:, :inner], m[inner:, inner:]
+    # a group of inner tiles without an outer neighbour has no fixed level: the smallest solution
+    solved = np.linalg.lstsq(ii, np.hstack([io, g[:inner]]), rcond=None)[0] if inner else np.zeros((0, n - inner + 2))
+    through, own = solved[:, : n - inner], solved[:, n - inner :]
+    reduced, right = oo - oi @ through, g[inner:] - oi @ own
+    p, q = np.nonzero(np.triu(-reduced, 1) > 1e-12)
+    x, y = np.nonzero(np.abs(through) > 1e-14)
+    rows = [
+        pd.DataFrame({"kind": 0, "i": names[inner + p], "j": names[inner + q], "w": -reduced[p, q], "xr": 0.0, "xc": 0.0}),
+        pd.DataFrame({"kind": 1, "i": names[inner:], "j": -1, "w": 0.0, "xr": right[:, 0], "xc": right[:, 1]}),
+        pd.DataFrame({"kind": 2, "i": names[:inner], "j": -1, "w": 0.0, "xr": own[:, 0], "xc": own[:, 1]}),
+        pd.DataFrame({"kind": 3, "i": names[x], "j": names[inner + y], "w": through[x, y], "xr": 0.0, "xc": 0.0}),
+    ]
+    return pd.concat([r.astype({"kind": "int32", "i": "int64", "j": "int64"}) for r in rows])
+
+
+def least_squares_offsets(pairs: DataFrame, tiles: DataFrame) -> DataFrame:
+    """``node, xr, xc``: the smallest least-squares solution of x_b - x_a = (dr, dc) over ``pairs``, for all ``tiles`` (fov_num, r, c).
+
+    The normal equations are those of a weighted graph of tiles, and eliminating the inner tiles of a block gives such
+    equations again, over the tiles on the blocks' borders. So blocks of tiles are solved side by side, then blocks of
+    GROWTH x GROWTH of them, until one is left; the solution goes back the same way, a join and a sum a level. A level
+    holds a table of edges and one of tiles; nothing is collected. Each connected component has a level of its own, which the
+    smallest solution puts at a mean of zero. Tiles without a pair are at zero.
+    """
+    ends = lambda df, *names: df.select(*(F.col(n).cast("bigint").alias(n) for n in names), *(c for c in df.columns if c not in names))
+    at = tiles.select(F.col("fov_num").cast("bigint").alias("node"), "r", "c")
+    box = at.agg(F.min("r").alias("r"), F.min("c").alias("c"), (F.max("r") - F.min("r")).alias("h"), (F.max("c") - F.min("c")).alias("w"), F.count("*").alias("n"))
+    unit = F.greatest(F.sqrt(F.col("h") * F.col("w") / F.col("n")), F.greatest("h", "w") / F.col("n"), F.lit(1e-9))
+    at = cut(at.crossJoin(F.broadcast(box.select(F.col("r").alias("r0"), F.col("c").alias("c0"), unit.alias("unit")))).select("node", ((F.col("r") - F.col("r0")) / F.col("unit")).alias("r"), ((F.col("c") - F.col("c0")) / F.col("unit")).alias("c")))
+    known = at.select("node")
+    good = ends(pairs.select("a", "b", "dr", "dc"), "a", "b").filter("a <> b")
+    good = good.join(known.withColumnRenamed("node", "a"), "a", "left_semi").join(known.withColumnRenamed("node", "b"), "b", "left_semi")
+    edges = cut(good.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").cast("double").alias("w")))
+    sides = good.select(F.explode(F.array(F.struct(F.col("b").alias("node"), F.col("dr").alias("gr"), F.col("dc").alias("gc")), F.struct(F.col("a").alias("node"), (-F.col("dr")).alias("gr"), (-F.col("dc")).alias("gc")))).alias("s"))
+    right = sides.groupBy("s.node").agg(F.sum("s.gr").alias("gr"), F.sum("s.gc").alias("gc"))
+    nodes = at.join(right, "node", "left").na.fill(0.0, ["gr", "gc"])
+    roots, levels, side = components(edges), [], float(BLOCK)
+    while True:
+        nodes = nodes.withColumn("blk", F.struct(F.floor(F.col("r") / side).alias("i"), F.floor(F.col("c") / side).alias("j")))
+        where = nodes.select("node", "blk")
+        placed = edges.join(where.select(F.col("node").alias("a"), F.col("blk").alias("ba")), "a").join(where.select(F.col("node").alias("b"), F.col("blk").alias("bb")), "b")
+        crossing = placed.filter("ba <> bb").select("a", "b", "w")
+        outer = crossing.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("outer", F.lit(True))
+        marked = nodes.join(outer, "node", "left").na.fill(False, ["outer"]).select("blk", "node", "gr", "gc", "outer")
+        inside = placed.filter("ba = bb").select(F.col("ba").alias("blk"), "a", "b", "w")
+        made = cut(marked.groupBy("blk").cogroup(inside.groupBy("blk")).applyInPandas(eliminate, _PART))
+        levels.append(made)
+        left = made.filter("kind = 1").select(F.col("i").alias("node"), F.col("xr").alias("gr"), F.col("xc").alias("gc"))
+        if left.isEmpty():
+            break
+        edges = cut(crossing.unionByName(made.filter("kind = 0").select(F.col("i").alias("a"), F.col("j").alias("b"), "w")).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("w").alias("w")))
+        nodes, side = left.join(at, "node"), side * GROWTH
+    solved = None
+    for made in reversed(levels):
+        own = made.filter("kind = 2").select(F.col("i").alias("node"), "xr", "xc")
+        if solved is not None:
+            off = made.filter("kind = 3").select("i", F.col("j").alias("node"), "w").join(solved, "node").groupBy(F.col("i").alias("node")).agg(F.sum(F.col("w") * F.col("xr")).alias("or"), F.sum(F.col("w") * F.col("xc")).alias("oc"))
+            own = own.join(off, "node", "left").select("node", (F.col("xr") - F.coalesce("or", F.lit(0.0))).alias("xr"), (F.col("xc") - F.coalesce("oc", F.lit(0.0))).alias("xc")).unionByName(solved)
+        solved = cut(own)
+    rooted = solved.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mean = rooted.groupBy("root").agg(F.avg("xr").alias("mr"), F.avg("xc").alias("mc"))
+    return rooted.join(mean, "root").select("node", (F.col("xr") - F.col("mr")).alias("xr"), (F.col("xc") - F.col("mc")).alias("xc"))
+
+
+def predicted_offsets(moved: DataFrame) -> DataFrame:
+    """``fov_num, r, c, xr, xc`` with offsets beyond FAILED replaced by a linear fit of the others over the tiles' positions.
+
+    The fit's normal equations are sums over all tiles: a dozen numbers reach the driver.
+    """
+    far = (F.abs("xr") > FAILED) | (F.abs("xc") > FAILED)
+    near = moved.filter(~far)
+    if moved.filter(far).isEmpty():
+        return moved
+    centre = near.agg(F.avg("r"), F.avg("c")).first()
+    if centre[0] is None:
+        return moved
+    u = [F.lit(1.0), F.col("r") - centre[0], F.col("c") - centre[1]]
+    sums = near.agg(*(F.sum(x * y) for x in u for y in [*u, F.col("xr"), F.col("xc")])).first()
+    m = np.array(sums, float).reshape(3, 5)
+    fit = np.linalg.pinv(m[:, :3]) @ m[:, 3:]
+    line = lambda k: F.lit(float(fit[0, k])) + u[1] * float(fit[1, k]) + u[2] * float(fit[2, k])
+    # towards zero
+    whole = lambda x: F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).cast("double")
+    return moved.withColumns({name: F.when(far, whole(line(k))).otherwise(F.col(name)) for k, name in enumerate(("xr", "xc"))})
+
+
+def global_offsets(pairs: DataFrame, tiles: DataFrame, anchor: int | None = None) -> DataFrame:
+    """fov_num, r, c of the tiles after global stitching by the pair shifts (a, b, dr, dc).
+
+    Pairs of ``USABLE`` pixels or more are not used. Of the least-squares solution the anchor's (the first tile's) is taken
+    off, and the rest is cut to whole numbers. Offsets beyond FAILED are replaced by what the others predict.
     """
-    names = sorted(tiles)
-    place = {t: i for i, t in enumerate(names)}
-    good = [p for p in pairs if abs(p[2]) < USABLE and abs(p[3]) < USABLE]
-    m = np.zeros((len(good), len(names)))
-    for row, (a, b, *_) in enumerate(good):
-        m[row, place[b]], m[row, place[a]] = 1, -1
-    x = np.linalg.lstsq(m, np.array([p[2:4] for p in good], float).reshape(-1, 2), rcond=None)[0] if good else np.zeros((len(names), 2))
+    solved = cut(least_squares_offsets(pairs.filter((F.abs("dr") < USABLE) & (F.abs("dc") < USABLE)), tiles))
+    first = solved.filter(F.col("node") == anchor) if anchor is not None else solved
+    first = first.agg(F.min(F.struct("node", "xr", "xc")).alias("_first"))  # one row
     # whole solutions come out a little above or below: not cut a pixel short
-    x = np.trunc(np.round(x - x[place[anchor] if anchor is not None else 0], 6))
-    off = (np.abs(x) > FAILED).any(axis=1)
-    if off.any() and not off.all():
-        at = np.column_stack([np.array([tiles[t] for t in names], float), np.ones(len(names))])
-        x[off] = np.trunc(at[off] @ np.linalg.lstsq(at[~off], x[~off], rcond=None)[0])
-    return {t: (int(x[i, 0]), int(x[i, 1])) for t, i in place.items()}
-
-
-def global_offsets(spark: SparkSession, pairs: DataFrame, tiles: DataFrame) -> DataFrame:
-    """fov_num, r, c of the tiles after global stitching. One row per overlap of an experiment, a few thousand, is solved on the driver."""
-    corners = {t["fov_num"]: (t["r"], t["c"]) for t in tiles.collect()}
-    moved = solve_offsets([(p["a"], p["b"], p["dr"], p["dc"]) for p in pairs.collect()], corners)
-    return spark.createDataFrame([(t, corners[t][0] + d[0], corners[t][1] + d[1]) for t, d in moved.items()], "fov_num int, r double, c double")
+    off = lambda x: F.round(F.col(x) - F.col(f"_first.{x}"), 6)
+    whole = lambda x: F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).cast("double")
+    moved = solved.crossJoin(F.broadcast(first)).select(F.col("node").alias("_node"), whole(off("xr")).alias("xr"), whole(off("xc")).alias("xc"))
+    placed = tiles.select("fov_num", "r", "c").join(moved, F.col("fov_num") == F.col("_node")).drop("_node")
+    return predicted_offsets(placed).select(F.col("fov_num").cast("int").alias("fov_num"), (F.col("r") + F.col("xr")).alias("r"), (F.col("c") + F.col("xc")).alias("c"))

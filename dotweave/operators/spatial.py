@@ -11,10 +11,15 @@ left points of a cell are dealt over ``salt`` parts, and the right ones copied t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.lineage import cut
+from .graphs import edge_colours
+
 _LEFT, _RIGHT = "_l_", "_r_"
 
 
@@ -84,10 +89,6 @@ def drop_crowded(points: DataFrame, radius: float, rc: tuple[str, str], key: str
     return points.join(neighbour_count(points, radius, rc, key).filter(F.col("neighbours") < most), key, "left_semi")
 
 
-#: Points of which all pairs are looked at, at most.
-TILES = 20_000
-
-
 def nearest_k_within(points: DataFrame, k: int, radius: float, rc: tuple[str, str], key: str) -> DataFrame:
     """The ``k`` nearest other points of each, of those nearer than ``radius``: a, b, d2, rank; on grid cells."""
     slim = points.select(key, *rc)
@@ -96,20 +97,49 @@ def nearest_k_within(points: DataFrame, k: int, radius: float, rc: tuple[str, st
     return pairs.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k)
 
 
+#: Different places that a cell of the first ring holds at most, as long as halving its side helps.
+CELL = 64
+
+
 def k_nearest(points: DataFrame, k: int, rc: tuple[str, str], key: str) -> DataFrame:
-    """The ``k`` nearest other points of each, however far: a, b, d2, rank.
+    """The ``k`` nearest other points of each, however far: a, b, d2, rank; ties go to the smaller ``key``.
 
-    No radius bounds the search, so all pairs are looked at: for tiles of an experiment, TILES at most. With a radius
-    use :func:`nearest_k_within`.
+    Rings of growing radius on grid cells: in each, the points that have no ``k`` neighbours within the radius yet meet
+    the points of the cells around them. Whoever has ``k`` is done, since no point beyond the radius is nearer; only the
+    others go on, with four times the radius, until it spans all points. The first radius is so small that no cell is crowded.
+    Of points at one place only the k + 1 smallest can be anyone's neighbours, so a place that many points share is no
+    hot cell. Points with a null coordinate take no part.
     """
-    if points.count() > TILES:
-        raise ValueError(f"more than {TILES} points: use nearest_k_within")
     r, c = rc
-    a = points.select(F.col(key).alias("a"), F.col(r).alias("ar"), F.col(c).alias("ac"))
-    b = points.select(F.col(key).alias("b"), F.col(r).alias("br"), F.col(c).alias("bc"))
-    pairs = a.join(b, F.col("a") != F.col("b")).withColumn("d2", squared(F.col("ar"), F.col("ac"), F.col("br"), F.col("bc")))
+    rows = cut(points.filter(F.col(r).isNotNull() & F.col(c).isNotNull()).select(F.col(key).alias("a"), F.col(r).cast("double").alias("r"), F.col(c).cast("double").alias("c")))
+    place = Window.partitionBy("r", "c").orderBy("a")
+    targets = cut(rows.withColumn("_n", F.row_number().over(place)).filter(F.col("_n") <= k + 1).select(F.col("a").alias("b"), "r", "c"))
+    box = targets.agg(F.count("*").alias("n"), (F.max("r") - F.min("r")).alias("h"), (F.max("c") - F.min("c")).alias("w")).first()
+    far = max(box["h"] or 0.0, box["w"] or 0.0)
+    if not box["n"] or k < 1:
+        return rows.select("a", F.col("a").alias("b"), F.lit(0.0).alias("d2"), F.lit(0).alias("rank")).limit(0)
+    radius = max(far, 1e-9)
+    most = lambda side: targets.select(F.floor(F.col("r") / side).alias("i"), F.floor(F.col("c") / side).alias("j"), "r", "c").distinct().groupBy("i", "j").count().agg(F.max("count")).first()[0]
+    guess = max(radius * (CELL / (4.0 * box["n"])) ** 0.5, radius / 2**40)
+    if guess < radius:
+        radius = guess
+        while most(radius) > CELL and radius > far / 2**40:
+            radius /= 2
+    left, done = rows, []
     near = Window.partitionBy("a").orderBy("d2", "b")
-    return pairs.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k).select("a", "b", "d2", "rank")
+    while True:
+        last = radius >= far * 1.5
+        pairs = radius_join(targets, left, radius, ("r", "c"), ("r", "c")).filter("a <> b")
+        found = cut(pairs.select("a", "b", "d2").withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k))
+        full = found if last else found.join(found.filter(F.col("rank") == k).select("a"), "a", "left_semi")
+        done.append(full)
+        if last:
+            break
+        left = cut(left.join(found.filter(F.col("rank") == k).select("a"), "a", "left_anti"))
+        if left.isEmpty():
+            break
+        radius *= 4
+    return reduce(lambda x, y: x.unionByName(y), done)
 
 
 def mutual_matches(
@@ -152,3 +182,28 @@ def neighbour_offsets(a: DataFrame, b: DataFrame, radius: float, rc: tuple[str,
     pairs = radius_join(a.select(*on, r, c), b.select(*on, r, c), radius, rc, rc, on)
     dr, dc = F.col(f"r_{r}") - F.col(r), F.col(f"r_{c}") - F.col(c)
     return pairs.select(*on, dr.alias("dr"), dc.alias("dc"), F.sqrt("d2").alias("distance"), F.atan2(dr, dc).alias("angle"))
+
+
+def merge_overlaps(
+    points: DataFrame, rects: DataFrame, radius: float, rc: tuple[str, str], key: str = "dot_id", identity: str | None = None, least: int = 10, fov: str = "fov_num", order: Column | None = None
+) -> DataFrame:
+    """``points`` of all tiles with those of overlapping tiles merged, pair after pair.
+
+    In a pair (a, b of ``rects``, with its box) with more than ``least`` points of each tile inside the box, matched points
+    become one: tile a's row at the mean of both, tile b's row goes. Positions are rewritten before the next pair, so the
+    order counts. Pairs are put into classes of which none has two at one tile (a colouring of the tile graph's edges);
+    the pairs of a class cannot meet and merge at once, by one join each for boxes and matches, and classes follow one another.
+    The result is that of any sequence that takes the pairs class by class. ``order`` (a column of ``rects``) decides which pairs come first.
+    """
+    from .geometry import in_overlaps
+
+    now = points
+    for pairs in edge_colours(rects, order):
+        inside = cut(in_overlaps(now.select(fov, key, *rc, *([identity] if identity else [])), pairs, rc, fov, strict=False))
+        sizes = inside.groupBy("a", "b").agg(F.count(F.when(F.col("side") == "a", 1)).alias("_na"), F.count(F.when(F.col("side") == "b", 1)).alias("_nb"))
+        enough = inside.join(sizes.filter((F.col("_na") > least) & (F.col("_nb") > least)).select("a", "b"), ["a", "b"], "left_semi")
+        matched = cut(mutual_matches(enough.filter("side = 'a'"), enough.filter("side = 'b'"), radius, rc, key, identity, on=["a", "b"]))
+        moved = now.join(matched.select(F.col("key_a").alias(key), F.col("r").alias("_mr"), F.col("c").alias("_mc")), key, "left")
+        moved = moved.withColumns({rc[0]: F.coalesce("_mr", rc[0]), rc[1]: F.coalesce("_mc", rc[1])}).select(*points.columns)
+        now = cut(moved.join(matched.select(F.col("key_b").alias(key)), key, "left_anti"))
+    return now

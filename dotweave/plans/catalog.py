@@ -40,14 +40,28 @@ def _tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TILES = "tiles AS (SELECT CAST(s_suppkey AS INT) AS fov_num, (s_suppkey // 10) * CAST(92.0 AS DOUBLE) AS r, (s_suppkey % 10) * CAST(92.0 AS DOUBLE) AS c FROM supplier)"
 
-#: Overlaps of the six tiles that dots fall in: boxes in dot coordinates, in a chain.
+#: Rows of the canvas of dots.
+_HIGH = "(SELECT max(user_id) + 1 FROM events)"
+
+
+def _high(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: the number of rows of the canvas of dots."""
+    return F.broadcast(_table(spark, sf_dir, "events").agg((F.max("user_id") + 1).alias("high")))
+
+
+#: Overlaps of the six tiles that dots fall in, in a chain: boxes on a canvas of 150 rows, stretched to the rows of the dots.
 _RECT_ROWS = [(0, 1, 10.0, 60.0, 5.0, 60.0), (1, 2, 0.0, 100.0, 20.0, 50.0), (2, 3, 30.0, 120.0, 0.0, 30.0), (3, 4, 5.0, 90.0, 10.0, 100.0), (4, 5, 20.0, 149.0, 40.0, 80.0)]
-_RECTS = "rects(a, b, r_tl, r_br, c_tl, c_br) AS (VALUES " + ", ".join(f"({a}, {b}, {w}::DOUBLE, {x}::DOUBLE, {y}::DOUBLE, {z}::DOUBLE)" for a, b, w, x, y, z in _RECT_ROWS) + ")"
+_RECTS = (
+    f"rects AS (SELECT a, b, r0 * {_HIGH} / 150 AS r_tl, r1 * {_HIGH} / 150 AS r_br, c_tl, c_br, a_row, a_column FROM (VALUES "
+    + ", ".join(f"({a}, {b}, {w}::DOUBLE, {x}::DOUBLE, {y}::DOUBLE, {z}::DOUBLE, '{'top' if a % 2 == 0 else 'bottom'}', '{'left' if a % 3 else 'right'}')" for a, b, w, x, y, z in _RECT_ROWS)
+    + ") v(a, b, r0, r1, c_tl, c_br, a_row, a_column))"
+)
 
 
-def _rects(spark: SparkSession) -> DataFrame:
+def _rects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [(*x, "top" if x[0] % 2 == 0 else "bottom", "left" if x[0] % 3 else "right") for x in _RECT_ROWS]
-    return spark.createDataFrame(rows, "a int, b int, r_tl double, r_br double, c_tl double, c_br double, a_row string, a_column string")
+    boxes = spark.createDataFrame(rows, "a int, b int, r_tl double, r_br double, c_tl double, c_br double, a_row string, a_column string")
+    return boxes.crossJoin(_high(spark, sf_dir)).withColumns({x: F.col(x) * F.col("high") / 150 for x in ("r_tl", "r_br")}).drop("high")
 
 
 def _codebook(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,10 +91,11 @@ _DECODED = """decoded AS (SELECT ref, b.code_bits, k.gene AS decoded_genes, k.co
 def _mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels of cells: orders stand for pixels, each label an id of a customer."""
     o = F.col("o_orderkey")
-    return _table(spark, sf_dir, "orders").groupBy((o % 150).alias("r"), (F.floor(o / 150) % 100).alias("c")).agg(F.min(F.col("o_custkey") % 50 + 1).alias("cell_id"))
+    pixels = _table(spark, sf_dir, "orders").crossJoin(_high(spark, sf_dir))
+    return pixels.groupBy((o % F.col("high")).alias("r"), (F.floor(o / F.col("high")) % 100).alias("c")).agg(F.min(F.col("o_custkey") % 50 + 1).alias("cell_id"))
 
 
-_MASK = "mask AS (SELECT o_orderkey % 150 AS r, (o_orderkey // 150) % 100 AS c, min(o_custkey % 50 + 1) AS cell_id FROM orders GROUP BY 1, 2)"
+_MASK = f"mask AS (SELECT o_orderkey % {_HIGH} AS r, (o_orderkey // {_HIGH}) % 100 AS c, min(o_custkey % 50 + 1) AS cell_id FROM orders GROUP BY 1, 2)"
 
 
 def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,9 +149,9 @@ def select_point(spark, d):
     return selection.one_image(_dots(spark, d), "ch1", 3, 2).select("dot_id", "gene", "r", "c")
 
 
-@_query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@_query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)")
 def resume_anti(spark, d):
-    done = _table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    done = _table(spark, d, "orders").filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
     return selection.not_processed(_table(spark, d, "customer"), done, "c_custkey").select("c_custkey", "c_name")
 
 
@@ -144,8 +159,8 @@ def resume_anti(spark, d):
     f"WITH {_DOTS} SELECT CAST(count(DISTINCT channel) AS BIGINT) AS channels, CAST(count(DISTINCT fov_num) AS BIGINT) AS fovs, CAST(max(round_num) AS BIGINT) AS rounds, arg_min(gene, dot_id) AS first_gene FROM dots"
 )
 def metadata_collect(spark, d):
-    m = quality.metadata(_dots(spark, d), ["dot_id"], ["gene"])
-    return spark.createDataFrame([(len(m.channels), len(m.fovs), m.rounds, m.first["gene"])], "channels long, fovs long, rounds long, first_gene string")
+    row = quality.metadata_row(_dots(spark, d), ["dot_id"], ["gene"])
+    return row.select(F.size("channels").cast("long").alias("channels"), F.size("fovs").cast("long").alias("fovs"), F.col("rounds").cast("long").alias("rounds"), F.col("gene").alias("first_gene"))
 
 
 @_query(f"WITH {_DOTS} SELECT fov_num, dot_id, c FROM dots QUALIFY row_number() OVER (PARTITION BY fov_num ORDER BY c, round_num, dot_id) = 1")
@@ -368,12 +383,17 @@ def corner_stitch(spark, d):
 
 @_query(f"WITH {_DOTS}, {_RECTS} SELECT dot_id, a, b FROM dots JOIN rects ON fov_num IN (a, b) AND r > r_tl AND r < r_br AND c > c_tl AND c < c_br")
 def range_join_overlap(spark, d):
-    return geometry.in_overlaps(_dots(spark, d), _rects(spark), RC).select("dot_id", "a", "b")
+    return geometry.in_overlaps(_dots(spark, d), _rects(spark, d), RC).select("dot_id", "a", "b")
 
 
-@_query("SELECT r.i * 300 AS r0, CASE WHEN r.i = 2 THEN 1000 ELSE (r.i + 1) * 300 END AS r1, c.i * 300 AS c0, CASE WHEN c.i = 1 THEN 700 ELSE (c.i + 1) * 300 END AS c1 FROM range(3) r(i), range(2) c(i)")
+@_query(
+    f"""WITH {_DOTS}, n AS (SELECT greatest({_HIGH} // 40, 1) AS rows, greatest((SELECT CAST(floor(max(c)) AS BIGINT) + 1 FROM dots) // 40, 1) AS cols),
+e AS (SELECT r, c, least(CAST(r AS BIGINT) // 40, rows - 1) AS i, least(CAST(floor(c) AS BIGINT) // 40, cols - 1) AS j, rows, cols FROM dots, n)
+SELECT i * 40 AS r0, CASE WHEN i = rows - 1 THEN {_HIGH} ELSE (i + 1) * 40 END AS r1, j * 40 AS c0, CASE WHEN j = cols - 1 THEN (SELECT CAST(floor(max(c)) AS BIGINT) + 1 FROM dots) ELSE (j + 1) * 40 END AS c1, count(*) AS n FROM e GROUP BY 1, 2, 3, 4"""
+)
 def canvas_chunks(spark, d):
-    return geometry.chunks(1000, 700, 300, spark)
+    """Dots in each chunk of their canvas, the last ones with the remainder."""
+    return geometry.count_in_chunks(_dots(spark, d), 40, RC)
 
 
 _DUP = f"""{_DOTS}, {_RECTS}, inside AS (SELECT dot_id, gene, r, c, a, b, fov_num = a AS first FROM dots JOIN rects ON fov_num IN (a, b) AND r > r_tl AND r < r_br AND c > c_tl AND c < c_br),
@@ -382,31 +402,28 @@ gone AS (SELECT DISTINCT y.dot_id FROM inside y JOIN inside x ON x.first AND NOT
 
 @_query(f"WITH {_DUP} SELECT dot_id FROM gone")
 def dedup_removed(spark, d):
-    return dedup.duplicated(_dots(spark, d), _rects(spark), 2.0, RC, "gene")
+    return dedup.duplicated(_dots(spark, d), _rects(spark, d), 2.0, RC, "gene")
 
 
 @_query(f"WITH {_DUP} SELECT fov_num, dot_id FROM dots WHERE dot_id NOT IN (SELECT dot_id FROM gone)")
 def dedup_cleaned(spark, d):
     dots = _dots(spark, d)
-    return dedup.split_by(dots, dedup.duplicated(dots, _rects(spark), 2.0, RC, "gene"))[0].select("fov_num", "dot_id")
+    return dedup.split_by(dots, dedup.duplicated(dots, _rects(spark, d), 2.0, RC, "gene"))[0].select("fov_num", "dot_id")
 
 
 @_query(f"WITH {_DUP.replace('<= 4)', '< 4)')} SELECT dot_id FROM gone")
 def dedup_removed_strict(spark, d):
-    return dedup.duplicated(_dots(spark, d), _rects(spark), 2.0, RC, "gene", strict=True)
-
-
-_CLIP = ", ".join(f"({a}, {b}, {w}::DOUBLE, {x}::DOUBLE, {y}::DOUBLE, {z}::DOUBLE, '{'top' if a % 2 == 0 else 'bottom'}', '{'left' if a % 3 else 'right'}')" for a, b, w, x, y, z in _RECT_ROWS)
+    return dedup.duplicated(_dots(spark, d), _rects(spark, d), 2.0, RC, "gene", strict=True)
 
 
 @_query(
-    f"""WITH {_DOTS}, rects(a, b, r0, r1, c0, c1, ar, ac) AS (VALUES {_CLIP}),
-cuts AS (SELECT a, b, c1 - c0 > r1 - r0 AS by_rows, CASE WHEN c1 - c0 > r1 - r0 THEN r0 + (r1 - r0) * 0.5 ELSE c0 + (c1 - c0) * 0.25 END AS cut, CASE WHEN c1 - c0 > r1 - r0 THEN ar = 'top' ELSE ac = 'left' END AS below FROM rects),
+    f"""WITH {_DOTS}, {_RECTS}, boxes AS (SELECT a, b, r_tl AS r0, r_br AS r1, c_tl AS c0, c_br AS c1, a_row AS ar, a_column AS ac FROM rects),
+cuts AS (SELECT a, b, c1 - c0 > r1 - r0 AS by_rows, CASE WHEN c1 - c0 > r1 - r0 THEN r0 + (r1 - r0) * 0.5 ELSE c0 + (c1 - c0) * 0.25 END AS cut, CASE WHEN c1 - c0 > r1 - r0 THEN ar = 'top' ELSE ac = 'left' END AS below FROM boxes),
 v AS (SELECT dot_id FROM dots JOIN cuts ON fov_num IN (a, b) WHERE CASE WHEN below = (fov_num = a) THEN (CASE WHEN by_rows THEN r ELSE c END) >= cut ELSE (CASE WHEN by_rows THEN r ELSE c END) <= cut END)
 SELECT fov_num, dot_id FROM dots WHERE dot_id NOT IN (SELECT dot_id FROM v)"""
 )
 def clip_halfplane(spark, d):
-    return dedup.clip(_dots(spark, d), _rects(spark), RC, 0.5, 0.25).select("fov_num", "dot_id")
+    return dedup.clip(_dots(spark, d), _rects(spark, d), RC, 0.5, 0.25).select("fov_num", "dot_id")
 
 
 # barcodes
@@ -495,14 +512,14 @@ def decode_recollecting(spark, d):
 
 @_query(
     f"""WITH {_DOTS}, px AS (SELECT fov_num, round_num, CAST(r AS INT) AS pr, CAST(floor(c) AS INT) AS pc, max(dot_id % 100 + 0.5) AS value FROM dots GROUP BY ALL)
-SELECT x.dot_id AS barcode_reference_dot_id, p.round_num, CAST(max(p.value) AS DOUBLE) AS intensity FROM dots x JOIN px p ON p.fov_num = x.fov_num AND p.pr BETWEEN greatest(CAST(trunc(x.r - 2) AS INT), 0) AND least(CAST(trunc(x.r + 2) AS INT), 120)
-AND p.pc BETWEEN greatest(CAST(trunc(x.c - 2) AS INT), 0) AND least(CAST(trunc(x.c + 2) AS INT), 120) WHERE x.round_num = 1 GROUP BY 1, 2"""
+SELECT x.dot_id AS barcode_reference_dot_id, p.round_num, CAST(max(p.value) AS DOUBLE) AS intensity FROM dots x JOIN px p ON p.fov_num = x.fov_num AND p.pr BETWEEN greatest(CAST(trunc(x.r - 2) AS INT), 0) AND least(CAST(trunc(x.r + 2) AS INT), {_HIGH})
+AND p.pc BETWEEN greatest(CAST(trunc(x.c - 2) AS INT), 0) AND least(CAST(trunc(x.c + 2) AS INT), {_HIGH}) WHERE x.round_num = 1 GROUP BY 1, 2"""
 )
 def bit_intensity(spark, d):
     dots = _dots(spark, d)
     px = dots.groupBy("fov_num", "round_num", F.col("r").cast("int").alias("pr"), F.floor("c").cast("int").alias("pc")).agg(F.max(F.col("dot_id") % 100 + F.lit(0.5).cast("double")).alias("value"))
     refs = dots.filter("round_num = 1").select("fov_num", F.col("dot_id").alias("barcode_reference_dot_id"), "r", "c")
-    return barcodes.bit_intensities(refs, px, 2, 120)
+    return barcodes.bit_intensities(refs, px, 2, _high(spark, d).first()[0])
 
 
 # cells
@@ -719,30 +736,83 @@ def shift_application(spark, d):
     return out.select("dot_id", "r_px_registered", "c_px_registered", F.col("min_number_matching_dots_registration").cast("int").alias("matches"))
 
 
-@_query()
+@_query(
+    f"""WITH {_DOTS}, w AS (SELECT CAST(max(floor(c / 110)) AS BIGINT) + 1 AS across FROM dots),
+t AS (SELECT (((CAST(floor(r / 110) AS BIGINT) * across + CAST(floor(c / 110) AS BIGINT)) * 6 + fov_num) * 16 + round_num - 1) AS fov_num, count(*) AS n FROM dots, w GROUP BY 1)
+SELECT CAST(fov_num AS INT) AS fov_num, CAST(k AS INT) AS round_num, CAST(CASE WHEN k > 1 THEN -2 * k ELSE 0 END AS DOUBLE) AS dr, CAST(CASE WHEN k > 1 THEN k ELSE 0 END AS DOUBLE) AS dc, CAST(CASE WHEN k = 1 THEN 1000 ELSE n END AS INT) AS n_match FROM t, (VALUES (1), (2), (3)) v(k)"""
+)
 def round_shifts(spark, d):
-    """Rows only: shifts of moved copies of the dots of a round, by phase correlation in image-sized tiles that hold them all."""
-    dots = _dots(spark, d).filter("round_num = 1")
+    """Shifts planted onto the dots of every round: each round of a tile is an image, registered with two moved copies of it."""
+    dots = _dots(spark, d)
     across = F.broadcast(dots.agg((F.max(F.floor(F.col("c") / 110)) + 1).alias("across")))
     tile = F.floor(F.col("r") / 110) * F.col("across") + F.floor(F.col("c") / 110)
     # a margin of 9 pixels keeps the moved copies in the frame
-    first = dots.crossJoin(across).withColumns({"fov_num": (tile * 6 + F.col("fov_num")).cast("int"), "r": F.col("r") % 110 + 9, "c": F.col("c") % 110 + 9}).drop("across")
+    image = ((tile * 6 + F.col("fov_num")) * 16 + F.col("round_num") - 1).cast("int")
+    first = dots.crossJoin(across).withColumns({"fov_num": image, "round_num": F.lit(1), "r": F.col("r") % 110 + 9, "c": F.floor(F.col("c")) % 110 + 9.0}).drop("across")
     moved = [first.withColumns({"round_num": F.lit(k), "r": F.col("r") + 2.0 * k, "c": F.col("c") - 1.0 * k}) for k in (2, 3)]
-    return registration.round_shifts(selection.union_outer([first, *moved]), 1, 4, (128, 128), 3.0, 5, RC)
+    return registration.round_shifts(selection.union_outer([first, *moved]), 1, 3, (128, 128), 0.5, 5, RC)
 
 
 @_query()
 def tile_pair_shifts(spark, d):
     """Rows only: shifts of overlapping tiles by phase correlation of their points."""
-    return registration.pair_shifts(_dots(spark, d), _rects(spark))
+    return registration.pair_shifts(_dots(spark, d), _rects(spark, d))
+
 
+def _planted(f):
+    """Where a tile lies off its place."""
+    return (f * 37 % 23 - 11) * 0.45, (f * 53 % 19 - 9) * 0.6
 
-@_query(f"WITH {_TILES} SELECT fov_num, r + trunc(round(fov_num * CAST(0.2 AS DOUBLE), 6)) AS r, c + trunc(round(fov_num * CAST(-0.1 AS DOUBLE), 6)) AS c FROM tiles")
+
+@_query(
+    f"""WITH {_TILES}, x AS (SELECT *, (fov_num * 37 % 23 - 11) * CAST(0.45 AS DOUBLE) AS dr, (fov_num * 53 % 19 - 9) * CAST(0.6 AS DOUBLE) AS dc FROM tiles), o AS (SELECT arg_min(dr, fov_num) AS r0, arg_min(dc, fov_num) AS c0 FROM x)
+SELECT fov_num, r + trunc(round(dr - r0, 6)) AS r, c + trunc(round(dc - c0, 6)) AS c FROM x, o"""
+)
 def tile_offsets(spark, d):
-    """The least-squares solution of planted pair shifts, which one offset a tile explains."""
+    """The least-squares solution of pair shifts that contradict each other.
+
+    On top of planted offsets, what goes around each square of four tiles is added to its sides: no offsets explain it, and it
+    leaves the least-squares solution where it is. Failed pairs are there too.
+    """
     tiles = _tiles(spark, d)
-    far = (F.col("b") - F.col("a")).cast("double")
-    return registration.global_offsets(spark, geometry.adjacent(tiles, 100).withColumns({"dr": far * 0.2, "dc": far * -0.1}), tiles)
+    pairs = geometry.adjacent(tiles, 100).crossJoin(F.broadcast(tiles.agg(F.max("fov_num").alias("last"))))
+    a, b, last = F.least("a", "b"), F.greatest("a", "b"), F.col("last")
+    square = lambda k: F.when((k >= 0) & (k % 10 < 9) & (k + 11 <= last), (k * 7 % 5 - 2) * 0.7).otherwise(0.0)
+    around = F.when(b - a == 1, square(a) - square(a - 10)).otherwise(F.when(a % 10 > 0, square(a - 1)).otherwise(0.0) - square(a)) * F.when(F.col("a") < F.col("b"), 1).otherwise(-1)
+    (ar, ac), (br, bc) = _planted(F.col("a")), _planted(F.col("b"))
+    shifts = pairs.select("a", "b", (br - ar + around).alias("dr"), (bc - ac - around).alias("dc"))
+    return registration.global_offsets(shifts.unionByName(shifts.select("a", "b", F.lit(1000.0).alias("dr"), F.lit(1000.0).alias("dc"))), tiles)
+
+
+def _merged(step: str, source: str, which: str) -> str:
+    """{step}: the dots of ``source`` after merging over the overlaps where ``which`` holds."""
+    return f"""{step}_in AS MATERIALIZED (SELECT x.*, a, b, fov_num = a AS first FROM {source} x JOIN rects ON fov_num IN (a, b) AND {which} AND r BETWEEN r_tl AND r_br AND c BETWEEN c_tl AND c_br),
+{step}_on AS (SELECT a, b FROM {step}_in GROUP BY a, b HAVING count(*) FILTER (WHERE first) > 10 AND count(*) FILTER (WHERE NOT first) > 10),
+{step}_near AS (SELECT x.a, x.b, x.dot_id AS ka, y.dot_id AS kb, x.gene AS ga, y.gene AS gb, x.r AS ar, x.c AS ac, y.r AS br, y.c AS bc, (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) AS d2
+  FROM {step}_in y JOIN {step}_on USING (a, b) JOIN {step}_in x ON x.a = y.a AND x.b = y.b AND x.first AND NOT y.first AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 4
+  QUALIFY row_number() OVER (PARTITION BY y.a, y.b, y.dot_id ORDER BY (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c), x.dot_id) = 1),
+{step}_best AS (SELECT * FROM {step}_near QUALIFY rank() OVER (PARTITION BY a, b, ka ORDER BY d2) = 1),
+{step}_one AS MATERIALIZED (SELECT * FROM {step}_best WHERE ga = gb QUALIFY row_number() OVER (PARTITION BY a, b, ka ORDER BY kb) = 1),
+{step} AS MATERIALIZED (SELECT dot_id, gene, fov_num, CASE WHEN ka IS NULL THEN r ELSE (ar + br) / 2 END AS r, CASE WHEN ka IS NULL THEN c ELSE (ac + bc) / 2 END AS c
+  FROM {source} LEFT JOIN {step}_one ON ka = dot_id WHERE dot_id NOT IN (SELECT kb FROM {step}_one))"""
+
+
+@_query(f"WITH {_DOTS}, {_RECTS}, {_merged('even', 'dots', 'a % 2 = 0')}, {_merged('odd', 'even', 'a % 2 = 1')} SELECT dot_id, fov_num, r, c FROM odd")
+def merge_overlaps(spark, d):
+    """All overlaps merged, each pair on the positions that the pairs before it have left."""
+    dots = _dots(spark, d).select("dot_id", "gene", "fov_num", "r", "c")
+    return spatial.merge_overlaps(dots, _rects(spark, d), 2.0, RC, identity="gene", order=F.col("a") % 2).select("dot_id", "fov_num", "r", "c")
+
+
+@_query(
+    f"""WITH {_DOTS}, p AS (SELECT gene, CAST(r AS INT) AS r, CAST(floor(c * 4) AS INT) AS c, min(dot_id) AS id FROM dots GROUP BY ALL)
+SELECT a.id AS a, b.id AS b, CAST(d2 AS BIGINT) AS d2, CAST(rank AS BIGINT) AS rank FROM (SELECT x.id AS i, y.id AS j, (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) AS d2, row_number() OVER (PARTITION BY x.id ORDER BY (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c), y.id) AS rank
+  FROM p x JOIN p y ON x.id <> y.id QUALIFY row_number() OVER (PARTITION BY x.id ORDER BY (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c), y.id) <= 3) n JOIN p a ON a.id = i JOIN p b ON b.id = j"""
+)
+def knn_dots(spark, d):
+    """The three nearest other places of every place with a dot of a gene, without a radius."""
+    places = _dots(spark, d).groupBy("gene", F.col("r").cast("int").alias("r"), F.floor(F.col("c") * 4).cast("int").alias("c")).agg(F.min("dot_id").alias("id"))
+    return spatial.k_nearest(places, 3, RC, "id").select("a", "b", F.col("d2").cast("long").alias("d2"), F.col("rank").cast("long").alias("rank"))
 
 
 @_query(f"WITH {_DOTS} SELECT CAST(fov_num * 2 AS INT) AS a, CAST(fov_num * 2 + 1 AS INT) AS b, -3 AS dr, 2 AS dc, count(*) AS n_a, count(*) AS n_b FROM dots GROUP BY fov_num")

@@ -90,7 +90,7 @@ class Experiment:
         tiles = self.tiles()
         beads = self.read("registered").filter((F.col("channel") == self.s.bead_channel) & F.col("r_px_registered").isNotNull())
         placed = geometry.stitch(beads, tiles, corner, size, size).select("fov_num", F.col("r_px_microscope_stitched").alias("r"), F.col("c_px_microscope_stitched").alias("c"))
-        return registration.global_offsets(self.spark, registration.pair_shifts(placed, self.overlaps(tiles), self.s.tolerance), tiles)
+        return registration.global_offsets(registration.pair_shifts(placed, self.overlaps(tiles), self.s.tolerance), tiles)
 
     def restitched(self) -> DataFrame:
         corner, size = geometry.CORNERS[self.s.machine], self.s.image_size

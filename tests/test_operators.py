@@ -422,13 +422,48 @@ def test_image_shifts_and_stacks(spark):
     assert np.allclose(planes[0], planes[1], atol=1e-9)
 
 
-def test_offsets_of_tiles_are_recovered():
-    tiles = {i: (i // 3 * 90.0, i % 3 * 90.0) for i in range(9)}
-    planted = {i: (i * 2 - 3, 5 - i) for i in tiles}
-    pairs = [(a, b, planted[b][0] - planted[a][0], planted[b][1] - planted[a][1]) for a in tiles for b in tiles if a < b and abs(a - b) in (1, 3)]
-    got = registration.solve_offsets([*pairs, (0, 8, 500.0, 0.0), (1, 2, 1000.0, 1000.0)], tiles)
-    assert got == {i: (p[0] - planted[0][0], p[1] - planted[0][1]) for i, p in planted.items()}
-    assert set(registration.solve_offsets([], tiles).values()) == {(0, 0)}
+def dense_offsets(pairs, tiles):
+    """The smallest least-squares solution, all at once."""
+    names = sorted(tiles)
+    place = {t: i for i, t in enumerate(names)}
+    good = [p for p in pairs if abs(p[2]) < 20 and abs(p[3]) < 20]
+    m = np.zeros((len(good), len(names)))
+    for row, (a, b, *_) in enumerate(good):
+        m[row, place[b]] += 1
+        m[row, place[a]] -= 1
+    x = np.linalg.lstsq(m, np.array([p[2:] for p in good], float).reshape(-1, 2), rcond=None)[0] if good else np.zeros((len(names), 2))
+    return dict(zip(names, x))
+
+
+@pytest.mark.parametrize("block, width, height", [(2, 11, 9), (8, 23, 20), (3, 40, 1)])
+def test_offsets_agree_with_a_dense_solution(spark, monkeypatch, block, width, height):
+    """Noisy and contradicting shifts, failed pairs, repeated ones, tiles in parts and alone."""
+    monkeypatch.setattr(registration, "BLOCK", block)
+    rng = random.Random(width)
+    tiles = {i: (i // width * 90.0 + rng.random(), i % width * 90.0) for i in range(width * height)}
+    tiles[9000], tiles[9001] = (5000.0, 5000.0), (-300.0, 20.0)
+    pairs = [(a, b, rng.uniform(-15, 15), rng.uniform(-15, 15)) for a in tiles for b in (a + 1, a + width) if a < 9000 and b in tiles and (b - a == width or b % width) and b % width != 7 and rng.random() < 0.9]
+    pairs += [(b, a, -dr + 1, -dc) for a, b, dr, dc in pairs[::9]] + [(0, 1, 1000.0, 1000.0), (1, 2, 3.0, 20.0), (0, 77_777, 1.0, 1.0)]
+    frame = spark.createDataFrame(pairs, "a int, b int, dr double, dc double")
+    places = spark.createDataFrame([(k, *v) for k, v in tiles.items()], "fov_num int, r double, c double")
+    known = [p for p in pairs if p[1] in tiles]
+    want = dense_offsets(known, tiles)
+    got = {r["node"]: (r["xr"], r["xc"]) for r in registration.least_squares_offsets(frame.filter("abs(dr) < 20 AND abs(dc) < 20"), places).collect()}
+    assert got.keys() == want.keys() and max(np.abs(np.array(got[t]) - want[t]).max() for t in want) < 1e-6
+    moved = {r["fov_num"]: (r["r"], r["c"]) for r in registration.global_offsets(frame, places).collect()}
+    assert moved == {t: tuple(np.array(tiles[t]) + np.trunc(np.round(x - want[0], 6))) for t, x in want.items()}
+
+
+def test_offsets_without_pairs_and_far_ones(spark):
+    tiles = {i: (float(i), float(i * i % 7)) for i in range(40)}
+    places = spark.createDataFrame([(k, *v) for k, v in tiles.items()], "fov_num int, r double, c double")
+    none = spark.createDataFrame([], "a int, b int, dr double, dc double")
+    assert {r["fov_num"]: (r["r"], r["c"]) for r in registration.global_offsets(none, places).collect()} == tiles
+    rows = [(k, *v, 2 * v[0] + 3.0, -v[1], ) if k % 5 else (k, *v, 5000.0, 0.0) for k, v in tiles.items()]
+    moved = spark.createDataFrame(rows, "fov_num int, r double, c double, xr double, xc double")
+    got = {r["fov_num"]: (r["xr"], r["xc"]) for r in registration.predicted_offsets(moved).collect()}
+    for k, (r, c) in tiles.items():
+        assert abs(got[k][0] - (2 * r + 3)) <= 1 and abs(got[k][1] + c) <= 1
 
 
 def test_pair_shifts(spark):
@@ -615,6 +650,69 @@ def test_near_offsets_against_all_pairs():
     assert alignment.offset_of(a[:0], b, 7.0) is None
 
 
+@pytest.mark.parametrize("k", [1, 4])
+def test_k_nearest_of_crowds_repeats_and_far_points(spark, k):
+    rng = random.Random(k)
+    rows = [(i, rng.random() * 100, rng.random() * 7) for i in range(150)] + [(300 + i, 5.0, 5.0) for i in range(80)] + [(500, 1e5, -1e5), (501, 1e5, -1e5 + 3), (502, None, 1.0)]
+    rows += [(600 + i, 50 + rng.random() * 1e-3, 3.0) for i in range(80)]
+    got = spatial.k_nearest(spark.createDataFrame(rows, "id int, r double, c double"), k, RC, "id").collect()
+    some = [x for x in rows if x[1] is not None]
+    want = [(i, j, rank) for i, r, c in some for rank, (_, j) in enumerate(sorted(((x - r) ** 2 + (y - c) ** 2, j) for j, x, y in some if j != i)[:k], 1)]
+    assert sorted((r["a"], r["b"], r["rank"]) for r in got) == sorted(want)
+    few = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 4.0)], "id int, r double, c double")
+    assert sorted((r["a"], r["b"], r["d2"], r["rank"]) for r in spatial.k_nearest(few, 5, RC, "id").collect()) == [(1, 2, 25.0, 1), (2, 1, 25.0, 1)]
+    assert spatial.k_nearest(few.limit(0), 2, RC, "id").count() == 0
+
+
+@pytest.mark.parametrize("distance, block", [(3, 256), (40, 256), (3, 8), (12, 8), (0, 16)])
+def test_label_growth_is_the_nearest_label(spark, monkeypatch, distance, block):
+    monkeypatch.setattr(cells, "BLOCK", block)
+    rng = random.Random(distance)
+    rows = [(rng.randrange(-2, 60), rng.randrange(-2, 70), rng.randrange(-3, 9)) for _ in range(70)] + [(5, 5, None)]
+    got = {(r["r"], r["c"]): r["cell_id"] for r in cells.expand_labels(spark.createDataFrame(rows, "r int, c int, cell_id int"), distance, 60, 70).collect()}
+    nearest = {(r, c): min(((x - r) ** 2 + (y - c) ** 2, n) for x, y, n in rows if n is not None) for r in range(60) for c in range(70)}
+    assert got == {at: n for at, (d, n) in nearest.items() if d <= distance * distance}
+
+
+def merged_plainly(points, rects, radius, least):
+    """One pair after another on {id: [tile, gene, r, c]}."""
+    now = {k: list(v) for k, v in points.items()}
+    for a, b, r0, r1, c0, c1 in rects:
+        side = {t: [k for k, v in now.items() if v[0] == t and r0 <= v[2] <= r1 and c0 <= v[3] <= c1] for t in (a, b)}
+        if min(map(len, side.values())) <= least:
+            continue
+        d2 = lambda x, y: (now[x][2] - now[y][2]) ** 2 + (now[x][3] - now[y][3]) ** 2
+        near = {y: min((d2(x, y), x) for x in side[a]) for y in side[b]}
+        took = {}
+        for y, (d, x) in near.items():
+            if d <= radius**2 and d == min(e for e, z in near.values() if z == x) and now[x][1] == now[y][1]:
+                took[x] = min(y, took.get(x, y))
+        for x, y in took.items():
+            now[x][2:] = [(now[x][2] + now[y][2]) / 2, (now[x][3] + now[y][3]) / 2]
+        for y in took.values():
+            del now[y]
+    return now
+
+
+@pytest.mark.parametrize("links", [[(0, 1), (1, 2), (2, 3), (3, 4)], [(a, b) for a in range(9) for b in (a + 1, a + 3) if b < 9 and (b - a == 3 or b % 3)]])
+def test_merging_over_all_pairs_is_the_sequence(spark, links):
+    rng = random.Random(len(links))
+    points = {i: [rng.randrange(9), rng.choice("gh"), rng.randrange(80) / 4, rng.randrange(80) / 4] for i in range(700)}
+    rects = spark.createDataFrame([(a, b, 0.0, 18.0 - a, 1.0, 20.0 if b != 3 else 2.0) for a, b in links], "a int, b int, r_tl double, r_br double, c_tl double, c_br double")
+    order = [tuple(r) for c in graphs.edge_colours(rects) for r in c.select("a", "b", "r_tl", "r_br", "c_tl", "c_br").collect()]
+    assert len(order) == len(links)
+    df = spark.createDataFrame([(i, *v) for i, v in points.items()], "dot_id int, fov_num int, gene string, r double, c double")
+    got = {r["dot_id"]: [r["fov_num"], r["gene"], r["r"], r["c"]] for r in spatial.merge_overlaps(df, rects, 1.0, RC, identity="gene").collect()}
+    want = merged_plainly(points, order, 1.0, 10)
+    assert got == want and len(want) < len(points)
+
+
+def test_counts_in_chunks(spark):
+    df = points(spark, [(1, 0.0, 0.0), (2, 99.0, 45.5), (3, 39.0, 39.9), (4, 41.0, 80.0), (5, 80.0, 5.0)], "id int, r double, c double")
+    got = sorted(map(tuple, geometry.count_in_chunks(df, 40).collect()))
+    assert got == [(0, 40, 0, 40, 2), (40, 100, 0, 40, 1), (40, 100, 40, 81, 2)]
+
+
 def test_nearest_k_within_is_k_nearest_cut(spark):
     points = spark.createDataFrame([(i, float(i * 37 % 101), float(i * 53 % 97)) for i in range(60)], "id int, r double, c double")
     want = {tuple(x) for x in spatial.k_nearest(points, 4, ("r", "c"), "id").filter("d2 < 400").collect()}
