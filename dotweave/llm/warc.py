@@ -10,14 +10,15 @@ so any store that Spark can write to will do. Each archive is one gzip stream.
 Reading: archives are framed by Content-Length, never by searching payloads for
 separators; payload digests are computed anew. Revisits are joined to the
 responses of their digest, which gives their length and original. Archives of other
-writers are read too: record ids that are no page ids are kept as ``record_id`` with a
+writers are read too, packed or plain: record ids that are no page ids are kept as ``record_id`` with a
 null page id, further record types are rows of their own, members a record or a file
-make no difference. An archive is read as one value, so it holds FILE_RECORDS records
-at most; since the text sink compresses a file as one stream, archives are read from
-their start, not from an offset.
+make no difference. An archive is read as one value, so files are bounded: records of up to
+LARGE bytes go FILE_RECORDS to a file, larger ones so many that FILE_BYTES hold them.
 
 :func:`deduplicate_archives` reads archives, and writes them again with equal
-payloads resolved and fresh headers.
+payloads resolved and fresh headers. No record is lost: revisits find their response by digest, or
+else by the record id they refer to; what finds none, and any other record type, is
+written as it was. Record ids, dates, addresses and HTTP heads are those of the source.
 
 Defined cases: null or empty html is an empty payload (a response); a null page id
 is always a response and is read back as null; repeated rows of the smallest page
@@ -44,11 +45,13 @@ from .common import cut, drop_path, shared_dir, table
 
 #: Payload bytes from which equal payloads are stored once.
 LEAST = 100
-#: Records of one archive file at most.
-FILE_RECORDS = 4_000
+#: Records of one archive file at most; payload bytes above which a record is large, and of a file of large ones.
+FILE_RECORDS, LARGE, FILE_BYTES = 4_000, 1 << 16, 1 << 28
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, record_id string"
+#: What :func:`deduplicate_archives` needs of a record besides: digest and reference as stated, date, kind, and the bytes of its heads and payload.
+_WHOLE = "stated string, refers_id string, date string, kind string, head binary, http binary, payload binary"
 
 
 def revisits(heads: DataFrame, least: int = LEAST) -> DataFrame:
@@ -75,26 +78,44 @@ def record(page_id: Column, url: Column, payload: Column, digest: Column, size:
     )
 
 
+def _write(made: DataFrame, path: str, most: int, file_records: int = FILE_RECORDS) -> None:
+    """``value`` of each row into archives of bounded records and bytes; ``bytes`` of a row are ``most`` at most, null for none."""
+    sink = lambda some, records: some.select("value").write.mode("append").option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+    if most <= LARGE:
+        sink(made, file_records)
+    else:
+        sink(made.filter(F.coalesce("bytes", F.lit(0)) <= LARGE), file_records)
+        sink(made.filter(F.col("bytes") > LARGE), min(file_records, max(1, FILE_BYTES // most)))
+
+
 def write_archives(pages: DataFrame, path: str, least: int = LEAST, date: str = "2000-01-01T00:00:00Z", file_records: int = FILE_RECORDS) -> None:
     """Write one record per row of ``pages`` (page_id, url, html) into the folder ``path``, equal payloads once."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha2("html", 256), "bytes": F.octet_length("html")})
     marked = rows.join(revisits(rows.select("page_id", "digest", "bytes"), least), ["page_id", "digest"], "left")
-    text = marked.select(record(*map(F.col, ("page_id", "url", "html", "digest", "bytes", "original")), date).alias("value"))
-    text.write.option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", file_records).text(path)
+    made = marked.select(record(*map(F.col, ("page_id", "url", "html", "digest", "bytes", "original")), date).alias("value"), F.when(F.col("original").isNull(), F.col("bytes")).alias("bytes"))
+    _write(made, path, rows.agg(F.max("bytes")).first()[0] or 0, file_records)
 
 
 class _Stream:
-    """Reads a gzip stream of one or more members, a bounded piece at a time."""
+    """Reads a gzip stream of one or more members, a bounded piece at a time, or plain bytes."""
 
     #: Bytes read and bytes unpacked at once.
     PIECE, MOST = 1 << 16, 1 << 20
 
     def __init__(self, raw: bytes):
-        self.raw, self.at, self.buffer, self.start, self.z = raw, 0, bytearray(), 0, zlib.decompressobj(31)
+        self.raw, self.at, self.buffer, self.start = raw, 0, bytearray(), 0
+        self.packed = raw[:2] == b"\x1f\x8b"
+        self.z = zlib.decompressobj(31)
 
     def fill(self) -> bool:
         """More of the stream in the buffer, MOST bytes at most; whether there was any."""
+        if not self.packed:
+            del self.buffer[: self.start]
+            self.start, more = 0, self.raw[self.at : self.at + self.MOST]
+            self.at += len(more)
+            self.buffer += more
+            return bool(more)
         if self.z.eof:
             rest = self.z.unused_data or self.raw[self.at : self.at + self.PIECE]
             self.at += 0 if self.z.unused_data else len(rest)
@@ -117,7 +138,7 @@ class _Stream:
         while (end := self.buffer.find(b"\r\n\r\n", seen)) < 0:
             held = len(self.buffer) - self.start
             if not self.fill():
-                if self.buffer[self.start :].strip() or (self.raw and not self.z.eof):
+                if self.buffer[self.start :].strip() or (self.packed and not self.z.eof):
                     raise ValueError("the archive ends inside a header")
                 return None
             seen = max(0, held - 3)
@@ -156,7 +177,7 @@ def parse_archive(raw: bytes) -> Iterator[dict]:
         block = stream.take(int(fields["content-length"]))
         stream.take(4)
         http, payload = b"", block
-        if fields.get("content-type", "").startswith("application/http"):
+        if fields.get("content-type", "").startswith("application/http") and fields.get("warc-type") in ("response", "revisit"):
             http, _, payload = block.partition(b"\r\n\r\n")
         again, length = fields.get("warc-type") == "revisit", _fields(http).get("content-length", "")
         digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
@@ -168,13 +189,19 @@ def parse_archive(raw: bytes) -> Iterator[dict]:
             "payload_digest": digest if again else hashlib.sha256(payload).hexdigest(),
             "refers_to": _page(fields.get("warc-refers-to")) if again else None,
             "record_id": fields.get("warc-record-id"),
-            "payload": None if again else payload,
+            "stated": fields.get("warc-payload-digest"),
+            "refers_id": fields.get("warc-refers-to"),
+            "date": fields.get("warc-date"),
+            "kind": fields.get("content-type"),
+            "head": head,
+            "http": http if fields.get("warc-type") in ("response", "revisit") else b"",
+            "payload": block if again else payload,
         }
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """One row per record of the archives in ``path``; with ``payloads`` also the payload bytes of responses."""
-    schema = _RECORD + ", payload binary" * payloads
+    """One row per record of the archives in ``path``; with ``payloads`` also heads and payload bytes (of a revisit: its block)."""
+    schema = f"{_RECORD}, {_WHOLE}" if payloads else _RECORD
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in schema.split(", ")]
@@ -194,29 +221,67 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
         out = pd.DataFrame(block, columns=names)
         return out.astype({n: "Int64" for n in ("page_id", "payload_bytes", "refers_to")})
 
-    files = spark.read.format("binaryFile").load(path).filter(F.col("length") > 0).select("content")
+    # archives in folders, too; what is no archive is none of ours
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).filter(F.col("length") > 0).select("content")
     return files.mapInPandas(run, schema)
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """Records with each revisit joined, by payload digest, to its original response."""
+    """Records with each revisit joined, by payload digest, to its original response; other types as they are."""
     first = records.filter("record_type = 'response'").groupBy("payload_digest").agg(F.min("page_id").alias("original"), F.max("payload_bytes").alias("original_bytes"))
     joined = records.filter("record_type = 'revisit'").join(first, "payload_digest", "left")
     again = joined.withColumns({"refers_to": F.coalesce("original", "refers_to"), "payload_bytes": F.coalesce("original_bytes", "payload_bytes")}).drop("original", "original_bytes")
-    return records.filter("record_type = 'response'").unionByName(again)
+    return records.filter("record_type IS DISTINCT FROM 'revisit'").unionByName(again)
+
+
+def _fresh(again: Column) -> Column:
+    """A response or revisit of ``rid, date, url, digest, original, kind, http, body`` with fresh WARC headers and its own HTTP head."""
+    line = lambda name, value: F.coalesce(F.concat(F.lit(f"{CRLF}{name}: "), value), F.lit(""))
+    http = F.when(F.col("http") != "", F.concat("http", F.lit(CRLF * 2))).otherwise(F.lit(""))
+    block = F.concat(http, F.when(again, F.lit("")).otherwise(F.col("body")))
+    return F.concat(
+        F.lit(f"WARC/1.1{CRLF}WARC-Type: "), F.when(again, F.lit("revisit")).otherwise(F.lit("response")), line("WARC-Record-ID", F.col("rid")), line("WARC-Date", F.col("date")), line("WARC-Target-URI", F.col("url")),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")), F.when(again, F.concat(line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", F.col("original")))).otherwise(F.lit("")),
+        line("Content-Type", F.col("kind")), line("Content-Length", F.octet_length(block).cast("string")), F.lit(CRLF * 2), block,
+    )
 
 
 def deduplicate_archives(spark: SparkSession, source: str, target: str, least: int = LEAST) -> None:
     """Read the archives of ``source`` and write them to ``target`` with equal payloads once and fresh headers.
 
-    Revisits of the source get their payload back first, so that the smallest page id always becomes the response.
+    A revisit gets its payload back first: from the response of its digest (computed, or as both state it), or else from
+    that of the record id it refers to. Of equal payloads of at least ``least`` bytes the record of smallest page id is the response,
+    the smallest record id where no page id is; all others become its revisits. Revisits that find no response, and
+    records of other types, are written as they are, byte for byte. Only sizes, digests and ids are shuffled to find
+    the groups; a payload moves to the revisits of its digest that need it, and once to be written.
     """
-    records = read_archives(spark, source, payloads=True)
     # bytes become strings as they are: neither Spark's strings nor its text sink look inside
-    full = records.filter("record_type = 'response'").select("page_id", "url", F.col("payload").cast("string").alias("html"))
-    bodies = records.filter("record_type = 'response'").groupBy("payload_digest").agg(F.first("payload").alias("body"))
-    again = records.filter("record_type = 'revisit'").select("page_id", "url", "payload_digest").join(bodies, "payload_digest").select("page_id", "url", F.col("body").cast("string").alias("html"))
-    write_archives(full.unionByName(again), target, least)
+    records = cut(read_archives(spark, source, payloads=True).withColumn("key", F.monotonically_increasing_id()))
+    rank = F.struct(F.col("page_id").isNull().alias("foreign"), "page_id", F.coalesce("record_id", F.lit("")).alias("rid"))
+    full = records.filter("record_type = 'response'")
+    ways = F.array(*(F.struct(F.lit(k).alias("way"), F.col(c).alias("name")) for k, c in enumerate(("payload_digest", "stated", "record_id"))))
+    named = full.select(F.explode(ways).alias("w"), "payload_digest", rank.alias("rank")).filter("w.name IS NOT NULL").groupBy("w.way", "w.name").agg(F.min(F.struct("rank", "payload_digest")).alias("m"))
+    named = named.select("way", "name", F.col("m.payload_digest").alias("found"))
+    again = records.filter("record_type = 'revisit'")
+    asked = again.select("key", F.explode(F.array(*(F.struct(F.lit(k).alias("way"), F.col(c).alias("name")) for k, c in enumerate(("payload_digest", "stated", "refers_id"))))).alias("w"))
+    # of the ways that lead to a response the first counts
+    found = asked.select("key", "w.*").join(named, ["way", "name"]).groupBy("key").agg(F.min(F.struct("way", "found")).alias("m")).select("key", F.col("m.found").alias("digest"))
+    found = cut(found)
+    bodies = full.join(found.select(F.col("digest").alias("payload_digest")).distinct(), "payload_digest", "left_semi").groupBy(F.col("payload_digest").alias("digest")).agg(F.min_by("payload", "key").alias("body"))
+    back = again.join(found, "key").join(bodies, "digest")
+    columns = ["key", "page_id", "record_id", "date", "url", "kind", "http"]
+    whole = cut(full.select(*columns, F.col("payload_digest").alias("digest"), F.col("payload").alias("body")).unionByName(back.select(*columns, "digest", "body")))
+    sized = whole.withColumn("bytes", F.octet_length("body"))
+    groups = sized.filter(F.col("bytes") >= least).groupBy("digest").agg(F.min(F.struct(rank.alias("rank"), F.col("record_id").alias("original"))).alias("m"), F.count("*").alias("n")).filter("n > 1").select("digest", "m.original")
+    small = sized.select("key", "digest", "record_id", "bytes").filter(F.col("bytes") >= least).join(groups, "digest").filter(~F.col("record_id").eqNullSafe(F.col("original"))).select("key", "original")
+    marked = sized.join(small, "key", "left").withColumn("rid", F.col("record_id"))
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("http", "body")}
+    repeated = F.col("original").isNotNull()
+    made = marked.withColumns(text).select(_fresh(repeated).alias("value"), F.when(~repeated, F.col("bytes")).alias("bytes"))
+    as_they_are = records.filter("record_type IS NULL OR record_type NOT IN ('response', 'revisit')").unionByName(again.join(found, "key", "left_anti"))
+    kept = as_they_are.select(F.concat(F.col("head").cast("string"), F.lit(CRLF * 2), F.col("payload").cast("string")).alias("value"), F.octet_length("payload").alias("bytes"))
+    most = records.agg(F.max(F.octet_length("payload"))).first()[0] or 0
+    _write(made.unionByName(kept), target, most)
 
 
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:

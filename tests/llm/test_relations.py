@@ -561,3 +561,61 @@ def test_pipeline_of_awkward_rows(spark, docs, none, labels, folder):
             assert name == "byte-level bpe" or out.columns == docs.columns[: len(out.columns)]
             assert out.count() <= now.count()
         assert corpus_pipeline.run(spark, path).count() <= table.count()
+
+
+def foreign(kind, name, block, **fields):
+    """A record of another writer."""
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {name}", "WARC-Date: 2019-05-06T07:08:09Z", *(f"{k.replace('_', '-')}: {v}" for k, v in fields.items()), f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_archives_of_other_writers_lose_no_record(spark, tmp_path, packed):
+    import gzip
+
+    page, other = b"\xff\xfe page " * 30, b"short"
+    http = b"HTTP/1.1 404 Not Found\r\nX-Own: yes\r\n\r\n"
+    kind = {"Content-Type": "application/http; msgtype=response"}
+    info = foreign("warcinfo", "<urn:uuid:0>", b"software: another\r\n", **{"Content-Type": "application/warc-fields"})
+    resource = foreign("resource", "<urn:uuid:r>", page, **{"Content-Type": "text/plain", "WARC-Target-URI": "file:x"})
+    lost = foreign("revisit", "<urn:uuid:6>", http, **kind, **{"WARC-Payload-Digest": "sha1:ELSEWHERE"})
+    records = [
+        info, foreign("response", "<urn:uuid:2>", http + page, **kind, **{"WARC-Payload-Digest": "sha1:AAAA", "WARC-Target-URI": "http://b/"}), foreign("response", "<urn:uuid:1>", http + page, **kind, **{"WARC-Target-URI": "http://a/"}),
+        resource, foreign("revisit", "<urn:uuid:4>", http, **kind, **{"WARC-Refers-To": "<urn:uuid:2>", "WARC-Profile": "x"}), foreign("revisit", "<urn:uuid:5>", http, **kind, **{"WARC-Payload-Digest": "sha1:AAAA"}), lost,
+        foreign("response", "<urn:uuid:7>", http + other, **kind), foreign("revisit", "<urn:uuid:8>", http, **kind, **{"WARC-Refers-To": "<urn:uuid:7>"}), foreign("request", "<urn:uuid:9>", b"GET / HTTP/1.1\r\n\r\n", **{"Content-Type": "application/http; msgtype=request"}),
+    ]
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for k in (0, 1):
+        (source / f"{k}.warc").write_bytes(b"".join(gzip.compress(r) if packed else r for r in records[k::2]))
+    assert warc.resolve(warc.read_archives(spark, str(source))).count() == len(records)
+    warc.deduplicate_archives(spark, str(source), target)
+    got = {r["record_id"]: r for r in warc.read_archives(spark, target, payloads=True).collect()}
+    assert sorted(got) == [f"<urn:uuid:{k}>" for k in "012456789r"]
+    # equal payloads are stored once, under the smallest id; short ones are not worth a revisit
+    assert {k[10]: r["record_type"] for k, r in got.items()} == {"0": "warcinfo", "1": "response", "2": "revisit", "4": "revisit", "5": "revisit", "6": "revisit", "7": "response", "8": "response", "9": "request", "r": "resource"}
+    assert bytes(got["<urn:uuid:1>"]["payload"]) == page and {got[f"<urn:uuid:{k}>"]["refers_id"] for k in "245"} == {"<urn:uuid:1>"}
+    assert bytes(got["<urn:uuid:8>"]["payload"]) == other == bytes(got["<urn:uuid:7>"]["payload"])
+    for k in "1245678":
+        assert bytes(got[f"<urn:uuid:{k}>"]["http"]) == http[:-4] and got[f"<urn:uuid:{k}>"]["date"] == "2019-05-06T07:08:09Z"
+    assert got["<urn:uuid:2>"]["url"] == "http://b/"
+    # what takes no part is there byte for byte
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "out").glob("*.gz"))
+    assert all(r in text for r in (info, resource, lost)) and text.count(page) == 2
+    # a second time changes nothing
+    warc.deduplicate_archives(spark, target, str(tmp_path / "again"))
+    again = {r["record_id"]: r for r in warc.read_archives(spark, str(tmp_path / "again"), payloads=True).collect()}
+    assert {k: (r["record_type"], r["refers_id"], bytes(r["payload"])) for k, r in again.items()} == {k: (r["record_type"], r["refers_id"], bytes(r["payload"])) for k, r in got.items()}
+
+
+def test_files_of_large_records_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE", 1_000)
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    pages = spark.createDataFrame([(i, None, f"{i:04d}" * (2_500 if i % 5 == 0 else 30)) for i in range(40)], "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write_archives(pages, path)
+    import gzip
+
+    held = [len(gzip.decompress(p.read_bytes())) for p in (tmp_path / "w").glob("*.gz")]
+    assert sum(n > 20_000 + 4_000 for n in held) <= 1 and len(held) >= 5
+    assert {r["page_id"]: r["payload_bytes"] for r in warc.read_archives(spark, path).collect()} == {i: 10_000 if i % 5 == 0 else 120 for i in range(40)}
