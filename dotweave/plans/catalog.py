@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import codes
-from ..operators import alignment, barcodes, bayes, cells, constellations, dedup, geometry, quality, registration, selection, spatial
+from ..operators import alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, quality, registration, selection, spatial
 
 RC = ("r", "c")
 
@@ -617,6 +617,36 @@ def label_expansion(spark, d):
     return cells.expand_labels(mask, 3, 1201, 1301)
 
 
+# detection
+
+#: Pixels of an image of each tile and channel: dots on a canvas of a pixel a row and two columns, brighter where several fall.
+_LIT = "px AS (SELECT fov_num, channel, CAST(r AS INT) AS r, CAST(floor(c / 2) AS INT) AS c, CAST(sum(dot_id % 7 + 1) AS BIGINT) AS value FROM dots GROUP BY ALL)"
+_OBJECTS = f"""WITH RECURSIVE {_DOTS}, {_LIT}, e AS MATERIALIZED (SELECT x.fov_num, x.channel, x.r, x.c, y.r AS r2, y.c AS c2 FROM px x JOIN px y ON x.fov_num = y.fov_num AND x.channel = y.channel AND abs(x.r - y.r) <= 1 AND abs(x.c - y.c) <= 1),
+reach AS (SELECT fov_num, channel, r, c, r AS hr, hr * 100000 + c AS h FROM px UNION SELECT e.fov_num, e.channel, e.r2, e.c2, p.hr, p.h FROM reach p JOIN e USING (fov_num, channel, r, c)),
+lab AS MATERIALIZED (SELECT fov_num, channel, r, c, min(h) AS h FROM reach GROUP BY ALL), sizes AS (SELECT fov_num, channel, h, count(*) AS size FROM lab GROUP BY ALL),
+lit AS MATERIALIZED (SELECT fov_num, channel, h, r, c, value, size FROM lab JOIN sizes USING (fov_num, channel, h) JOIN px USING (fov_num, channel, r, c))"""
+
+
+def _lit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = [F.col("r").cast("int").alias("r"), F.floor(F.col("c") / 2).cast("int").alias("c")]
+    return _dots(spark, sf_dir).groupBy("fov_num", "channel", *at).agg(F.sum(F.col("dot_id") % 7 + 1).alias("value"))
+
+
+@_query(f"{_OBJECTS} SELECT CAST(size AS BIGINT) AS size, count(*) AS objects FROM sizes GROUP BY 1")
+def object_sizes(spark, d):
+    """How many objects of connected pixels have each size."""
+    return detection.object_sizes(detection.objects(_lit(spark, d), ["fov_num", "channel"])).groupBy(F.col("n").alias("size")).agg(F.count("*").alias("objects"))
+
+
+@_query(
+    f"""{_OBJECTS}, top AS (SELECT * FROM lit p WHERE size BETWEEN 2 AND 200 AND NOT EXISTS (SELECT 1 FROM lit q WHERE q.fov_num = p.fov_num AND q.channel = p.channel AND q.h = p.h AND abs(q.r - p.r) <= 1 AND abs(q.c - p.c) <= 1 AND q.value > p.value))
+SELECT fov_num, channel, r, c, value, CAST(size AS BIGINT) AS size FROM top QUALIFY row_number() OVER (PARTITION BY fov_num, channel, h ORDER BY value DESC, r, c) <= 2"""
+)
+def detected_dots(spark, d):
+    """Peaks of objects of 2 to 200 pixels, two of each object at most."""
+    return detection.peaks(_lit(spark, d), ["fov_num", "channel"], 1, 2, 200, per_object=2, diagonal=True)
+
+
 # curves, checks, alignment
 
 
