@@ -219,3 +219,15 @@ def beads(images: DataFrame, params: dict, kind: str) -> DataFrame:
                 yield pd.concat(full)
 
     return images.mapInPandas(run, _DOTS)
+
+
+def from_sparse(pixels: DataFrame, by: list[str], shape: tuple[int, int], dtype: str = "uint16") -> DataFrame:
+    """``by``, shape, dtype, pixels: one dense image of each group of sparse pixels (r, c, n); absent ones are 0."""
+    keys = ", ".join(f"`{b}` {pixels.schema[b].dataType.simpleString()}" for b in by)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        img = np.zeros(shape, dtype)
+        img[group["r"], group["c"]] = group["n"]
+        return pd.DataFrame([{**{b: group[b].iloc[0] for b in by}, "shape": list(shape), "dtype": dtype, "pixels": img.tobytes()}])
+
+    return pixels.groupBy(*by).applyInPandas(run, f"{keys}, shape array<int>, dtype string, pixels binary")

@@ -6,12 +6,16 @@ to quarters, round and tile from event_id), suppliers are tiles on a grid, parts
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import codes
-from ..operators import alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, quality, registration, selection, spatial
+from ..functions.lineage import shared_dir
+from ..operators import alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, images, quality, registration, selection, spatial
+from ..sources import chunks
 
 RC = ("r", "c")
 
@@ -647,6 +651,20 @@ def detected_dots(spark, d):
     return detection.peaks(_lit(spark, d), ["fov_num", "channel"], 1, 2, 200, per_object=2, diagonal=True)
 
 
+# chunked arrays
+
+
+@_query(f"WITH {_DOTS}, px AS (SELECT fov_num, channel, round_num, CAST(r AS INT) AS r, CAST(floor(c) AS INT) AS c, count(*) AS n FROM dots GROUP BY ALL) SELECT fov_num, channel, round_num, r, c, CAST(n AS DOUBLE) AS value FROM px")
+def chunk_round_trip(spark, d):
+    """Images of all dots, a tile, channel and round each, written as chunked arrays and read back."""
+    high, wide = _dots(spark, d).agg(F.max("r").cast("int") + 1, F.floor(F.max("c")).cast("int") + 1).first()
+    pixels = _dots(spark, d).groupBy("fov_num", "channel", "round_num", F.col("r").cast("int").alias("r"), F.floor("c").cast("int").alias("c")).agg(F.count("*").alias("n"))
+    path = f"{shared_dir(spark)}/chunks-{uuid.uuid4().hex}"
+    chunks.write(images.from_sparse(pixels, ["fov_num", "channel", "round_num"], (high, wide)), path, "2048,2048")
+    found = chunks.sparse(chunks.read(spark, path))
+    return found.select("fov_num", "channel", "round_num", F.col("at")[0].alias("r"), F.col("at")[1].alias("c"), "value")
+
+
 # curves, checks, alignment
 
 

@@ -10,9 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dotweave.functions import arrays, codes
-from dotweave.operators import alignment, barcodes, bayes, cells, constellations, dedup, geometry, graphs, images, quality, registration, selection, spatial
+from dotweave.operators import alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, graphs, images, quality, registration, selection, spatial
 from dotweave.schema import DOTS, ERRORS, IMAGES, PIXELS
-from dotweave.sources import catalogs
+from dotweave.sources import catalogs, chunks
 
 RC = ("r", "c")
 
@@ -723,3 +723,63 @@ def test_long_codes_are_an_error(spark):
     codes = spark.createDataFrame([(1, 3)], "ref int, code_bits long")
     with pytest.raises(ValueError):
         barcodes.nearest_codeword(codes, spark.createDataFrame([("g", 3, 0)], "gene string, code_bits long, code_idx int"), 65)
+
+
+def test_chunked_arrays_are_written_read_and_pruned(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    stacks = {(f, c, k): rng.integers(0, 60_000, (3, 50, 70)).astype("uint16") for f in (1, 2) for c in ("a", "b") for k in (1, 2)}
+    rows = [(f, c, k, list(x.shape), "uint16", bytearray(x.tobytes())) for (f, c, k), x in stacks.items()]
+    path = str(tmp_path / "store")
+    chunks.write(spark.createDataFrame(rows, PIXELS), path, "1,32,0")
+    back = chunks.read(spark, path)
+    found = {key: np.zeros((3, 50, 70), "uint16") for key in stacks}
+    for r in back.collect():
+        part = np.frombuffer(r["pixels"], r["dtype"]).reshape(r["shape"])
+        found[r["fov_num"], r["channel"], r["round_num"]][tuple(slice(o, o + n) for o, n in zip(r["origin"], r["shape"]))] = part
+    assert all((found[k] == x).all() for k, x in stacks.items())
+    assert back.rdd.getNumPartitions() == 8 * 3 * 2
+    some = back.filter("fov_num = 2 AND channel IN ('b') AND round_num >= 2")
+    assert some.rdd.getNumPartitions() == 3 * 2 and some.count() == 6
+    assert back.filter("fov_num = 2 AND chunk = '0.1.0' AND dtype = 'uint16'").rdd.getNumPartitions() == 4
+    assert back.filter("fov_num = 9").count() == 0
+    # without pixels no chunk is opened
+    lost = tmp_path / "store" / "1_a_1" / "pixels" / "0.0.0"
+    lost.write_bytes(b"broken")
+    assert chunks.read(spark, path, "fov_num int, chunk string").count() == 48
+    with pytest.raises(Exception):
+        back.collect()
+    # an absent chunk is zeros; appended images stand beside the others, written again they are replaced
+    lost.unlink()
+    first = back.filter("grp_name = '1_a_1' AND chunk = '0.0.0'").first()
+    assert not np.frombuffer(first["pixels"], "uint16").any()
+    more = [(1, "a", 1, [2, 2], "float64", bytearray(np.eye(2).tobytes())), (7, "a", 1, [2, 2], "float64", bytearray(np.eye(2).tobytes()))]
+    chunks.write(spark.createDataFrame(more, PIXELS), path, "0", packed=False, mode="append")
+    again = chunks.read(spark, path)
+    assert again.select("grp_name").distinct().count() == 9
+    assert sorted((r["fov_num"], tuple(r["at"]), r["value"]) for r in chunks.sparse(again.filter("dtype = 'float64'")).collect()) == [(f, (i, i), 1.0) for f in (1, 7) for i in (0, 1)]
+
+
+@pytest.mark.parametrize("diagonal", [True, False])
+def test_objects_and_peaks_on_sparse_pixels(spark, monkeypatch, diagonal):
+    monkeypatch.setattr(detection, "STRIP", 3)
+    rng = np.random.default_rng(5)
+    images_ = {k: np.where(rng.random((30, 40)) < 0.45, rng.integers(1, 9, (30, 40)), 0) for k in (1, 2)}
+    rows = [(k, int(r), int(c), int(x[r, c])) for k, x in images_.items() for r, c in np.argwhere(x)]
+    want = []
+    for k, x in images_.items():
+        label, left = {}, {tuple(at) for at in np.argwhere(x)}
+        while left:
+            stack, group = [min(left)], set()
+            while stack:
+                r, c = stack.pop()
+                if (r, c) in left:
+                    left.discard((r, c))
+                    group.add((r, c))
+                    stack += [(r + i, c + j) for i in (-1, 0, 1) for j in (-1, 0, 1) if diagonal or not (i and j)]
+            if 2 <= len(group) <= 30:
+                top = [(r, c) for r, c in group if 2 <= r < 28 and 2 <= c < 38 and x[r, c] >= max(x[p] for p in group if max(abs(p[0] - r), abs(p[1] - c)) <= 2)]
+                want += [(k, r, c, int(x[r, c]), len(group)) for r, c in sorted(top, key=lambda p: (-x[p], p))[:2]]
+    df = spark.createDataFrame(rows, "image int, r int, c int, value int")
+    got = detection.peaks(df, ["image"], 2, 2, 30, per_object=2, frame=(30, 40), diagonal=diagonal)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert detection.peaks(df.limit(0), ["image"], 2, 2, 30).count() == 0
