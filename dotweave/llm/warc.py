@@ -78,23 +78,26 @@ def record(page_id: Column, url: Column, payload: Column, digest: Column, size:
     )
 
 
-def _write(made: DataFrame, path: str, most: int, file_records: int = FILE_RECORDS) -> None:
-    """``value`` of each row into archives of bounded records and bytes; ``bytes`` of a row are ``most`` at most, null for none."""
-    sink = lambda some, records: some.select("value").write.mode("append").option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
+def _classes(most: int, file_records: int = FILE_RECORDS) -> list[tuple[Column, int]]:
+    """Which rows (by ``bytes``, ``most`` at most) go into files together, and how many of them into one."""
     if most <= LARGE:
-        sink(made, file_records)
-    else:
-        sink(made.filter(F.coalesce("bytes", F.lit(0)) <= LARGE), file_records)
-        sink(made.filter(F.col("bytes") > LARGE), min(file_records, max(1, FILE_BYTES // most)))
+        return [(F.lit(True), file_records)]
+    return [(F.col("bytes") <= LARGE, file_records), (F.col("bytes") > LARGE, min(file_records, max(1, FILE_BYTES // most)))]
+
+
+def _write(made: DataFrame, path: str, records: int) -> None:
+    made.select("value").write.mode("append").option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
 
 
 def write_archives(pages: DataFrame, path: str, least: int = LEAST, date: str = "2000-01-01T00:00:00Z", file_records: int = FILE_RECORDS) -> None:
     """Write one record per row of ``pages`` (page_id, url, html) into the folder ``path``, equal payloads once."""
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha2("html", 256), "bytes": F.octet_length("html")})
-    marked = rows.join(revisits(rows.select("page_id", "digest", "bytes"), least), ["page_id", "digest"], "left")
-    made = marked.select(record(*map(F.col, ("page_id", "url", "html", "digest", "bytes", "original")), date).alias("value"), F.when(F.col("original").isNull(), F.col("bytes")).alias("bytes"))
-    _write(made, path, rows.agg(F.max("bytes")).first()[0] or 0, file_records)
+    # ids of revisits alone: found once, also where files are written in two goes
+    marks = cut(revisits(rows.select("page_id", "digest", "bytes"), least))
+    for of_class, records in _classes(rows.agg(F.max("bytes")).first()[0] or 0, file_records):
+        marked = rows.filter(of_class).join(marks, ["page_id", "digest"], "left")
+        _write(marked.select(record(*map(F.col, ("page_id", "url", "html", "digest", "bytes", "original")), date).alias("value")), path, records)
 
 
 class _Stream:
@@ -274,14 +277,14 @@ def deduplicate_archives(spark: SparkSession, source: str, target: str, least: i
     sized = whole.withColumn("bytes", F.octet_length("body"))
     groups = sized.filter(F.col("bytes") >= least).groupBy("digest").agg(F.min(F.struct(rank.alias("rank"), F.col("record_id").alias("original"))).alias("m"), F.count("*").alias("n")).filter("n > 1").select("digest", "m.original")
     small = sized.select("key", "digest", "record_id", "bytes").filter(F.col("bytes") >= least).join(groups, "digest").filter(~F.col("record_id").eqNullSafe(F.col("original"))).select("key", "original")
-    marked = sized.join(small, "key", "left").withColumn("rid", F.col("record_id"))
+    small = cut(small)
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("http", "body")}
     repeated = F.col("original").isNotNull()
-    made = marked.withColumns(text).select(_fresh(repeated).alias("value"), F.when(~repeated, F.col("bytes")).alias("bytes"))
-    as_they_are = records.filter("record_type IS NULL OR record_type NOT IN ('response', 'revisit')").unionByName(again.join(found, "key", "left_anti"))
-    kept = as_they_are.select(F.concat(F.col("head").cast("string"), F.lit(CRLF * 2), F.col("payload").cast("string")).alias("value"), F.octet_length("payload").alias("bytes"))
-    most = records.agg(F.max(F.octet_length("payload"))).first()[0] or 0
-    _write(made.unionByName(kept), target, most)
+    others = records.filter("record_type IS NULL OR record_type NOT IN ('response', 'revisit')").unionByName(again.join(found, "key", "left_anti")).withColumn("bytes", F.octet_length("payload"))
+    as_they_are = F.concat(F.col("head").cast("string"), F.lit(CRLF * 2), F.col("payload").cast("string"))
+    for of_class, n in _classes(records.agg(F.max(F.octet_length("payload"))).first()[0] or 0):
+        marked = sized.filter(of_class).join(small, "key", "left").withColumn("rid", F.col("record_id")).withColumns(text)
+        _write(marked.select(_fresh(repeated).alias("value")).unionByName(others.filter(of_class).select(as_they_are.alias("value"))), target, n)
 
 
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
