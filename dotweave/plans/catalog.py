@@ -48,6 +48,10 @@ _TILES = "tiles AS (SELECT CAST(s_suppkey AS INT) AS fov_num, (s_suppkey // 10)
 _HIGH = "(SELECT max(user_id) + 1 FROM events)"
 
 
+#: Side of a square image that holds all dots.
+_SQUARE = "(SELECT CAST(greatest(max(user_id), floor(max(value))) AS INT) + 1 FROM events)"
+
+
 def _high(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row: the number of rows of the canvas of dots."""
     return F.broadcast(_table(spark, sf_dir, "events").agg((F.max("user_id") + 1).alias("high")))
@@ -63,9 +67,9 @@ _RECTS = (
 
 
 def _rects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(*x, "top" if x[0] % 2 == 0 else "bottom", "left" if x[0] % 3 else "right") for x in _RECT_ROWS]
-    boxes = spark.createDataFrame(rows, "a int, b int, r_tl double, r_br double, c_tl double, c_br double, a_row string, a_column string")
-    return boxes.crossJoin(_high(spark, sf_dir)).withColumns({x: F.col(x) * F.col("high") / 150 for x in ("r_tl", "r_br")}).drop("high")
+    high = _high(spark, sf_dir).first()["high"]
+    rows = [(a, b, r0 * high / 150, r1 * high / 150, c0, c1, "top" if a % 2 == 0 else "bottom", "left" if a % 3 else "right") for a, b, r0, r1, c0, c1 in _RECT_ROWS]
+    return spark.createDataFrame(rows, "a int, b int, r_tl double, r_br double, c_tl double, c_br double, a_row string, a_column string")
 
 
 def _codebook(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,14 +520,15 @@ def decode_recollecting(spark, d):
 
 @_query(
     f"""WITH {_DOTS}, px AS (SELECT fov_num, round_num, CAST(r AS INT) AS pr, CAST(floor(c) AS INT) AS pc, max(dot_id % 100 + 0.5) AS value FROM dots GROUP BY ALL)
-SELECT x.dot_id AS barcode_reference_dot_id, p.round_num, CAST(max(p.value) AS DOUBLE) AS intensity FROM dots x JOIN px p ON p.fov_num = x.fov_num AND p.pr BETWEEN greatest(CAST(trunc(x.r - 2) AS INT), 0) AND least(CAST(trunc(x.r + 2) AS INT), {_HIGH})
-AND p.pc BETWEEN greatest(CAST(trunc(x.c - 2) AS INT), 0) AND least(CAST(trunc(x.c + 2) AS INT), {_HIGH}) WHERE x.round_num = 1 GROUP BY 1, 2"""
+SELECT x.dot_id AS barcode_reference_dot_id, p.round_num, CAST(max(p.value) AS DOUBLE) AS intensity FROM dots x JOIN px p ON p.fov_num = x.fov_num AND p.pr BETWEEN greatest(CAST(trunc(x.r - 2) AS INT), 0) AND least(CAST(trunc(x.r + 2) AS INT), {_SQUARE})
+AND p.pc BETWEEN greatest(CAST(trunc(x.c - 2) AS INT), 0) AND least(CAST(trunc(x.c + 2) AS INT), {_SQUARE}) WHERE x.round_num = 1 GROUP BY 1, 2"""
 )
 def bit_intensity(spark, d):
     dots = _dots(spark, d)
     px = dots.groupBy("fov_num", "round_num", F.col("r").cast("int").alias("pr"), F.floor("c").cast("int").alias("pc")).agg(F.max(F.col("dot_id") % 100 + F.lit(0.5).cast("double")).alias("value"))
     refs = dots.filter("round_num = 1").select("fov_num", F.col("dot_id").alias("barcode_reference_dot_id"), "r", "c")
-    return barcodes.bit_intensities(refs, px, 2, _high(spark, d).first()[0])
+    square = _table(spark, d, "events").agg(F.greatest(F.max("user_id"), F.floor(F.max("value"))).cast("int") + 1).first()[0]
+    return barcodes.bit_intensities(refs, px, 2, square)
 
 
 # cells
