@@ -148,7 +148,7 @@ def test_decoding_three_ways(spark):
     got = sorted((r["barcode_reference_dot_id"], r["code_bits"]) for r in barcodes.decode(dots, 1.5, 6, rc=RC).collect())
     assert got == want
     joined = barcodes.decode_joined(dots, 1.5, 6, ["fov_num", "channel"], RC)
-    assert sorted((r["dot_id"], r["code_bits"]) for r in joined.collect()) == want
+    assert sorted((r["barcode_reference_dot_id"], r["code_bits"]) for r in joined.collect()) == want
 
 
 @pytest.mark.parametrize("tile, most", [(2, 50_000), (3, 40), (32, 100), (2, 5)])
