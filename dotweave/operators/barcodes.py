@@ -22,7 +22,7 @@ MOST_BITS = 64
 #: Dots of a tile or a cluster that one task decodes at most; beyond, rounds are joined.
 MOST_DOTS = 50_000
 #: Side of a tile of dots, in radii.
-TILE = 32
+TILE = 128
 
 
 def barcode_bits(matches: DataFrame, reference: str, round_num: str = "round_num") -> DataFrame:
