@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,46 +33,68 @@ def matches(a: DataFrame, b: DataFrame, tolerance: float, key: str, by: list[str
     return near.withColumn("_k", F.row_number().over(best)).filter("_k = 1").select(*by, key, f"r_{key}", *rc, f"r_{rc[0]}", f"r_{rc[1]}", "total")
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(2 x 2 matrix, offset) of the least-squares rotation, scale and shift of ``a`` onto ``b``."""
-    x, y = a - a.mean(axis=0), b - b.mean(axis=0)
-    den = (x * x).sum()
-    p, q = (x * y).sum() / den, (x[:, 0] * y[:, 1] - x[:, 1] * y[:, 0]).sum() / den
-    m = np.array([[p, -q], [q, p]])
-    return m, b.mean(axis=0) - a.mean(axis=0) @ m.T
-
-
-def robust_similarity(a: np.ndarray, b: np.ndarray, tolerance: float, trials: int = 200, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """(matrix, offset, inliers) of the similarity that most matched rows agree with; none for fewer than three."""
-    if len(a) < 3:
-        return None
-    rng, best = np.random.default_rng(seed), None
-    for _ in range(trials):
-        i, j = rng.choice(len(a), 2, replace=False)
-        if not np.ptp(a[[i, j]], axis=0).any():
-            continue
-        m, t = similarity(a[[i, j]], b[[i, j]])
-        hit = ((a @ m.T + t - b) ** 2).sum(axis=1) <= tolerance * tolerance
-        if best is None or hit.sum() > best.sum():
-            best = hit
-    if best is None or best.sum() < 2:
-        return None
-    m, t = similarity(a[best], b[best])
-    return m, t, best
-
-
-def group_similarities(found: DataFrame, by: list[str], rc: tuple[str, str], tolerance: float) -> DataFrame:
-    """Scale, angle, offset and inliers of each group's matches; a group is one tile's or round's matches."""
-    kinds = ", ".join(f"`{b}` {found.schema[b].dataType.simpleString()}" for b in by)
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        fit = robust_similarity(rows[[*rc]].to_numpy(float), rows[[f"r_{c}" for c in rc]].to_numpy(float), tolerance)
-        if fit is None:
-            return pd.DataFrame([(*key, None, None, None, None, 0)], columns=[*by, "scale", "degrees", "dr", "dc", "inliers"]).astype({c: "float64" for c in ("scale", "degrees", "dr", "dc")})
-        m, t, hit = fit
-        return pd.DataFrame([(*key, float(np.hypot(*m[:, 0])), float(np.degrees(np.arctan2(m[1, 0], m[0, 0]))), *map(float, t), int(hit.sum()))], columns=[*by, "scale", "degrees", "dr", "dc", "inliers"])
-
-    return found.groupBy(*by).applyInPandas(run, f"{kinds}, scale double, degrees double, dr double, dc double, inliers long")
+def hypotheses(found: DataFrame, by: list[str], rc: tuple[str, str], trials: int = 64, order: tuple[str, ...] = ()) -> DataFrame:
+    """``by, trial, p, q, tr, tc``: similarities through two matches each, r' = p r - q c + tr and c' = q r + p c + tc.
+
+    The matches of a trial are the next two by the digest of ``order`` (of the coordinates, where none is given), so the table is
+    the same on every run; it has at most ``trials`` rows a group. Ranks of so few rows are cut before the shuffle.
+    """
+    r, c, rr, rc_ = (F.col(x) for x in _coordinates(rc))
+    digest = F.md5(F.concat_ws(":", *(order or _coordinates(rc))))
+    pick = Window.partitionBy(*by).orderBy(digest, r, c, rr, rc_)
+    drawn = found.withColumn("_n", F.row_number().over(pick)).filter(F.col("_n") <= 2 * trials)
+    pairs = drawn.groupBy(*by, F.floor((F.col("_n") - 1) / 2).cast("int").alias("trial")).agg(
+        *(F.min_by(x, "_n").alias(f"_{i}0") for i, x in enumerate((r, c, rr, rc_))), *(F.max_by(x, "_n").alias(f"_{i}1") for i, x in enumerate((r, c, rr, rc_)))
+    )
+    dr, dc, er, ec = (F.col(f"_{i}1") - F.col(f"_{i}0") for i in range(4))
+    made = pairs.withColumn("_d", dr * dr + dc * dc).filter(F.col("_d") > 0)
+    made = made.withColumns({"p": (dr * er + dc * ec) / F.col("_d"), "q": (dr * ec - dc * er) / F.col("_d")})
+    offset = {"tr": F.col("_20") - F.col("p") * F.col("_00") + F.col("q") * F.col("_10"), "tc": F.col("_30") - F.col("q") * F.col("_00") - F.col("p") * F.col("_10")}
+    return made.withColumns(offset).select(*by, "trial", "p", "q", "tr", "tc")
+
+
+def _coordinates(rc: tuple[str, str]) -> tuple[str, ...]:
+    return *rc, *(f"r_{x}" for x in rc)
+
+
+def group_similarities(found: DataFrame, by: list[str], rc: tuple[str, str], tolerance: float, trials: int = 64, order: tuple[str, ...] = ()) -> DataFrame:
+    """``by, scale, degrees, dr, dc, inliers``: the similarity of each group's matches (``rc`` onto ``r_`` ``rc``) that most of them agree with.
+
+    Every match votes on every hypothesis of its group; the one with most inliers (ties: the first trial) names the inliers, and
+    its refit is a sum over them, so no group meets in one task. Matches with a null coordinate take no part; groups of fewer
+    than three matches, and such without two apart, have nulls and no inliers.
+    """
+    r, c, rr, rc_ = (F.col(x) for x in _coordinates(rc))
+    rows = found.dropna(subset=list(_coordinates(rc))).select(*dict.fromkeys((*by, *_coordinates(rc), *order)))
+    guesses = hypotheses(rows, by, rc, trials, order)
+    tables = guesses.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("trial", "p", "q", "tr", "tc"))).alias("_guesses"))
+    fits = lambda g: (
+        (g["p"] * r - g["q"] * c + g["tr"] - rr) * (g["p"] * r - g["q"] * c + g["tr"] - rr) + (g["q"] * r + g["p"] * c + g["tc"] - rc_) * (g["q"] * r + g["p"] * c + g["tc"] - rc_) <= tolerance * tolerance
+    )
+    votes = _join_groups(rows, tables, by).select(*by, F.explode(F.filter("_guesses", fits)).alias("_g")).groupBy(*by, "_g").agg(F.count(F.lit(1)).alias("_n"))
+    best = votes.groupBy(*by).agg(F.max_by("_g", F.struct("_n", -F.col("_g.trial"))).alias("_g"))
+    inner = _join_groups(rows, best, by).filter(fits(F.col("_g")))
+    den = F.var_pop(r) + F.var_pop(c)
+    p, q = (F.covar_pop(r, rr) + F.covar_pop(c, rc_)) / F.nullif(den, F.lit(0.0)), (F.covar_pop(r, rc_) - F.covar_pop(c, rr)) / F.nullif(den, F.lit(0.0))
+    sums = inner.groupBy(*by).agg(p.alias("_p"), q.alias("_q"), *(F.avg(x).alias(f"_m{i}") for i, x in enumerate((r, c, rr, rc_))), F.count(F.lit(1)).alias("_n"))
+    enough = found.groupBy(*by).agg(F.count(F.when(r.isNotNull() & c.isNotNull() & rr.isNotNull() & rc_.isNotNull(), 1)).alias("_all"))
+    ok = (F.col("_all") >= 3) & (F.col("_n") >= 2)
+    p, q, m = F.col("_p"), F.col("_q"), [F.col(f"_m{i}") for i in range(4)]
+    return _join_groups(enough, sums, by, "left").select(
+        *by,
+        F.when(ok, F.sqrt(p * p + q * q)).alias("scale"),
+        F.when(ok, F.degrees(F.atan2(q, p))).alias("degrees"),
+        F.when(ok, m[2] - p * m[0] + q * m[1]).alias("dr"),
+        F.when(ok, m[3] - q * m[0] - p * m[1]).alias("dc"),
+        F.when(ok, F.col("_n")).otherwise(0).cast("long").alias("inliers"),
+    )
+
+
+def _join_groups(left: DataFrame, right: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``by`` where nulls are equal."""
+    named = right.withColumnsRenamed({k: f"_by_{k}" for k in by})
+    on = [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by]
+    return left.join(named, on, how).drop(*(f"_by_{k}" for k in by))
 
 
 def triangles(points: DataFrame, radius: float, rc: tuple[str, str], key: str, by: list[str]) -> DataFrame:

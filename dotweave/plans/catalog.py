@@ -737,6 +737,28 @@ def triangles(spark, d):
     return found.select("p", "q", "s", F.round(F.col("sides")[0], 6).alias("shortest"), F.round(F.col("sides")[2], 6).alias("longest"))
 
 
+_TURNED = f"""{_DOTS}, turned AS (SELECT *, (1 + 0.01 * fov_num) * (cos(radians(5 * fov_num + 1)) * r - sin(radians(5 * fov_num + 1)) * c) + 3 * fov_num + 1 + (dot_id % 3 - 1) * 0.1 AS r_r,
+  (1 + 0.01 * fov_num) * (sin(radians(5 * fov_num + 1)) * r + cos(radians(5 * fov_num + 1)) * c) - 2 * fov_num - 1 + (dot_id % 7 - 3) * 0.05 AS r_c FROM dots)"""
+
+
+@_query(
+    f"""WITH {_TURNED}, s AS (SELECT fov_num, (covar_pop(r, r_r) + covar_pop(c, r_c)) / (var_pop(r) + var_pop(c)) AS p, (covar_pop(r, r_c) - covar_pop(c, r_r)) / (var_pop(r) + var_pop(c)) AS q,
+  avg(r) AS mr, avg(c) AS mc, avg(r_r) AS nr, avg(r_c) AS nc, count(*) AS inliers FROM turned WHERE dot_id % 5 >= 2 GROUP BY 1)
+SELECT fov_num, round(sqrt(p * p + q * q), 6) AS scale, round(degrees(atan2(q, p)), 6) AS degrees, round(nr - p * mr + q * mc, 6) AS dr, round(nc - q * mr - p * mc, 6) AS dc, inliers FROM s"""
+)
+def match_similarities(spark, d):
+    """Turned, scaled and moved tiles, their matches a little off, two of five of them wrong: the least-squares similarity of the right ones."""
+    f, k, r, c = (F.col(x) for x in ("fov_num", "dot_id", "r", "c"))
+    angle, scale, wrong = F.radians(5 * f + 1), 1 + 0.01 * f, k % 5 < 2
+    found = _dots(spark, d).select(
+        "fov_num", "dot_id", "r", "c",
+        (scale * (F.cos(angle) * r - F.sin(angle) * c) + 3 * f + 1 + (k % 3 - 1) * 0.1 + F.when(wrong, 40 + k % 37).otherwise(0)).alias("r_r"),
+        (scale * (F.sin(angle) * r + F.cos(angle) * c) - 2 * f - 1 + (k % 7 - 3) * 0.05 - F.when(wrong, 30 + k % 29).otherwise(0)).alias("r_c"),
+    )
+    fits = constellations.group_similarities(found, ["fov_num"], RC, 2.0, order=("dot_id",))
+    return fits.select("fov_num", *(F.round(x, 6).alias(x) for x in ("scale", "degrees", "dr", "dc")), "inliers")
+
+
 @_query("SELECT CAST(event_id % 6 AS INT) AS fov_num, count(*) FILTER (WHERE event_type = 'click') AS reference, count(*) FILTER (WHERE event_type <> 'click') AS others, min('r' || event_id || '_channel_click_fov_' || event_id % 6) FILTER (WHERE event_type = 'click') AS first_reference FROM events GROUP BY 1")
 def registration_groups(spark, d):
     e = F.col("event_id")

@@ -602,12 +602,23 @@ def test_constellations_find_a_rotation(spark):
     assert none["inliers"] == 0 and none["scale"] is None
 
 
-def test_robust_similarity_ignores_wrong_matches():
+def test_similarities_ignore_wrong_matches(spark):
     a, m = moved_points()
     b = a @ m.T + (3, 4)
     b[:12] += np.random.default_rng(1).uniform(20, 50, (12, 2))
-    got, t, hit = constellations.robust_similarity(a, b, 0.5)
-    assert np.allclose(got, m) and np.allclose(t, (3, 4)) and hit.sum() == 28
+    rows = [(None, *map(float, (*x, *y))) for x, y in zip(a, b)] + [(None, None, 1.0, 1.0, 1.0)]
+    rows += [(1, 5.0, 5.0, 6.0, 6.0)] * 4 + [(2, 0.0, 0.0, 1.0, 1.0), (2, 1.0, 0.0, 2.0, 1.0)]
+    found = spark.createDataFrame(rows, "fov_num int, r double, c double, r_r double, r_c double")
+    fits = {x["fov_num"]: x for x in constellations.group_similarities(found, ["fov_num"], RC, 0.5).collect()}
+    # a null group is one as well; the least squares over all right matches
+    x, y = a[12:] - a[12:].mean(axis=0), b[12:] - b[12:].mean(axis=0)
+    p, q = (x * y).sum() / (x * x).sum(), (x[:, 0] * y[:, 1] - x[:, 1] * y[:, 0]).sum() / (x * x).sum()
+    got = fits[None]
+    assert got["inliers"] == 28 and got["scale"] == pytest.approx(np.hypot(p, q)) and got["degrees"] == pytest.approx(np.degrees(np.arctan2(q, p)))
+    assert (got["dr"], got["dc"]) == pytest.approx((3, 4))
+    # matches all at one place, and two of them only: no similarity
+    assert all(fits[k]["inliers"] == 0 and fits[k]["scale"] is None for k in (1, 2))
+    assert constellations.group_similarities(found.limit(0), ["fov_num"], RC, 0.5).count() == 0
 
 
 def test_triangles_equal_brute_force(spark):
