@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -133,6 +135,60 @@ def pair_shifts(beads: DataFrame, rects: DataFrame, tolerance: float = 3, rc: tu
     return rows.unionByName(marks).groupBy("a", "b").applyInPandas(run, schema)
 
 
+def overlap_strips(images: DataFrame, rects: DataFrame) -> DataFrame:
+    """``a, b, side, shape, pixels``: what each tile's image (fov_num, shape, dtype, pixels) shows of each of its overlaps, as doubles.
+
+    The strip lies along the edges that ``a_row`` and ``a_column`` name for tile a, and along the opposite ones for b. Images are cut
+    where they are read: they meet their few overlaps as an array, and only strips go on. Tiles without pixels give none, nor do
+    empty boxes and unknown orders.
+    """
+    box = F.struct("a", "b", F.abs(F.col("r_br") - F.col("r_tl")).cast("int").alias("high"), F.abs(F.col("c_br") - F.col("c_tl")).cast("int").alias("wide"), "a_row", "a_column")
+    ends = [rects.select(F.col(s).alias("fov_num"), F.struct(F.lit(s).alias("side"), *(box.getField(x).alias(x) for x in ("a", "b", "high", "wide", "a_row", "a_column"))).alias("o")) for s in ("a", "b")]
+    cuts = ends[0].unionByName(ends[1]).groupBy("fov_num").agg(F.collect_list("o").alias("overlaps"))
+    far = {"a": ("top", "left"), "b": ("bottom", "right")}  # at which orders of tile a a side's strip lies at the far edge
+    known = ("top", "bottom"), ("left", "right")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            made = []
+            for img, overlaps in zip(rows.to_dict("records"), rows["overlaps"]):
+                whole = np.frombuffer(img["pixels"], img["dtype"]).reshape(tuple(img["shape"]))
+                for o in overlaps:
+                    order, size = (o["a_row"], o["a_column"]), (o["high"], o["wide"])
+                    if any(x not in k for x, k in zip(order, known)) or min(size) < 1:
+                        continue
+                    ends = [slice(n - min(k, n), n) if x == f else slice(0, k) for n, k, x, f in zip(whole.shape, size, order, far[o["side"]])]
+                    strip = whole[tuple(ends)].astype(np.float64)
+                    made.append((o["a"], o["b"], o["side"], list(strip.shape), strip.tobytes()))
+            yield pd.DataFrame(made, columns=["a", "b", "side", "shape", "pixels"])
+
+    kind = lambda c: rects.schema[c].dataType.simpleString()
+    whole = images.filter(F.col("pixels").isNotNull()).select("fov_num", "shape", "dtype", "pixels")
+    return whole.join(cuts, "fov_num").mapInPandas(run, f"a {kind('a')}, b {kind('b')}, side string, shape array<int>, pixels binary")
+
+
+def image_pair_shifts(images: DataFrame, rects: DataFrame) -> DataFrame:
+    """a, b, dr, dc, err of each overlap, from the tiles' images: how far b's strip must move onto a's, by phase correlation.
+
+    ``err`` is the share of both strips that the shift leaves unexplained (0: equal strips). A side without an image, or one whose
+    strip has another shape, is a failed shift without ``err``; of several images of a tile the smallest in order of bytes counts.
+    """
+    marks = rects.select("a", "b", F.lit(None).cast("string").alias("side"), F.lit(None).cast("array<int>").alias("shape"), F.lit(None).cast("binary").alias("pixels"))
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        dr, dc, err = FAILED, FAILED, None
+        one, two = (sorted(zip(g["pixels"], g["shape"]), key=lambda x: x[0]) for g in (group[group["side"] == s] for s in ("a", "b")))
+        if one and two and tuple(one[0][1]) == tuple(two[0][1]):
+            x, y = (np.frombuffer(v[0][0]).reshape(tuple(v[0][1])) for v in (one, two))
+            dr, dc = map(float, A.phase_shift(x, y))
+            power, like = (x * x).sum() * (y * y).sum(), (x * np.roll(y, (int(dr), int(dc)), (0, 1))).sum()
+            err = float(np.sqrt(max(1 - like * like / power, 0))) if power else None
+        return pd.DataFrame([(*key, dr, dc, err)], columns=["a", "b", "dr", "dc", "err"]).astype({"err": "float64"})
+
+    schema = f"a {rects.schema['a'].dataType.simpleString()}, b {rects.schema['b'].dataType.simpleString()}, dr double, dc double, err double"
+    return overlap_strips(images, rects).unionByName(marks).groupBy("a", "b").applyInPandas(run, schema)
+
+
 #: Tiles along the side of a block of the first level, and how many blocks of a level make one of the next, along a side.
 BLOCK, GROWTH = 8, 4
 _PART = "kind int, i bigint, j bigint, w double, xr double, xc double"

@@ -834,6 +834,24 @@ def tile_pair_shifts(spark, d):
     return registration.pair_shifts(_dots(spark, d), _rects(spark, d))
 
 
+@_query(
+    f"""WITH t AS (SELECT CAST(range AS INT) AS f, range * 3 % 5 - 2 AS pr, range * 3 % 7 - 3 AS pc FROM range(0, (SELECT ((max(user_id) * 16 + 16 - 64) // 40 + 1) * 2 FROM events)))
+SELECT x.f AS a, y.f AS b, CAST(CASE WHEN x.f % 13 = 5 OR y.f % 13 = 5 THEN 1000 ELSE x.pr - y.pr END AS DOUBLE) AS dr, CAST(CASE WHEN x.f % 13 = 5 OR y.f % 13 = 5 THEN 1000 ELSE x.pc - y.pc END AS DOUBLE) AS dc
+FROM t x JOIN t y ON y.f = x.f + 2 OR (y.f = x.f + 1 AND x.f % 2 = 0)"""
+)
+def image_pair_shifts(spark, d):
+    """Shifts of neighbouring tiles from their images: windows of 64 by 80 pixels, each moved a little, onto a canvas of all events; some have no image."""
+    events = _table(spark, d, "events").select((F.col("user_id") * 16 + F.col("event_id") % 16).cast("int").alias("y"), F.pmod(F.floor("value"), F.lit(128)).cast("int").alias("x"))
+    count = F.broadcast(_table(spark, d, "events").agg((F.floor((F.max("user_id") * 16 - 48) / 40) + 1).cast("int").alias("down")))
+    f, row = F.col("fov_num"), F.floor(F.col("y") / 40).cast("int")
+    seen = events.crossJoin(count).withColumn("i", F.explode(F.sequence(row - 2, row + 1))).filter("i >= 0 AND i < down").withColumn("j", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("fov_num", F.col("i") * 2 + F.col("j"))
+    moved = seen.select("fov_num", (F.col("y") - F.col("i") * 40 + f * 3 % 5 - 2).cast("int").alias("r"), (F.col("x") - F.col("j") * 48 + f * 3 % 7 - 3).cast("int").alias("c"))
+    pixels = moved.filter("r >= 0 AND r < 64 AND c >= 0 AND c < 80 AND fov_num % 13 <> 5").groupBy("fov_num", "r", "c").agg(F.count(F.lit(1)).alias("n"))
+    tiles = count.select(F.explode(F.sequence(F.lit(0), F.col("down") * 2 - 1)).alias("fov_num")).select("fov_num", (F.floor(f / 2) * 40.0).alias("r"), (f % 2 * 48.0).alias("c"))
+    rects = geometry.overlaps(tiles, geometry.adjacent(tiles, 50), "top-left", 80, 64)
+    return registration.image_pair_shifts(images.from_sparse(pixels, ["fov_num"], (64, 80)), rects).select("a", "b", "dr", "dc")
+
+
 def _planted(f):
     """Where a tile lies off its place."""
     return (f * 37 % 23 - 11) * 0.45, (f * 53 % 19 - 9) * 0.6

@@ -621,6 +621,27 @@ def test_similarities_ignore_wrong_matches(spark):
     assert constellations.group_similarities(found.limit(0), ["fov_num"], RC, 0.5).count() == 0
 
 
+def test_image_pair_shifts_meet_the_strips_of_every_order(spark):
+    rng = np.random.default_rng(4)
+    canvas = rng.uniform(0, 1, (80, 90))
+    # tile 0 above left, 1 above right, 2 below left, 3 below right; 30 x 40 pixels shared; 4 has no image
+    corners = {0: (0, 0), 1: (0, 40), 2: (30, 0), 3: (30, 40)}
+    cut = {k: canvas[r : r + 50, c : c + 50] for k, (r, c) in corners.items()}
+    images_of = [(k, [50, 50], "float64", bytearray(x.tobytes())) for k, x in cut.items()] + [(4, [50, 50], "float64", None)]
+    df = spark.createDataFrame(images_of, "fov_num int, shape array<int>, dtype string, pixels binary")
+    rows = [(0, 3, "top", "left"), (3, 0, "bottom", "right"), (1, 2, "top", "right"), (2, 1, "bottom", "left"), (0, 4, "top", "left"), (5, 6, "top", "left"), (1, 3, "above", "left")]
+    rects = spark.createDataFrame([(a, b, 30.0, 50.0, 40.0, 50.0, r, c) for a, b, r, c in rows], "a int, b int, r_tl double, r_br double, c_tl double, c_br double, a_row string, a_column string")
+    got = {(x["a"], x["b"]): (x["dr"], x["dc"], x["err"]) for x in registration.image_pair_shifts(df, rects).collect()}
+    assert len(got) == len(rows)
+    for pair in [(0, 3), (3, 0), (1, 2), (2, 1)]:
+        assert got[pair][:2] == (0, 0) and got[pair][2] < 1e-6
+    for pair in [(0, 4), (5, 6), (1, 3)]:
+        assert got[pair] == (1000, 1000, None)
+    strips = {(x["a"], x["side"]): np.frombuffer(x["pixels"]).reshape(x["shape"]) for x in registration.overlap_strips(df, rects.filter("a = 1 AND b = 2")).collect()}
+    assert (strips[1, "a"] == canvas[30:50, 40:50]).all() and (strips[1, "b"] == canvas[30:50, 40:50]).all()
+    assert registration.image_pair_shifts(df.limit(0), rects).filter("dr = 1000").count() == len(rows)
+
+
 def test_triangles_equal_brute_force(spark):
     import itertools
 
