@@ -919,15 +919,52 @@ def pair_density_offset(spark, d):
     return found.withColumns({x: F.round(x).cast("int") for x in ("dr", "dc")})
 
 
-@_query(f"WITH {_BOOK}, n AS (SELECT gene, row_number() OVER (ORDER BY code_idx) - 1 AS place FROM book) SELECT event_id AS barcode_reference_dot_id, gene, gene AS bayes_gene, CAST(1 AS DOUBLE) AS probability FROM events JOIN n ON event_id % (SELECT count(*) FROM book) = place")
+def _bayes_sql(width: float) -> str:
+    """Histograms, densities of a kernel of deviation ``width``, and the posterior of every code of the book, as tables."""
+    sixteen = lambda form, by=" + ": by.join(form.format(i=i) for i in range(16))
+    reach = width * 2048 * 5**0.5
+    weight = sum(1 - (d / reach) ** 2 for d in range(-int(reach), int(reach) + 1)) / 2048
+    return f"""WITH {_BOOK}, n AS (SELECT gene, code_bits, row_number() OVER (ORDER BY code_idx) - 1 AS place FROM book),
+raw AS (SELECT event_id AS ref, gene, code_bits, {sixteen("((code_bits >> {i}) & 1) * CAST(0.8 AS DOUBLE) + (event_id * (7919 + 1047 * {i}) + 31 * {i}) % 1000 / CAST(900 AS DOUBLE) AS v{i}", ", ")} FROM events JOIN n ON event_id % (SELECT count(*) FROM book) = place),
+sized AS (SELECT *, sqrt({sixteen("v{i} * v{i}")}) AS norm FROM raw),
+bits AS (SELECT ref, bit, (code_bits >> bit) & 1 AS own, x FROM ({sixteen("SELECT ref, code_bits, {i} AS bit, v{i} / norm AS x FROM sized", " UNION ALL ")})),
+counts AS (SELECT bit, state, least(CAST(floor((x + 1) * 2048) AS INT), 4095) AS cell, count(*) AS n FROM (SELECT bit, x, 'all' AS state FROM bits UNION ALL SELECT bit, x, CASE WHEN own = 1 THEN 'on' ELSE 'off' END FROM bits) GROUP BY ALL),
+totals AS (SELECT bit, state, sum(n) AS n FROM counts GROUP BY ALL),
+dens AS (SELECT bit, state, cell + d AS i, sum(c.n * (1 - d * d / CAST({reach * reach!r} AS DOUBLE))) / (CAST({weight!r} AS DOUBLE) * any_value(t.n)) AS y FROM counts c JOIN totals t USING (bit, state), range(-{int(reach)}, {int(reach)} + 1) v(d) GROUP BY ALL),
+ends AS (SELECT bit, state, min(i) AS lo, max(i) AS hi FROM dens GROUP BY ALL),
+placed AS (SELECT *, (x + 1) * 2048 - 0.5 AS pos, CAST(floor((x + 1) * 2048 - 0.5) AS INT) AS i FROM bits),
+looked AS (SELECT ref, bit, state, ln(CASE WHEN pos BETWEEN lo AND hi THEN greatest(coalesce(p.y, 0) * (1 - (pos - b.i)) + coalesce(q.y, 0) * (pos - b.i), 1e-300::DOUBLE) ELSE 1e-6::DOUBLE END) AS l
+  FROM placed b CROSS JOIN (VALUES ('all'), ('on'), ('off')) s(state) LEFT JOIN ends USING (bit, state) LEFT JOIN dens p ON p.bit = b.bit AND p.state = s.state AND p.i = b.i LEFT JOIN dens q ON q.bit = b.bit AND q.state = s.state AND q.i = b.i + 1),
+sides AS (SELECT ref, bit, max(l) FILTER (WHERE state = 'on') - max(l) FILTER (WHERE state = 'off') AS more, max(l) FILTER (WHERE state = 'off') - max(l) FILTER (WHERE state = 'all') + ln(0.5::DOUBLE) AS off FROM looked GROUP BY 1, 2),
+wide AS (SELECT ref, sum(off) AS off, {sixteen("max(more) FILTER (WHERE bit = {i}) AS m{i}", ", ")} FROM sides GROUP BY 1),
+scores AS MATERIALIZED (SELECT ref, gene, {sixteen("CASE WHEN code_bits & (1 << {i}) > 0 THEN m{i} ELSE 0 END")} AS l FROM wide, book),
+best AS (SELECT ref, max(l) AS top, arg_max(gene, l) AS bayes_gene FROM scores GROUP BY 1),
+shares AS (SELECT ref, any_value(bayes_gene) AS bayes_gene, 1 / sum(exp(l - top)) AS probability FROM scores JOIN best USING (ref) GROUP BY 1)
+SELECT ref AS barcode_reference_dot_id, gene, bayes_gene, round(probability, 6) AS probability FROM shares JOIN raw USING (ref) WHERE probability >= 0.5"""
+
+
+def _lit_codes(spark, d) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """Events as spots of every code of the book in turn, dimmer and brighter than by their bits; and that book, a row a kind of part."""
+    book = sorted(map(tuple, _codebook(spark, d).select("code_idx", "gene", "code_bits").collect()))
+    numbered = spark.createDataFrame([(k, g, b) for k, (_, g, b) in enumerate(book)], "place long, gene string, code_bits long")
+    spots = _table(spark, d, "events").withColumn("place", F.col("event_id") % len(book)).join(numbered, "place")
+    bright = lambda i: F.getbit("code_bits", i) * F.lit(0.8) + (F.col("event_id") * (7919 + 1047 * i) + 31 * i) % 1000 / 900.0
+    lit = F.array(*(bright(F.lit(i).cast("int")) for i in range(16)))
+    rows = spots.select(F.col("event_id").alias("barcode_reference_dot_id"), "code_bits", F.lit(0.0).alias("hamming_distance"), "gene", lit.alias("bit_intensity"))
+    return rows, [(g, b) for _, g, b in book]
+
+
+@_query(_bayes_sql(0.03))
 def bayes_calls(spark, d):
-    """Barcode calls by kernel densities of planted intensities, which tell every code for sure."""
-    book = _codebook(spark, d)
-    # a row a kind of part
-    numbered = book.withColumn("place", F.row_number().over(Window.orderBy("code_idx")) - 1)
-    planted = _table(spark, d, "events").withColumn("place", F.col("event_id") % book.count()).join(numbered, "place")
-    bright = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.call_function("shiftright", F.col("code_bits"), i).bitwiseAND(F.lit(1).cast("long")) * 0.8 + F.pmod(F.xxhash64("event_id", i), F.lit(100)) / 250.0)
-    rows = planted.select(F.col("event_id").alias("barcode_reference_dot_id"), "code_bits", F.lit(0.0).alias("hamming_distance"), "gene", bright.alias("bit_intensity"))
-    model = bayes.fit_bayes(rows, 16, 20_000)
-    called = bayes.call_bayes(rows, model, [(r["gene"], r["code_bits"]) for r in book.select("gene", "code_bits").collect()], 16)
+    """Barcode calls of spots whose bits overlap in intensity, by kernel densities of a given width."""
+    rows, book = _lit_codes(spark, d)
+    called = bayes.call_bayes(rows, bayes.fit_bayes(rows, 16, 0.03), book, 16)
+    return called.select("barcode_reference_dot_id", "gene", "bayes_gene", F.round("probability", 6).alias("probability"))
+
+
+@_query()
+def bayes_diffusion_calls(spark, d):
+    """The same calls by densities whose widths the diffusion estimate finds for each bit and state."""
+    rows, book = _lit_codes(spark, d)
+    called = bayes.call_bayes(rows, bayes.fit_bayes(rows, 16), book, 16)
     return called.select("barcode_reference_dot_id", "gene", "bayes_gene", F.round("probability", 6).alias("probability"))

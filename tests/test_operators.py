@@ -517,10 +517,40 @@ def test_bayes_calls_planted_codes(spark):
     df = spark.createDataFrame(rows, "barcode_reference_dot_id long, code_bits long, hamming_distance double, bit_intensity array<double>, gene string")
     called = bayes.call_bayes(df, bayes.fit_bayes(df, 4), book, 4)
     assert called.filter("gene = bayes_gene and probability >= 0.5").count() > 570
-    x = rng.normal(0, 1, 4000)
-    grid = np.linspace(-2, 2, 50)
-    assert np.allclose(bayes.Density(x)(grid), np.exp(-grid**2 / 2) / np.sqrt(2 * np.pi), atol=0.05)
-    assert bayes.Density(np.array([]))(np.zeros(2)).tolist() == [1e-6] * 2
+    # rows without whole intensities are neither fitted nor called; an empty table gives no row
+    broken = spark.createDataFrame([(1000, 3, 0.0, None, "a"), (1001, 3, 0.0, [1.0, None, 0.0, 0.0], "a"), (1002, 3, 0.0, [1.0], "a"), (1003, None, 0.0, [float("nan")] * 4, "a")], df.schema)
+    assert bayes.call_bayes(df.union(broken), bayes.fit_bayes(df.union(broken), 4), book, 4).count() == called.count()
+    assert bayes.call_bayes(df.limit(0), bayes.fit_bayes(df.limit(0), 4), book, 4).count() == 0
+    assert bayes.look_up(None, np.zeros(2)).tolist() == [1e-6] * 2
+
+
+def test_densities_by_diffusion():
+    rng = np.random.default_rng(0)
+    one = rng.normal(0.1, 0.05, 4000)
+    two = np.concatenate([rng.normal(-0.6, 0.02, 4000), rng.normal(0.6, 0.02, 4000)])
+    cells = lambda x: np.bincount(np.floor((x + 1) * bayes.CELLS / 2).astype(int), minlength=bayes.CELLS)
+    for x, sigma, n in [(one, 0.05, 4000), (two, 0.02, 4000)]:
+        counts = cells(x)
+        h = bayes.bandwidth(counts)
+        # about the best width for a normal peak of so many rows, which the normal-reference rule misses by far for two peaks
+        assert h * 2 / bayes.CELLS == pytest.approx(1.06 * sigma * n**-0.2, rel=0.25)
+        # a fixed point, by cosine sums written out
+        k, m = np.arange(1, bayes.CELLS)[:, None], (np.arange(bayes.CELLS)[None] + 0.5) / bayes.CELLS
+        a = 2 * (counts / counts.sum() * np.cos(np.pi * k * m)).sum(axis=1)
+        t, total = (h / bayes.CELLS) ** 2, counts.sum()
+        k = k[:, 0].astype(float)
+        norm = lambda s, at: 0.5 * np.pi ** (2 * s) * np.sum(k ** (2 * s) * a**2 * np.exp(-((k * np.pi) ** 2) * at))
+        f = norm(7, t)
+        for s in (6, 5, 4, 3, 2):
+            odd = np.prod([2 * j - 1 for j in range(1, s + 1)])
+            f = norm(s, (2 * (1 + 2.0 ** -(s + 0.5)) / 3 * odd / np.sqrt(2 * np.pi) / (total * f)) ** (2 / (3 + 2 * s)))
+        assert (2 * total * np.sqrt(np.pi) * f) ** -0.4 == pytest.approx(t, rel=1e-6)
+        # every kernel summed on its own
+        y, at = bayes.density(counts, h), (np.arange(bayes.CELLS) - bayes.CELLS / 2 + 0.5) / (bayes.CELLS / 2)
+        reach = h * 2 / bayes.CELLS * np.sqrt(5)
+        want = [np.maximum(0.75 / reach * (1 - ((z - x) / reach) ** 2), 0).mean() for z in at[::64]]
+        assert np.allclose(y[1:-1:64], want, atol=0.02 * max(want)) and np.allclose(bayes.look_up(y, at[::64])[np.array(want) > 0.1], y[1:-1:64][np.array(want) > 0.1])
+    assert bayes.bandwidth(np.bincount([7] * 5, minlength=bayes.CELLS)) == 1
 
 
 GOOD = {
