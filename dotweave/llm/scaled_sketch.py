@@ -139,48 +139,96 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, kinds)], names)
 
 
+def _tie(packed: bytes) -> int:
+    """Order of rows of one id: 56 bits of a digest of the compressed text."""
+    return int.from_bytes(hashlib.blake2b(packed, digest_size=7).digest())
+
+
+def _packed(text: str | None) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(text.encode()) if text else b""
+
+
+class Buckets:
+    """The document order in buckets: ids descending, rows of one id by :func:`_tie`.
+
+    ``edges``: ascending ids that end a bucket; ``hot``: ids of more rows than two buckets should have (nulls count as one id),
+    which stand alone and are split by ties into so many parts.
+    """
+
+    def __init__(self, edges: np.ndarray, hot: dict[int, int]):
+        self.edges, self.hot = edges, hot
+
+    def __call__(self, k: np.ndarray, tie: np.ndarray) -> np.ndarray:
+        bucket = (len(self.edges) - np.searchsorted(self.edges, k, "left")) << 32
+        for key, parts in self.hot.items():
+            own = k == key
+            if own.any():
+                bucket[own] += (tie[own] >> 24) * parts >> 32
+        return bucket
+
+
+def buckets(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> Buckets | None:
+    """Of about ``bucket_rows`` rows; none for an empty table. ``docs``: k. Only an id that ends several buckets can be hot, so ids are counted for such alone."""
+    count = docs.count()
+    if not count:
+        return None
+    cuts = min(max(1, count // bucket_rows), MOST_BUCKETS)
+    marks = docs.agg(F.percentile_approx("k", [i / cuts for i in range(1, cuts)] or [0.5], max(10_000, 4 * cuts)).alias("q")).first()["q"]
+    edges, often = np.unique(np.array(marks, np.int64), return_counts=True)
+    hot = {}
+    if (often > 1).any():
+        for r in docs.filter(F.col("k").isin(edges[often > 1].tolist())).groupBy("k").agg(F.count("*").alias("n")).collect():
+            if r["n"] * cuts > 2 * count:
+                hot[r["k"]] = -(-r["n"] * cuts // count)
+    alone = [e for k in hot for e in (k - 1, k) if e >= _LOWEST]
+    return Buckets(np.unique(np.concatenate([edges, np.array(alone, np.int64)])), hot)
+
+
 def next_likeness(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Sketches of each document (doc_id, text), of its edited text, and likenesses to that and to the next document.
 
-    The order is cut into buckets of about ``bucket_rows`` ids. A row goes, compressed, to its bucket; the first
+    The order is cut into buckets of about ``bucket_rows`` rows. A row goes, compressed, to its bucket; the first
     row of a bucket goes also, as a tail, to the bucket before, so every row meets its next one in one shuffle
-    and no task sees more than its buckets.
+    and no task sees more than its buckets. Null ids come last; rows of one id, nulls as well, follow each other by a digest
+    of their texts, and where they are many, buckets part them by it (equal texts of one id stay in one).
     """
     key = F.coalesce(F.col("doc_id"), F.lit(_LOWEST))
     ids = docs.select(key.alias("k"))
-    count = ids.count()
-    if not count:
+    place = buckets(ids, bucket_rows)
+    if not place:
         return docs.sparkSession.createDataFrame([], _RESULT)
-    cuts = min(max(1, count // bucket_rows), MOST_BUCKETS)
-    marks = ids.agg(F.percentile_approx("k", [i / cuts for i in range(1, cuts)] or [0.5], max(10_000, 4 * cuts)).alias("q")).first()["q"]
-    edges = np.unique(np.array(marks, np.int64))
-
-    def place(k: np.ndarray) -> np.ndarray:
-        """Buckets ascend as ids descend."""
-        return len(edges) - np.searchsorted(edges, k, "left")
-
-    spot = lambda batches: (pa.RecordBatch.from_arrays([pa.array(place(np.asarray(b.column("k")))), b.column("k")], ["bucket", "k"]) for b in batches)
-    heads = {r["bucket"]: r["k"] for r in ids.mapInArrow(spot, "bucket long, k long").groupBy("bucket").agg(F.max("k").alias("k")).collect()}
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
+    hot = list(place.hot)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k = np.asarray(b.column("k"))
+            ties = np.array([_tie(_packed(t)) for t in b.column("text").to_pylist()] if "text" in b.schema.names else np.zeros(len(k)), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(place(k, ties)), pa.array(k), pa.array(ties)], ["bucket", "k", "tie"])
+
+    # the first row of each bucket: the largest id, or the smallest tie of a part of a hot one, for which alone texts are read
+    heads: dict[int, tuple[int, int]] = {}
+    for some in [ids.filter(~F.col("k").isin(hot)), rows.filter(F.col("k").isin(hot)).select("k", "text")] if hot else [ids]:
+        found = some.mapInArrow(first, "bucket long, k long, tie long").groupBy("bucket").agg(F.max("k").alias("k"), F.min("tie").alias("tie"))
+        heads |= {r["bucket"]: (r["k"], r["tie"]) for r in found.collect()}
     filled = sorted(heads)
     before = {b: filled[i - 1] for i, b in enumerate(filled)}  # the first follows the last
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             k = np.asarray(batch.column("k"))
-            bucket = place(k)
-            packed = [pack(t.encode()) if t else b"" for t in batch.column("text").to_pylist()]
-            order = np.array([int.from_bytes(hashlib.blake2b(p, digest_size=7).digest()) for p in packed], np.int64)
-            copy = np.flatnonzero(k == np.array([heads[b] for b in bucket], np.int64))
-            at = np.concatenate([np.arange(len(k)), copy])
+            packed = [_packed(t) for t in batch.column("text").to_pylist()]
+            order = np.array([_tie(p) for p in packed], np.int64)
+            bucket = place(k, order)
+            copy = np.flatnonzero([heads[b][0] == i and (i not in place.hot or heads[b][1] == o) for b, i, o in zip(bucket.tolist(), k.tolist(), order.tolist())])
+            at = np.concatenate([np.arange(len(k)), copy]).astype(np.int64)
             goal = np.concatenate([bucket, np.array([before[b] for b in bucket[copy]], np.int64)])
             tail = np.repeat([False, True], [len(k), len(copy)])
             whole = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(k), pa.array(order)], ["doc_id", "packed", "k", "o"]).take(pa.array(at))
             yield pa.RecordBatch.from_arrays([pa.array(goal), pa.array(tail), *whole.columns], ["bucket", "tail", "doc_id", "packed", "k", "o"])
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("k"))
     dealt = rows.mapInArrow(deal, "bucket long, tail boolean, doc_id long, packed binary, k long, o long").repartition("bucket")
     return dealt.sortWithinPartitions("bucket", "tail", F.desc("k"), "o").mapInArrow(_pairs, _RESULT)
 

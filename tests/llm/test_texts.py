@@ -247,6 +247,42 @@ def test_op3_of_awkward_rows(spark, docs, labels, folder, none):
     assert quality_cnn.op3_quality_cnn(spark, folder(documents=none, labels=labels.limit(0))).count() == 0
 
 
+def forward(model, text: str) -> float:
+    """Score of one text, a window at a time, as the layers are defined."""
+    raw, pad = text.encode() or b"\0", quality_cnn.PAD
+    run, data = quality_cnn.RUN, bytes(pad) + raw + bytes(pad)
+    flags = np.zeros(len(data))
+    for i in range(pad, pad + len(raw)):
+        flags[i] = data[i] != 0 and any(data[i : i + run] == data[i - lag : i - lag + run] for lag in range(2, quality_cnn.LAGS + 1))
+    pooled = []
+    for low in range(0, len(raw), quality_cnn.CHUNK):
+        best = np.zeros(quality_cnn.FILTERS)
+        for w in range(low, min(low + quality_cnn.CHUNK, len(raw)), quality_cnn.STEP):
+            seen = range(pad + w, pad + w + quality_cnn.WIDTH)
+            x = np.concatenate([[*model.embed[data[i]], flags[i]] for i in seen]).astype(float)
+            best = np.maximum(best, x @ model.conv + model.conv_bias)
+        pooled.append(best)
+    x = np.concatenate([np.max(pooled, axis=0), np.mean(pooled, axis=0)])
+    z = float((np.maximum(x @ model.hidden + model.hidden_bias, 0) @ model.out + model.out_bias)[0])
+    odds = min(max(z, -np.log(1e9 - 1)), np.log(1e9 - 1)) + model.shift
+    return 1 / (1 + np.exp(-odds))
+
+
+def test_op3_against_a_plain_forward_pass(spark, folder):
+    whole = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    short = whole.filter("length(text) < 4000")
+    made = [(10**9 + i, t, None, None, None) for i, t in enumerate(["", "x", "ab" * 200, "NUL \0\0 inside", "é" * 300, "a line again\n" * 60])]
+    docs = short.unionByName(spark.createDataFrame(made, whole.schema))
+    where = folder(documents=docs, labels=labels)
+    model = quality_cnn.fit_on(spark.read.parquet(f"{where}/documents.parquet"), labels, quality_cnn.held_out())
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = quality_cnn.op3_quality_cnn(spark, where).collect()
+    assert len(got) == docs.count() > 100
+    for r in got:
+        assert r["score"] == pytest.approx(forward(model, texts[r["doc_id"]]), abs=2e-4)
+
+
 def test_logistic_regression():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 2))
@@ -294,6 +330,27 @@ def test_next_likeness_against_brute_force(spark, rows):
         assert got[k]["near_edited"] == scaled_sketch.likeness(own, changed) and got[k]["near_next"] == scaled_sketch.likeness(own, other)
 
 
+def test_many_rows_of_one_id_are_parted(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, made_text(rng, words, 30)) for i in range(300)] + [(None, None), (None, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    place = scaled_sketch.buckets(docs.selectExpr(f"coalesce(doc_id, {scaled_sketch._LOWEST}) AS k"), 10)
+    assert set(place.hot) == {7, scaled_sketch._LOWEST} and min(place.hot.values()) >= 10
+    lowest = lambda k: scaled_sketch._LOWEST if k is None else k
+    order = sorted(((-lowest(k), scaled_sketch._tie(scaled_sketch._packed(t)), k, t or "") for k, t in rows), key=lambda x: x[:2])
+    at = place(np.array([lowest(x[2]) for x in order]), np.array([x[1] for x in order]))
+    assert (np.diff(at) >= 0).all() and np.unique(at, return_counts=True)[1].max() <= 40
+    want = []
+    for (_, _, k, text), (*_, after) in zip(order, order[1:] + order[:1]):
+        new = scaled_sketch.edited(text, after)
+        own, other = (scaled_sketch.sketch(t.encode()) for t in (text, after))
+        want.append((k, len(text), hashlib.sha256(new.encode()).hexdigest(), scaled_sketch.likeness(own, other)))
+    for size in (10, 4000):
+        got = [(r["doc_id"], r["n_chars"], r["edited_sha256"], r["near_next"]) for r in scaled_sketch.next_likeness(docs, size).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_sketches_of_awkward_rows(docs, none, spark):
     rows = scaled_sketch.next_likeness(docs, 2).collect()
     assert len(rows) == docs.count() and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
