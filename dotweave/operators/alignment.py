@@ -1,12 +1,10 @@
-"""Aligning point clouds: the commonest offset of two sets, and a search for scale, angle and offset."""
+"""Aligning point clouds: the commonest offset of two sets, transforms, centres."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -114,103 +112,6 @@ def transform_columns(r, c, scale: float, degrees: float, centre: tuple[float, f
     )
 
 
-def broad_score(target: np.ndarray, moved: np.ndarray, radius: float, bins: float) -> tuple[float, np.ndarray]:
-    """Height of the fullest bin among the offsets of all pairs within ``radius``, and that bin's middle."""
-    d = (target[:, None] - moved[None]).reshape(-1, 2)
-    d = d[(np.abs(d) <= radius).all(axis=1)]
-    if not len(d):
-        return 0.0, np.zeros(2)
-    cell = np.floor(d / bins).astype(np.int64)
-    found, n = np.unique(cell, axis=0, return_counts=True)
-    best = found[n.argmax()]
-    return float(n.max()), (best + 0.5) * bins
-
-
-def narrow_score(target: np.ndarray, moved: np.ndarray, radius: float, near: float) -> tuple[float, np.ndarray]:
-    """How much closer than by chance the offsets within ``radius`` cluster (Ripley's K over the expected area, times n), and their mode."""
-    d = (target[:, None] - moved[None]).reshape(-1, 2)
-    d = d[(np.abs(d) <= radius).all(axis=1)]
-    n = len(d)
-    if n < 2:
-        return 0.0, np.zeros(2)
-    order = np.argsort(d[:, 0])
-    d = d[order]
-    pairs, degree = 0, np.zeros(n)
-    for i in range(n):
-        to = np.searchsorted(d[:, 0], d[i, 0] + near, "right")
-        hit = ((d[i + 1 : to] - d[i]) ** 2).sum(axis=1) <= near * near
-        pairs += int(hit.sum())
-        degree[i] += hit.sum()
-        degree[i + 1 : to] += hit
-    k = (2 * radius) ** 2 * 2 * pairs / (n * (n - 1))
-    return float(k / (np.pi * near * near) * n), d[degree.argmax()]
-
-
-def next_range(at: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, bool]:
-    """The next sweep of a parameter, and whether this one found a peak: two steps to both sides of it; recentred
-    if the peak is the first value; twice as wide with three times the values if there is none."""
-    step = at[1] - at[0] if len(at) > 1 else 1.0
-    if scores.sum() <= 0:
-        width = at[-1] - at[0]
-        return np.linspace(at[0] - width / 2, at[-1] + width / 2, len(at) * 3), False
-    k = int(scores.argmax())
-    if k == 0:
-        half = (at[-1] - at[0]) / 2
-        return np.linspace(at[0] - half, at[0] + half, len(at)), False
-    return np.linspace(at[k] - 2 * step, at[k] + 2 * step, len(at)), True
-
-
-def sweep(spark: SparkSession, values: np.ndarray, score: Callable[[float], tuple[float, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Score each value of a parameter in its own task; the points travel in the closure of ``score``."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            made = [score(v) for v in rows["v"]]
-            yield pd.DataFrame({"v": rows["v"], "s": [float(m[0]) for m in made], "dr": [float(m[1][0]) for m in made], "dc": [float(m[1][1]) for m in made]})
-
-    grid = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(min(len(values), 64), "v")
-    got = grid.mapInPandas(run, "v double, s double, dr double, dc double").toPandas().sort_values("v")
-    return got["s"].to_numpy(), got[["dr", "dc"]].to_numpy()
-
-
-def fit_affine(
-    spark: SparkSession, target: np.ndarray, source: np.ndarray, scales: np.ndarray, degrees: np.ndarray, rounds: int = 4, radius: float = 300, bins: float = 10, near: float = 3
-) -> dict:
-    """Scale, angle and offset that bring ``source`` onto ``target`` (beads, some thousands).
-
-    Sweeps of scale and angle alternate, first by histogram peaks, then by clusteredness; the offset is the
-    mode of the pair offsets under the best of both.
-    """
-    centre = (source.min(axis=0) + source.max(axis=0)) / 2
-    best = {"scale": float(scales[len(scales) // 2]), "degrees": float(degrees[len(degrees) // 2])}
-    ranges = {"scale": scales, "degrees": degrees}
-    moved = lambda scale, angle: np.column_stack(transform_columns(source[:, 0], source[:, 1], scale, angle, tuple(centre), (0.0, 0.0)))
-    # both sets are brought together by the middles of their boxes before offsets are measured
-    middle = lambda x: (x.min(axis=0) + x.max(axis=0)) / 2
-    offset = rest = np.zeros(2)  # rest: the offset less what brings the middles together
-    for turn in range(rounds):
-        for name in ("scale", "degrees"):
-
-            def score(v: float, name=name, narrow=turn == rounds - 1, now=dict(best), rest=rest):
-                now = now | {name: v}
-                x = moved(now["scale"], now["degrees"])
-                shift = middle(target) - middle(x) + (rest if narrow else 0)
-                s, at = narrow_score(target, x + shift, bins * 2, near) if narrow else broad_score(target, x + shift, radius, bins)
-                return s, at + shift
-
-            scores, offsets = sweep(spark, ranges[name], score)
-            k = int(scores.argmax())
-            best[name], offset = float(ranges[name][k]), offsets[k]
-            rest = offset - (middle(target) - middle(moved(best["scale"], best["degrees"])))
-            ranges[name], _ = next_range(ranges[name], scores)
-    x = moved(best["scale"], best["degrees"])
-    d = (target[:, None] - (x + offset)[None]).reshape(-1, 2)
-    d = d[(np.abs(d) <= bins).all(axis=1)]
-    if len(d):
-        offset = offset + [trimmed_median(d[:, 0]), trimmed_median(d[:, 1])]
-    return best | {"centre": tuple(map(float, centre)), "offset": tuple(map(float, offset))}
-
-
 def apply_affine(df: DataFrame, fit: dict, rc: tuple[str, str], out: tuple[str, str] = ("r_transformed", "c_transformed")) -> DataFrame:
     r, c = transform_columns(F.col(rc[0]), F.col(rc[1]), fit["scale"], fit["degrees"], fit["centre"], fit["offset"])
     return df.withColumns({out[0]: r, out[1]: c})

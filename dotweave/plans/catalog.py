@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from ..functions import codes
 from ..functions.lineage import shared_dir
-from ..operators import alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, images, quality, registration, selection, spatial
+from ..operators import affine, alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, images, quality, registration, selection, spatial
 from ..sources import chunks
 
 RC = ("r", "c")
@@ -919,6 +919,38 @@ def pair_density_offset(spark, d):
     return found.withColumns({x: F.round(x).cast("int") for x in ("dr", "dc")})
 
 
+@_query(
+    f"""WITH {_DOTS}, g AS (SELECT gene, count(*) AS n, (max(r) - min(r)) * (max(c) - min(c)) AS area FROM dots GROUP BY 1),
+p AS (SELECT x.gene, count(*) AS met FROM dots x JOIN dots y ON x.gene = y.gene AND (x.r - y.r) * (x.r - y.r) + (x.c - y.c) * (x.c - y.c) <= 1 GROUP BY 1)
+SELECT gene, n, met - n AS pairs, round(area * (met - n) / (n * (n - 1)) / (pi() * CAST(1 AS DOUBLE)) * n, 6) AS clusteredness FROM g JOIN p USING (gene)"""
+)
+def clusteredness(spark, d):
+    """How much closer than by chance the dots of a gene lie to one another."""
+    found = affine.clusteredness(_dots(spark, d), 1.0, RC, ["gene"])
+    return found.withColumn("clusteredness", F.round("clusteredness", 6))
+
+
+def _beads(spark, d) -> DataFrame:
+    """Dots spread out to beads, some 40 pixels apart, with a number of their own inside them."""
+    k = F.col("event_id")
+    return _table(spark, d, "events").select(k.alias("dot_id"), (k % 6).cast("int").alias("fov_num"), (F.col("user_id") * 40 + k * 37 % 40).cast("double").alias("r"), (F.col("value") * 40).cast("double").alias("c"))
+
+
+@_query("SELECT CAST(event_id % 6 AS INT) AS fov_num, CAST(0.66 AS DOUBLE) AS scale, CAST(0.5 AS DOUBLE) AS degrees, count(*) AS n FROM events WHERE event_id % 6 > 1 GROUP BY 1")
+def affine_fit(spark, d):
+    """All beads against a copy that is turned, scaled and moved, in which those of two tiles lie elsewhere: beads of each tile that the fit brings to within half a pixel of their copy."""
+    beads = _beads(spark, d)
+    # the wrong third is mirrored, so that it neither fits nor gives itself away by its box
+    high = F.broadcast(beads.agg(F.max("r").alias("high")))
+    copies = beads.join(high).withColumn("r", F.when(F.col("fov_num") > 1, F.col("r")).otherwise(F.col("high") - F.col("r")))
+    r, c = alignment.transform_columns(F.col("r"), F.col("c"), 0.66, 0.5, (0.0, 0.0), (120.0, -40.0))
+    target = copies.select("dot_id", r.alias("r"), c.alias("c"))
+    fit = affine.fit_affine(target, beads, [0.6 + 0.01 * i for i in range(13)], [-2 + 0.5 * i for i in range(9)], radius=200)
+    moved = alignment.apply_affine(beads, fit, RC).join(target.withColumnsRenamed({"r": "tr", "c": "tc"}), "dot_id")
+    near = moved.filter((spatial.squared(F.col("r_transformed"), F.col("c_transformed"), F.col("tr"), F.col("tc")) < 0.25) & (F.col("fov_num") > 1))
+    return near.groupBy("fov_num").agg(F.lit(round(fit["scale"], 5)).alias("scale"), F.lit(round(fit["degrees"], 4)).alias("degrees"), F.count("*").alias("n"))
+
+
 def _bayes_sql(width: float) -> str:
     """Histograms, densities of a kernel of deviation ``width``, and the posterior of every code of the book, as tables."""
     sixteen = lambda form, by=" + ": by.join(form.format(i=i) for i in range(16))

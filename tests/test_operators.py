@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dotweave.functions import arrays, codes
-from dotweave.operators import alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, graphs, images, quality, registration, selection, spatial
+from dotweave.operators import affine, alignment, barcodes, bayes, cells, constellations, dedup, detection, geometry, graphs, images, quality, registration, selection, spatial
 from dotweave.schema import DOTS, ERRORS, IMAGES, PIXELS
 from dotweave.sources import catalogs, chunks
 
@@ -486,27 +486,71 @@ def test_density_offset():
     assert alignment.offset_of(a, b + 10_000) is None
 
 
+def _planted(rng, n, side):
+    source = rng.uniform(0, side, (n, 2))
+    return source, np.column_stack(alignment.transform_columns(source[:, 0], source[:, 1], 0.66, 0.5, (0.0, 0.0), (120.0, -40.0)))
+
+
+def _placed_by(fit, source):
+    return np.column_stack(alignment.transform_columns(source[:, 0], source[:, 1], fit["scale"], fit["degrees"], fit["centre"], fit["offset"]))
+
+
 def test_affine_fit_recovers_what_was_planted(spark):
     rng = np.random.default_rng(1)
-    source = rng.uniform(0, 600, (120, 2))
-    centre = tuple((source.min(axis=0) + source.max(axis=0)) / 2)
-    x, y = alignment.transform_columns(source[:, 0], source[:, 1], 0.66, 0.5, centre, (120.0, -40.0))
-    target = np.concatenate([np.column_stack([x, y]), rng.uniform(100, 500, (12, 2))])
-    fit = alignment.fit_affine(spark, target, source, np.linspace(0.6, 0.72, 13), np.linspace(-2, 2, 9), rounds=4, radius=150, bins=6, near=2)
-    back = np.column_stack(alignment.transform_columns(source[:, 0], source[:, 1], fit["scale"], fit["degrees"], fit["centre"], fit["offset"]))
-    assert np.median(np.abs(back - target[:120])) < 1.5
-    moved = alignment.apply_affine(spark.createDataFrame(pd.DataFrame(source, columns=["r", "c"])), fit, RC).toPandas()
-    assert np.allclose(moved[["r_transformed", "c_transformed"]].to_numpy(), back)
-
-
-def test_search_ranges():
-    at = np.linspace(0, 10, 11)
-    up, found = alignment.next_range(at, np.where(at == 4, 5.0, 0))
-    assert found and (up[0], up[-1]) == (2, 6)
-    first, found = alignment.next_range(at, np.where(at == 0, 5.0, 0))
-    assert not found and (first[0], first[-1]) == (-5, 5) and len(first) == 11
-    wide, found = alignment.next_range(at, np.zeros(11))
-    assert not found and wide[-1] - wide[0] == 20 and len(wide) == 33
+    frame = lambda x: spark.createDataFrame(pd.DataFrame(x, columns=["r", "c"]))
+    source, there = _planted(rng, 120, 600)
+    wrong = np.concatenate([there + rng.normal(0, 0.3, there.shape), rng.uniform(100, 400, (12, 2)), [[np.nan, 5.0]]])
+    fit = affine.fit_affine(frame(wrong), frame(source), np.linspace(0.6, 0.72, 13), np.linspace(-2, 2, 9), radius=150, bins=6)
+    assert np.abs(_placed_by(fit, source) - there).max() < 0.5
+    moved = alignment.apply_affine(frame(source), fit, RC).toPandas()
+    assert np.allclose(moved[["r_transformed", "c_transformed"]].to_numpy(), _placed_by(fit, source))
+
+
+def test_affine_fit_finds_a_part_by_scanning_chunks(spark):
+    source, there = _planted(np.random.default_rng(2), 800, 1500)
+    part = there[(source > 750).all(axis=1)]  # a corner: middles of boxes are hundreds of pixels apart
+    frame = lambda x: spark.createDataFrame(pd.DataFrame(x, columns=["r", "c"]))
+    fit = affine.fit_affine(frame(part), frame(source), [0.65, 0.66, 0.67], [0.0, 0.5, 1.0], radius=60, centring="scan")
+    assert np.abs(_placed_by(fit, source) - there).max() < 1e-6 and fit["matched"] == len(part)
+
+
+def test_affine_fit_of_nothing_is_none(spark):
+    some, none = (spark.createDataFrame(x, "r double, c double") for x in ([(1.0, 2.0)], [(None, 1.0)]))
+    assert affine.fit_affine(some, none, [1.0], [0.0]) is None and affine.fit_affine(none, some, [1.0], [0.0]) is None
+    assert affine.chunks(none).count() == 0
+    with pytest.raises(ValueError):
+        affine.fit_affine(some, some, [0.0, 1.0], [0.0])
+
+
+def test_votes_equal_counts_of_cell_pairs(spark):
+    rng = np.random.default_rng(3)
+    one, two = rng.uniform(-60, 60, (70, 2)), rng.uniform(-60, 60, (90, 2))
+    moved = pd.DataFrame(two, columns=["r", "c"]).assign(guess=np.arange(90) % 3)
+    got = affine.votes(spark.createDataFrame(pd.DataFrame(one, columns=["r", "c"])), spark.createDataFrame(moved), 20, 5).toPandas().set_index("guess")
+    for g in range(3):
+        d = (np.floor(one / 5)[:, None] - np.floor(two[g::3] / 5)[None]).reshape(-1, 2)
+        d = d[(np.abs(d) <= 4).all(axis=1)]
+        found, n = np.unique(d, axis=0, return_counts=True)
+        assert got.loc[g, "n"] == n.max() and n[(found == got.loc[g, ["dr", "dc"]].to_numpy(float) / 5).all(axis=1)] == n.max()
+        assert np.isclose(got.loc[g, "z"], (n.max() - len(d) / 81) / np.sqrt(len(d) / 81 + 1))
+
+
+def test_chunks_hold_the_points_inside_their_windows(spark):
+    points = np.random.default_rng(4).uniform(0, 1, (300, 2)) * (400, 900)
+    got = affine.chunks(spark.createDataFrame(pd.DataFrame(points, columns=["r", "c"])), 0.25, 3, least=5).toPandas()
+    low, step = points.min(axis=0), (points.max(axis=0) - points.min(axis=0)) * 0.25 / 3
+    assert len(got) > 50
+    for w in got.itertuples():
+        start = low - 2 * step + np.array([w.i, w.j]) * step
+        at = (points - start) / (2 * step)
+        # the ends of the box lie on edges of windows, to the last bit either in or out
+        inside, most = (at[(at > e).all(axis=1) & (at < 1 - e).all(axis=1)] for e in (1e-9, -1e-9))
+        assert len(inside) <= w.n <= len(most) and w.n > 5 and np.allclose((w.r, w.c), start + step)
+        if len(inside) == len(most):
+            assert np.isclose(w.evenness, w.n / np.histogram2d(*inside.T, range=[[0, 1], [0, 1]], bins=30)[0].std())
+
+
+def test_trimmed_median():
     assert alignment.trimmed_median(np.array([1.0] * 50 + [2.0] * 50 + [1e6])) == 1.5
 
 
