@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 
 #: Points handled at once where each meets many others.
 BLOCK = 4_096
@@ -102,6 +106,30 @@ def trimmed_median(values: np.ndarray, most: int = 30, spread: float = 3.0) -> f
     return float(np.median(values))
 
 
+def trimmed_medians(df: DataFrame, value: str, by: list[str], most: int = 30, spread: float = 3.0) -> DataFrame:
+    """:func:`trimmed_median` of every group of a table: ``by``, median, n (values kept). Nulls and NaN take no part; null keys are a group.
+
+    A round is one aggregate inside the bounds that the rounds before have left; a row a group is kept between rounds.
+    """
+    keys = [f"_{b}" for b in by]
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    far = float("inf")
+    bounds = rows.select(*(F.col(b).alias(k) for b, k in zip(by, keys))).distinct().select(*keys, F.lit(-far).alias("_lo"), F.lit(far).alias("_hi"), F.lit(-1).cast("long").alias("_n"))
+    same = reduce(and_, (F.col(b).eqNullSafe(F.col(k)) for b, k in zip(by, keys)))
+    for _ in range(most + 1):
+        kept = rows.join(bounds, same).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        now = kept.groupBy(*keys, "_lo", "_hi", "_n").agg(F.count("*").alias("now"), F.avg("_v").alias("m"), (F.stddev_pop("_v") * spread).alias("s"))
+        now = cut(now.withColumn("more", F.col("now") != F.col("_n")))
+        if not now.filter("more").head(1):
+            break
+        # a group whose last round took nothing away keeps its bounds
+        closer = lambda old, new: F.when(F.col("more"), new).otherwise(F.col(old)).alias(old)
+        low, high = F.greatest("_lo", F.col("m") - F.col("s")), F.least("_hi", F.col("m") + F.col("s"))
+        bounds = now.select(*keys, closer("_lo", low), closer("_hi", high), F.col("now").alias("_n"))
+    inside = rows.join(bounds, same).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    return inside.groupBy(*by).agg(F.percentile("_v", F.lit(0.5)).alias("median"), F.count("*").alias("n"))
+
+
 def transform_columns(r, c, scale: float, degrees: float, centre: tuple[float, float], offset: tuple[float, float]):
     """Rotate about ``centre``, scale, move: two columns (or arrays)."""
     a = np.deg2rad(degrees)

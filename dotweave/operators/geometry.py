@@ -52,6 +52,15 @@ def stitch(df: DataFrame, tiles: DataFrame, corner: str, width: float, height: f
     return joined.withColumns({f"r_px_{tag}": row, f"c_px_{tag}": col}).drop("_tr", "_tc")
 
 
+def stitch_objects(pixels: DataFrame, tiles: DataFrame, corner: str, width: float, height: float, obj: str = "obj_id", tag: str = "stitched") -> tuple[DataFrame, DataFrame]:
+    """Segmented objects on the canvas: their pixels, and a row an object with its centroid and number of pixels, each with r_px_<tag>, c_px_<tag>.
+
+    ``pixels``: fov_num, ``obj``, r, c. Objects of tiles without a place have null positions.
+    """
+    centroids = pixels.groupBy("fov_num", obj).agg(F.avg("r").alias("r"), F.avg("c").alias("c"), F.count("*").alias("n"))
+    return tuple(stitch(x, tiles, corner, width, height, ("r", "c"), tag) for x in (pixels, centroids))
+
+
 def adjacent(tiles: DataFrame, image_size: float, key: str = "fov_num") -> DataFrame:
     """Pairs a, b of neighbouring tiles, each once.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import arrays as A
 from ..schema import PIXELS
@@ -231,3 +232,14 @@ def from_sparse(pixels: DataFrame, by: list[str], shape: tuple[int, int], dtype:
         return pd.DataFrame([{**{b: group[b].iloc[0] for b in by}, "shape": list(shape), "dtype": dtype, "pixels": img.tobytes()}])
 
     return pixels.groupBy(*by).applyInPandas(run, f"{keys}, shape array<int>, dtype string, pixels binary")
+
+
+def dark_pixels(pixels: DataFrame, by: tuple[str, ...] = ("channel",), value: str = "value") -> DataFrame:
+    """A dark image as rows: the median over all planes of each pixel (``by``, r, c), and the number of planes. Null values take no part."""
+    return pixels.groupBy(*by, "r", "c").agg(F.percentile(value, F.lit(0.5)).alias("dark"), F.count(value).alias("planes")).filter("planes > 0")
+
+
+def without_dark(pixels: DataFrame, dark: DataFrame, by: tuple[str, ...] = ("channel",), value: str = "value") -> DataFrame:
+    """``pixels`` less the dark image, nothing below zero; pixels that the dark image lacks are left as they are."""
+    level = dark.select(*by, "r", "c", F.col("dark").alias("_dark"))
+    return pixels.join(level, [*by, "r", "c"], "left").withColumn(value, F.greatest(F.col(value) - F.coalesce("_dark", F.lit(0.0)), F.lit(0.0))).drop("_dark")

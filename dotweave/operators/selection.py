@@ -74,6 +74,11 @@ def plotting_extract(df: DataFrame, threshold: float, columns: list[str], gene:
     return df.filter(good).select(*columns).dropna(subset=[gene])
 
 
+def serial_extract(df: DataFrame, columns: list[str], target: str = "target_name") -> DataFrame:
+    """Plotting columns of serial rounds: rows that have a target."""
+    return df.select(*columns).dropna(subset=[target])
+
+
 def any_null(df: DataFrame, column: str, by: list[str]) -> DataFrame:
     """Groups and whether any value of ``column`` is null."""
     return df.groupBy(*by).agg(F.max(F.col(column).isNull()).alias("has_null"))

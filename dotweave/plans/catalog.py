@@ -930,6 +930,58 @@ def clusteredness(spark, d):
     return found.withColumn("clusteredness", F.round("clusteredness", 6))
 
 
+def _trimming(rounds: int) -> str:
+    """Bounds b0, b1, ... of a gene's values, each three deviations around the mean of what the one before has left."""
+    steps = ["b0 AS MATERIALIZED (SELECT DISTINCT event_type AS gene, CAST('-Infinity' AS DOUBLE) AS lo, CAST('Infinity' AS DOUBLE) AS hi FROM events)"]
+    for k in range(rounds):
+        steps.append(
+            f"b{k + 1} AS MATERIALIZED (SELECT gene, greatest(any_value(lo), avg(value) - 3 * stddev_pop(value)) AS lo, least(any_value(hi), avg(value) + 3 * stddev_pop(value)) AS hi FROM b{k} JOIN events ON event_type = gene AND value BETWEEN lo AND hi GROUP BY 1)"
+        )
+    return ", ".join(steps)
+
+
+@_query(f"WITH {_trimming(31)} SELECT gene, median(value) AS median, count(*) AS n FROM b31 JOIN events ON event_type = gene AND value BETWEEN lo AND hi GROUP BY 1")
+def trimmed_medians(spark, d):
+    """Median of each gene's values, without what lies beyond three deviations, again and again."""
+    return alignment.trimmed_medians(_table(spark, d, "events").select(F.col("event_type").alias("gene"), "value"), "value", ["gene"])
+
+
+@_query(
+    f"""WITH {_TILES}, {_PIXELS}, o AS (SELECT fov_num + 1 AS fov_num, obj_id, avg(r) AS r, avg(c) AS c, count(*) AS n, min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1 FROM pixels GROUP BY 1, 2)
+SELECT o.fov_num, obj_id, n, t.r + (50 - o.r) AS centre_r, t.c + o.c AS centre_c, t.r + (50 - r1) AS r_low, t.r + (50 - r0) AS r_high, t.c + c0 AS c_low, t.c + c1 AS c_high FROM o LEFT JOIN tiles t ON t.fov_num = o.fov_num"""
+)
+def stitched_objects(spark, d):
+    """Centroids of objects on the canvas, and the box of their stitched pixels."""
+    pixels = _pixels(spark, d).withColumn("fov_num", F.col("fov_num") + 1)
+    moved, centres = geometry.stitch_objects(pixels, _tiles(spark, d), "bottom-left", 60, 50)
+    r, c = "r_px_stitched", "c_px_stitched"
+    box = moved.groupBy("fov_num", "obj_id").agg(F.min(r).alias("r_low"), F.max(r).alias("r_high"), F.min(c).alias("c_low"), F.max(c).alias("c_high"))
+    return centres.select("fov_num", "obj_id", "n", F.col(r).alias("centre_r"), F.col(c).alias("centre_c")).join(box, ["fov_num", "obj_id"])
+
+
+@_query(f"WITH {_DOTS} SELECT dot_id, nullif(gene, 'click') AS target_name, r, c FROM dots WHERE gene <> 'click'")
+def serial_extract(spark, d):
+    """Dots of serial rounds that have a target."""
+    dots = _dots(spark, d).withColumn("target_name", F.nullif("gene", F.lit("click")))
+    return selection.serial_extract(dots, ["dot_id", "target_name", "r", "c"])
+
+
+_PLANES = "planes AS (SELECT 'ch' || CAST((event_id // 16) % 2 AS VARCHAR) AS channel, user_id // 8 AS r, event_id % 8 AS c, event_id AS plane, CAST(value AS DOUBLE) AS value FROM events)"
+
+
+def _planes(spark, d) -> DataFrame:
+    """Planes of a stack: every event lights one pixel of its channel."""
+    e = F.col("event_id")
+    return _table(spark, d, "events").select(F.concat(F.lit("ch"), (F.floor(e / 16) % 2).cast("string")).alias("channel"), F.floor(F.col("user_id") / 8).alias("r"), (e % 8).alias("c"), e.alias("plane"), F.col("value").cast("double").alias("value"))
+
+
+@_query(f"WITH {_PLANES}, dark AS (SELECT channel, r, c, median(value) AS dark FROM planes GROUP BY ALL) SELECT plane, round(greatest(value - dark, 0), 6) AS value FROM planes JOIN dark USING (channel, r, c)")
+def dark_subtracted(spark, d):
+    """Planes less the median of each pixel over all of its channel's planes."""
+    planes = _planes(spark, d)
+    return images.without_dark(planes, images.dark_pixels(planes)).select("plane", F.round("value", 6).alias("value"))
+
+
 def _beads(spark, d) -> DataFrame:
     """Dots spread out to beads, some 40 pixels apart, with a number of their own inside them."""
     k = F.col("event_id")

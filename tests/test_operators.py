@@ -554,6 +554,25 @@ def test_trimmed_median():
     assert alignment.trimmed_median(np.array([1.0] * 50 + [2.0] * 50 + [1e6])) == 1.5
 
 
+def test_trimmed_medians_of_groups_equal_that_of_each(spark):
+    rng = np.random.default_rng(5)
+    values = {"a": rng.exponential(3, 400), "b": np.full(5, 2.0), None: np.concatenate([rng.normal(0, 1, 90), [1e6, -1e9]]), "c": np.array([7.0])}
+    rows = [(k, 0, float(v)) for k, x in values.items() for v in x] + [("a", 0, None), ("a", 0, float("nan")), ("d", 0, None)]
+    got = alignment.trimmed_medians(spark.createDataFrame(rows, "k string, j int, v double"), "v", ["k", "j"]).collect()
+    assert {r["k"] for r in got} == set(values)
+    for r in got:
+        assert np.isclose(r["median"], alignment.trimmed_median(values[r["k"]])) and r["n"] <= len(values[r["k"]])
+
+
+def test_dark_pixels_are_medians_of_planes(spark):
+    planes = [("x", 0, 0, v) for v in (1.0, 5.0, 3.0, None)] + [("x", 0, 1, 4.0), ("y", 0, 0, None), ("y", 2, 2, 9.0)]
+    df = spark.createDataFrame(planes, "channel string, r int, c int, value double")
+    dark = images.dark_pixels(df)
+    assert {(r["channel"], r["r"], r["c"]): (r["dark"], r["planes"]) for r in dark.collect()} == {("x", 0, 0): (3.0, 3), ("x", 0, 1): (4.0, 1), ("y", 2, 2): (9.0, 1)}
+    left = images.without_dark(spark.createDataFrame([("x", 0, 0, 5.0), ("x", 0, 0, 1.0), ("z", 0, 0, 2.0)], df.schema), dark).collect()
+    assert sorted((r["channel"], r["value"]) for r in left) == [("x", 0.0), ("x", 2.0), ("z", 2.0)]
+
+
 def test_bayes_calls_planted_codes(spark):
     rng = np.random.default_rng(0)
     book = [("a", 0b0011), ("b", 0b1100), ("c", 0b0110)]
