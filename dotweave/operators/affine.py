@@ -51,6 +51,15 @@ def _middle(box: dict) -> tuple[float, float]:
     return tuple((box[f"min_{x}"] + box[f"max_{x}"]) / 2 for x in RC)
 
 
+def _turned_middles(points: DataFrame, angles: list[float]) -> dict[float, tuple[float, float]]:
+    """For each angle, the middle of the box of the turned points, turned back. A turned set has the turned middle only if its box is turned too."""
+    turns = ", ".join(f"struct({a!r}D AS a, {cos(radians(a))!r}D AS x, {sin(radians(a))!r}D AS y)" for a in angles)
+    t = points.select("r", "c", F.explode(F.expr(f"array({turns})")).alias("t"))
+    t = t.select("t.a", (F.col("t.x") * F.col("r") - F.col("t.y") * F.col("c")).alias("r"), (F.col("t.y") * F.col("r") + F.col("t.x") * F.col("c")).alias("c"))
+    rows = t.groupBy("a").agg(*(f(x).alias(f"{f.__name__}_{x}") for x in RC for f in (F.min, F.max))).collect()
+    return {row["a"]: _turned(_middle(row.asDict()), 1.0, -row["a"]) for row in rows}
+
+
 def _turned(v: tuple[float, float], scale: float, angle: float) -> tuple[float, float]:
     a, b = scale * cos(radians(angle)), scale * sin(radians(angle))
     return a * v[0] - b * v[1], b * v[0] + a * v[1]
@@ -175,7 +184,7 @@ def fit_affine(
     """scale, degrees, centre and offset for ``alignment.apply_affine``, the number ``matched`` within a sixteenth of ``bins``, and ``z`` of the votes.
 
     ``scales`` and ``degrees`` are even ranges. ``centring`` brings the sets together before offsets of up to
-    ``radius`` are voted for: by the ``middle`` of their boxes, by their ``mean``, by a ``scan`` of chunks of
+    ``radius`` are voted for: by the ``middle`` of their boxes (the source turned by each guess), by their ``mean``, by a ``scan`` of chunks of
     the source over the best chunk of the target (under the middle scale and angle), or by a given move of the source.
     """
     scales, degrees = [float(s) for s in scales], [float(a) for a in degrees]
@@ -197,7 +206,8 @@ def fit_affine(
     elif isinstance(centring, str):
         middle = {"middle": _middle, "mean": lambda b: (b["avg_r"], b["avg_c"])}[centring]
         left = [p - m for p, m in zip(pin, middle(box))]
-        seated = lambda s, a: _seat(middle(other), s, a, tuple(-x for x in left))
+        own = _turned_middles(source, degrees) if centring == "middle" else dict.fromkeys(degrees, middle(other))
+        seated = lambda s, a: _seat(own[a], s, a, tuple(-x for x in left))
     else:
         seated = lambda s, a: (pin[0] - float(centring[0]), pin[1] - float(centring[1]))
 

@@ -506,6 +506,16 @@ def test_affine_fit_recovers_what_was_planted(spark):
     assert np.allclose(moved[["r_transformed", "c_transformed"]].to_numpy(), _placed_by(fit, source))
 
 
+def test_affine_fit_meets_the_middle_of_a_turned_box(spark):
+    """One far point at the start of a long strip: the strip's middle comes to lie 340 pixels off the middle of the turned strip."""
+    rng = np.random.default_rng(3)
+    source = np.concatenate([rng.uniform((0, 0), (40000, 400), (4000, 2)), [[100.0, 4000.0]]])
+    there = np.column_stack(alignment.transform_columns(source[:, 0], source[:, 1], 0.66, 1.5, (0.0, 0.0), (120.0, -40.0)))
+    frame = lambda x: spark.createDataFrame(pd.DataFrame(x, columns=["r", "c"]))
+    fit = affine.fit_affine(frame(there), frame(source), [0.65, 0.66, 0.67], [0.5, 1.0, 1.5], radius=60)
+    assert np.abs(_placed_by(fit, source) - there).max() < 1e-6
+
+
 def test_affine_fit_finds_a_part_by_scanning_chunks(spark):
     source, there = _planted(np.random.default_rng(2), 800, 1500)
     part = there[(source > 750).all(axis=1)]  # a corner: middles of boxes are hundreds of pixels apart
