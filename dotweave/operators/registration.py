@@ -42,8 +42,7 @@ def round_shifts_of(dots: pd.DataFrame, reference: int, rounds: int, shape: tupl
         elif k not in by:
             n = ERRORS["missing_in_round"]
         else:
-            dr, dc = A.phase_shift(A.dot_image(shape, by[ref]), A.dot_image(shape, by[k]))
-            n = A.count_near(by[ref], by[k] + (dr, dc), tolerance)
+            (dr, dc), n = A.dots_shift(shape, by[ref], by[k], tolerance)
         rows.append((k, dr, dc, n))
     return pd.DataFrame(rows, columns=["round_num", "dr", "dc", "n_match"])
 
@@ -127,8 +126,8 @@ def pair_shifts(beads: DataFrame, rects: DataFrame, tolerance: float = 3, rc: tu
         dr, dc, err = FAILED, FAILED, None
         if len(one) and len(two):
             shape = tuple(np.ceil(np.concatenate([one, two]).max(axis=0)).astype(int) + 1)
-            dr, dc = A.phase_shift(A.dot_image(shape, one), A.dot_image(shape, two))
-            err = 1 - A.count_near(one, two + (dr, dc), tolerance) / len(two)
+            (dr, dc), n = A.dots_shift(shape, one, two, tolerance)
+            err = 1 - n / len(two)
         return pd.DataFrame([(*key, dr, dc, err)], columns=["a", "b", "dr", "dc", "err"]).astype({"err": "float64"})
 
     schema = f"a {rects.schema['a'].dataType.simpleString()}, b {rects.schema['b'].dataType.simpleString()}, dr double, dc double, err double"

@@ -724,6 +724,16 @@ def test_similarities_ignore_wrong_matches(spark):
     assert constellations.group_similarities(found.limit(0), ["fov_num"], RC, 0.5).count() == 0
 
 
+def test_round_shifts_of_dots_half_a_frame_apart(spark):
+    """Circular correlation has a second peak of the same height half a frame away, under which fewer dots meet."""
+    rows = []
+    for tile, pair in enumerate([[(20, 30), (84, 30)], [(20, 30), (20, 94)], [(20, 30), (84, 94)], [(54, 94), (118, 30)]]):
+        rows += [(tile, k, r + 2.0 * (k - 1), c - 1.0 * (k - 1)) for k in (1, 2, 3) for r, c in pair]
+    dots = spark.createDataFrame(rows, "fov_num int, round_num int, r double, c double")
+    got = registration.round_shifts(dots, 1, 3, (128, 128), 0.5, 5, RC).filter("round_num > 1").collect()
+    assert len(got) == 8 and {(x["dr"] + 2 * (x["round_num"] - 1), x["dc"] - (x["round_num"] - 1), x["n_match"]) for x in got} == {(0.0, 0.0, 2)}
+
+
 def test_image_pair_shifts_meet_the_strips_of_every_order(spark):
     rng = np.random.default_rng(4)
     canvas = rng.uniform(0, 1, (80, 90))
