@@ -10,8 +10,10 @@ that are alone in their place, the others go to the next); the key stored at a s
 The counting pass adds up, in every task, one numpy array by ``bincount`` of the slots of all its texts; the arrays are
 summed as a tree, blocks of slots at a time. The two parts of every cut are then read from the summed array by slot.
 
-Words and candidates are broadcast, so their number is checked: beyond ``MOST`` words or candidates of a level, or
-``WORD_BYTES`` of words, :func:`collocations_by_joins` computes the same rows with grouped aggregates and joins alone.
+Words and candidates are broadcast, so their number is checked. Beyond ``MOST`` candidates of a level,
+:func:`collocations_by_numbers` goes on with tables of packed word numbers: candidates stay in their tables, only the words and
+a bit array of each level are broadcast. Beyond ``MOST`` words or ``WORD_BYTES`` of words, :func:`collocations_by_joins`
+computes the same rows with grouped aggregates and joins alone.
 What is shuffled is a key and a number for each distinct phrase of a task's run of texts, whatever its frequency.
 
 Defined cases: null texts are empty, null languages are ``und``; repeated rows count again; phrases with equal score and
@@ -38,6 +40,8 @@ WORDS, LEAST, ABSORB, TOP = 4, 30, 80, 2_000
 MOST, WORD_BYTES = 1 << 21, 1 << 26
 #: Bytes of texts that are split at once, keys that are held before they are counted, slots of an array's block, arrays a sum.
 BYTES, KEYS, SLOTS, FAN = 1 << 22, 1 << 21, 1 << 14, 64
+#: Bits of a word's number in a packed phrase (so MOST words at most), and of a block and of the largest whole of a level's bit array.
+WIDE, BLOCK_BITS, FILTER_BITS = 21, 18, 29
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _KIND = np.zeros(256, np.uint8)
@@ -95,10 +99,10 @@ class PerfectHash:
         return out
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Runs of rows with about BYTES of texts, or one longer text."""
     for batch in batches:
-        _, ends = utf8_parts(batch.column("text"))
+        _, ends = utf8_parts(batch.column(column))
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + BYTES, "right")) - 1)
@@ -148,8 +152,8 @@ class Index:
         self.span = {str(name): (int(a), int(b)) for name, a, b in zip(names, first, ends)}
         self.levels: list[PerfectHash] = []
 
-    def numbers(self, column: pa.Array, lang: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Of all words of the texts: their number, -1 if infrequent, and whether the next follows in the same piece."""
+    def numbers(self, column: pa.Array, lang: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all words of the texts: their number, -1 if infrequent, whether the next follows in the same piece, and their text."""
         words, text, follows = split_words(column)
         code, names = _languages(lang)
         coded = words.dictionary_encode()
@@ -159,7 +163,7 @@ class Index:
                 a, b = self.span[name]
                 at = pc.index_in(coded.dictionary, value_set=self.words.slice(a, b - a))
                 table_[row, : len(at)] = np.asarray(pc.fill_null(at, -a - 1), np.int64) + a
-        return table_[code[text], np.asarray(coded.indices, np.int64)], follows
+        return table_[code[text], np.asarray(coded.indices, np.int64)], follows, text
 
     def keys(self, below: np.ndarray, number: np.ndarray, follows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and keys of phrases of ``k`` words whose two phrases of k - 1 words have slots in ``below``."""
@@ -171,7 +175,7 @@ class Index:
 
     def slots(self, column: pa.Array, lang: pa.Array, upto: int) -> list[np.ndarray]:
         """For each level up to ``upto``: the slot at each word of the phrase that begins there, -1 if none."""
-        number, follows = self.numbers(column, lang)
+        number, follows, _ = self.numbers(column, lang)
         found, self.last = [number], (number, follows)
         for k in range(2, upto + 1):
             at, keys = self.keys(found[-1], number, follows, k)
@@ -214,7 +218,7 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def candidates(docs: DataFrame, index: Index, k: int, least: int = LEAST) -> DataFrame:
-    """``key``: the phrases of ``k`` words that pass the Apriori rule and occur ``least`` times."""
+    """``key, n``: the phrases of ``k`` words that pass the Apriori rule and occur ``least`` times."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
@@ -232,7 +236,7 @@ def candidates(docs: DataFrame, index: Index, k: int, least: int = LEAST) -> Dat
                 held, size = [held[0]], 0
         yield counted(held)
 
-    return _texts(docs).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("key")
+    return _texts(docs).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
 def slot_counts(docs: DataFrame, index: Index) -> np.ndarray:
@@ -319,19 +323,21 @@ def _ranked(rows: DataFrame, top: int) -> DataFrame:
     return rows.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def collocations(docs: DataFrame, least: int = LEAST, absorb: int = ABSORB, top: int = TOP, most: int = MOST, word_bytes: int = WORD_BYTES) -> DataFrame:
-    """``lang, rank, phrase, a, l, r, n, score``: each language's first ``top`` phrases."""
+def collocations(docs: DataFrame, least: int = LEAST, absorb: int = ABSORB, top: int = TOP, most: int = MOST, word_bytes: int = WORD_BYTES, held: int = MOST) -> DataFrame:
+    """``lang, rank, phrase, a, l, r, n, score``: each language's first ``top`` phrases; ``held`` candidates of a level at most are broadcast."""
     spark = docs.sparkSession
     words = cut(word_counts(docs, least))
     size = words.filter(F.col("word").isNotNull()).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")).first()
-    if size["n"] > most or size["bytes"] > word_bytes:
+    if size["n"] > min(most, (1 << WIDE) - 2) or size["bytes"] > word_bytes:
         return collocations_by_joins(docs, least, absorb, top)
-    known = words.filter(F.col("word").isNotNull()).select("lang", "word").orderBy("lang", "word").toArrow()
+    known = words.filter(F.col("word").isNotNull()).orderBy("lang", "word").toArrow()
     index = Index(known.column("lang").to_pylist(), known.column("word").combine_chunks().cast(pa.large_string()))
     for k in range(2, WORDS + 1):
         found = cut(candidates(docs, index, k, least))
-        if found.count() > most:
-            return collocations_by_joins(docs, least, absorb, top)
+        if k == 2:
+            pairs = found
+        if found.count() > held:
+            return collocations_by_numbers(docs, words, known, pairs, least, absorb, top)
         index.levels.append(PerfectHash(np.sort(found.toArrow().column("key").to_numpy())))
     levels = scored(index, slot_counts(docs, index), least, absorb)
     shared = spark.sparkContext.broadcast((index, levels))
@@ -355,6 +361,140 @@ def collocations(docs: DataFrame, least: int = LEAST, absorb: int = ABSORB, top:
     return _ranked(rows.join(of, "lang"), top)
 
 
+def coded_texts(docs: DataFrame, index: Index) -> DataFrame:
+    """``w``: of each text the numbers of its words as 32-bit integers, -1 for infrequent words and after each piece."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            number, follows, text = shared.value.numbers(batch.column("text"), batch.column("lang"))
+            w = np.insert(number, np.flatnonzero(~follows) + 1, -1).astype(np.int32)
+            sizes = np.bincount(text, minlength=batch.num_rows) + np.bincount(text[~follows], minlength=batch.num_rows)
+            ends = (4 * np.concatenate([[0], np.cumsum(sizes)])).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(w)])], ["w"])
+
+    return _texts(docs).mapInArrow(run, "w binary")
+
+
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (mix64(keys.view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def level_bits(found: DataFrame, count: int) -> tuple[np.ndarray, int]:
+    """A bit array with the places of all packed phrases (``lo``), 16 bits a phrase as far as FILTER_BITS allow, and the binary logarithm of its size.
+
+    Strangers that share a place pass it; as all that pass are counted, that costs rows and changes no result.
+    """
+    bits = min(FILTER_BITS, max(BLOCK_BITS, (16 * count).bit_length()))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _places(np.asarray(batch.column(0)), bits)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> BLOCK_BITS).astype(np.int32)), pa.array((at & ((1 << BLOCK_BITS) - 1)).astype(np.int32))], ["block", "at"])
+
+    def packed(places: pa.Table) -> pa.Table:
+        on = np.zeros(1 << BLOCK_BITS, bool)
+        on[np.asarray(places.column("at"))] = True
+        return pa.table({"block": places.column("block")[:1], "bits": pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())})
+
+    made = found.select("lo").mapInArrow(place, "block int, at int").groupBy("block").applyInArrow(packed, "block int, bits binary").toArrow()
+    whole = np.zeros((1 << bits - BLOCK_BITS, 1 << BLOCK_BITS - 3), np.uint8)
+    for block, raw in zip(made.column("block").to_pylist(), made.column("bits").to_pylist()):
+        whole[block] = np.frombuffer(raw, np.uint8)
+    return whole.reshape(-1), bits
+
+
+def packed_counts(coded: DataFrame, below: tuple[np.ndarray, int], k: int, least: int) -> DataFrame:
+    """``hi, lo, n``: the phrases of ``k`` words, 3 or 4, whose parts of k - 1 words are in ``below``, that occur ``least`` times.
+
+    ``lo`` holds the last three numbers of a phrase, one more than the words', WIDE bits each; ``hi`` that of the word before them or 0.
+    """
+    shared = coded.sparkSession.sparkContext.broadcast(below)
+
+    def counted(his: list[np.ndarray], los: list[np.ndarray]) -> pa.RecordBatch:
+        hi, lo = np.concatenate(his), np.concatenate(los)
+        order = np.lexsort((hi, lo)) if k > 3 else np.argsort(lo)
+        hi, lo = hi[order], lo[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(1, len(lo)), bool), (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
+        return pa.RecordBatch.from_arrays([pa.array(hi[first]), pa.array(lo[first]), pa.array(np.diff(np.append(first, len(lo))))], ["hi", "lo", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, bits = shared.value
+        his, los, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        for batch in _parts(batches, "w"):
+            data, ends = utf8_parts(batch.column("w"))
+            w = data[ends[0] : ends[-1]].view(np.int32).astype(np.int64) + 1
+            if len(w) < k:
+                continue
+            # the phrases of k - 1 words that begin at each place
+            part, whole = w[: len(w) - k + 2], w[: len(w) - k + 2] > 0
+            for i in range(1, k - 1):
+                more = w[i : len(w) - k + 2 + i]
+                part, whole = part << WIDE | more, whole & (more > 0)
+            at = np.flatnonzero(whole)
+            place = _places(part[at], bits)
+            whole[at] = raw[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+            at = np.flatnonzero(whole[:-1] & whole[1:])
+            his.append(w[at] if k > 3 else np.zeros(len(at), np.int64))
+            los.append(part[at + 1] if k > 3 else part[at] << WIDE | w[at + 2])
+            size += len(at)
+            if size > KEYS:
+                yield counted(his, los)
+                his, los, size = his[:1], los[:1], 0
+        yield counted(his, los)
+
+    return coded.mapInArrow(run, "hi long, lo long, n long").groupBy("hi", "lo").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+
+
+def collocations_by_numbers(docs: DataFrame, words: DataFrame, known: pa.Table, pairs: DataFrame, least: int = LEAST, absorb: int = ABSORB, top: int = TOP) -> DataFrame:
+    """The same rows for any number of candidates, from the words (a row of ``known`` each, in order) and the counts of ``pairs``.
+
+    Texts are numbered once. Counts of all levels are one table by packed phrase; the parts of cuts and the phrases inside longer ones are joined to it.
+    """
+    spark = docs.sparkSession
+    index = Index(known.column("lang").to_pylist(), known.column("word").combine_chunks().cast(pa.large_string()))
+    coded = cut(coded_texts(docs, index))
+    mask, none = (1 << WIDE) - 1, F.lit(0).cast("long")
+    two = pairs.select(none.alias("hi"), F.expr(f"shiftleft(shiftright(key, 32) + 1, {WIDE}) | ((key & {(1 << 32) - 1}) + 1)").alias("lo"), "n")
+    three = cut(packed_counts(coded, level_bits(two, two.count()), 3, least))
+    four = cut(packed_counts(coded, level_bits(three, three.count()), 4, least))
+    single = spark.createDataFrame(pa.table({"lo": pa.array(np.arange(1, known.num_rows + 1)), "n": known.column("n")}), "lo long, n long")
+    parts = single.unionByName(two.select("lo", "n")).unionByName(three.select("lo", "n"))
+
+    def piece(k: int, start: int, size: int) -> Column:
+        """``size`` of the ``k`` words from place ``start`` on, three at most, as a packed phrase."""
+        after = WIDE * (k - start - size)
+        if k == 4 and start == 0:
+            return F.expr(f"shiftleft(hi, {WIDE * (size - 1)}) | shiftright(lo, {after})")
+        return F.expr(f"shiftright(lo, {after}) & {(1 << WIDE * size) - 1}L")
+
+    levels = [(2, two), (3, three), (4, four)]
+    cuts = [df.select("hi", "lo", F.col("n").alias("a"), F.posexplode(F.array(*(F.struct(piece(k, 0, at).alias("left"), piece(k, at, k - at).alias("right")) for at in range(1, k)))).alias("cut", "p")) for k, df in levels]
+    some = cuts[0].unionByName(cuts[1]).unionByName(cuts[2]).select("hi", "lo", "a", "cut", "p.left", "p.right")
+    some = some.join(parts.select(F.col("lo").alias("left"), F.col("n").alias("l")), "left").join(parts.select(F.col("lo").alias("right"), F.col("n").alias("r")), "right")
+    score = F.expr("CAST(CAST(2000000 AS DECIMAL(7, 0)) * CAST(a AS DECIMAL(19, 0)) DIV CAST(l + r AS DECIMAL(20, 0)) AS BIGINT)")
+    best = some.withColumn("score", score).groupBy("hi", "lo").agg(F.min(F.struct("score", "cut", "a", "l", "r")).alias("b")).select("hi", "lo", "b.a", "b.l", "b.r", "b.score")
+    inner = [df.select(F.col("n").alias("longer"), F.explode(F.array(*(piece(k, at, size) for size in range(2, k) for at in range(k - size + 1)))).alias("lo")) for k, df in levels[1:]]
+    longest = inner[0].unionByName(inner[1]).groupBy("lo").agg(F.max("longer").alias("longer"))
+    gone = longest.join(parts, "lo").filter(F.col("longer") * 100 >= F.col("n") * absorb).select(none.alias("hi"), "lo")
+    shared = spark.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        names, first = np.asarray(list(index.span), object), np.asarray([a for a, _ in index.span.values()])
+        for batch in batches:
+            hi, lo = (np.asarray(batch.column(c)) for c in ("hi", "lo"))
+            numbers = np.column_stack([hi, *(lo >> WIDE * i & mask for i in (2, 1, 0))]) - 1
+            taken = [index.words.take(pa.array(n, mask=n < 0)) for n in numbers.T]
+            phrase = pc.binary_join_element_wise(*taken, pa.scalar(" ", pa.large_string()), null_handling="skip").cast(pa.string())
+            start = numbers[np.arange(len(numbers)), (numbers >= 0).argmax(axis=1)]
+            lang = names[np.searchsorted(first, start, "right") - 1] if len(start) else []
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), phrase, *(batch.column(c) for c in ("a", "l", "r", "score"))], ["lang", "phrase", "a", "l", "r", "score"])
+
+    rows = best.join(gone, ["hi", "lo"], "left_anti").mapInArrow(run, "lang string, phrase string, a long, l long, r long, score long")
+    return _ranked(rows.join(words.filter(F.col("word").isNull()).select("lang", "n"), "lang"), top)
+
+
 def collocations_by_joins(docs: DataFrame, least: int = LEAST, absorb: int = ABSORB, top: int = TOP) -> DataFrame:
     """The same rows by grouped counts and joins, for any number of words and candidates; nothing is broadcast or collected."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

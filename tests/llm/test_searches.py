@@ -191,6 +191,20 @@ def test_collocations_are_those_of_counting_all(spark, least, absorb, top, seed)
     assert sorted(map(tuple, collocations.collocations(df, least, absorb, top, most=2).collect())) == want
 
 
+def test_many_candidates_are_counted_by_numbers(docs, spark, monkeypatch):
+    """More candidates than are broadcast, words that are: no texts are cut into strings of phrases."""
+    monkeypatch.setattr(collocations, "collocations_by_joins", None)
+    monkeypatch.setattr(collocations, "KEYS", 50)
+    for seed, least, absorb, top in ((1, 2, 80, 50), (2, 3, 50, 2000), (3, 1, 100, 2000)):
+        rows = some_texts(seed, 150)
+        df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+        want = phrases_plainly(rows, least, absorb, top)
+        assert sorted(map(tuple, collocations.collocations(df, least, absorb, top, held=2).collect())) == want and want
+    want = phrases_plainly([(r["lang"], r["text"]) for r in docs.collect()], 2, 80, 500)
+    assert sorted(map(tuple, collocations.collocations(docs, 2, 80, 500, held=2).collect())) == want
+    assert collocations.collocations(docs.limit(0), held=-1).collect() == []
+
+
 def test_collocations_of_awkward_rows(docs, none, spark):
     assert collocations.collocations(none).collect() == []
     assert collocations.collocations(docs.limit(0)).collect() == []
