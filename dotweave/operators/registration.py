@@ -17,6 +17,8 @@ from .graphs import components
 
 #: Larger shifts of a pair of tiles are no measurement.
 USABLE, FAILED = 20.0, 1000.0
+#: Bytes of strips that a task holds before it hands them on.
+STRIP_BYTES = 1 << 24
 
 
 def round_shifts_of(dots: pd.DataFrame, reference: int, rounds: int, shape: tuple[int, int], tolerance: float, least: int) -> pd.DataFrame:
@@ -134,6 +136,30 @@ def pair_shifts(beads: DataFrame, rects: DataFrame, tolerance: float = 3, rc: tu
     return rows.unionByName(marks).groupBy("a", "b").applyInPandas(run, schema)
 
 
+def cut_strips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """a, b, side, shape and pixels of the strips of images (shape, dtype, pixels, overlaps), in frames of about STRIP_BYTES: dark images
+    are few bytes to a shuffle, so a batch may hold thousands, whose strips are many times as large."""
+    far = {"a": ("top", "left"), "b": ("bottom", "right")}  # at which orders of tile a a side's strip lies at the far edge
+    known = ("top", "bottom"), ("left", "right")
+    frame = lambda made: pd.DataFrame(made, columns=["a", "b", "side", "shape", "pixels"])
+    for rows in batches:
+        made, size = [], 0
+        for pixels, dtype, shape, overlaps in zip(rows["pixels"], rows["dtype"], rows["shape"], rows["overlaps"]):
+            whole = np.frombuffer(pixels, dtype).reshape(tuple(shape))
+            for o in overlaps:
+                order, high_wide = (o["a_row"], o["a_column"]), (o["high"], o["wide"])
+                if any(x not in k for x, k in zip(order, known)) or min(high_wide) < 1:
+                    continue
+                ends = [slice(n - min(k, n), n) if x == f else slice(0, k) for n, k, x, f in zip(whole.shape, high_wide, order, far[o["side"]])]
+                strip = whole[tuple(ends)].astype(np.float64)
+                made.append((o["a"], o["b"], o["side"], list(strip.shape), strip.tobytes()))
+                size += strip.nbytes
+                if size >= STRIP_BYTES:
+                    yield frame(made)
+                    made, size = [], 0
+        yield frame(made)
+
+
 def overlap_strips(images: DataFrame, rects: DataFrame) -> DataFrame:
     """``a, b, side, shape, pixels``: what each tile's image (fov_num, shape, dtype, pixels) shows of each of its overlaps, as doubles.
 
@@ -144,26 +170,9 @@ def overlap_strips(images: DataFrame, rects: DataFrame) -> DataFrame:
     box = F.struct("a", "b", F.abs(F.col("r_br") - F.col("r_tl")).cast("int").alias("high"), F.abs(F.col("c_br") - F.col("c_tl")).cast("int").alias("wide"), "a_row", "a_column")
     ends = [rects.select(F.col(s).alias("fov_num"), F.struct(F.lit(s).alias("side"), *(box.getField(x).alias(x) for x in ("a", "b", "high", "wide", "a_row", "a_column"))).alias("o")) for s in ("a", "b")]
     cuts = ends[0].unionByName(ends[1]).groupBy("fov_num").agg(F.collect_list("o").alias("overlaps"))
-    far = {"a": ("top", "left"), "b": ("bottom", "right")}  # at which orders of tile a a side's strip lies at the far edge
-    known = ("top", "bottom"), ("left", "right")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            made = []
-            for img, overlaps in zip(rows.to_dict("records"), rows["overlaps"]):
-                whole = np.frombuffer(img["pixels"], img["dtype"]).reshape(tuple(img["shape"]))
-                for o in overlaps:
-                    order, size = (o["a_row"], o["a_column"]), (o["high"], o["wide"])
-                    if any(x not in k for x, k in zip(order, known)) or min(size) < 1:
-                        continue
-                    ends = [slice(n - min(k, n), n) if x == f else slice(0, k) for n, k, x, f in zip(whole.shape, size, order, far[o["side"]])]
-                    strip = whole[tuple(ends)].astype(np.float64)
-                    made.append((o["a"], o["b"], o["side"], list(strip.shape), strip.tobytes()))
-            yield pd.DataFrame(made, columns=["a", "b", "side", "shape", "pixels"])
-
     kind = lambda c: rects.schema[c].dataType.simpleString()
     whole = images.filter(F.col("pixels").isNotNull()).select("fov_num", "shape", "dtype", "pixels")
-    return whole.join(cuts, "fov_num").mapInPandas(run, f"a {kind('a')}, b {kind('b')}, side string, shape array<int>, pixels binary")
+    return whole.join(cuts, "fov_num").mapInPandas(cut_strips, f"a {kind('a')}, b {kind('b')}, side string, shape array<int>, pixels binary")
 
 
 def image_pair_shifts(images: DataFrame, rects: DataFrame) -> DataFrame:

@@ -734,6 +734,15 @@ def test_round_shifts_of_dots_half_a_frame_apart(spark):
     assert len(got) == 8 and {(x["dr"] + 2 * (x["round_num"] - 1), x["dc"] - (x["round_num"] - 1), x["n_match"]) for x in got} == {(0.0, 0.0, 2)}
 
 
+def test_strips_are_handed_on_before_a_batch_ends(monkeypatch):
+    monkeypatch.setattr(registration, "STRIP_BYTES", 1 << 16)
+    over = [{"side": s, "a": 1, "b": 2, "high": 24, "wide": 80, "a_row": "top", "a_column": "left"} for s in "ab"]
+    rows = pd.DataFrame([{"shape": [64, 80], "dtype": "uint16", "pixels": np.full((64, 80), i, "uint16").tobytes(), "overlaps": over} for i in range(50)])
+    made = list(registration.cut_strips(iter([rows])))
+    assert max(sum(map(len, m["pixels"])) for m in made) < 2 << 16 and sum(map(len, made)) == 100
+    assert [np.frombuffer(p)[0] for p in pd.concat(made)["pixels"]] == [i for i in range(50) for _ in "ab"]
+
+
 def test_image_pair_shifts_meet_the_strips_of_every_order(spark):
     rng = np.random.default_rng(4)
     canvas = rng.uniform(0, 1, (80, 90))
