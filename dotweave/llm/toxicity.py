@@ -119,16 +119,25 @@ def _distinct(h: np.ndarray) -> np.ndarray:
 
 
 def _document_counts(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    h = np.sort(np.concatenate([_distinct(_grams(t, width)) for t in texts]))
+    h = np.concatenate([_distinct(_grams(t, width)) for t in texts])
+    h.sort()
     edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]])) if len(h) else np.zeros(1, np.int64)
     return h[edges[:-1]], np.diff(edges)
 
 
 def _marking(toxic: list[bytes], ordinary: list[bytes], width: int) -> np.ndarray:
-    """The grams of toxic documents that ordinary documents do not explain, ascending."""
-    (gt, ct), (go, co) = _document_counts(toxic, width), _document_counts(ordinary, width)
-    at = np.minimum(np.searchsorted(go, gt), max(len(go) - 1, 0))
-    known = np.where(go[at] == gt, co[at], 0) if len(go) else np.zeros(len(gt))
+    """The grams of toxic documents that ordinary documents do not explain, ascending.
+
+    Of the ordinary documents, the larger class, only the grams that toxic ones have are counted, a document at a time.
+    """
+    gt, ct = _document_counts(toxic, width)
+    if not len(gt):
+        return gt
+    known = np.zeros(len(gt), np.int64)
+    for text in ordinary:
+        g = _distinct(_grams(text, width))
+        at = np.minimum(np.searchsorted(gt, g), len(gt) - 1)
+        known[at[gt[at] == g]] += 1
     expected = (known + 2) * len(toxic) / len(ordinary)
     return gt[(ct - expected) / np.sqrt(expected) >= OVER]
 

@@ -86,6 +86,26 @@ def test_toxicity_tells_planted_words():
     assert score([long, toxic[101]])[1] == score([toxic[101]])[0] and 0 <= score([long])[0] <= 1
 
 
+def test_marking_grams_take_no_memory_for_ordinary_texts():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    words = [bytes(rng.integers(97, 123, 6, np.uint8)) for _ in range(3_000)]
+    text = lambda n: b" ".join(words[i] for i in rng.integers(0, len(words), n))
+    toxic = [text(20) + b" vile slur here " + text(20) for _ in range(60)]
+    ordinary = [text(700) for _ in range(600)]
+    tracemalloc.start()
+    got = toxicity._marking(toxic, ordinary, 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20 < sum(map(len, ordinary)) * 8 / 4
+    counts = [[set(toxicity._grams(t, 7).tolist()) for t in x] for x in (toxic, ordinary)]
+    some, many = ({g: sum(g in c for c in x) for g in set().union(*counts[0])} for x in counts)
+    expect = {g: (many[g] + 2) * len(toxic) / len(ordinary) for g in some}
+    assert got.tolist() == sorted(g for g in some if (some[g] - expect[g]) / expect[g] ** 0.5 >= toxicity.OVER) and len(got) > 5
+    assert not len(toxicity._marking([b"ab"], ordinary, 7))
+
+
 def test_windows_cover_whole_texts(monkeypatch):
     monkeypatch.setattr(toxicity, "SLAB", 500)
     rng = random.Random(3)
