@@ -222,16 +222,27 @@ def beads(images: DataFrame, params: dict, kind: str) -> DataFrame:
     return images.mapInPandas(run, _DOTS)
 
 
-def from_sparse(pixels: DataFrame, by: list[str], shape: tuple[int, int], dtype: str = "uint16") -> DataFrame:
-    """``by``, shape, dtype, pixels: one dense image of each group of sparse pixels (r, c, n); absent ones are 0."""
-    keys = ", ".join(f"`{b}` {pixels.schema[b].dataType.simpleString()}" for b in by)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        img = np.zeros(shape, dtype)
-        img[group["r"], group["c"]] = group["n"]
-        return pd.DataFrame([{**{b: group[b].iloc[0] for b in by}, "shape": list(shape), "dtype": dtype, "pixels": img.tobytes()}])
+def from_sparse(pixels: DataFrame, by: list[str], shape: tuple[int, int], dtype: str = "uint16", chunk: tuple[int, int] | None = None) -> DataFrame:
+    """``by``, shape, dtype, pixels: one dense image of each group of sparse pixels (r, c, n); absent ones are 0.
 
-    return pixels.groupBy(*by).applyInPandas(run, f"{keys}, shape array<int>, dtype string, pixels binary")
+    With ``chunk``, images are made in pieces of that size (smaller at the ends), so that no task holds a whole one: ``shape`` is
+    the piece's, ``origin`` its place and ``whole`` the image's shape. Pieces without a pixel are left out.
+    """
+    keys = ", ".join(f"`{b}` {pixels.schema[b].dataType.simpleString()}" for b in by)
+    if chunk is None:
+        place, more = [], ""
+    else:
+        place, more = [F.floor(F.col(x) / side).alias(f"_{x}") for x, side in zip(("r", "c"), chunk)], ", origin array<int>, whole array<int>"
+
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        at = [int(k) * side for k, side in zip(key[len(by) :], chunk)] if chunk else [0, 0]
+        size = [min(side, n - o) for side, n, o in zip(chunk or shape, shape, at)]
+        img = np.zeros(size, dtype)
+        img[group["r"] - at[0], group["c"] - at[1]] = group["n"]
+        row = {**{b: group[b].iloc[0] for b in by}, "shape": size, "dtype": dtype, "pixels": img.tobytes()}
+        return pd.DataFrame([{**row, "origin": at, "whole": list(shape)} if chunk else row])
+
+    return pixels.groupBy(*by, *place).applyInPandas(run, f"{keys}, shape array<int>, dtype string, pixels binary{more}")
 
 
 def dark_pixels(pixels: DataFrame, by: tuple[str, ...] = ("channel",), value: str = "value") -> DataFrame:

@@ -665,7 +665,7 @@ def chunk_round_trip(spark, d):
     high, wide = _dots(spark, d).agg(F.max("r").cast("int") + 1, F.floor(F.max("c")).cast("int") + 1).first()
     pixels = _dots(spark, d).groupBy("fov_num", "channel", "round_num", F.col("r").cast("int").alias("r"), F.floor("c").cast("int").alias("c")).agg(F.count("*").alias("n"))
     path = f"{shared_dir(spark)}/chunks-{uuid.uuid4().hex}"
-    chunks.write(images.from_sparse(pixels, ["fov_num", "channel", "round_num"], (high, wide)), path, "2048,2048")
+    chunks.write(images.from_sparse(pixels, ["fov_num", "channel", "round_num"], (high, wide), chunk=(2048, 2048)), path, "2048,2048")
     found = chunks.sparse(chunks.read(spark, path))
     return found.select("fov_num", "channel", "round_num", F.col("at")[0].alias("r"), F.col("at")[1].alias("c"), "value")
 

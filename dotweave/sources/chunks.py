@@ -32,6 +32,8 @@ from pyspark.sql.types import StructType
 KEYS = ("grp_name", "fov_num", "channel", "round_num")
 SCHEMA = "grp_name string, fov_num int, channel string, round_num int, chunk string, origin array<int>, shape array<int>, dtype string, pixels binary"
 ARRAY = "pixels"
+#: Pixels that are made rows at once.
+PIXELS = 100_000
 _COMPARED = {EqualTo: eq, GreaterThan: gt, GreaterThanOrEqual: ge, LessThan: lt, LessThanOrEqual: le}
 
 
@@ -116,7 +118,11 @@ class ChunkReader(DataSourceReader):
 
 
 class ChunkWriter(DataSourceWriter):
-    """Rows are images: ``KEYS`` (grp_name may be null), shape, dtype and pixels; they are cut into chunks of the option ``chunks``."""
+    """Rows are images: ``KEYS`` (grp_name may be null), shape, dtype and pixels; they are cut into chunks of the option ``chunks``.
+
+    With the columns ``origin`` and ``whole`` rows are pieces of an image of shape ``whole``; each begins at a chunk and ends at
+    one or at the image's end. A chunk of no piece stays absent.
+    """
 
     def __init__(self, path: str, schema: StructType, chunks: list[int], packed: bool, overwrite: bool):
         self.path, self.names, self.chunks, self.packed, self.overwrite = path, schema.fieldNames(), chunks, packed, overwrite
@@ -127,25 +133,30 @@ class ChunkWriter(DataSourceWriter):
             row = dict(zip(self.names, r))
             image = np.frombuffer(row["pixels"], row["dtype"]).reshape(row["shape"])
             group = row.get("grp_name") or f"{row['fov_num']}_{row['channel']}_{row['round_num']}"
-            size = [min(n, c) if c else n for n, c in zip(image.shape, (self.chunks + [0] * image.ndim)[: image.ndim])]
+            whole, origin = row.get("whole") or list(image.shape), row.get("origin") or [0] * image.ndim
+            size = [min(n, c) if c else n for n, c in zip(whole, (self.chunks + [0] * image.ndim)[: image.ndim])]
+            if any(o % c or (n % c and o + n != w) for o, n, c, w in zip(origin, image.shape, size, whole)):
+                raise ValueError(f"the piece of {group} at {origin} is cut between chunks")
             for at in np.ndindex(*(-(-n // c) for n, c in zip(image.shape, size))):
                 part = image[tuple(slice(i * c, (i + 1) * c) for i, c in zip(at, size))]
                 full = np.zeros(size, image.dtype)
                 full[tuple(slice(n) for n in part.shape)] = part
                 raw = full.tobytes()
-                _put(os.path.join(self.path, group, ARRAY, ".".join(map(str, at))), zlib.compress(raw, 1) if self.packed else raw)
-            array = {"zarr_format": 2, "shape": list(image.shape), "chunks": size, "dtype": image.dtype.str, "fill_value": 0, "order": "C", "filters": None, "compressor": {"id": "zlib", "level": 1} if self.packed else None}
+                name = ".".join(str(o // c + i) for o, c, i in zip(origin, size, at))
+                _put(os.path.join(self.path, group, ARRAY, name), zlib.compress(raw, 1) if self.packed else raw)
+            array = {"zarr_format": 2, "shape": list(whole), "chunks": size, "dtype": image.dtype.str, "fill_value": 0, "order": "C", "filters": None, "compressor": {"id": "zlib", "level": 1} if self.packed else None}
             images[group] = ({k: row.get(k) for k in KEYS if k != "grp_name"}, array)
         return Written(images)
 
     def commit(self, messages: list[Written | None]) -> None:
         metadata = {} if self.overwrite else _metadata(self.path)
         metadata[".zgroup"] = {"zarr_format": 2}
-        for m in messages:
-            for group, (attrs, array) in (m.images if m else {}).items():
-                for name, body in ((f"{group}/.zgroup", {"zarr_format": 2}), (f"{group}/.zattrs", attrs), (f"{group}/{ARRAY}/.zarray", array)):
-                    metadata[name] = body
-                    _put(os.path.join(self.path, name), json.dumps(body).encode())
+        # pieces of an image name it once each
+        images = {group: found for m in messages if m for group, found in m.images.items()}
+        for group, (attrs, array) in images.items():
+            for name, body in ((f"{group}/.zgroup", {"zarr_format": 2}), (f"{group}/.zattrs", attrs), (f"{group}/{ARRAY}/.zarray", array)):
+                metadata[name] = body
+                _put(os.path.join(self.path, name), json.dumps(body).encode())
         _put(os.path.join(self.path, ".zmetadata"), json.dumps({"zarr_consolidated_format": 1, "metadata": metadata}).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -185,7 +196,7 @@ def read(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFrame:
 
 
 def write(images: DataFrame, path: str, chunks: str = "1", packed: bool = True, mode: str = "overwrite") -> None:
-    """Write images (fov_num, channel, round_num, shape, dtype, pixels; grp_name if there is one) as chunked arrays."""
+    """Write images (fov_num, channel, round_num, shape, dtype, pixels; grp_name if there is one) or pieces of images (with origin, whole) as chunked arrays."""
     register(images.sparkSession)
     images.write.format("array_chunks").option("chunks", chunks).option("packed", str(packed).lower()).mode(mode).save(path)
 
@@ -200,9 +211,10 @@ def sparse(chunks: DataFrame) -> DataFrame:
         for rows in batches:
             for row in rows.itertuples(index=False):
                 image = np.frombuffer(row.pixels, row.dtype).reshape(tuple(row.shape))
-                at = np.argwhere(image)
-                if not len(at):
-                    continue
-                yield pd.DataFrame({"grp_name": row.grp_name, "fov_num": row.fov_num, "channel": row.channel, "round_num": row.round_num, "at": list((at + np.asarray(row.origin)).astype("int32")), "value": image[tuple(at.T)].astype(float)})
+                lit = np.flatnonzero(image)
+                # a row of its own for each pixel takes much more than the chunk
+                for part in np.split(lit, range(PIXELS, len(lit), PIXELS)) if len(lit) else ():
+                    at = np.stack(np.unravel_index(part, image.shape), axis=1)
+                    yield pd.DataFrame({"grp_name": row.grp_name, "fov_num": row.fov_num, "channel": row.channel, "round_num": row.round_num, "at": list((at + np.asarray(row.origin)).astype("int32")), "value": image.ravel()[part].astype(float)})
 
     return chunks.select("grp_name", "fov_num", "channel", "round_num", "origin", "shape", "dtype", "pixels").mapInPandas(run, schema)

@@ -937,3 +937,23 @@ def test_objects_and_peaks_on_sparse_pixels(spark, monkeypatch, diagonal):
     got = detection.peaks(df, ["image"], 2, 2, 30, per_object=2, frame=(30, 40), diagonal=diagonal)
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert detection.peaks(df.limit(0), ["image"], 2, 2, 30).count() == 0
+
+
+def test_images_are_made_and_written_by_chunks(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    shape = (70, 45)
+    dots = {(int(f), int(r), int(c)): int(n) for f, r, c, n in zip(rng.integers(0, 2, 150), rng.integers(0, 40, 150), rng.integers(0, 45, 150), rng.integers(1, 9, 150))}
+    dots[0, 69, 44] = 3
+    pixels = spark.createDataFrame([(f, "a", 1, *at, n) for (f, *at), n in dots.items()], "fov_num int, channel string, round_num int, r int, c int, n long")
+    by = ["fov_num", "channel", "round_num"]
+    pieces = images.from_sparse(pixels, by, shape, chunk=(16, 20))
+    assert all(len(p["pixels"]) <= 16 * 20 * 2 and p["whole"] == list(shape) for p in pieces.collect())
+    path = str(tmp_path / "pieces")
+    chunks.write(pieces, path, "16,20")
+    chunks.write(images.from_sparse(pixels, by, shape), str(tmp_path / "whole"), "16,20")
+    place = ["fov_num", "chunk", "origin", "shape"]
+    back, whole = (chunks.read(spark, p).select(*place, "pixels").collect() for p in (path, str(tmp_path / "whole")))
+    assert len(back) == 2 * 5 * 3 and sorted(back) == sorted(whole)
+    assert {(r["fov_num"], *r["at"]): int(r["value"]) for r in chunks.sparse(chunks.read(spark, path)).collect()} == dots
+    with pytest.raises(Exception, match="cut between chunks"):
+        chunks.write(pieces, str(tmp_path / "bad"), "16,16")
