@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import product
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.lineage import cut
 from .spatial import radius_join
 
 
@@ -18,19 +22,35 @@ def signatures(points: DataFrame, k: int, radius: float, rc: tuple[str, str], ke
     return made.filter(F.size("signature") == k)
 
 
-def matches(a: DataFrame, b: DataFrame, tolerance: float, key: str, by: list[str], rc: tuple[str, str]) -> DataFrame:
+def matches(a: DataFrame, b: DataFrame, tolerance: float, key: str, by: list[str], rc: tuple[str, str], cells: int = 1) -> DataFrame:
     """Pairs whose signatures differ by at most ``tolerance`` in every distance, the closest of each point of ``a``.
 
-    The first distance, in steps of the tolerance, is the key of an equi-join, so signatures are not compared all with all.
+    Signatures meet in cells of their first ``cells`` distances, an equi-join, and equal ones count as one: of ``b`` the smallest
+    ``key`` stands for them. Cells are small at first: a match whose distances differ by less than a cell's side in sum can't be
+    bettered by one in a farther cell, so only signatures without such a match go on to larger cells, the last as large as the tolerance.
     """
-    step = F.floor(F.col("signature")[0] / tolerance)
-    right = b.withColumnsRenamed({key: f"r_{key}", rc[0]: f"r_{rc[0]}", rc[1]: f"r_{rc[1]}", "signature": "r_signature"})
-    right = right.withColumn("_s", F.explode(F.array(*[F.floor(F.col("r_signature")[0] / tolerance) + i for i in (-1, 0, 1)])))
-    joined = a.withColumn("_s", step).join(right, [*by, "_s"])
+    right = cut(b.groupBy(*by, F.col("signature").alias("r_signature")).agg(F.min(F.struct(key, *rc)).alias("_b")))
+    left, done = cut(a.select(*by, "signature").distinct()), []
+    places = [f"_s{i}" for i in range(cells)]
+    offsets = F.array(*[F.array(*map(F.lit, o)) for o in product((-1, 0, 1), repeat=cells)])
     off = F.zip_with("signature", "r_signature", lambda x, y: F.abs(x - y))
-    near = joined.withColumns({"worst": F.array_max(off), "total": F.aggregate(off, F.lit(0.0), lambda x, y: x + y)}).filter(F.col("worst") <= tolerance)
-    best = Window.partitionBy(*by, key).orderBy("total", f"r_{key}")
-    return near.withColumn("_k", F.row_number().over(best)).filter("_k = 1").select(*by, key, f"r_{key}", *rc, f"r_{rc[0]}", f"r_{rc[1]}", "total")
+    for parts in (32, 8, 2, 1):
+        side = tolerance / parts
+        at = lambda column, i: F.floor(F.col(column)[i] / side)  # noqa: B023, E731
+        spread = right.withColumn("_o", F.explode(offsets)).select(*by, "r_signature", "_b", *((at("r_signature", i) + F.col("_o")[i]).alias(x) for i, x in enumerate(places)))
+        joined = left.withColumns({x: at("signature", i) for i, x in enumerate(places)}).join(spread, [*by, *places])
+        near = joined.withColumns({"worst": F.array_max(off), "total": F.aggregate(off, F.lit(0.0), lambda x, y: x + y)}).filter(F.col("worst") <= tolerance)
+        found = near.groupBy(*by, "signature").agg(F.min(F.struct("total", "_b")).alias("_m"))
+        # a little less than the side, for rounding
+        sure = cut(found.filter(F.col("_m.total") <= side * 0.999) if parts > 1 else found)
+        done.append(sure)
+        if parts == 1:
+            break
+        left = cut(left.join(sure.select(*by, "signature"), [*by, "signature"], "left_anti"))
+        if left.isEmpty():
+            break
+    best = reduce(lambda x, y: x.unionByName(y), done)
+    return a.join(best, [*by, "signature"]).select(*by, key, F.col(f"_m._b.{key}").alias(f"r_{key}"), *rc, *(F.col(f"_m._b.{x}").alias(f"r_{x}") for x in rc), F.col("_m.total").alias("total"))
 
 
 def hypotheses(found: DataFrame, by: list[str], rc: tuple[str, str], trials: int = 64, order: tuple[str, ...] = ()) -> DataFrame:

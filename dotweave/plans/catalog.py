@@ -723,7 +723,7 @@ SELECT a, b, round(total, 6) AS total FROM coupled QUALIFY row_number() OVER (PA
 )
 def constellation_matches(spark, d):
     rows = _signed(spark, d)
-    found = constellations.matches(rows.filter("round_num = 1"), rows.filter("round_num = 3"), 0.5, "dot_id", ["fov_num"], RC)
+    found = constellations.matches(rows.filter("round_num = 1"), rows.filter("round_num = 3"), 0.5, "dot_id", ["fov_num"], RC, cells=3)
     return found.select(F.col("dot_id").alias("a"), F.col("r_dot_id").alias("b"), F.round("total", 6).alias("total"))
 
 

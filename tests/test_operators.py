@@ -957,3 +957,21 @@ def test_images_are_made_and_written_by_chunks(spark, tmp_path):
     assert {(r["fov_num"], *r["at"]): int(r["value"]) for r in chunks.sparse(chunks.read(spark, path)).collect()} == dots
     with pytest.raises(Exception, match="cut between chunks"):
         chunks.write(pieces, str(tmp_path / "bad"), "16,16")
+
+
+@pytest.mark.parametrize("cells", [1, 3])
+def test_matches_of_equal_and_of_close_signatures(spark, cells):
+    rng = random.Random(8)
+    sign = lambda: tuple(sorted(rng.randrange(33) / 8 for _ in range(3)))
+    some, others = ({f"{side}{i:03}": (i % 2, sign()) for i in range(150)} for side in "ab")
+    made = lambda x: spark.createDataFrame([(f, i, 1.0, 2.0, list(s)) for i, (f, s) in x.items()], "fov int, id string, r double, c double, signature array<double>")
+    # 30,000 equal ones on each side, which would be 9e8 pairs
+    crowd = lambda side: spark.range(30_000).selectExpr("7 AS fov", f"concat('{side}', lpad(id, 6, '0')) AS id", "1D AS r", "2D AS c", "array(90D, 91D, 92D) AS signature")
+    got = constellations.matches(made(some).union(crowd("a")), made(others).union(crowd("b")), 0.5, "id", ["fov"], ("r", "c"), cells).collect()
+    want = {}
+    for i, (f, s) in some.items():
+        near = [(sum(d), j) for j, (g, t) in others.items() if g == f and max(d := [abs(x - y) for x, y in zip(s, t)]) <= 0.5]
+        if near:
+            want[i] = min(near)
+    assert {r["id"]: (r["total"], r["r_id"]) for r in got if r["fov"] != 7} == want and len(want) > 20
+    assert {(r["r_id"], r["total"]) for r in got if r["fov"] == 7} == {("b000000", 0.0)} and len(got) == len(want) + 30_000
