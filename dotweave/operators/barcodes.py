@@ -23,6 +23,8 @@ MOST_BITS = 64
 MOST_DOTS = 50_000
 #: Side of a tile of dots, in radii.
 TILE = 128
+#: Dots of the tiles that are decoded at once, about: a tile alone has too few to be worth a call.
+RUN_DOTS = 20_000
 
 
 def barcode_bits(matches: DataFrame, reference: str, round_num: str = "round_num") -> DataFrame:
@@ -121,9 +123,8 @@ def _nearest(ref: np.ndarray, other: np.ndarray, radius: float, kind_ref: np.nda
     return best
 
 
-def _linked(rc: np.ndarray, radius: float) -> np.ndarray:
-    """For each point the smallest number of a point that a chain of links within ``radius`` leads to."""
-    kind = np.zeros(len(rc), np.int64)
+def _linked(rc: np.ndarray, radius: float, kind: np.ndarray) -> np.ndarray:
+    """For each point the smallest number of a point of its kind that a chain of links within ``radius`` leads to."""
     one, two, _ = _pairs(rc, rc, radius, kind, kind)
     label = np.arange(len(rc))
     while True:
@@ -136,6 +137,15 @@ def _linked(rc: np.ndarray, radius: float) -> np.ndarray:
         label = new
 
 
+def _least(ids: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """For each row the smallest of ``ids`` among rows of its ``label``."""
+    order = np.argsort(ids, kind="stable")
+    _, first, group = np.unique(label[order], return_index=True, return_inverse=True)
+    least = np.empty(len(ids), object)
+    least[order] = ids[order[first]][group]
+    return least
+
+
 def sequence_owners(rounds: np.ndarray, rc: np.ndarray, kind: np.ndarray, radius: float, length: int) -> np.ndarray:
     """Sequential consumption, round after round: for each dot the row of the dot that took it, itself if none did, -1 beyond ``length``.
 
@@ -186,18 +196,22 @@ def _decoded_tiles(rows: DataFrame, radius: float, length: int, by: tuple[str, .
     span = lambda x: F.explode(F.sequence(F.floor((F.col(x) - radius) / side), F.floor((F.col(x) + radius) / side)))
     own = (F.floor(F.col("r") / side) == F.col("_tr")) & (F.floor(F.col("c") / side) == F.col("_tc"))
     tiled = rows.withColumn("_tr", span("r")).withColumn("_tc", span("c")).withColumn("own", own)
+    # a run holds many tiles, each a kind of its own
+    runs = max(1, rows.count() // RUN_DOTS)
+    tiled = tiled.withColumn("_run", F.pmod(F.xxhash64(*by, "_tr", "_tc"), F.lit(runs)))
     names = [x.split()[0] for x in _TILED.split(", ")]
 
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def run(group: pd.DataFrame) -> pd.DataFrame:
         group, rounds, rc = _in_order(group)
         own = group["own"].to_numpy(bool)
-        label = _linked(rc, radius)
+        tile = group.groupby([*by, "_tr", "_tc"], dropna=False, sort=False).ngroup().to_numpy(np.int64)
+        label = _linked(rc, radius, tile)
         crossing = np.isin(label, label[~own])
         inside = ~crossing
         ids = group["dot_id"].to_numpy(object)
         # the smallest dot of each cluster names it: the same for all tiles that it lies in with all of its dots there
-        least = pd.Series(ids).groupby(label).transform("min").to_numpy(object)
-        owner = sequence_owners(rounds[inside], rc[inside], np.zeros(inside.sum(), np.int64), radius, length) if inside.any() else np.zeros(0, int)
+        least = _least(ids, label)
+        owner = sequence_owners(rounds[inside], rc[inside], tile[inside], radius, length) if inside.any() else np.zeros(0, int)
         taken = np.full(len(ids), None, object)
         kept = np.flatnonzero(inside)
         taken[kept[owner >= 0]] = ids[kept[owner[owner >= 0]]]
@@ -205,14 +219,14 @@ def _decoded_tiles(rows: DataFrame, radius: float, length: int, by: tuple[str, .
         out = out[crossing | (taken != None)]  # noqa: E711
         return out[[*by, *names]]
 
-    return tiled.groupBy(*by, "_tr", "_tc").applyInPandas(run, _keyed(rows, by, _TILED))
+    return tiled.groupBy("_run").applyInPandas(run, _keyed(rows, by, _TILED))
 
 
 def owners(dots: DataFrame, radius: float, length: int = LENGTH, by: tuple[str, ...] = ("fov_num", "channel"), rc: tuple[str, str] = ("r_px_registered", "c_px_registered")) -> DataFrame:
     """``by``, dot_id, round_num, r, c and ``barcode_reference_dot_id``, the dot that took it in sequential consumption, or itself.
 
     Dots that no chain of links within the radius joins never meet, so what one task holds is a cluster of dots, not an
-    image. Dots are dealt to tiles of TILE radii, with a margin of one. A cluster without dots in the margin lies in its
+    image. Dots are dealt to tiles of TILE radii, with a margin of one, and tiles to runs. A cluster without dots in the margin lies in its
     tile and is decoded there. Of the others, the pieces that share a dot are joined over the tiles' borders (components
     of pieces), and their dots are dealt again, by cluster, in runs of about MOST_DOTS. Tiles and clusters of more dots
     than that are decoded by joins, one round after another.
