@@ -13,6 +13,10 @@ from ..functions.lineage import cut
 from .spatial import radius_join
 
 
+#: Hypotheses of all groups that every task is handed; more are joined with the matches by group.
+HANDED = 100_000
+
+
 def signatures(points: DataFrame, k: int, radius: float, rc: tuple[str, str], key: str, by: list[str]) -> DataFrame:
     """``by, key, r, c, signature``: ascending distances to the k nearest points of the same group within ``radius``; points with fewer are left out."""
     slim = points.select(*by, key, *rc)
@@ -86,14 +90,16 @@ def group_similarities(found: DataFrame, by: list[str], rc: tuple[str, str], tol
     """
     r, c, rr, rc_ = (F.col(x) for x in _coordinates(rc))
     rows = found.dropna(subset=list(_coordinates(rc))).select(*dict.fromkeys((*by, *_coordinates(rc), *order)))
-    guesses = hypotheses(rows, by, rc, trials, order)
-    tables = guesses.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("trial", "p", "q", "tr", "tc"))).alias("_guesses"))
-    fits = lambda g: (
-        (g["p"] * r - g["q"] * c + g["tr"] - rr) * (g["p"] * r - g["q"] * c + g["tr"] - rr) + (g["q"] * r + g["p"] * c + g["tc"] - rc_) * (g["q"] * r + g["p"] * c + g["tc"] - rc_) <= tolerance * tolerance
-    )
-    votes = _join_groups(rows, tables, by).select(*by, F.explode(F.filter("_guesses", fits)).alias("_g")).groupBy(*by, "_g").agg(F.count(F.lit(1)).alias("_n"))
-    best = votes.groupBy(*by).agg(F.max_by("_g", F.struct("_n", -F.col("_g.trial"))).alias("_g"))
-    inner = _join_groups(rows, best, by).filter(fits(F.col("_g")))
+    guesses = cut(hypotheses(rows, by, rc, trials, order).select(*by, *(F.col(x).alias(f"_{x}") for x in ("trial", "p", "q", "tr", "tc"))))
+    # few groups have all of their matches in a few tasks, if matches are dealt by group
+    handed = F.broadcast if guesses.count() <= HANDED else lambda x: x
+    p, q, tr, tc = (F.col(f"_{x}") for x in ("p", "q", "tr", "tc"))
+    away, aside = p * r - q * c + tr - rr, q * r + p * c + tc - rc_
+    fits = away * away + aside * aside <= tolerance * tolerance
+    votes = _join_groups(rows, handed(guesses), by).filter(fits).groupBy(*by, "_trial").agg(F.count(F.lit(1)).alias("_n"))
+    first = cut(votes.groupBy(*by).agg(F.max_by("_trial", F.struct("_n", -F.col("_trial"))).alias("_trial")))
+    best = _join_groups(guesses, first, [*by, "_trial"])
+    inner = _join_groups(rows, handed(best), by).filter(fits)
     den = F.var_pop(r) + F.var_pop(c)
     p, q = (F.covar_pop(r, rr) + F.covar_pop(c, rc_)) / F.nullif(den, F.lit(0.0)), (F.covar_pop(r, rc_) - F.covar_pop(c, rr)) / F.nullif(den, F.lit(0.0))
     sums = inner.groupBy(*by).agg(p.alias("_p"), q.alias("_q"), *(F.avg(x).alias(f"_m{i}") for i, x in enumerate((r, c, rr, rc_))), F.count(F.lit(1)).alias("_n"))

@@ -841,6 +841,27 @@ def _shuffled(spark, from_stage=0):
     return sum(x.shuffleWriteRecords() for x in stages if x.stageId() >= from_stage), max([x.stageId() + 1 for x in stages], default=0)
 
 
+def test_group_similarities_deal_no_matches_by_group(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = []
+    for i in range(4000):
+        g, r, c, off = i % 2 or None, rng.random() * 100, rng.random() * 100, 50.0 if i % 5 < 2 else rng.random() * 0.1
+        rows.append((g, i, r, c, 2 * c + off, -2 * r + 3 + off))
+    found = spark.createDataFrame(rows, "g int, i int, r double, c double, r_r double, r_c double")
+    fits = lambda: sorted(map(str, constellations.group_similarities(found, ["g"], RC, 1.0, order=("i",)).select("g", F.round("degrees", 3), F.round("scale", 2), "inliers").collect()))
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, stage = _shuffled(spark)
+        got = fits()
+        assert [x for x in got if "inliers=1200" in x] == got and len(got) == 2
+        assert _shuffled(spark, stage)[0] < len(rows)
+        monkeypatch.setattr(constellations, "HANDED", 0, raising=False)
+        assert fits() == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+
+
 @pytest.mark.parametrize("block", [40, 20_000])
 def test_k_nearest_in_blocks_shuffles_points_not_pairs(spark, monkeypatch, block):
     rng = random.Random(block)
