@@ -25,10 +25,9 @@ def runs(pixels: DataFrame, by: list[str]) -> DataFrame:
     return grouped.groupBy(*by, "r", "_g").agg(F.min("c").alias("first"), F.max("c").alias("last"), F.count("*").alias("n")).drop("_g")
 
 
-def objects(pixels: DataFrame, by: list[str], diagonal: bool = True) -> DataFrame:
-    """:func:`runs` with ``object``, the (image, row, first column) of its object's first run: runs that touch across rows are one object."""
-    name = F.struct(*by, "r", "first")
-    made = cut(runs(pixels, by).withColumn("node", name))
+def _numbered(pixels: DataFrame, by: list[str], diagonal: bool) -> DataFrame:
+    """:func:`runs` with ``object``, the number of one of its object's runs: rounds over numbers shuffle far less than names would."""
+    made = cut(runs(pixels, by).withColumn("node", F.monotonically_increasing_id()))
     reach = 1 if diagonal else 0
     strips = lambda lo, hi: F.explode(F.sequence(F.floor(lo / STRIP), F.floor(hi / STRIP)))
     upper = made.select(*by, (F.col("r") + 1).alias("r"), F.col("first").alias("uf"), F.col("last").alias("ul"), F.col("node").alias("a"), strips(F.col("first") - reach, F.col("last") + reach).alias("_s"))
@@ -37,6 +36,13 @@ def objects(pixels: DataFrame, by: list[str], diagonal: bool = True) -> DataFram
     return made.join(components(touching), "node", "left").withColumn("object", F.coalesce("root", "node")).drop("node", "root")
 
 
+def objects(pixels: DataFrame, by: list[str], diagonal: bool = True) -> DataFrame:
+    """:func:`runs` with ``object``, the (image, row, first column) of its object's first run: runs that touch across rows are one object."""
+    numbered = _numbered(pixels, by, diagonal)
+    names = numbered.groupBy("object").agg(F.min(F.struct(*by, "r", "first")).alias("_name"))
+    return numbered.join(names, "object").withColumn("object", F.col("_name")).select(*by, "r", "first", "last", "n", "object")
+
+
 def object_sizes(labelled: DataFrame) -> DataFrame:
     """``object``, n of :func:`objects`: runs carry their lengths, so no pixel is touched."""
     return labelled.groupBy("object").agg(F.sum("n").alias("n"))
@@ -49,7 +55,7 @@ def peaks(pixels: DataFrame, by: list[str], min_distance: int, min_size: int, ma
     columns is brighter; of an object's peaks the ``per_object`` brightest stay (ties to the first row, then column).
     With ``frame`` (rows, columns) peaks within ``min_distance`` of an edge are left out.
     """
-    labelled = objects(pixels, by, diagonal)
+    labelled = cut(_numbered(pixels, by, diagonal))
     fits = object_sizes(labelled).filter(F.col("n").between(min_size, max_size)).select("object", F.col("n").alias("size"))
     cells = labelled.join(fits, "object").select("object", "size", *by, "r", F.explode(F.sequence("first", "last")).alias("c"))
     lit = cut(cells.join(pixels.groupBy(*by, "r", "c").agg(F.max("value").alias("value")), [*by, "r", "c"]))

@@ -862,6 +862,16 @@ def test_group_similarities_deal_no_matches_by_group(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
 
 
+def test_objects_are_linked_by_numbers_and_named_by_their_first_run(spark, monkeypatch):
+    nodes, link = [], detection.components
+    monkeypatch.setattr(detection, "components", lambda edges: nodes.append(edges.schema["a"].dataType.simpleString()) or link(edges))
+    pixels = [("x", 4, 1, 1), ("x", 3, 2, 5), ("x", 2, 3, 1), ("x", 2, 4, 1), ("x", 9, 9, 1), ("y", 2, 3, 1), (None, 2, 3, 1)]
+    df = spark.createDataFrame(pixels, "image string, r int, c int, value int")
+    got = {(x["image"], x["r"], x["first"]): tuple(x["object"]) for x in detection.objects(df, ["image"]).collect()}
+    assert got == {("x", 4, 1): ("x", 2, 3), ("x", 3, 2): ("x", 2, 3), ("x", 2, 3): ("x", 2, 3), ("x", 9, 9): ("x", 9, 9), ("y", 2, 3): ("y", 2, 3), (None, 2, 3): (None, 2, 3)}
+    assert nodes == ["bigint"]
+
+
 @pytest.mark.parametrize("block", [40, 20_000])
 def test_k_nearest_in_blocks_shuffles_points_not_pairs(spark, monkeypatch, block):
     rng = random.Random(block)
