@@ -7,10 +7,12 @@ still parts them. What is shuffled is counts of cells, never pairs of points, an
 points is one row.
 
 The search goes from coarse to fine. First only a window around the pin takes part, so small that half a step of scale
-or angle moves its edge by half a cell and that it holds about a thousand points; each further level doubles the
-window around the best guesses and halves the steps that are too wide for it, until the window holds the target. So a coarse grid of guesses never meets all points, and the last level, which
-does, has few guesses and offsets of a few cells. The nearest neighbours under the winner then give scale, angle and offset
-in closed form, from sums.
+or angle moves its edge by half a cell and that it holds about a thousand points; each further level widens the
+window around the best guesses and halves the steps that are too wide for it, until the window holds the target. These levels count
+votes in each part of the window apart, and a part tells what the neighbours of a guess would have got there, as a step of
+scale or angle moves all of a part alike. So the grid of guesses never meets all points: they are placed once for each of the
+few guesses that are left, mostly one. Where the votes of the parts lie then gives scale, angle and offset
+to less than a cell, and the nearest neighbours under the winner give them in closed form, from sums.
 
 The driver holds the guesses (``scales x degrees`` at most) and a few rows of each level; points stay in their tables.
 Null or non-finite coordinates take no part; ties go to the earlier guess; sets that nothing can be said of give None.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from math import atan2, ceil, cos, degrees as to_degrees, hypot, radians, sin
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,10 @@ from . import spatial
 RC = ("r", "c")
 #: Guesses that each level hands on.
 BEAM = 2
+#: Parts of a side of the window that vote apart.
+PARTS = 8
+#: Cells that a part sees an offset of, in each direction: two of the offset and two of scale and angle.
+SEEN = 4
 #: Target points in the first window, about.
 ENOUGH = 1_000
 #: Bins of a side of the histogram that tells how evenly a chunk is filled.
@@ -139,28 +146,124 @@ def guessed(source: DataFrame, guesses: list[tuple], reach: float) -> DataFrame:
     return moved.filter((F.abs("r") <= reach) & (F.abs("c") <= reach))
 
 
+def _met(target: DataFrame, moved: DataFrame, k: int, bins: float) -> DataFrame:
+    """Pairs of cells up to ``k`` cells apart: guess, the moved cell i, j, the offset di, dj to the target's, and n, the product of their counts."""
+    cell = lambda x: F.floor(F.col(x) / bins)
+    one = target.groupBy(cell("r").alias("ti"), cell("c").alias("tj")).agg(F.count("*").alias("tn"))
+    two = moved.groupBy("guess", cell("r").alias("i"), cell("c").alias("j")).agg(F.count("*").alias("m"))
+    # blocks of cells: a cell of the target goes to all that it can meet a moved one in
+    side = max(k, 8)
+    near = lambda x: F.explode(F.sequence(F.floor((F.col(x) - k) / side), F.floor((F.col(x) + k) / side)))
+    one = one.select("*", near("ti").alias("bi")).select("*", near("tj").alias("bj"))
+    two = two.withColumns({"bi": F.floor(F.col("i") / side), "bj": F.floor(F.col("j") / side)})
+    # few bytes make many pairs: the blocks keep to as many tasks as there are, whatever their size
+    parts = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = one.repartition(parts, "bi", "bj").join(two.repartition(parts, "bi", "bj"), ["bi", "bj"]).withColumns({"di": F.col("ti") - F.col("i"), "dj": F.col("tj") - F.col("j")})
+    return met.filter((F.abs("di") <= k) & (F.abs("dj") <= k)).select("guess", "i", "j", "di", "dj", (F.col("tn") * F.col("m")).alias("n"))
+
+
 def votes(target: DataFrame, moved: DataFrame, radius: float, bins: float) -> DataFrame:
     """For each ``guess``: dr, dc (the offset with most votes), its votes ``n``, and ``z``, how far these stand out from the mean.
 
     Both sides have r and c from the pin. An offset has up to ``radius`` in each direction.
     """
     k = max(1, ceil(radius / bins))
-    cell = lambda x: F.floor(F.col(x) / bins)
-    one = target.groupBy(cell("r").alias("ti"), cell("c").alias("tj")).agg(F.count("*").alias("tn"))
-    two = moved.groupBy("guess", cell("r").alias("i"), cell("c").alias("j")).agg(F.count("*").alias("m"))
-    # blocks of k cells: an offset of k cells reaches the next block at most
-    around = F.expr("explode(array(-1L, 0L, 1L))")
-    one = one.select("*", around.alias("a")).select("*", around.alias("b")).select("ti", "tj", "tn", (F.floor(F.col("ti") / k) + F.col("a")).alias("bi"), (F.floor(F.col("tj") / k) + F.col("b")).alias("bj"))
-    two = two.withColumns({"bi": F.floor(F.col("i") / k), "bj": F.floor(F.col("j") / k)})
-    # few bytes make many pairs: the blocks keep to as many tasks as there are, whatever their size
-    parts = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = one.repartition(parts, "bi", "bj").join(two.repartition(parts, "bi", "bj"), ["bi", "bj"]).withColumns({"di": F.col("ti") - F.col("i"), "dj": F.col("tj") - F.col("j")}).filter((F.abs("di") <= k) & (F.abs("dj") <= k))
-    table = met.groupBy("guess", "di", "dj").agg(F.sum(F.col("tn") * F.col("m")).alias("n"))
+    table = _met(target, moved, k, bins).groupBy("guess", "di", "dj").agg(F.sum("n").alias("n"))
     most = table.groupBy("guess").agg(F.max(F.struct("n", (-F.abs("di") - F.abs("dj")).alias("near"), "di", "dj")).alias("top"), (F.sum("n") / (2 * k + 1) ** 2).alias("mean"))
     z = (F.col("top.n") - F.col("mean")) / F.sqrt(F.col("mean") + 1)
     return most.select("guess", (F.col("top.di") * float(bins)).alias("dr"), (F.col("top.dj") * float(bins)).alias("dc"), F.col("top.n").alias("n"), z.alias("z"))
 
 
+def _parted(target: DataFrame, moved: DataFrame, window: float, bins: float) -> dict[int, np.ndarray]:
+    """For each guess, a row for each part of the window and offset of up to ``SEEN`` cells: part, di, dj, votes, and the mean r, c of the cells that gave them.
+
+    At most ``PARTS**2 * (2 * SEEN + 1)**2`` rows a guess, however many points there are.
+    """
+    part = lambda x: F.least(F.greatest(F.floor((F.col(x) + 0.5) * (bins * PARTS / window) + PARTS / 2), F.lit(0)), F.lit(PARTS - 1))
+    n = F.col("n").cast("double")
+    table = _met(target, moved, SEEN, bins).groupBy("guess", (part("i") * PARTS + part("j")).alias("part"), "di", "dj")
+    rows = table.agg(F.sum(n).alias("n"), *((F.sum(n * F.col(x)) / F.sum(n) * bins + bins / 2).alias(x) for x in "ij")).collect()
+    found = {}
+    for row in sorted(tuple(x) for x in rows):
+        found.setdefault(row[0], []).append(row[1:])
+    return {g: np.array(x, dtype=float) for g, x in found.items()}
+
+
+def _around(rows: np.ndarray, ways: list[tuple[float, float]], bins: float) -> list[tuple]:
+    """z, offset of what the points of a guess would have voted, had it been changed by each of ``ways``: its scale by a factor of 1 + u, its angle by w (radians)."""
+    part, di, dj, n, r, c = rows.T
+    _, part = np.unique(part.astype(int), return_inverse=True)
+    k, wide = SEEN // 2, 2 * SEEN + 1
+    total = np.bincount(part, n)
+    r, c = (np.bincount(part, n * x) / total for x in (r, c))
+    # a part moves as a whole, and offsets that were not seen have the votes of chance: neighbours differ by their points alone
+    seen = np.zeros((len(total), wide, wide))
+    seen[part, di.astype(int) + SEEN, dj.astype(int) + SEEN] = n
+    seen = np.pad(seen, ((0, 0), (SEEN, SEEN), (SEEN, SEEN)))
+    outside = np.ones(seen.shape[1:], dtype=bool)
+    outside[SEEN:-SEEN, SEEN:-SEEN] = False
+    seen += (total / wide**2)[:, None, None] * outside
+    places = np.arange(-k, k + 1)
+    found = []
+    for u, w in ways:
+        i, j = (np.clip(np.rint(x / bins).astype(int)[:, None] + places, -2 * SEEN, 2 * SEEN) + 2 * SEEN for x in (u * r - w * c, w * r + u * c))
+        table = seen[np.arange(len(total))[:, None, None], i[:, :, None], j[:, None, :]].sum(axis=0).ravel()
+        # of equal votes the nearest offset, then the greatest
+        top = max(range(len(table)), key=lambda x: (table[x], -abs(x // (2 * k + 1) - k) - abs(x % (2 * k + 1) - k), x))
+        mean = table.mean()
+        found.append(((table[top] - mean) / (mean + 1) ** 0.5, ((top // (2 * k + 1) - k) * bins, (top % (2 * k + 1) - k) * bins)))
+    return found
+
+
+def _settled(rows: np.ndarray, u: float, w: float, offset: tuple, free: tuple[bool, bool], bins: float) -> tuple:
+    """u, w, offset by least squares over the votes that lie within a cell and a half of where these have them, less those of chance; only what is ``free`` of u and w changes."""
+    part, di, dj, n, r, c = rows.T
+    part = part.astype(int)
+    d = np.stack([di, dj]) * bins
+    now = np.array([u, w, *offset], dtype=float)
+    cells = (2 * SEEN + 1) ** 2
+    # what a unit of u, w and offset moves r and c by
+    by_r, by_c = (np.stack(x) for x in ((r, -c, np.ones_like(r), np.zeros_like(r)), (c, r, np.zeros_like(r), np.ones_like(r))))
+    use = [x for x, on in zip(range(4), (*free, True, True)) if on]
+    for _ in range(4):
+        left = d - np.stack([now @ by_r, now @ by_c])
+        near = (np.abs(left) <= 1.5 * bins).all(axis=0)
+        total = lambda x: np.bincount(part, x, PARTS**2)
+        chance = total(n * ~near) / np.maximum(cells - total(near), 1)
+        weight = np.sqrt(np.maximum(n - chance[part], 0) * near)
+        if np.count_nonzero(weight) < len(use):
+            break
+        form = np.concatenate([by_r[use] * weight, by_c[use] * weight], axis=1).T
+        # columns of one size, so that what the votes say nothing of stays as it is
+        size = np.linalg.norm(form, axis=0)
+        size[size == 0] = 1.0
+        now[use] += np.linalg.lstsq(form / size, (left * weight).ravel(), rcond=1e-6)[0] / size
+    return float(now[0]), float(now[1]), (float(now[2]), float(now[3]))
+
+
+def _better(guess: tuple, rows: np.ndarray, steps: tuple[float, float], window: float, bins: float) -> list[tuple]:
+    """z and guess (scale, degrees, seat) of the best neighbours of ``guess`` by up to two ``steps`` of scale and angle, each settled."""
+    scale, angle, seat = guess
+    around = range(-2, 3)
+    ways = [(i * steps[0] / scale, radians(j * steps[1])) for i in (around if steps[0] else (0,)) for j in (around if steps[1] else (0,)) if scale + i * steps[0] > 0]
+    tried = sorted(zip(_around(rows, ways, bins), ways), key=lambda x: -x[0][0])[: 4 * BEAM]
+    found = []
+    for (z, offset), (u, w) in tried:
+        to = _settled(rows, u, w, offset, (bool(steps[0]), bool(steps[1])), bins)
+        # votes that lead elsewhere are of chance
+        if max(abs(to[0] - u) * window / 2, abs(to[1] - w) * window / 2, *(abs(x - y) for x, y in zip(to[2], offset))) <= 2 * bins:
+            u, w, offset = to
+        s, a = scale * hypot(1 + u, w), angle + to_degrees(atan2(w, 1 + u))
+        found.append((z, (s, a, _seat(seat, s, a, offset))))
+    return found
+
+
+def _alike(a: tuple, b: tuple, window: float, bins: float) -> bool:
+    """Whether two guesses place the window the same way to half a cell."""
+    seat = hypot(*(x - y for x, y in zip(a[2], b[2]))) * a[0]
+    return max(abs(a[0] / b[0] - 1) * window / 2, abs(radians(a[1] - b[1])) * window / 2, seat) <= bins / 2
+
+
 def _from(points: DataFrame, pin: tuple[float, float], reach: float | None = None) -> DataFrame:
     moved = points.select(*((F.col(x) - p).alias(x) for x, p in zip(RC, pin)))
     return moved if reach is None else moved.filter((F.abs("r") <= reach) & (F.abs("c") <= reach))
@@ -219,41 +322,54 @@ def fit_affine(
     if best:
         window = min(window, grid.side() * (ENOUGH / best["n"]) ** 0.5)
     guesses = [(s, a, seated(s, a)) for s in scales for a in degrees]
-    while True:
-        moved = guessed(source, guesses, window / 2 + radius)
-        top = votes(_from(target, pin, window / 2), moved, radius, bins).orderBy(F.desc("z"), "guess").limit(4 * BEAM).collect()
-        if not top:
-            return None
-        # the same scale and angle from two guesses is one
-        found = {}
-        for t in top:
-            s, a, seat = guesses[t["guess"]]
-            found.setdefault((s, a), _seat(seat, s, a, (t["dr"], t["dc"])))
-        kept = [(s, a, seat) for (s, a), seat in found.items()][:BEAM]
-        if window >= holds:
-            break
-        window, radius = min(2 * window, holds), 2 * bins
-        if finest * window > 2 * bins:
+    moved = guessed(source, guesses, window / 2 + radius)
+    top = votes(_from(target, pin, window / 2), moved, radius, bins).orderBy(F.desc("z"), "guess").limit(4 * BEAM).collect()
+    if not top:
+        return None
+    # the same scale and angle from two guesses is one
+    found = {}
+    for t in top:
+        s, a, seat = guesses[t["guess"]]
+        found.setdefault((s, a), _seat(seat, s, a, (t["dr"], t["dc"])))
+    kept, z, wider = [(s, a, seat) for (s, a), seat in found.items()][:BEAM], top[0]["z"], 2
+    while window < holds:
+        window = min(wider * window, holds)
+        while finest * window > 2 * bins:
             by, turn, finest = by / 2, turn / 2, finest / 2
-        around = range(-2, 3)
-        guesses = [(s + i * by, a + j * turn, seat) for s, a, seat in kept for i in (around if by else (0,)) for j in (around if turn else (0,))]
-        guesses = list({g[:2]: g for g in reversed(guesses) if g[0] > 0}.values())
+        tables = _parted(_from(target, pin, window / 2), guessed(source, kept, window / 2 + SEEN * bins), window, bins)
+        tried = sorted((x for g, rows in tables.items() for x in _better(kept[g], rows, (by, turn), window, bins)), key=lambda x: -x[0])
+        if not tried:
+            return None
+        kept, z = [], tried[0][0]
+        for _, guess in tried:
+            if len(kept) < BEAM and not any(_alike(guess, other, window, bins) for other in kept):
+                kept.append(guess)
+        # settled guesses are good for more than twice their window
+        wider = 4
     (scale, angle, seat), n = kept[0], 0
     for near in (bins, bins / 4, bins / 16):
         made = _refit(target, source, scale, angle, seat, pin, near)
         if made:
             scale, angle, seat, n = made
     offset = tuple(p - scale * s for p, s in zip(pin, seat))
-    return {"scale": scale, "degrees": angle, "centre": seat, "offset": offset, "matched": n, "z": top[0]["z"]}
+    return {"scale": scale, "degrees": angle, "centre": seat, "offset": offset, "matched": n, "z": z}
 
 
 def _refit(target: DataFrame, source: DataFrame, scale: float, angle: float, seat: tuple, pin: tuple, near: float) -> tuple | None:
     """Least squares over each source point and its nearest target within ``near``: scale, degrees, seat, number of pairs."""
     a, b = scale * cos(radians(angle)), scale * sin(radians(angle))
-    x = _from(source, seat).select(F.col("r").alias("x"), F.col("c").alias("y")).select("x", "y", (a * F.col("x") - b * F.col("y")).alias("r"), (b * F.col("x") + a * F.col("y")).alias("c"))
-    to = _from(target, pin).select(F.col("r").alias("u"), F.col("c").alias("v"))
-    pairs = spatial.radius_join(x, to, near, RC, ("u", "v")).groupBy("x", "y").agg(F.min(F.struct("d2", "u", "v")).alias("to"))
-    pairs = pairs.select("x", "y", "to.u", "to.v")
+    # places, so that many points at one don't meet in pairs
+    x = _from(source, seat).select(F.col("r").alias("x"), F.col("c").alias("y")).distinct().select("x", "y", (a * F.col("x") - b * F.col("y")).alias("r"), (b * F.col("x") + a * F.col("y")).alias("c"))
+    to = _from(target, pin).select(F.col("r").alias("u"), F.col("c").alias("v")).distinct()
+    # cells of twice ``near``: a target place is in four of them
+    side = 2.0 * near
+    span = lambda k: F.explode(F.sequence(F.floor((F.col(k) - near) / side), F.floor((F.col(k) + near) / side)))
+    to = to.select("*", span("u").alias("i")).select("*", span("v").alias("j"))
+    x = x.withColumns({"i": F.floor(F.col("r") / side), "j": F.floor(F.col("c") / side)})
+    d2 = spatial.squared(F.col("r"), F.col("c"), F.col("u"), F.col("v"))
+    pairs = x.join(to, ["i", "j"]).withColumn("d2", d2).filter(F.col("d2") <= near * near)
+    # a source place is in one cell, so its pairs are together already
+    pairs = pairs.groupBy("i", "j", "x", "y").agg(F.min(F.struct("d2", "u", "v")).alias("to")).select("x", "y", "to.u", "to.v")
     x, y, u, v = (F.col(k) for k in "xyuv")
     s = pairs.agg(
         F.count("*").alias("n"), *(F.avg(k).alias(k) for k in "xyuv"),

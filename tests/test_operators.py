@@ -525,6 +525,51 @@ def test_affine_fit_finds_a_part_by_scanning_chunks(spark):
     assert np.abs(_placed_by(fit, source) - there).max() < 1e-6 and fit["matched"] == len(part)
 
 
+def test_affine_fit_places_all_points_for_few_guesses_only(spark, monkeypatch):
+    """Only the first, small window is tried by the grid of guesses; a window of many points by two at most, and there are few windows."""
+    rng = np.random.default_rng(5)
+    source = rng.uniform((0, 0), (20000, 500), (6000, 2))
+    there = np.column_stack(alignment.transform_columns(source[:, 0], source[:, 1], 0.663, 0.7, (0.0, 0.0), (120.0, -40.0)))
+    wrong = np.concatenate([(there + rng.normal(0, 0.3, there.shape))[:4000], rng.uniform(there.min(axis=0), there.max(axis=0), (2000, 2))])
+    frame = lambda x: spark.createDataFrame(pd.DataFrame(x, columns=["r", "c"]))
+    placed, whole = [], affine.guessed
+    monkeypatch.setattr(affine, "guessed", lambda source, guesses, reach: placed.append(len(guesses)) or whole(source, guesses, reach))
+    fit = affine.fit_affine(frame(wrong), frame(source), [0.65 + 0.01 * i for i in range(4)], [0.0, 0.5, 1.0], radius=150)
+    assert np.abs(_placed_by(fit, source) - there).max() < 0.5
+    assert placed[0] == 12 and max(placed[1:]) <= affine.BEAM and len(placed) <= 6
+
+
+def test_parts_tell_the_votes_of_the_neighbours_of_a_guess(spark):
+    rng = np.random.default_rng(6)
+    near = rng.uniform(-400, 400, (3000, 2))
+    u, w, offset = 0.02, np.deg2rad(-1.0), (12.0, -6.0)
+    there = np.column_stack([near[:, 0] * (1 + u) - near[:, 1] * w + offset[0], near[:, 0] * w + near[:, 1] * (1 + u) + offset[1]])
+    moved = pd.DataFrame(near, columns=["r", "c"]).assign(guess=0)
+    rows = affine._parted(spark.createDataFrame(pd.DataFrame(there, columns=["r", "c"])), spark.createDataFrame(moved), 800, 10)[0]
+    assert len(rows) <= affine.PARTS**2 * (2 * affine.SEEN + 1) ** 2
+    d = (np.floor(there / 10)[:, None] - np.floor(near / 10)[None]).reshape(-1, 2)
+    assert rows[:, 3].sum() == (np.abs(d) <= affine.SEEN).all(axis=1).sum()
+    ways = [(x, y) for x in (-0.02, 0.0, 0.02) for y in np.deg2rad([-1.0, 0.0, 1.0])]
+    tried = affine._around(rows, ways, 10.0)
+    best = max(range(len(ways)), key=lambda x: tried[x][0])
+    assert ways[best] == (u, w)
+    got = affine._settled(rows, *ways[best], tried[best][1], (True, True), 10.0)
+    # a tenth of a cell at the edge
+    assert abs(got[0] - u) * 400 < 1 and abs(got[1] - w) * 400 < 1 and np.allclose(got[2], offset, atol=1)
+    # votes that are the same everywhere speak for no neighbour, though some lead beyond what is seen
+    even = np.array([(p, i, j, 50.0, (p // 8 - 3.5) * 100, (p % 8 - 3.5) * 100) for p in range(64) for i in range(-4, 5) for j in range(-4, 5)])
+    assert max(abs(z) for z, _ in affine._around(even, [(x, y) for x in (-0.05, 0.0, 0.05) for y in (-0.05, 0.0, 0.05)], 10.0)) < 1e-6
+    # a scale that is given stays
+    assert affine._settled(rows, 0.0, w, (10.0, -10.0), (False, True), 10.0)[0] == 0.0
+
+
+def test_affine_fit_of_places_that_many_points_share(spark):
+    source, there = _planted(np.random.default_rng(7), 60, 500)
+    many = lambda x: spark.createDataFrame(pd.DataFrame(x, columns=["r", "c"])).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(40))))
+    fit = affine.fit_affine(many(there), many(source), [0.65, 0.66, 0.67], [0.0, 0.5, 1.0], radius=60)
+    assert np.abs(_placed_by(fit, source) - there).max() < 1e-6 and fit["matched"] == 60
+
+
 def test_affine_fit_of_nothing_is_none(spark):
     some, none = (spark.createDataFrame(x, "r double, c double") for x in ([(1.0, 2.0)], [(None, 1.0)]))
     assert affine.fit_affine(some, none, [1.0], [0.0]) is None and affine.fit_affine(none, some, [1.0], [0.0]) is None
